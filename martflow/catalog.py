@@ -90,3 +90,84 @@ def q_order_amounts(spark, sf):
 @query("merge_lines")
 def q_merge_lines(spark, sf):
     return P_orders.merge_lines(A.v_order_items(Tables(spark, sf)))
+
+
+# ------------------------------------------------------------------ P2: shipping
+
+def _ship(spark, sf):
+    from martflow.plans import shipping as S
+    return S, S.Model(A.v_shipping(Tables(spark, sf)))
+
+
+@query("split_descriptor")
+def q_split_descriptor(spark, sf):
+    S, m = _ship(spark, sf)
+    return S.descriptors(m.log)
+
+
+@query("age_day_part")
+def q_age_day_part(spark, sf):
+    """X6 on every line: ship date vs order date shifted by line-number hours."""
+    from martflow.functions.scalars import age_day_part
+    t = Tables(spark, sf)
+    li, o = t.lineitem, t.orders
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("a_ts"),
+        (F.col("o_orderdate") + F.make_interval(hours=F.col("l_linenumber"), mins=F.lit(30))).alias("b_ts"))
+    return j.select("l_orderkey", "l_linenumber", "a_ts", "b_ts",
+                    age_day_part("a_ts", "b_ts").alias("day_ab"), age_day_part("b_ts", "a_ts").alias("day_ba"))
+
+
+@query("distinct_dims")
+def q_distinct_dims(spark, sf):
+    log = A.v_shipping(Tables(spark, sf))
+    return log.select("shipping_country", "shipping_country_base_rate", "shipping_transfer_description",
+                      "shipping_transfer_rate").distinct()
+
+
+@query("shipping_country_rates")
+def q_shipping_country_rates(spark, sf):
+    return _ship(spark, sf)[1].country
+
+
+@query("shipping_agreement")
+def q_shipping_agreement(spark, sf):
+    return _ship(spark, sf)[1].agreement
+
+
+@query("shipping_transfer")
+def q_shipping_transfer(spark, sf):
+    return _ship(spark, sf)[1].transfer
+
+
+@query("shipping_info")
+def q_shipping_info(spark, sf):
+    return _ship(spark, sf)[1].info
+
+
+@query("shipping_status")
+def q_shipping_status(spark, sf):
+    return _ship(spark, sf)[1].status
+
+
+@query("shipping_datamart")
+def q_shipping_datamart(spark, sf):
+    return _ship(spark, sf)[1].datamart()
+
+
+@query("shipping_cost_by_country")
+def q_shipping_cost_by_country(spark, sf):
+    S, m = _ship(spark, sf)
+    return S.cost_by_country(m)
+
+
+@query("shipping_finished_last_week")
+def q_shipping_finished_last_week(spark, sf):
+    S, m = _ship(spark, sf)
+    return S.finished_last_week(m)
+
+
+@query("vendor_tariffs")
+def q_vendor_tariffs(spark, sf):
+    S, m = _ship(spark, sf)
+    return S.vendor_tariffs(m)

@@ -140,3 +140,107 @@ FROM v_order_items GROUP BY order_id""")
 
 oracle("merge_lines", with_(V_ORDER_ITEMS) + """
 SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM v_order_items GROUP BY 1, 2""")
+
+
+# ------------------------------------------------------------------ P2: shipping
+
+oracle("split_descriptor", with_(V_SHIPPING) + """
+SELECT shippingid, state_datetime,
+  CAST(string_split_regex(vendor_agreement_description, ':+')[1] AS BIGINT) AS agreementid,
+  string_split_regex(vendor_agreement_description, ':+')[2] AS agreement_number,
+  CAST(string_split_regex(vendor_agreement_description, ':+')[3] AS DECIMAL(14,3)) AS agreement_rate,
+  CAST(string_split_regex(vendor_agreement_description, ':+')[4] AS DECIMAL(14,3)) AS agreement_commission,
+  string_split_regex(shipping_transfer_description, ':+')[1] AS transfer_type,
+  string_split_regex(shipping_transfer_description, ':+')[2] AS transfer_model,
+  string_split_regex(vendor_agreement_description, ':+')[5] AS agreement_extra
+FROM v_shipping""")
+
+oracle("age_day_part", """
+WITH p AS (
+  SELECT l_orderkey, l_linenumber, l_shipdate AS a_ts,
+         o_orderdate + to_hours(l_linenumber) + INTERVAL 30 MINUTE AS b_ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT l_orderkey, l_linenumber, a_ts, b_ts,
+  CAST(date_part('day', age(a_ts, b_ts)) AS INTEGER) AS day_ab,
+  CAST(date_part('day', age(b_ts, a_ts)) AS INTEGER) AS day_ba
+FROM p""")
+
+oracle("distinct_dims", with_(V_SHIPPING) + """
+SELECT DISTINCT shipping_country, shipping_country_base_rate, shipping_transfer_description, shipping_transfer_rate
+FROM v_shipping""")
+
+_SHIP_DIMS = with_(V_SHIPPING, """country AS (
+  SELECT shipping_country, shipping_country_base_rate,
+         row_number() OVER (ORDER BY shipping_country, shipping_country_base_rate) AS shipping_country_id
+  FROM (SELECT DISTINCT shipping_country, shipping_country_base_rate FROM v_shipping))""", """agreement AS (
+  SELECT DISTINCT
+    CAST(split_part(vendor_agreement_description, ':', 1) AS BIGINT) AS agreementid,
+    split_part(vendor_agreement_description, ':', 2) AS agreement_number,
+    CAST(split_part(vendor_agreement_description, ':', 3) AS DECIMAL(14,3)) AS agreement_rate,
+    CAST(split_part(vendor_agreement_description, ':', 4) AS DECIMAL(14,3)) AS agreement_commission
+  FROM v_shipping)""", """transfer AS (
+  SELECT transfer_type, transfer_model, shipping_transfer_rate,
+         row_number() OVER (ORDER BY transfer_type, transfer_model, shipping_transfer_rate) AS transfer_type_id
+  FROM (SELECT DISTINCT split_part(shipping_transfer_description, ':', 1) AS transfer_type,
+                        split_part(shipping_transfer_description, ':', 2) AS transfer_model,
+                        shipping_transfer_rate FROM v_shipping))""", """info AS (
+  SELECT DISTINCT s.shippingid, s.vendorid, s.payment_amount, s.shipping_plan_datetime,
+         t.transfer_type_id, c.shipping_country_id, a.agreementid
+  FROM v_shipping s
+  JOIN country c ON c.shipping_country = s.shipping_country
+  JOIN agreement a ON a.agreementid = CAST(split_part(s.vendor_agreement_description, ':', 1) AS BIGINT)
+  JOIN transfer t ON t.transfer_type = split_part(s.shipping_transfer_description, ':', 1)
+                 AND t.transfer_model = split_part(s.shipping_transfer_description, ':', 2))""", """status AS (
+  SELECT DISTINCT shippingid,
+    FIRST_VALUE(status) OVER w AS status,
+    FIRST_VALUE(state) OVER w AS state,
+    FIRST_VALUE(state_datetime) OVER (PARTITION BY shippingid ORDER BY state_datetime ASC NULLS LAST)
+      AS shipping_start_fact_datetime,
+    FIRST_VALUE(state_datetime) OVER w AS shipping_end_fact_datetime
+  FROM v_shipping
+  WINDOW w AS (PARTITION BY shippingid ORDER BY state_datetime DESC NULLS FIRST, status DESC, state DESC))""",
+  """dm AS (
+  SELECT ss.shippingid, si.vendorid, st.transfer_type,
+    CAST(date_part('day', age(shipping_end_fact_datetime, shipping_start_fact_datetime)) AS INTEGER)
+      AS full_day_at_shipping,
+    shipping_end_fact_datetime > shipping_plan_datetime AS is_delay,
+    status = 'finished' AS is_shipping_finish,
+    CAST(CASE WHEN shipping_end_fact_datetime > shipping_plan_datetime
+      THEN date_part('day', age(shipping_end_fact_datetime, shipping_plan_datetime)) ELSE 0 END AS INTEGER)
+      AS delay_day_at_shipping,
+    si.payment_amount,
+    CAST(si.payment_amount * (shipping_country_base_rate + agreement_rate + shipping_transfer_rate)
+      AS DECIMAL(31,5)) AS vat,
+    CAST(si.payment_amount * agreement_commission AS DECIMAL(29,5)) AS profit
+  FROM status ss JOIN info si ON ss.shippingid = si.shippingid
+  JOIN transfer st ON si.transfer_type_id = st.transfer_type_id
+  JOIN country scr ON scr.shipping_country_id = si.shipping_country_id
+  JOIN agreement sa ON si.agreementid = sa.agreementid)""")
+
+oracle("shipping_country_rates", _SHIP_DIMS + "SELECT * FROM country")
+oracle("shipping_agreement", _SHIP_DIMS + "SELECT * FROM agreement")
+oracle("shipping_transfer", _SHIP_DIMS + "SELECT * FROM transfer")
+oracle("shipping_info", _SHIP_DIMS + "SELECT * FROM info")
+oracle("shipping_status", _SHIP_DIMS + "SELECT * FROM status")
+oracle("shipping_datamart", _SHIP_DIMS + "SELECT * FROM dm")
+oracle("shipping_cost_by_country", _SHIP_DIMS + """
+SELECT c.shipping_country, count(*) AS shipments,
+  CAST(sum(dm.payment_amount) AS DECIMAL(24,2)) AS total_payment,
+  CAST(sum(vat) AS DECIMAL(38,5)) AS total_vat,
+  CAST(sum(CAST(is_delay AS INTEGER)) AS BIGINT) AS delayed
+FROM dm JOIN info i ON i.shippingid = dm.shippingid
+JOIN country c ON c.shipping_country_id = i.shipping_country_id
+GROUP BY c.shipping_country""")
+oracle("shipping_finished_last_week", _SHIP_DIMS + """
+SELECT s.shippingid, i.vendorid, s.shipping_end_fact_datetime, i.payment_amount
+FROM status s JOIN info i ON i.shippingid = s.shippingid
+WHERE s.status = 'finished'
+  AND s.shipping_end_fact_datetime > (SELECT max(shipping_end_fact_datetime) FROM status WHERE status = 'finished')
+      - INTERVAL 7 DAY
+  AND s.shipping_end_fact_datetime <= (SELECT max(shipping_end_fact_datetime) FROM status WHERE status = 'finished')""")
+oracle("vendor_tariffs", _SHIP_DIMS + """
+SELECT dm.vendorid, a.agreementid, a.agreement_number, a.agreement_rate, a.agreement_commission,
+  count(*) AS shipments, CAST(sum(dm.payment_amount) AS DECIMAL(24,2)) AS total_payment,
+  CAST(sum(dm.profit) AS DECIMAL(38,5)) AS total_profit
+FROM dm JOIN info i ON i.shippingid = dm.shippingid JOIN agreement a ON a.agreementid = i.agreementid
+GROUP BY ALL""")
