@@ -171,3 +171,145 @@ def q_shipping_finished_last_week(spark, sf):
 def q_vendor_tariffs(spark, sf):
     S, m = _ship(spark, sf)
     return S.vendor_tariffs(m)
+
+
+# ------------------------------------------------------------------ P3: sales and retention
+
+SPLIT_TS = "1998-01-01 00:00:00"  # stage rows before this are the earlier load
+
+
+def _feed(spark, sf):
+    return A.v_feed(Tables(spark, sf))
+
+
+def _fact(spark, sf):
+    from martflow.plans import sales as P
+    from martflow.sources.calendar import calendar_covering
+    stage = _feed(spark, sf)
+    cal = calendar_covering(stage, "date_time")
+    lo, hi = stage.agg(F.min(F.to_date("date_time")), F.max(F.to_date("date_time"))).first()
+    import datetime as _dt
+    fact = P.f_daily_sales(spark, stage, cal, lo.isoformat(), (hi + _dt.timedelta(days=1)).isoformat())
+    return P, stage, cal, fact
+
+
+@query("calendar_dim")
+def q_calendar_dim(spark, sf):
+    from martflow.sources.calendar import calendar_covering
+    return calendar_covering(_feed(spark, sf), "date_time")
+
+
+@query("f_daily_sales")
+def q_f_daily_sales(spark, sf):
+    return _fact(spark, sf)[3]
+
+
+@query("retention_base")
+def q_retention_base(spark, sf):
+    P, _, cal, fact = _fact(spark, sf)
+    return P.retention_base(fact, cal)
+
+
+@query("customer_retention")
+def q_customer_retention(spark, sf):
+    P, _, cal, fact = _fact(spark, sf)
+    return P.customer_retention(P.retention_base(fact, cal))
+
+
+@query("customer_retention_by_year")
+def q_customer_retention_by_year(spark, sf):
+    P, _, cal, fact = _fact(spark, sf)
+    return P.customer_retention(P.retention_base(fact, cal, by_year=True), by_year=True)
+
+
+@query("d_customer")
+def q_d_customer(spark, sf):
+    from martflow.plans import sales as P
+    return P.d_customer(_feed(spark, sf))
+
+
+@query("d_item")
+def q_d_item(spark, sf):
+    from martflow.plans import sales as P
+    return P.d_item(_feed(spark, sf))
+
+
+@query("last_value_default_frame")
+def q_last_value_default_frame(spark, sf):
+    from martflow.plans import sales as P
+    return P.last_value_default_frame(_feed(spark, sf))
+
+
+@query("d_item_update")
+def q_d_item_update(spark, sf):
+    """U4: the dim loaded from the earlier stage rows, then renamed from the
+    whole stage's latest names."""
+    from martflow.operators.tables import update_from_lookup
+    from martflow.plans import sales as P
+    stage = _feed(spark, sf)
+    existing = P.d_item(stage.filter(F.col("date_time") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    return update_from_lookup(existing, P.latest_item_names(stage), "item_id", "item_name")
+
+
+@query("not_in_null_aware")
+def q_not_in_null_aware(spark, sf):
+    """Feed customers NOT IN the customers with a non-negative balance."""
+    from martflow.operators.tables import not_in
+    t = Tables(spark, sf)
+    known = t.customer.filter(F.col("c_acctbal") >= 0).select("c_custkey")
+    return not_in(A.v_feed(t), "customer_id", known, "c_custkey").select(
+        "customer_id", "first_name", "last_name").distinct()
+
+
+@query("append_with_defaults")
+def q_append_with_defaults(spark, sf):
+    """K2: the later feed rows arrive without ``status`` and take the default."""
+    from martflow.operators.tables import append_with_defaults
+    stage = _feed(spark, sf)
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    inc = stage.filter(F.col("date_time") >= split).drop("status")
+    return append_with_defaults(stage.filter(F.col("date_time") < split), inc, {"status": "shipped"})
+
+
+def _stage_schema(df):
+    return df.schema
+
+
+@query("replace_slice")
+def q_replace_slice(spark, sf):
+    """K4: stage written per day with a stale copy of the latest day, then
+    that day's slice is replaced by the fresh increment."""
+    from martflow.operators.tables import read_slices, write_slices
+    from martflow.plans.sales import day_of
+    from martflow.session import scratch_path
+    stage = _feed(spark, sf).withColumn("day", day_of())
+    last_day = stage.agg(F.max("day")).first()[0]
+    stale = stage.withColumn("quantity", F.when(F.col("day") == last_day, F.col("quantity") * 2)
+                             .otherwise(F.col("quantity")))
+    path = scratch_path(spark, "stage_user_orders_log")
+    write_slices(stale, path, "day")
+    write_slices(stage.filter(F.col("day") == last_day), path, "day", [last_day])
+    return read_slices(spark, path, "day").drop("day")
+
+
+@query("backfill_equals_daily")
+def q_backfill_equals_daily(spark, sf):
+    """T4: every day of the feed loaded in one dynamic-overwrite job."""
+    from martflow.operators.tables import read_slices, write_slices
+    from martflow.plans.sales import day_of
+    from martflow.session import scratch_path
+    stage = _feed(spark, sf).withColumn("day", day_of())
+    path = scratch_path(spark, "stage_backfill")
+    write_slices(stage, path, "day")
+    return read_slices(spark, path, "day").drop("day")
+
+
+@query("delete_where_in")
+def q_delete_where_in(spark, sf):
+    """Fact rows dated on any day of the latest year's increment are deleted."""
+    from martflow.operators.tables import delete_where_in
+    P, stage, cal, fact = _fact(spark, sf)
+    last_year = stage.agg(F.max(F.year("date_time"))).first()[0]
+    inc = stage.filter(F.year("date_time") == last_year)
+    days = inc.join(F.broadcast(cal), cal.full_date == F.to_date(inc.date_time)).select("date_id")
+    return delete_where_in(fact, days, "date_id")

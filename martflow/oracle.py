@@ -244,3 +244,92 @@ SELECT dm.vendorid, a.agreementid, a.agreement_number, a.agreement_rate, a.agree
   CAST(sum(dm.profit) AS DECIMAL(38,5)) AS total_profit
 FROM dm JOIN info i ON i.shippingid = dm.shippingid JOIN agreement a ON a.agreementid = i.agreementid
 GROUP BY ALL""")
+
+
+# ------------------------------------------------------------------ P3: sales and retention
+
+_CAL = """bounds AS (
+  SELECT make_date(year(min(date_time)), 1, 1) AS d0, make_date(year(max(date_time)), 12, 31) AS d1 FROM v_feed)""", \
+    """cal AS (
+  SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS date_id, CAST(d AS DATE) AS full_date,
+         CAST(day(d) AS SMALLINT) AS day_num, CAST(month(d) AS SMALLINT) AS month_num,
+         rpad(lower(strftime(d, '%B')), 9, ' ') AS month_name, CAST(year(d) AS SMALLINT) AS year_num,
+         CAST(week(d) AS SMALLINT) AS week_num, CAST(isoyear(d) AS SMALLINT) AS iso_year
+  FROM (SELECT unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS d FROM bounds))"""
+
+_FACT = with_(V_FEED, *_CAL, """fact AS (
+  SELECT DISTINCT dc.date_id, s.item_id, s.customer_id, s.quantity,
+         CAST(s.payment_amount AS DECIMAL(10,2)) AS payment_amount, s.status
+  FROM v_feed s JOIN cal dc ON dc.day_num = day(s.date_time) AND dc.month_num = month(s.date_time)
+                           AND dc.year_num = year(s.date_time))""")
+
+oracle("calendar_dim", with_(V_FEED, *_CAL) + "SELECT * FROM cal")
+oracle("f_daily_sales", _FACT + "SELECT * FROM fact")
+
+_RET_BASE = """SELECT {keys}, customer_id, count(*) AS num_transactions,
+    CAST(sum(CASE WHEN status = 'refunded' THEN 1 ELSE 0 END) AS BIGINT) AS num_returns,
+    CAST(sum(CASE WHEN status = 'refunded' THEN -payment_amount ELSE payment_amount END) AS DECIMAL(20,2))
+      AS total_revenue
+  FROM fact JOIN cal USING (date_id) GROUP BY {keys}, customer_id"""
+
+oracle("retention_base", _FACT + _RET_BASE.format(keys="week_num"))
+
+_RET = """
+SELECT CAST({period} AS INTEGER) AS period_id,
+  CAST(sum(CASE WHEN num_transactions = 1 THEN 1 ELSE 0 END) AS INTEGER) AS new_customers_count,
+  CAST(sum(CASE WHEN num_transactions > 1 THEN 1 ELSE 0 END) AS INTEGER) AS returning_customers_count,
+  CAST(sum(CASE WHEN num_returns > 0 THEN 1 ELSE 0 END) AS INTEGER) AS refunded_customer_count,
+  CAST(sum(num_returns) AS INTEGER) AS customers_refunded,
+  CAST(sum(CASE WHEN num_transactions = 1 THEN total_revenue ELSE 0 END) AS DECIMAL(14,2)) AS new_customers_revenue,
+  CAST(sum(CASE WHEN num_transactions > 1 THEN total_revenue ELSE 0 END) AS DECIMAL(14,2))
+    AS returning_customers_revenue,
+  'weekly' AS period_name
+FROM ({base}) GROUP BY {keys}"""
+
+oracle("customer_retention", _FACT + _RET.format(
+    period="week_num", keys="week_num", base=_RET_BASE.format(keys="week_num")))
+oracle("customer_retention_by_year", _FACT + _RET.format(
+    period="CAST(iso_year AS INTEGER) * 100 + week_num", keys="iso_year, week_num",
+    base=_RET_BASE.format(keys="iso_year, week_num")))
+
+oracle("d_customer", with_(V_FEED) + """
+SELECT row_number() OVER (ORDER BY customer_id, first_name, last_name) AS id, *
+FROM (SELECT customer_id, first_name, last_name, min(city_id) AS city_id FROM v_feed GROUP BY 1, 2, 3)""")
+
+_LATEST_NAME = """latest AS (
+  SELECT item_id, item_name FROM (
+    SELECT item_id, item_name,
+           row_number() OVER (PARTITION BY item_id ORDER BY date_time DESC, item_name DESC) AS rn
+    FROM {src}) WHERE rn = 1)"""
+
+oracle("d_item", with_(V_FEED, _LATEST_NAME.format(src="v_feed")) + """
+SELECT row_number() OVER (ORDER BY item_id) AS id, item_id, item_name FROM latest""")
+
+oracle("last_value_default_frame", with_(V_FEED) + """
+SELECT DISTINCT item_id,
+  LAST_VALUE(item_name) OVER (PARTITION BY item_id ORDER BY date_time DESC, item_name) AS name
+FROM v_feed""")
+
+oracle("d_item_update", with_(
+    V_FEED,
+    "early AS (SELECT * FROM v_feed WHERE date_time < TIMESTAMP '1998-01-01 00:00:00')",
+    _LATEST_NAME.format(src="early").replace("latest AS", "old_latest AS"),
+    _LATEST_NAME.format(src="v_feed")) + """
+SELECT row_number() OVER (ORDER BY o.item_id) AS id, o.item_id, coalesce(n.item_name, o.item_name) AS item_name
+FROM old_latest o LEFT JOIN latest n ON n.item_id = o.item_id""")
+
+oracle("not_in_null_aware", with_(V_FEED) + """
+SELECT DISTINCT customer_id, first_name, last_name FROM v_feed
+WHERE customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
+
+oracle("append_with_defaults", with_(V_FEED) + """
+SELECT * REPLACE (CASE WHEN date_time < TIMESTAMP '1998-01-01 00:00:00' THEN status ELSE 'shipped' END AS status)
+FROM v_feed""")
+
+oracle("replace_slice", with_(V_FEED) + "SELECT * FROM v_feed")
+oracle("backfill_equals_daily", with_(V_FEED) + "SELECT * FROM v_feed")
+
+oracle("delete_where_in", _FACT + """
+SELECT * FROM fact WHERE date_id NOT IN (
+  SELECT DISTINCT c.date_id FROM v_feed s JOIN cal c ON c.full_date = CAST(s.date_time AS DATE)
+  WHERE year(s.date_time) = (SELECT max(year(date_time)) FROM v_feed))""")
