@@ -313,3 +313,132 @@ def q_delete_where_in(spark, sf):
     inc = stage.filter(F.year("date_time") == last_year)
     days = inc.join(F.broadcast(cal), cal.full_date == F.to_date(inc.date_time)).select("date_id")
     return delete_where_in(fact, days, "date_id")
+
+
+# ------------------------------------------------------------------ P4a: staging, cursors, outbox
+
+PREV_RUN_TS = "2024-01-15 00:00:00"  # time of the previous outbox load
+RUN_TS = "2024-02-01 00:00:00"       # fixed as-of for keys that stamp a run time
+
+
+def _prev_cursor(outbox) -> int:
+    """Cursor saved by the previous run: max id loaded before PREV_RUN_TS."""
+    from martflow.operators.cursor import cursor_advance, cursor_get, empty_state
+    prev = outbox.filter(F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz"))
+    state = cursor_advance(empty_state(outbox.sparkSession), prev, "id", F.lit("events_origin_to_stg_workflow"))
+    return cursor_get(state, "events_origin_to_stg_workflow")
+
+
+@query("upsert_all")
+def q_upsert_all(spark, sf):
+    """Customer balances (non-negative ones staged) upserted from the
+    order stream; the last order per customer wins, NULL names included."""
+    from martflow.operators.tables import upsert
+    t = Tables(spark, sf)
+    target = t.customer.filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_acctbal").cast("decimal(19,5)").alias("balance"))
+    source = t.orders.select(
+        F.col("o_custkey").alias("id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("name"),
+        F.col("o_totalprice").cast("decimal(19,5)").alias("balance"),
+        F.col("o_orderkey"))
+    return upsert(target, source.withColumnRenamed("o_orderkey", "_seq"), ["id"], [F.col("_seq")]).select(
+        "id", "name", "balance")
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, sf):
+    """Bonus users; the first order per unseen customer is inserted."""
+    from martflow.operators.tables import insert_if_absent
+    t = Tables(spark, sf)
+    target = t.customer.filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("order_user_id"))
+    source = t.orders.select(
+        F.col("o_custkey").alias("id"),
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("order_user_id"),
+        F.col("o_orderkey").alias("_seq"))
+    return insert_if_absent(target, source, ["id"], [F.col("_seq")])
+
+
+@query("upsert_partial")
+def q_upsert_partial(spark, sf):
+    """Staged order documents; a new copy refreshes the payload only and
+    keeps the stored update_ts (B18); unseen documents are inserted whole."""
+    from martflow.operators.tables import upsert
+    o = Tables(spark, sf).orders
+
+    def docs(df, version, shift_days):
+        return df.select(
+            F.col("o_orderkey").cast("string").alias("object_id"),
+            F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("_id"),
+                               F.lit(version).alias("v"))).alias("object_value"),
+            (F.col("o_orderdate") + F.make_interval(days=F.lit(shift_days))).alias("update_ts"),
+        )
+    target = docs(o.filter(F.col("o_orderstatus") != "F"), 1, 0)
+    source = docs(o.filter(F.col("o_orderstatus") != "O"), 2, 1)
+    return upsert(target, source, ["object_id"], [F.col("update_ts")], update_cols=["object_value"])
+
+
+@query("cursor_advance")
+def q_cursor_advance(spark, sf):
+    """One cursor per event type; the previous run's state is
+    advanced by the batch read after it."""
+    from martflow.operators.cursor import cursor_advance, empty_state
+    ob = A.v_outbox(Tables(spark, sf))
+    wf = F.concat(F.lit("outbox_"), F.col("event_type"))
+    prev = ob.filter(F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz"))
+    state = cursor_advance(empty_state(spark), prev, "id", wf)
+    cut = _prev_cursor(ob)
+    return cursor_advance(state, ob.filter(F.col("id") > cut), "id", wf)
+
+
+@query("run_log")
+def q_run_log(spark, sf):
+    """One status row per landed payload (couriers, restaurants, deliveries)."""
+    from martflow.operators.cursor import run_log
+    t = Tables(spark, sf)
+    return run_log({"stg.couriers": A.v_courier_docs(t, RUN_TS),
+                    "stg.restaurants": A.v_rest_docs(t, min_acctbal=None),
+                    "stg.deliveries": A.v_delivery_docs(t, RUN_TS)}, RUN_TS)
+
+
+@query("assign_keys")
+def q_assign_keys(spark, sf):
+    """Dense ids over customers in (segment, key) order."""
+    from martflow.operators.keys import assign_keys
+    c = Tables(spark, sf).customer.select("c_custkey", "c_mktsegment")
+    return assign_keys(c, ["c_mktsegment", "c_custkey"], start=1, key="id")
+
+
+@query("docs_oldest_k")
+def q_docs_oldest_k(spark, sf):
+    from martflow.sources.staged import oldest_k
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    return oldest_k(ob, ts_col="event_ts")
+
+
+@query("staged_since")
+def q_staged_since(spark, sf):
+    from martflow.sources.staged import read_since
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    return read_since(ob, _prev_cursor(ob))
+
+
+@query("events_typed_since")
+def q_events_typed_since(spark, sf):
+    from martflow.sources.staged import read_events
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    return read_events(ob, "purchase", _prev_cursor(ob))
+
+
+# Payload shape per event type of the test outbox.
+EVENT_SHAPES = {"purchase": "k long", "signup": "k long", "click": "k long", "view": "k long", "error": "k long"}
+
+
+@query("events_by_type")
+def q_events_by_type(spark, sf):
+    from martflow.sources.staged import events_by_type
+    ob = A.v_outbox(Tables(spark, sf))
+    parsed = events_by_type(ob, EVENT_SHAPES)
+    return parsed.select("id", "event_type", F.coalesce(*[F.col(f"{t}.k") for t in EVENT_SHAPES]).alias("k"))

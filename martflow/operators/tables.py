@@ -129,7 +129,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: Sequence[str],
                      order: Sequence[Column]) -> DataFrame:
     """INSERT .. ON CONFLICT DO NOTHING; the first source row per key wins."""
     key = list(key)
-    src = _one_per_key(source.select(*target.columns), key, order, last=False)
+    src = _one_per_key(source, key, order, last=False).select(*target.columns)
     return target.unionByName(src.join(target.select(*key), key, "left_anti"))
 
 

@@ -333,3 +333,64 @@ oracle("delete_where_in", _FACT + """
 SELECT * FROM fact WHERE date_id NOT IN (
   SELECT DISTINCT c.date_id FROM v_feed s JOIN cal c ON c.full_date = CAST(s.date_time AS DATE)
   WHERE year(s.date_time) = (SELECT max(year(date_time)) FROM v_feed))""")
+
+
+# ------------------------------------------------------------------ P4a: staging, cursors, outbox
+
+_PREV_CURSOR = "(SELECT coalesce(max(event_id), -1) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')"
+
+oracle("upsert_all", """
+WITH t AS (SELECT c_custkey AS id, c_name AS name, CAST(c_acctbal AS DECIMAL(19,5)) AS balance
+           FROM customer WHERE c_acctbal >= 0),
+s AS (SELECT id, name, balance FROM (
+        SELECT o_custkey AS id, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS name,
+               CAST(o_totalprice AS DECIMAL(19,5)) AS balance,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+        FROM orders) WHERE rn = 1)
+SELECT coalesce(s.id, t.id) AS id,
+       CASE WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN s.id IS NOT NULL THEN s.balance ELSE t.balance END AS balance
+FROM t FULL OUTER JOIN s ON s.id = t.id""")
+
+oracle("insert_if_absent", """
+SELECT c_custkey AS id, c_name AS order_user_id FROM customer WHERE c_acctbal >= 0
+UNION ALL
+SELECT o_custkey, 'order-' || CAST(min(o_orderkey) AS VARCHAR) FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+GROUP BY o_custkey""")
+
+oracle("upsert_partial", """
+SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
+       json_object('_id', CAST(o_orderkey AS VARCHAR), 'v', CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 2 END)::VARCHAR
+         AS object_value,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS update_ts
+FROM orders""")
+
+oracle("cursor_advance", """
+SELECT 'outbox_' || event_type AS workflow_key,
+       '{"last_loaded_id":' || CAST(max(event_id) AS VARCHAR) || '}' AS workflow_settings
+FROM events GROUP BY event_type""")
+
+oracle("run_log", """
+SELECT workflow_key, CASE WHEN row_count > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status, row_count,
+       TIMESTAMP '2024-02-01 00:00:00' AS run_ts
+FROM (SELECT 'stg.couriers' AS workflow_key, count(*) AS row_count FROM supplier
+      UNION ALL SELECT 'stg.restaurants', count(*) FROM supplier
+      UNION ALL SELECT 'stg.deliveries', count(*) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))""")
+
+oracle("assign_keys", """
+SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS id FROM customer""")
+
+oracle("docs_oldest_k", with_(V_OUTBOX) + """
+SELECT id, event_ts, event_type, event_value FROM v_outbox ORDER BY event_ts, id LIMIT 10000""")
+
+oracle("staged_since", with_(V_OUTBOX) + f"""
+SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE id > {_PREV_CURSOR}""")
+
+oracle("events_typed_since", with_(V_OUTBOX) + f"""
+SELECT id, event_ts, event_type, event_value FROM v_outbox
+WHERE event_type = 'purchase' AND id > {_PREV_CURSOR}""")
+
+oracle("events_by_type", """
+SELECT event_id AS id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE event_type IN ('purchase', 'signup', 'click', 'view', 'error')""")
