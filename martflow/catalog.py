@@ -442,3 +442,92 @@ def q_events_by_type(spark, sf):
     ob = A.v_outbox(Tables(spark, sf))
     parsed = events_by_type(ob, EVENT_SHAPES)
     return parsed.select("id", "event_type", F.coalesce(*[F.col(f"{t}.k") for t in EVENT_SHAPES]).alias("k"))
+
+
+# ------------------------------------------------------------------ P4b: snowflake DDS
+
+class _Dds:
+    """The DDS built from the document adapters of one table directory."""
+
+    def __init__(self, spark, sf):
+        from martflow.plans import dds as D
+        self.D = D
+        t = self.t = Tables(spark, sf)
+        self.n_sup = A.n_suppliers(t)
+        self.rest_docs = A.v_rest_docs(t, self.n_sup)
+        self.order_docs = A.v_order_docs(t)
+        self.users = D.dm_users(A.v_user_docs(t))
+        self.restaurants = D.dm_restaurants(self.rest_docs)
+        self.timestamps = D.dm_timestamps(self.order_docs)
+
+    def products(self):
+        return self.D.dm_products(self.rest_docs, self.restaurants)
+
+    def orders(self):
+        return self.D.dm_orders(self.order_docs, self.restaurants, self.timestamps, self.users)
+
+
+@query("dm_users")
+def q_dm_users(spark, sf):
+    from martflow.plans import dds as D
+    return D.dm_users(A.v_user_docs(Tables(spark, sf)))
+
+
+@query("dm_restaurants")
+def q_dm_restaurants(spark, sf):
+    from martflow.plans import dds as D
+    return D.dm_restaurants(A.v_rest_docs(Tables(spark, sf)))
+
+
+@query("dm_products")
+def q_dm_products(spark, sf):
+    return _Dds(spark, sf).products()
+
+
+@query("dm_timestamps")
+def q_dm_timestamps(spark, sf):
+    from martflow.plans import dds as D
+    return D.dm_timestamps(A.v_order_docs(Tables(spark, sf)))
+
+
+@query("dm_orders")
+def q_dm_orders(spark, sf):
+    return _Dds(spark, sf).orders()
+
+
+@query("fct_product_sales")
+def q_fct_product_sales(spark, sf):
+    d = _Dds(spark, sf)
+    return d.D.fct_product_sales(A.v_payment_events(d.t), d.products(), d.orders())
+
+
+@query("retry_unresolved")
+def q_retry_unresolved(spark, sf):
+    """T5: orders whose restaurant is missing wait in a pending set and load
+    once the restaurant arrives in the next batch (no row is lost, B15)."""
+    d = _Dds(spark, sf)
+    D = d.D
+    parsed = D.parse_orders(d.order_docs)
+    ok1, pending = D.resolve_orders(parsed, d.restaurants, d.timestamps, d.users)
+    restaurants2 = D.dm_restaurants(A.v_rest_docs(d.t, d.n_sup, min_acctbal=None))
+    ok2, _still_pending = D.resolve_orders(pending, restaurants2, d.timestamps, d.users)
+    cols = [F.col("order_key"), F.col("order_status"), F.col("rest_key").alias("restaurant_key"),
+            F.col("user_key"), F.col("ts")]
+    return ok1.select(*cols, F.lit(1).alias("batch")).unionByName(ok2.select(*cols, F.lit(2).alias("batch")))
+
+
+@query("versioned_dim")
+def q_versioned_dim(spark, sf):
+    """Restaurants renamed in a later snapshot get a closed old version and
+    an open new one; unchanged members keep their single open version."""
+    from martflow.operators.tables import versioned_upsert
+    s = Tables(spark, sf).supplier
+    dim = s.select(F.col("s_suppkey").cast("string").alias("restaurant_id"),
+                   F.col("s_name").alias("restaurant_name"),
+                   A.rest_update_ts(F.col("s_suppkey")).alias("active_from"))
+    from martflow.operators.tables import open_validity
+    dim = open_validity(dim, F.col("active_from"))
+    snap = s.select(F.col("s_suppkey").cast("string").alias("restaurant_id"),
+                    F.when(F.col("s_acctbal") < 0, F.concat(F.col("s_name"), F.lit(" (renamed)")))
+                    .otherwise(F.col("s_name")).alias("restaurant_name"))
+    return versioned_upsert(dim, snap, "restaurant_id", ["restaurant_name"], RUN_TS)

@@ -394,3 +394,74 @@ WHERE event_type = 'purchase' AND id > {_PREV_CURSOR}""")
 oracle("events_by_type", """
 SELECT event_id AS id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 WHERE event_type IN ('purchase', 'signup', 'click', 'view', 'error')""")
+
+
+# ------------------------------------------------------------------ P4b: snowflake DDS
+
+_STATUS_TEXT = "CASE o_orderstatus WHEN 'F' THEN 'CLOSED' WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'OPEN' END"
+
+_DDS = with_("""rest_dim AS (
+  SELECT row_number() OVER (ORDER BY CAST(s_suppkey AS VARCHAR),
+           TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(s_suppkey % 24 AS INTEGER))) AS id,
+         CAST(s_suppkey AS VARCHAR) AS restaurant_id, s_name AS restaurant_name,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(s_suppkey % 24 AS INTEGER)) AS active_from,
+         TIMESTAMP '2099-12-31 00:00:00' AS active_to, s_suppkey
+  FROM supplier WHERE s_acctbal >= 0)""", """prod AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
+         CAST(p_retailprice AS DECIMAL(19,5)) AS product_price, r.active_from,
+         TIMESTAMP '2099-12-31 00:00:00' AS active_to, r.id AS restaurant_id
+  FROM part JOIN rest_dim r ON r.s_suppkey = p_partkey % (SELECT count(*) FROM supplier))""", """prod_dim AS (
+  SELECT row_number() OVER (ORDER BY product_id, restaurant_id) AS id, * FROM prod)""", """ts_dim AS (
+  SELECT row_number() OVER (ORDER BY ts) AS id, ts, CAST(year(ts) AS INTEGER) AS year,
+         CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+         strftime(ts, '%H:%M:%S') AS time, CAST(ts AS DATE) AS date
+  FROM (SELECT DISTINCT o_orderdate AS ts FROM orders))""", """user_dim AS (
+  SELECT row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS id, CAST(c_custkey AS VARCHAR) AS user_id,
+         c_name AS user_name, c_mktsegment || CAST(c_custkey AS VARCHAR) AS user_login
+  FROM customer)""", """ord_rest AS (SELECT l_orderkey, min(l_suppkey) AS rest_key FROM lineitem GROUP BY 1)""",
+  f"""ord_dim AS (
+  SELECT row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) AS id, CAST(o_orderkey AS VARCHAR) AS order_key,
+         {_STATUS_TEXT} AS order_status, r.id AS restaurant_id, t.id AS timestamp_id, u.id AS user_id
+  FROM orders o JOIN ord_rest orr ON orr.l_orderkey = o.o_orderkey
+  JOIN rest_dim r ON r.restaurant_id = CAST(orr.rest_key AS VARCHAR)
+  JOIN ts_dim t ON t.ts = o.o_orderdate
+  JOIN user_dim u ON u.user_id = CAST(o.o_custkey AS VARCHAR))""")
+
+oracle("dm_users", _DDS + "SELECT * FROM user_dim")
+oracle("dm_restaurants", _DDS + "SELECT id, restaurant_id, restaurant_name, active_from, active_to FROM rest_dim")
+oracle("dm_products", _DDS + "SELECT * FROM prod_dim")
+oracle("dm_timestamps", _DDS + "SELECT * FROM ts_dim")
+oracle("dm_orders", _DDS + "SELECT * FROM ord_dim")
+oracle("fct_product_sales", _DDS + """, lines AS (
+  SELECT l_orderkey AS event_id, CAST(l_partkey AS VARCHAR) AS product_id,
+         CAST(p_retailprice AS DECIMAL(19,5)) AS price, CAST(l_quantity AS INTEGER) AS quantity,
+         CAST(l_discount AS DECIMAL(4,2)) AS disc
+  FROM lineitem JOIN part ON p_partkey = l_partkey),
+pd AS (SELECT product_id, max(id) AS product_sk FROM prod_dim GROUP BY 1),
+good AS (SELECT event_id FROM lines LEFT JOIN pd USING (product_id) GROUP BY event_id
+         HAVING bool_and(pd.product_sk IS NOT NULL))
+SELECT pd.product_sk AS product_id, od.id AS order_id, quantity AS count, price,
+       CAST(price * quantity AS DECIMAL(19,5)) AS total_sum,
+       CAST(price * quantity * disc AS DECIMAL(19,5)) AS bonus_payment,
+       CAST((price * quantity - price * quantity * disc) * 0.01 AS DECIMAL(19,5)) AS bonus_grant,
+       event_id
+FROM lines JOIN pd USING (product_id) JOIN good USING (event_id)
+JOIN ord_dim od ON od.order_key = CAST(event_id AS VARCHAR)""")
+
+oracle("retry_unresolved", f"""
+WITH ord_rest AS (SELECT l_orderkey, min(l_suppkey) AS rest_key FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, {_STATUS_TEXT} AS order_status,
+       CAST(orr.rest_key AS VARCHAR) AS restaurant_key, CAST(o_custkey AS VARCHAR) AS user_key, o_orderdate AS ts,
+       CASE WHEN s.s_acctbal >= 0 THEN 1 ELSE 2 END AS batch
+FROM orders o JOIN ord_rest orr ON orr.l_orderkey = o.o_orderkey JOIN supplier s ON s.s_suppkey = orr.rest_key""")
+
+oracle("versioned_dim", """
+SELECT CAST(s_suppkey AS VARCHAR) AS restaurant_id, s_name AS restaurant_name,
+       TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(s_suppkey % 24 AS INTEGER)) AS active_from,
+       CASE WHEN s_acctbal < 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2099-12-31 00:00:00' END
+         AS active_to
+FROM supplier
+UNION ALL
+SELECT CAST(s_suppkey AS VARCHAR), s_name || ' (renamed)', TIMESTAMP '2024-02-01 00:00:00',
+       TIMESTAMP '2099-12-31 00:00:00'
+FROM supplier WHERE s_acctbal < 0""")
