@@ -531,3 +531,51 @@ def q_versioned_dim(spark, sf):
                     F.when(F.col("s_acctbal") < 0, F.concat(F.col("s_name"), F.lit(" (renamed)")))
                     .otherwise(F.col("s_name")).alias("restaurant_name"))
     return versioned_upsert(dim, snap, "restaurant_id", ["restaurant_name"], RUN_TS)
+
+
+# ------------------------------------------------------------------ P4c: couriers and deliveries
+
+EARLIER_RUN_TS = "2024-01-01 00:00:00"  # as-of of the earlier courier load
+
+
+@query("json_fields")
+def q_json_fields(spark, sf):
+    from martflow.plans import courier as C
+    return C.json_fields(A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+
+
+@query("dm_couriers")
+def q_dm_couriers(spark, sf):
+    """Couriers already loaded earlier are kept; the new payload
+    only adds the unseen ones."""
+    from martflow.plans import courier as C
+    t = Tables(spark, sf)
+    first = C.dm_couriers(None, A.v_courier_docs(t, EARLIER_RUN_TS, min_acctbal=0.0))
+    return C.dm_couriers(first, A.v_courier_docs(t, RUN_TS))
+
+
+@query("close_missing")
+def q_close_missing(spark, sf):
+    """Couriers absent from the latest payload are closed at the run time."""
+    from martflow.plans import courier as C
+    t = Tables(spark, sf)
+    dim = C.dm_couriers(None, A.v_courier_docs(t, EARLIER_RUN_TS))
+    return C.close_missing_couriers(dim, A.v_courier_docs(t, RUN_TS, min_acctbal=0.0), RUN_TS)
+
+
+@query("dm_deliveries")
+def q_dm_deliveries(spark, sf):
+    from martflow.plans import courier as C
+    return C.dm_deliveries(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+
+
+@query("dm_rate")
+def q_dm_rate(spark, sf):
+    from martflow.plans import courier as C
+    return C.dm_rate(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+
+
+@query("dm_tips")
+def q_dm_tips(spark, sf):
+    from martflow.plans import courier as C
+    return C.dm_tips(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))

@@ -465,3 +465,42 @@ UNION ALL
 SELECT CAST(s_suppkey AS VARCHAR), s_name || ' (renamed)', TIMESTAMP '2024-02-01 00:00:00',
        TIMESTAMP '2099-12-31 00:00:00'
 FROM supplier WHERE s_acctbal < 0""")
+
+
+# ------------------------------------------------------------------ P4c: couriers and deliveries
+
+_DELIV = """deliv AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderdate AS order_ts,
+         'd' || CAST(o_orderkey AS VARCHAR) AS delivery_id, CAST(max(l_suppkey) AS VARCHAR) AS courier_id,
+         'street ' || CAST(o_custkey AS VARCHAR) AS address, max(l_shipdate) AS delivery_ts,
+         CAST(o_totalprice AS DECIMAL(14,2)) AS sum, CAST(least(count(*), 5) AS INTEGER) AS rate,
+         CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 0.05 AS DECIMAL(14,2)) AS tip_sum
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+  GROUP BY o_orderkey, o_orderdate, o_custkey, o_totalprice)"""
+
+oracle("json_fields", with_(_DELIV) + """
+SELECT order_id AS object_id, order_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, delivery_id,
+       courier_id, address, strftime(delivery_ts, '%Y-%m-%d %H:%M:%S') AS delivery_ts,
+       -- JSON numbers come back in canonical form (8268.70 -> 8268.7)
+       CAST(CAST(sum AS DOUBLE) AS VARCHAR) AS sum, CAST(rate AS VARCHAR) AS rate,
+       CAST(CAST(tip_sum AS DOUBLE) AS VARCHAR) AS tip_sum
+FROM deliv""")
+
+oracle("dm_couriers", """
+SELECT CAST(s_suppkey AS VARCHAR) AS courier_id, s_name AS courier_name,
+       CASE WHEN s_acctbal >= 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END
+         AS active_from,
+       TIMESTAMP '2099-12-31 00:00:00' AS active_to
+FROM supplier""")
+
+oracle("close_missing", """
+SELECT CAST(s_suppkey AS VARCHAR) AS courier_id, s_name AS courier_name,
+       TIMESTAMP '2024-01-01 00:00:00' AS active_from,
+       CASE WHEN s_acctbal >= 0 THEN TIMESTAMP '2099-12-31 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END
+         AS active_to
+FROM supplier""")
+
+oracle("dm_deliveries", with_(_DELIV) + """
+SELECT order_id, order_ts, delivery_id, courier_id, address, delivery_ts, sum FROM deliv""")
+oracle("dm_rate", with_(_DELIV) + "SELECT delivery_id, CAST(rate AS SMALLINT) AS rate FROM deliv")
+oracle("dm_tips", with_(_DELIV) + "SELECT delivery_id, tip_sum FROM deliv")
