@@ -579,3 +579,82 @@ def q_dm_rate(spark, sf):
 def q_dm_tips(spark, sf):
     from martflow.plans import courier as C
     return C.dm_tips(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+
+
+# ------------------------------------------------------------------ file sources and documents
+
+PAGE_SIZE = 50  # records per landed API page
+
+
+@query("scan_csv_plain")
+def q_scan_csv_plain(spark, sf):
+    """The product menu as a headerless ';' file, read back with its DDL."""
+    from martflow.session import scratch_path
+    from martflow.sources import files as Fl
+    p = Tables(spark, sf).part.select(F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"),
+                                      F.col("p_retailprice").cast("decimal(19,5)").alias("price"))
+    path = scratch_path(spark, "menu_csv")
+    Fl.write_csv(p, path, sep=";", header=False)
+    return Fl.read_csv_plain(spark, path, "id int, name string, price decimal(19,5)")
+
+
+ORDERS_DDL = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(14,2), "
+              "o_orderdate timestamp_ntz, o_orderpriority string")
+
+
+@query("scan_csv_header")
+def q_scan_csv_header(spark, sf):
+    """Orders as comma CSV with a header, read with the declared schema."""
+    from martflow.session import scratch_path
+    from martflow.sources import files as Fl
+    o = Fl.conform(Tables(spark, sf).orders, ORDERS_DDL)
+    path = scratch_path(spark, "orders_csv")
+    Fl.write_csv(o, path)
+    return Fl.read_csv_header(spark, path, ORDERS_DDL)
+
+
+CUSTOMER_DDL = "c_custkey long, c_name string, c_nationkey int, c_acctbal decimal(12,2), c_mktsegment string"
+
+
+@query("scan_csv_inferred")
+def q_scan_csv_inferred(spark, sf):
+    """A feed with a leading row id; types inferred, first column
+    dropped, columns inserted by name into the typed stage table."""
+    from martflow.session import scratch_path
+    from martflow.sources import files as Fl
+    c = Tables(spark, sf).customer
+    feed = c.select(F.concat(F.lit("row-"), F.col("c_custkey").cast("string")).alias("uniq_id"), *c.columns)
+    path = scratch_path(spark, "customer_csv")
+    Fl.write_csv(feed, path)
+    return Fl.conform(Fl.drop_leading(Fl.read_csv_inferred(spark, path), 1), CUSTOMER_DDL)
+
+
+@query("land_json")
+def q_land_json(spark, sf):
+    """Courier API pages (JSON arrays of PAGE_SIZE records) landed as
+    staging rows; pages are bounded, so no page gathers an unbounded group."""
+    from martflow.session import scratch_path
+    from martflow.sources import files as Fl
+    s = Tables(spark, sf).supplier
+    rec = F.struct(F.col("s_suppkey").cast("string").alias("_id"), F.col("s_name").alias("name"))
+    pages = (s.groupBy(F.floor(F.col("s_suppkey") / PAGE_SIZE).alias("page"))
+             .agg(F.to_json(F.sort_array(F.collect_list(F.struct(F.col("s_suppkey").alias("k"), rec.alias("r"))))
+                            .getField("r")).alias("value")))
+    path = scratch_path(spark, "couriers_api")
+    pages.select("value").write.text(path)
+    records = Fl.read_json_records(spark, path, "_id string, name string")
+    return Fl.land_json(records, "_id", RUN_TS)
+
+
+@query("normalise_docs")
+def q_normalise_docs(spark, sf):
+    """Order documents with stamps and a nullable field -> JSON text."""
+    from martflow.sources import files as Fl
+    o = Tables(spark, sf).orders
+    docs = o.select(
+        F.col("o_orderkey").cast("string").alias("_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_orderdate").alias("update_ts"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("priority"),
+    )
+    return Fl.normalise_docs(docs, "_id", "update_ts")

@@ -504,3 +504,31 @@ oracle("dm_deliveries", with_(_DELIV) + """
 SELECT order_id, order_ts, delivery_id, courier_id, address, delivery_ts, sum FROM deliv""")
 oracle("dm_rate", with_(_DELIV) + "SELECT delivery_id, CAST(rate AS SMALLINT) AS rate FROM deliv")
 oracle("dm_tips", with_(_DELIV) + "SELECT delivery_id, tip_sum FROM deliv")
+
+
+# ------------------------------------------------------------------ file sources and documents
+
+oracle("scan_csv_plain", """
+SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, CAST(p_retailprice AS DECIMAL(19,5)) AS price FROM part""")
+
+oracle("scan_csv_header", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice, o_orderdate,
+       o_orderpriority FROM orders""")
+
+oracle("scan_csv_inferred", """
+SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer""")
+
+oracle("land_json", """
+SELECT CAST(s_suppkey AS VARCHAR) AS object_id,
+       json_object('_id', CAST(s_suppkey AS VARCHAR), 'name', s_name)::VARCHAR AS object_value,
+       TIMESTAMP '2024-02-01 00:00:00' AS update_ts
+FROM supplier""")
+
+oracle("normalise_docs", """
+SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
+       json_object('_id', CAST(o_orderkey AS VARCHAR), 'user_id', o_custkey,
+                   'update_ts', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+                   'priority', CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END)::VARCHAR
+         AS object_value,
+       o_orderdate AS update_ts
+FROM orders""")
