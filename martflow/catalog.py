@@ -658,3 +658,70 @@ def q_normalise_docs(spark, sf):
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("priority"),
     )
     return Fl.normalise_docs(docs, "_id", "update_ts")
+
+
+# ------------------------------------------------------------------ data quality
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf):
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    return Q.union_all([Q.not_null(t.orders, "orders"), Q.not_null(t.lineitem, "lineitem"),
+                        Q.not_null(t.customer, "customer")])
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    return Q.union_all([Q.unique(t.orders, "orders", ["o_orderkey"]),
+                        Q.unique(t.lineitem, "lineitem", ["l_orderkey", "l_linenumber"]),
+                        Q.unique(t.customer, "customer", ["c_custkey"]),
+                        Q.unique(t.part, "part", ["p_partkey"])])
+
+
+@query("dq_orphans")
+def q_dq_orphans(spark, sf):
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    return Q.union_all([
+        Q.orphans(t.orders, "orders", "o_custkey", t.customer, "c_custkey"),
+        Q.orphans(t.lineitem, "lineitem", "l_orderkey", t.orders, "o_orderkey"),
+        Q.orphans(t.lineitem, "lineitem", "l_partkey", t.part, "p_partkey"),
+        Q.orphans(t.lineitem, "lineitem", "l_suppkey", t.supplier, "s_suppkey"),
+        Q.orphans(t.customer, "customer", "c_nationkey", t.nation, "n_nationkey"),
+    ])
+
+
+@query("dq_row_predicates")
+def q_dq_row_predicates(spark, sf):
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    items = A.v_order_items(t)
+    disc = F.col("price") * F.col("discount_rate")
+    yr = F.year("o_orderdate")
+    return Q.union_all([
+        Q.row_predicates(t.part, "part", {"price_non_negative": F.col("p_retailprice") >= 0}),
+        Q.row_predicates(t.lineitem, "lineitem", {"quantity_positive": F.col("l_quantity") > 0,
+                                                  "discount_rate_0_1": F.col("l_discount").between(0, 1)}),
+        Q.row_predicates(items, "order_items", {"discount_0_to_price": (disc >= 0) & (disc <= F.col("price"))}),
+        Q.row_predicates(t.customer, "customer", {"name_varchar_25": Q.max_length("c_name", 25)}),
+        Q.row_predicates(t.orders, "orders", {"ts_year_2020_2499": (yr >= 2020) & (yr < 2500),
+                                              "ts_month_le_12": F.month("o_orderdate") <= 12}),
+    ])
+
+
+@query("dq_accepted")
+def q_dq_accepted(spark, sf):
+    """Q5: order status domain; only Closed (4) and Cancelled (5) are accepted."""
+    from martflow.operators import quality as Q
+    return Q.accepted_values(A.v_orders(Tables(spark, sf)), "status", [4, 5])
+
+
+@query("dq_reconcile")
+def q_dq_reconcile(spark, sf):
+    """Q6: orders whose payment differs from the sum of price * quantity."""
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    return Q.reconcile(A.v_orders(t), "order_id", "payment", A.v_order_items(t), "order_id",
+                       F.col("price") * F.col("quantity"))

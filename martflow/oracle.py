@@ -532,3 +532,61 @@ SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
          AS object_value,
        o_orderdate AS update_ts
 FROM orders""")
+
+
+# ------------------------------------------------------------------ data quality
+
+def _nn(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, 'not_null:{c}' AS rule, count(*) - count({c}) AS violations FROM {table}"
+        for c in cols)
+
+
+oracle("dq_not_null", " UNION ALL ".join([
+    _nn("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]),
+    _nn("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]),
+    _nn("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+]))
+
+oracle("dq_unique", """
+SELECT 'orders' AS table_name, 'unique:o_orderkey' AS rule, count(*) - count(DISTINCT o_orderkey) AS violations
+FROM orders
+UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_linenumber', count(*) - count(DISTINCT (l_orderkey, l_linenumber))
+FROM lineitem
+UNION ALL SELECT 'customer', 'unique:c_custkey', count(*) - count(DISTINCT c_custkey) FROM customer
+UNION ALL SELECT 'part', 'unique:p_partkey', count(*) - count(DISTINCT p_partkey) FROM part""")
+
+oracle("dq_orphans", """
+SELECT 'orders' AS table_name, 'fk:o_custkey' AS rule, count(*) AS violations FROM orders
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+UNION ALL SELECT 'lineitem', 'fk:l_orderkey', count(*) FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+UNION ALL SELECT 'lineitem', 'fk:l_partkey', count(*) FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
+UNION ALL SELECT 'lineitem', 'fk:l_suppkey', count(*) FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)
+UNION ALL SELECT 'customer', 'fk:c_nationkey', count(*) FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey)""")
+
+oracle("dq_row_predicates", with_(V_ORDER_ITEMS) + """
+SELECT 'part' AS table_name, 'check:price_non_negative' AS rule,
+       count(*) FILTER (WHERE NOT (p_retailprice >= 0)) AS violations FROM part
+UNION ALL SELECT 'lineitem', 'check:quantity_positive', count(*) FILTER (WHERE NOT (l_quantity > 0)) FROM lineitem
+UNION ALL SELECT 'lineitem', 'check:discount_rate_0_1', count(*) FILTER (WHERE NOT (l_discount BETWEEN 0 AND 1))
+FROM lineitem
+UNION ALL SELECT 'order_items', 'check:discount_0_to_price',
+       count(*) FILTER (WHERE NOT (price * discount_rate >= 0 AND price * discount_rate <= price)) FROM v_order_items
+UNION ALL SELECT 'customer', 'check:name_varchar_25', count(*) FILTER (WHERE NOT (length(c_name) <= 25)) FROM customer
+UNION ALL SELECT 'orders', 'check:ts_year_2020_2499',
+       count(*) FILTER (WHERE NOT (year(o_orderdate) >= 2020 AND year(o_orderdate) < 2500)) FROM orders
+UNION ALL SELECT 'orders', 'check:ts_month_le_12', count(*) FILTER (WHERE NOT (month(o_orderdate) <= 12)) FROM orders""")
+
+oracle("dq_accepted", with_(V_ORDERS) + """
+SELECT status, count(*) AS rows, status IN (4, 5) AS accepted FROM v_orders GROUP BY status""")
+
+oracle("dq_reconcile", with_(V_ORDERS, V_ORDER_ITEMS) + """
+SELECT o.order_id, o.payment AS header_total, s.lines_total FROM v_orders o
+LEFT JOIN (SELECT order_id, sum(price * quantity) AS lines_total FROM v_order_items GROUP BY 1) s
+  ON s.order_id = o.order_id
+WHERE s.lines_total IS NULL OR s.lines_total <> o.payment""")
