@@ -725,3 +725,72 @@ def q_dq_reconcile(spark, sf):
     t = Tables(spark, sf)
     return Q.reconcile(A.v_orders(t), "order_id", "payment", A.v_order_items(t), "order_id",
                        F.col("price") * F.col("quantity"))
+
+
+# ------------------------------------------------------------------ streaming
+
+OUTBOX_DDL = "id long, event_ts timestamp_ntz, event_type string, event_value string"
+
+
+def _arrive(df, path):
+    """Land one batch of files into a watched folder (one write = one arrival)."""
+    df.write.mode("append").parquet(path)
+
+
+@query("stream_outbox_tail")
+def q_stream_outbox_tail(spark, sf):
+    """The outbox arrives in two drops; the second run of the stream
+    delivers exactly the rows of the second drop."""
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    base = scratch_path(spark, "outbox_tail")
+    src, ckpt, sink = f"{base}/source", f"{base}/checkpoint", f"{base}/sink"
+    prev = F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz")
+    _arrive(ob.filter(prev), src)
+    S.tail(spark, src, OUTBOX_DDL, ckpt, sink, "1")
+    _arrive(ob.filter(~prev), src)
+    S.tail(spark, src, OUTBOX_DDL, ckpt, sink, "2")
+    return spark.read.schema(OUTBOX_DDL + ", run string, batch long").parquet(sink).filter(
+        F.col("run") == "2").select("id", "event_ts", "event_type", "event_value")
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    """Every outbox event is delivered twice; each id comes out once."""
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    base = scratch_path(spark, "outbox_dedupe")
+    src = f"{base}/source"
+    _arrive(ob, src)
+    _arrive(ob, src)
+    S.dedupe(spark, src, OUTBOX_DDL, f"{base}/checkpoint", f"{base}/sink", ["id"], "event_ts")
+    return spark.read.parquet(f"{base}/sink").select("id", "event_ts", "event_type", "event_value")
+
+
+DOC_DDL = "object_id string, object_value string, update_ts timestamp_ntz"
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf):
+    """Order documents arrive in two drops (a new version of most orders
+    in the second); each micro-batch is upserted into the staged table."""
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    o = Tables(spark, sf).orders
+
+    def docs(df, version, shift_days):
+        return df.select(
+            F.col("o_orderkey").cast("string").alias("object_id"),
+            F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("_id"),
+                               F.lit(version).alias("v"))).alias("object_value"),
+            (F.col("o_orderdate") + F.make_interval(days=F.lit(shift_days))).alias("update_ts"))
+    base = scratch_path(spark, "docs_upsert")
+    src, ckpt, table = f"{base}/source", f"{base}/checkpoint", f"{base}/table"
+    order = [F.col("update_ts"), F.col("object_value")]
+    _arrive(docs(o.filter(F.col("o_orderstatus") != "F"), 1, 0), src)
+    S.upsert_stream(spark, src, DOC_DDL, ckpt, table, ["object_id"], order)
+    _arrive(docs(o.filter(F.col("o_orderstatus") != "O"), 2, 1), src)
+    S.upsert_stream(spark, src, DOC_DDL, ckpt, table, ["object_id"], order)
+    return S.latest_snapshot(spark, table, DOC_DDL)

@@ -590,3 +590,18 @@ SELECT o.order_id, o.payment AS header_total, s.lines_total FROM v_orders o
 LEFT JOIN (SELECT order_id, sum(price * quantity) AS lines_total FROM v_order_items GROUP BY 1) s
   ON s.order_id = o.order_id
 WHERE s.lines_total IS NULL OR s.lines_total <> o.payment""")
+
+
+# ------------------------------------------------------------------ streaming
+
+oracle("stream_outbox_tail", with_(V_OUTBOX) + """
+SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE event_ts >= TIMESTAMP '2024-01-15 00:00:00'""")
+
+oracle("stream_dedupe", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
+
+oracle("stream_upsert", """
+SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
+       json_object('_id', CAST(o_orderkey AS VARCHAR), 'v', CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 2 END)::VARCHAR
+         AS object_value,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderdate ELSE o_orderdate + INTERVAL 1 DAY END AS update_ts
+FROM orders""")
