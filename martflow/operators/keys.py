@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 OrderSpec = Sequence[str | Column]
 
@@ -39,18 +39,16 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
         .withColumn("_mf_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    counts = ranged.groupBy("_mf_pid").agg(F.count(F.lit(1)).alias("_mf_n"))
-    # one row per partition: the running sum over this tiny table is cheap
-    offsets = counts.select(
-        "_mf_pid",
-        F.coalesce(
-            F.sum("_mf_n").over(Window.orderBy("_mf_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_mf_off"),
-    )
+    # one row per partition (a bounded set): turn counts into start offsets
+    counts = sorted((r[0], r[1]) for r in ranged.groupBy("_mf_pid").agg(F.count(F.lit(1))).collect())
+    offsets, run = [], 0
+    for pid, cnt in counts:
+        offsets.append((pid, run))
+        run += cnt
+    offsets_df = df.sparkSession.createDataFrame(offsets, "_mf_pid int, _mf_off long")
     local_index = F.col("_mf_mid") - F.shiftleft(F.col("_mf_pid").cast("long"), 33)
     return (
-        ranged.join(F.broadcast(offsets), "_mf_pid")
+        ranged.join(F.broadcast(offsets_df), "_mf_pid")
         .withColumn(key, F.lit(start).cast("long") + F.col("_mf_off") + local_index)
         .drop("_mf_pid", "_mf_mid", "_mf_off")
     )
