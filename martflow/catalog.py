@@ -96,7 +96,7 @@ def q_merge_lines(spark, sf):
 
 def _ship(spark, sf):
     from martflow.plans import shipping as S
-    return S, S.Model(A.v_shipping(Tables(spark, sf)))
+    return S, S.Model(A.v_shipping(Tables(spark, sf)), materialize=True)
 
 
 @query("split_descriptor")
@@ -183,12 +183,14 @@ def _feed(spark, sf):
 
 
 def _fact(spark, sf):
+    import datetime as _dt
+
     from martflow.plans import sales as P
-    from martflow.sources.calendar import calendar_covering
+    from martflow.sources.calendar import calendar, days_between
     stage = _feed(spark, sf)
-    cal = calendar_covering(stage, "date_time")
     lo, hi = stage.agg(F.min(F.to_date("date_time")), F.max(F.to_date("date_time"))).first()
-    import datetime as _dt
+    start, end = _dt.date(lo.year, 1, 1).isoformat(), _dt.date(hi.year, 12, 31).isoformat()
+    cal = calendar(spark, start, days_between(start, end))
     fact = P.f_daily_sales(spark, stage, cal, lo.isoformat(), (hi + _dt.timedelta(days=1)).isoformat())
     return P, stage, cal, fact
 

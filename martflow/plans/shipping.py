@@ -31,6 +31,21 @@ def split_transfer(c: str) -> list:
     return [part(arr, 1).alias("transfer_type"), part(arr, 2).alias("transfer_model")]
 
 
+def quarantine_descriptors(log: DataFrame) -> DataFrame:
+    """X3 quarantine path: log rows whose agreement descriptor does not parse
+    (too few parts, or a part that is not a number where one is required).
+    The main path keeps ANSI casts, which raise on such rows as the database
+    cast does; this finds them beforehand with ``try_cast``."""
+    arr = split_descriptor("vendor_agreement_description")
+    bad = (
+        part(arr, 4).isNull()
+        | part(arr, 1).try_cast("long").isNull()
+        | part(arr, 3).try_cast("decimal(14,3)").isNull()
+        | part(arr, 4).try_cast("decimal(14,3)").isNull()
+    )
+    return log.filter(bad)
+
+
 def descriptors(log: DataFrame) -> DataFrame:
     """X1-X3 on every log row (5th element shows the NULL out-of-range rule)."""
     return log.select(
@@ -128,9 +143,18 @@ def datamart(st: DataFrame, inf: DataFrame, transfer: DataFrame, country: DataFr
 
 
 class Model:
-    """All P2 tables from one log; the log is read once per target (lazy)."""
+    """All P2 tables from one log.
+
+    With ``materialize`` (for a log that is itself a computed frame) the log
+    is written once to the shared folder as parquet; every target then reads
+    it with column pruning instead of recomputing the log once per target.
+    A log that is already a stored table is used as is.
+    """
 
-    def __init__(self, log: DataFrame):
+    def __init__(self, log: DataFrame, materialize: bool = False):
+        if materialize:
+            from martflow.operators.tables import publish
+            log = publish(log, "shipping_log")
         self.log = log
         self.country = country_rates(log)
         self.agreement = agreements(log)
