@@ -15,12 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 OrderSpec = Sequence[str | Column]
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id",
                 num_partitions: int | None = None) -> DataFrame:
     """Number rows start, start+1, ... following ``order``.
@@ -31,9 +25,12 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
     counting pass and the numbering pass see the same partitions, and an
     executor loss re-reads them instead of re-sampling the ranges.
     """
-    n = _partitions(df, num_partitions)
+    # Without an explicit count the range exchange starts from the session's
+    # shuffle partition count (size it for the data) and AQE may coalesce
+    # neighbouring ranges; coalesced ranges stay contiguous and ordered.
+    by_range = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = (
-        df.repartitionByRange(n, *order)
+        by_range
         .sortWithinPartitions(*order)
         .withColumn("_mf_pid", F.spark_partition_id())
         .withColumn("_mf_mid", F.monotonically_increasing_id())
