@@ -3,9 +3,10 @@
 - skip on miss: inner join (or a left join split into resolved/unresolved);
 - abort on miss: count unresolved rows before anything is published;
 - all-or-nothing per parent: a parent survives only if all its children
-  resolve.  Computed as a per-parent aggregate joined back with a semi join
-  (partial aggregation; AQE can split a hot parent in the join), not as a
-  window that would pull one parent's rows into one task.
+  resolve.  The distinct set of parents with an unresolved child (usually
+  small, so AQE can broadcast it) is anti-joined from the resolved children:
+  no per-parent window or grouping of all children, so a parent holding a
+  third of all rows is never gathered into one task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ def require_resolved(df: DataFrame, key_col: str, what: str) -> None:
 
 def all_or_nothing(children: DataFrame, parent_key: str, found: Column) -> DataFrame:
     """Keep the children of parents whose every child has ``found`` true."""
-    flagged = children.withColumn("_mf_found", found)
-    good = (flagged.groupBy(parent_key).agg(F.min(F.col("_mf_found").cast("int")).alias("_mf_all"))
-            .filter(F.col("_mf_all") == 1).select(parent_key))
-    return flagged.join(good, parent_key, "left_semi").drop("_mf_found")
+    flagged = children.withColumn("_mf_found", F.coalesce(found, F.lit(False)))
+    bad = flagged.filter(~F.col("_mf_found")).select(parent_key).distinct()
+    return flagged.filter(F.col("_mf_found")).join(bad, parent_key, "left_anti").drop("_mf_found")
