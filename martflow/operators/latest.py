@@ -13,6 +13,12 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def order_key(order: Sequence[Column], nulls_win: bool) -> Column:
+    """Ordering struct for ``max_by``/``min_by``: with ``nulls_win`` a NULL in
+    an order column beats every value in that position."""
+    return _order_struct(order, nulls_win)
+
+
 def _order_struct(order: Sequence[Column], nulls_win: bool) -> Column:
     fields = []
     for i, c in enumerate(order):

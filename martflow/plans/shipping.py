@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martflow.functions.scalars import age_day_part, part, split_descriptor
 from martflow.operators.keys import assign_keys
-from martflow.operators.latest import latest_by
+from martflow.operators.latest import order_key
 
 
 def split_agreement(c: str) -> list:
@@ -107,15 +107,13 @@ def status(log: DataFrame) -> DataFrame:
     end/status/state = FIRST_VALUE(.. ORDER BY ts DESC) -> a NULL stamp comes
     first (PostgreSQL DESC is NULLS FIRST); ties broken by status, state (B6).
     """
-    start = log.groupBy("shippingid").agg(F.min("state_datetime").alias("shipping_start_fact_datetime"))
-    last = latest_by(
-        log, ["shippingid"], [F.col("state_datetime"), F.col("status"), F.col("state")],
-        {"status": F.col("status"), "state": F.col("state"),
-         "shipping_end_fact_datetime": F.col("state_datetime")},
-        nulls_latest=True,
-    )
-    return last.join(start, "shippingid").select(
-        "shippingid", "status", "state", "shipping_start_fact_datetime", "shipping_end_fact_datetime")
+    ts, st, state = F.col("state_datetime"), F.col("status"), F.col("state")
+    last = F.max_by(F.struct(st.alias("status"), state.alias("state"), ts.alias("end")),
+                    order_key([ts, st, state], nulls_win=True))
+    agg = log.groupBy("shippingid").agg(F.min(ts).alias("shipping_start_fact_datetime"), last.alias("_last"))
+    return agg.select(
+        "shippingid", F.col("_last.status").alias("status"), F.col("_last.state").alias("state"),
+        "shipping_start_fact_datetime", F.col("_last.end").alias("shipping_end_fact_datetime"))
 
 
 def datamart(st: DataFrame, inf: DataFrame, transfer: DataFrame, country: DataFrame,
