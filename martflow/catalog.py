@@ -796,3 +796,11 @@ def q_stream_upsert(spark, sf):
     _arrive(docs(o.filter(F.col("o_orderstatus") != "O"), 2, 1), src)
     S.upsert_stream(spark, src, DOC_DDL, ckpt, table, ["object_id"], order)
     return S.latest_snapshot(spark, table, DOC_DDL)
+
+
+@query("dm_deliveries_date_literal")
+def q_dm_deliveries_date_literal(spark, sf):
+    """B22 as written: ``::date`` casts drop the time of day before the
+    TIMESTAMP columns store them."""
+    from martflow.plans import courier as C
+    return C.dm_deliveries(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS), keep_time=False)

@@ -87,9 +87,9 @@ oracle("rfm_user_stats", with_(V_ORDERS, _USER_STATS) + "SELECT * FROM user_stat
 
 oracle("rfm_ntile_literal", with_(V_ORDERS, _USER_STATS) + """
 SELECT *,
-  NTILE(5) OVER (ORDER BY most_recent_order DESC NULLS LAST, user_id) AS recency,
-  NTILE(5) OVER (ORDER BY total_num_orders DESC NULLS LAST, user_id) AS frequency,
-  NTILE(5) OVER (ORDER BY total_revenue DESC NULLS LAST, user_id) AS monetary_value
+  CAST(NTILE(5) OVER (ORDER BY most_recent_order DESC NULLS LAST, user_id) AS INTEGER) AS recency,
+  CAST(NTILE(5) OVER (ORDER BY total_num_orders DESC NULLS LAST, user_id) AS INTEGER) AS frequency,
+  CAST(NTILE(5) OVER (ORDER BY total_revenue DESC NULLS LAST, user_id) AS INTEGER) AS monetary_value
 FROM user_stats""")
 
 _RFM_SEGMENTS = with_(V_ORDERS, V_USERS, _USER_STATS, """base AS (
@@ -112,8 +112,8 @@ SELECT metric, bucket, count(*) AS users FROM (
 
 oracle("ntile_distributed", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
-       NTILE(10) OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                       l_shipdate, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS decile
+       CAST(NTILE(10) OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                       l_shipdate, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) AS INTEGER) AS decile
 FROM lineitem""")
 
 oracle("orders_final_status", with_(V_ORDERS, V_STATUS_LOG) + """
@@ -605,3 +605,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
          AS object_value,
        CASE WHEN o_orderstatus = 'O' THEN o_orderdate ELSE o_orderdate + INTERVAL 1 DAY END AS update_ts
 FROM orders""")
+
+oracle("dm_deliveries_date_literal", with_(_DELIV) + """
+SELECT order_id, CAST(CAST(order_ts AS DATE) AS TIMESTAMP) AS order_ts, delivery_id, courier_id, address,
+       CAST(CAST(delivery_ts AS DATE) AS TIMESTAMP) AS delivery_ts, sum FROM deliv""")
