@@ -62,3 +62,46 @@ def run_log(loads: Mapping[str, DataFrame], run_ts: str) -> DataFrame:
         "row_count",
         F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"),
     )
+
+
+def publish_observed(batch: DataFrame, name: str, id_col: str | None = None) -> tuple[DataFrame, int, int | None]:
+    """K12 / A10 in one job: write ``batch`` as a new snapshot and observe its
+    row count (and max id) while writing -- no second pass over the batch.
+    Returns (published frame, rows, max id or None)."""
+    from pyspark.sql import Observation
+
+    from martflow.operators.tables import publish
+    obs = Observation(f"mf_{name}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if id_col:
+        metrics.append(F.max(id_col).alias("max_id"))
+    out = publish(batch.observe(obs, *metrics), name)
+    got = obs.get
+    return out, int(got["rows"]), (got.get("max_id") if id_col else None)
+
+
+def advance_to(state: DataFrame, wf_key: str, new_max: int | None, field: str = "last_loaded_id") -> DataFrame:
+    """Cursor upsert from an already known max id (e.g. observed while
+    writing); ``None`` (empty batch) keeps the old value."""
+    spark = state.sparkSession
+    if new_max is None:
+        return state
+    row = spark.createDataFrame([(wf_key, int(new_max))], "workflow_key string, _mf_id long")
+    return cursor_advance(state, row, "_mf_id", F.col("workflow_key"), field)
+
+
+def load_batch(staged: DataFrame, state: DataFrame, wf_key: str, name: str, id_col: str = "id",
+               transform=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One cursor-driven load step: read ``id > cursor``, transform, publish
+    while observing count and max id, then advance the cursor (returned, to
+    be published *after* the data) and log the run.
+    Returns (published rows, new state, run-log row)."""
+    cur = cursor_get(state, wf_key)
+    batch = staged.filter(F.col(id_col) > F.lit(cur))
+    if transform is not None:
+        batch = transform(batch)
+    out, rows, max_id = publish_observed(batch, name, id_col)
+    spark = staged.sparkSession
+    log = spark.createDataFrame([(wf_key, "SUCCESS" if rows else "FAILED", rows)],
+                                "workflow_key string, status string, row_count long")
+    return out, advance_to(state, wf_key, max_id), log

@@ -49,3 +49,15 @@ def test_check_null_passes_and_unique_orphans(spark):
     assert unique(df, "t", ["k"]).first().violations == 1
     parent = spark.createDataFrame([(1,)], "id int")
     assert orphans(df, "t", "k", parent, "id").first().violations == 2
+
+
+def test_load_batch_observes_and_advances_once(spark):
+    from martflow.operators.cursor import load_batch
+    staged = spark.createDataFrame([(i, f"v{i}") for i in range(1, 8)], "id long, v string")
+    st = empty_state(spark)
+    out, st, log = load_batch(staged.filter("id <= 4"), st, "wf", "t1")
+    assert out.count() == 4 and cursor_get(st, "wf") == 4 and log.first().row_count == 4
+    out, st, log = load_batch(staged, st, "wf", "t2")
+    assert sorted(r.id for r in out.collect()) == [5, 6, 7] and cursor_get(st, "wf") == 7
+    out, st, log = load_batch(staged, st, "wf", "t3")  # nothing new: cursor kept, run logged as FAILED
+    assert out.count() == 0 and cursor_get(st, "wf") == 7 and log.first().status == "FAILED"
