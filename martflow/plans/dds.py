@@ -129,3 +129,99 @@ def fct_product_sales(payment_events: DataFrame, products: DataFrame, orders: Da
 def max_processed_event(facts: DataFrame) -> DataFrame:
     """B14 fixed: the cursor is the largest *event* id processed."""
     return facts.agg(F.max("event_id").alias("last_loaded_event_id"))
+
+
+# ---------------------------------------------------------------- entry B: incremental DDS runs
+
+def append_members(existing: DataFrame | None, new: DataFrame, natural_key: list[str], order: list[str],
+                   key: str = "id") -> DataFrame:
+    """New dimension members (insert-if-absent on the natural key) numbered
+    after the current largest id; returns existing + new."""
+    if existing is None:
+        return assign_keys(new, order, key=key).select(key, *new.columns)
+    fresh = new.join(existing.select(*natural_key), natural_key, "left_anti")
+    top = existing.agg(F.max(key)).first()[0] or 0
+    numbered = assign_keys(fresh, order, start=top + 1, key=key).select(key, *new.columns)
+    return existing.select(key, *new.columns).unionByName(numbered)
+
+
+class DdsRun:
+    """One run of the document -> DDS workflows over staged tables.
+
+    ``staged`` maps 'users', 'restaurants', 'orders' to staged document
+    frames (id, object_id, object_value, update_ts) and 'events' to the
+    outbox.  ``prev`` is the previous run's result (None for the first run).
+    Each workflow reads only rows with id above its cursor; orders whose
+    dimensions are missing wait in ``pending`` and events whose order or
+    products are missing wait in ``pending_events`` (B15); the fact cursor is
+    an *event* id (B14).  Tables are published as snapshots
+    and the cursor state is published last.
+    """
+
+    WF = {"users": "users_raw_to_dds", "restaurants": "restaurants_raw_to_dds",
+          "products": "menu_products_raw_to_dds", "timestamps": "timestamp_raw_to_dds",
+          "orders": "orders_raw_to_dds", "facts": "fact_product_events_raw_to_dds"}
+
+    def __init__(self, spark, staged: dict[str, DataFrame], prev: "DdsRun | None" = None):
+        from martflow.operators.cursor import cursor_advance, cursor_get, empty_state
+        from martflow.operators.tables import publish
+        self.spark = spark
+        p = prev.tables if prev else {}
+        state = prev.state if prev else empty_state(spark)
+
+        def since(name, df):
+            return df.filter(F.col("id") > F.lit(cursor_get(state, self.WF[name])))
+
+        def advance(st, name, batch):
+            return cursor_advance(st, batch, "id", F.lit(self.WF[name]))
+
+        t = {}
+        users_b = since("users", staged["users"])
+        u = _doc(users_b, USER_DOC).select(F.col("d._id").alias("user_id"), F.col("d.name").alias("user_name"),
+                                            F.col("d.login").alias("user_login"))
+        t["dm_users"] = publish(append_members(p.get("dm_users"), u, ["user_id"], ["user_id"]), "dm_users")
+
+        rest_b = since("restaurants", staged["restaurants"])
+        r = _doc(rest_b, RESTAURANT_DOC).select(
+            F.col("d._id").alias("restaurant_id"), F.col("d.name").alias("restaurant_name"),
+            parse_doc_ts("d.update_ts").alias("active_from"), sentinel().alias("active_to"))
+        t["dm_restaurants"] = publish(append_members(p.get("dm_restaurants"), r, ["restaurant_id", "active_from"],
+                                                     ["restaurant_id", "active_from"]), "dm_restaurants")
+
+        prod_b = since("products", staged["restaurants"])
+        newp = dm_products(prod_b, t["dm_restaurants"]).drop("id")
+        t["dm_products"] = publish(append_members(p.get("dm_products"), newp, ["product_id", "restaurant_id"],
+                                                  ["product_id", "restaurant_id"]), "dm_products")
+
+        ord_b = since("orders", staged["orders"])
+        ts = dm_timestamps(ord_b).drop("id")
+        t["dm_timestamps"] = publish(append_members(p.get("dm_timestamps"), ts, ["ts"], ["ts"]), "dm_timestamps")
+
+        todo = parse_orders(ord_b)
+        if prev is not None:
+            todo = todo.unionByName(prev.pending)
+        ok, waiting = resolve_orders(todo, t["dm_restaurants"], t["dm_timestamps"], t["dm_users"])
+        o = ok.select("order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
+        t["dm_orders"] = publish(append_members(p.get("dm_orders"), o, ["order_key"], ["order_key"]), "dm_orders")
+        self.pending = publish(waiting, "orders_pending")
+
+        # facts: new events plus the ones still waiting from earlier runs
+        ev_new = since("facts", staged["events"].filter(F.col("event_type") == "bonus_transaction"))
+        ev_todo = ev_new if prev is None else ev_new.unionByName(prev.pending_events)
+        facts = publish(fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"]), "fct_product_sales_batch")
+        done = facts.select(F.col("event_id").alias("id")).distinct()
+        self.pending_events = publish(ev_todo.join(done, "id", "left_anti"), "events_pending")
+        old = p.get("fct_product_sales")
+        t["fct_product_sales"] = publish(old.unionByName(facts) if old is not None else facts, "fct_product_sales")
+
+        st = state
+        st = advance(st, "users", users_b)
+        st = advance(st, "restaurants", rest_b)
+        st = advance(st, "products", prod_b)
+        st = advance(st, "timestamps", ord_b)
+        st = advance(st, "orders", ord_b)
+        # B14 fixed: the fact cursor is the largest *event* id read; events not
+        # loaded yet are kept in pending_events rather than skipped for good
+        st = advance(st, "facts", ev_new)
+        self.tables = t
+        self.state = publish(st, "dds_wf_settings")  # cursors last, after every table
