@@ -57,18 +57,24 @@ def apply_settings(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir);
-    only an unset session (local tests) gets a fresh folder of its own.
+    Read from the context's checkpoint dir or ``spark.checkpoint.dir``; only
+    an unset session (local tests) gets a fresh folder of its own.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="martflow-shared-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

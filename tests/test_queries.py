@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on sf0.001, the smoke
 entry, and plan checks (pushed filters, broadcast of the calendar)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -19,9 +21,28 @@ def con(sf_small):
     return duck(sf_small)
 
 
+def plan_violations(plan: str) -> list[str]:
+    """Scale rules on a physical plan: no cross joins, no window without a
+    partition spec, and a single-partition exchange only right above a
+    partial global aggregate (one row per partition) or a bounded top-k."""
+    bad = []
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "CartesianProduct" in line or "BroadcastNestedLoopJoin" in line:
+            bad.append(line.strip())
+        if re.search(r"Window \[.*\], \[\]", line):
+            bad.append(line.strip())
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            if not re.search(r"Aggregate\(keys=\[\], functions=\[partial_", child):
+                bad.append(line.strip())
+    return bad
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_small, con, name):
     sdf = QUERIES[name](spark, sf_small)
+    assert plan_violations(sdf._jdf.queryExecution().executedPlan().toString()) == []
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
@@ -50,3 +71,12 @@ def test_cursor_filter_is_pushed_to_scan(spark, sf_small):
 def test_calendar_is_broadcast_in_fact(spark, sf_small):
     plan = QUERIES["f_daily_sales"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_plan_rules_catch_bad_shapes(spark):
+    from pyspark.sql import Window, functions as F
+    df = spark.range(10)
+    w = df.select(F.row_number().over(Window.orderBy("id")).alias("r"))
+    x = df.crossJoin(df.withColumnRenamed("id", "j"))
+    assert plan_violations(w._jdf.queryExecution().executedPlan().toString())
+    assert plan_violations(x._jdf.queryExecution().executedPlan().toString())
