@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martflow.constants import (BONUS_GRANT_RATE, EVENT_BONUS_TRANSACTION, SHIPPING_FINISHED, STATUS_REFUNDED,
+                                STATUS_SHIPPED)
 from martflow.sources.tables import Tables
 
 MONEY = "decimal(19,5)"
@@ -98,7 +100,7 @@ def v_shipping(t: Tables) -> DataFrame:
             v.alias("vendorid"),
             _money("o_totalprice", "decimal(14,2)").alias("payment_amount"),
             F.col("l_shipdate").alias("state_datetime"),
-            F.when(F.col("l_linestatus") == "F", "finished").otherwise("in_progress").alias("status"),
+            F.when(F.col("l_linestatus") == "F", SHIPPING_FINISHED).otherwise("in_progress").alias("status"),
             F.when(F.col("l_returnflag") == "R", "returned")
             .when(F.col("l_returnflag") == "A", "recieved")
             .otherwise("booked").alias("state"),
@@ -134,7 +136,7 @@ def v_feed(t: Tables) -> DataFrame:
             F.concat_ws(" ", F.col("p_name"), F.col("l_returnflag")).alias("item_name"),
             F.col("l_quantity").cast("long").alias("quantity"),
             _money("l_extendedprice", "decimal(14,2)").alias("payment_amount"),
-            F.when(F.col("l_returnflag") == "R", "refunded").otherwise("shipped").alias("status"),
+            F.when(F.col("l_returnflag") == "R", STATUS_REFUNDED).otherwise(STATUS_SHIPPED).alias("status"),
         )
     )
 
@@ -275,7 +277,7 @@ def v_payment_events(t: Tables) -> DataFrame:
             F.col("quantity"),
             cost.cast(MONEY).alias("product_cost"),
             bonus.cast(MONEY).alias("bonus_payment"),
-            ((cost - bonus) * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY).alias("bonus_grant"),
+            ((cost - bonus) * F.lit(BONUS_GRANT_RATE).cast("decimal(3,2)")).cast(MONEY).alias("bonus_grant"),
         ).alias("pp"),
     )
     per_order = line.groupBy("l_orderkey").agg(
@@ -283,7 +285,7 @@ def v_payment_events(t: Tables) -> DataFrame:
     return per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").alias("event_ts"),
-        F.lit("bonus_transaction").alias("event_type"),
+        F.lit(EVENT_BONUS_TRANSACTION).alias("event_type"),
         F.to_json(F.struct(
             F.col("o_custkey").alias("user_id"),
             F.col("o_orderkey").cast("string").alias("order_id"),

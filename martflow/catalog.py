@@ -270,7 +270,8 @@ def q_append_with_defaults(spark, sf):
     stage = _feed(spark, sf)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     inc = stage.filter(F.col("date_time") >= split).drop("status")
-    return append_with_defaults(stage.filter(F.col("date_time") < split), inc, {"status": "shipped"})
+    from martflow.constants import STATUS_SHIPPED
+    return append_with_defaults(stage.filter(F.col("date_time") < split), inc, {"status": STATUS_SHIPPED})
 
 
 def _stage_schema(df):
@@ -717,7 +718,8 @@ def q_dq_row_predicates(spark, sf):
 def q_dq_accepted(spark, sf):
     """Q5: order status domain; only Closed (4) and Cancelled (5) are accepted."""
     from martflow.operators import quality as Q
-    return Q.accepted_values(A.v_orders(Tables(spark, sf)), "status", [4, 5])
+    from martflow.constants import FINAL_STATUSES
+    return Q.accepted_values(A.v_orders(Tables(spark, sf)), "status", list(FINAL_STATUSES))
 
 
 @query("dq_reconcile")

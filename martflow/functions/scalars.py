@@ -7,11 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed values that must equal the reference's:
-# descriptor separator regex, document timestamp format, open-ended validity sentinel.
-DESCRIPTOR_SEPARATOR = ":+"
-DOC_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-VALIDITY_SENTINEL = "2099-12-31 00:00:00"
+from martflow.constants import DESCRIPTOR_SEPARATOR, DOC_TS_FORMAT, VALIDITY_SENTINEL
 
 
 def _c(c: str | Column) -> Column:

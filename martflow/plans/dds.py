@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.constants import EVENT_BONUS_TRANSACTION
 from martflow.functions.scalars import parse_doc_ts, sentinel, time_text
 from martflow.operators.keys import assign_keys
 from martflow.operators.lookup import all_or_nothing, require_resolved
@@ -112,7 +113,7 @@ def fct_product_sales(payment_events: DataFrame, products: DataFrame, orders: Da
     product dictionary is last-wins per natural id; an event whose order is
     not in the DDS yet is skipped.  Events are read with ``id > cursor``.
     """
-    ev = payment_events.filter((F.col("event_type") == "bonus_transaction") & (F.col("id") > F.lit(cursor)))
+    ev = payment_events.filter((F.col("event_type") == EVENT_BONUS_TRANSACTION) & (F.col("id") > F.lit(cursor)))
     lines = ev.select(F.col("id").alias("event_id"), F.from_json("event_value", PAYMENT_DOC).alias("d")).select(
         "event_id", F.col("d.order_id").alias("order_key"), F.inline("d.product_payments"))
     pdict = products.groupBy("product_id").agg(F.max("id").alias("product_sk"))
@@ -206,7 +207,7 @@ class DdsRun:
         self.pending = publish(waiting, "orders_pending")
 
         # facts: new events plus the ones still waiting from earlier runs
-        ev_new = since("facts", staged["events"].filter(F.col("event_type") == "bonus_transaction"))
+        ev_new = since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION))
         ev_todo = ev_new if prev is None else ev_new.unionByName(prev.pending_events)
         facts = publish(fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"]), "fct_product_sales_batch")
         done = facts.select(F.col("event_id").alias("id")).distinct()

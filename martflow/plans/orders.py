@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.constants import BONUS_GRANT_RATE
 from martflow.operators.latest import latest_by
 
 
@@ -40,7 +41,7 @@ def order_amounts(items: DataFrame) -> DataFrame:
         F.col("cost").cast("decimal(19,5)").alias("cost"),
         F.col("bonus").cast("decimal(19,5)").alias("bonus_payment"),
         payment.cast("decimal(19,5)").alias("payment"),
-        (payment * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(19,5)").alias("bonus_grant"),
+        (payment * F.lit(BONUS_GRANT_RATE).cast("decimal(3,2)")).cast("decimal(19,5)").alias("bonus_grant"),
     )
 
 

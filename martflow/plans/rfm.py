@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.constants import RFM_BUCKETS as BUCKETS, STATUS_CLOSED as CLOSED
 from martflow.operators.keys import ntile_distributed
 
-CLOSED = 4  # fixed value: order status "Closed"
-BUCKETS = 5
-
 
 def user_stats(orders: DataFrame, since: str | None = None) -> DataFrame:
     """Per-user last closed order time, closed order count and revenue."""

@@ -17,7 +17,7 @@ from martflow.operators.tables import not_in
 # series is 2020-01-01 plus 365*3 days.
 CAL_START = "1995-01-01"
 CAL_DAYS = 2557
-REFUNDED = "refunded"  # fixed value: refund status text
+from martflow.constants import PERIOD_WEEKLY, STATUS_REFUNDED as REFUNDED, STATUS_SHIPPED
 
 
 def day_of(c: str = "date_time"):
@@ -113,7 +113,7 @@ def customer_retention(base: DataFrame, by_year: bool = False) -> DataFrame:
         period.cast("int").alias("period_id"),
         "new_customers_count", "returning_customers_count", "refunded_customer_count",
         "customers_refunded", "new_customers_revenue", "returning_customers_revenue",
-        F.lit("weekly").alias("period_name"),
+        F.lit(PERIOD_WEEKLY).alias("period_name"),
     )
 
 
@@ -134,7 +134,7 @@ def load_increment(spark: SparkSession, csv_path: str, stage_dir: str, days) ->
     from martflow.sources.files import conform, drop_leading, read_csv_inferred
     raw = drop_leading(read_csv_inferred(spark, csv_path), 1)
     empty = spark.createDataFrame([], STAGE_DDL)
-    typed = conform(append_with_defaults(empty, raw, {"status": "shipped"}), STAGE_DDL)
+    typed = conform(append_with_defaults(empty, raw, {"status": STATUS_SHIPPED}), STAGE_DDL)
     days = [days] if isinstance(days, str) else list(days)
     inc = typed.withColumn("day", day_of()).filter(F.col("day").isin(*days))
     write_slices(inc, stage_dir, "day", days)

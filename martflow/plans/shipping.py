@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.constants import SHIPPING_FINISHED
 from martflow.functions.scalars import age_day_part, part, split_descriptor
 from martflow.operators.keys import assign_keys
 from martflow.operators.latest import order_key
@@ -132,7 +133,7 @@ def datamart(st: DataFrame, inf: DataFrame, transfer: DataFrame, country: DataFr
         "shippingid", "vendorid", "transfer_type",
         age_day_part(end, start).alias("full_day_at_shipping"),
         (end > plan).alias("is_delay"),
-        (F.col("status") == "finished").alias("is_shipping_finish"),
+        (F.col("status") == SHIPPING_FINISHED).alias("is_shipping_finish"),
         F.when(end > plan, age_day_part(end, plan)).otherwise(F.lit(0)).alias("delay_day_at_shipping"),
         "payment_amount",
         (F.col("payment_amount") * rates).cast("decimal(31,5)").alias("vat"),
@@ -180,7 +181,7 @@ def cost_by_country(m: Model) -> DataFrame:
 def finished_last_week(m: Model, as_of=None) -> DataFrame:
     """Shipments finished in the 7 days up to ``as_of`` (default: the
     latest finish in the data, one scalar)."""
-    st = m.status.filter(F.col("status") == "finished")
+    st = m.status.filter(F.col("status") == SHIPPING_FINISHED)
     if as_of is None:
         as_of = st.agg(F.max("shipping_end_fact_datetime")).first()[0]
     lo = F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL 7 DAYS")

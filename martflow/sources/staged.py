@@ -11,8 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-# Fixed value: the reference copies at most this many documents per session.
-SESSION_LIMIT = 10_000
+from martflow.constants import SESSION_LIMIT
 
 
 def read_since(staged: DataFrame, cursor: int, id_col: str = "id") -> DataFrame:
