@@ -60,6 +60,10 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint:
     """Micro-batch upsert.  Snapshot ``v=<batch id>`` = upsert(previous
     snapshot, batch); the previous snapshot is the highest version below the
     batch id, so replaying a batch gives the same result."""
+    init = f"{table_dir}/v=-1"
+    if not _exists(spark, table_dir):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(init)  # empty first version
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         prev = latest_snapshot(spark, table_dir, schema, before=batch_id)
         new = upsert(prev, batch, list(key), list(order)).select(*prev.columns)
@@ -67,12 +71,17 @@ def upsert_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint:
     run_available(read_stream(spark, source_dir, schema), checkpoint, apply)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def latest_snapshot(spark: SparkSession, table_dir: str, schema: str, before: int | None = None) -> DataFrame:
     """The newest ``v=<n>`` snapshot (optionally with n < before); empty if none."""
-    try:
-        versions = spark.read.parquet(table_dir).select("v").distinct()
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    if not _exists(spark, table_dir):
         return spark.createDataFrame([], schema)
+    versions = spark.read.parquet(table_dir).select("v").distinct()
     if before is not None:
         versions = versions.filter(F.col("v") < before)
     top = versions.agg(F.max("v")).first()[0]
