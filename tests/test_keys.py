@@ -32,3 +32,10 @@ def test_ntile_matches_window_with_ties_and_sizes(spark):
         assert mine == ref
         sizes = [list(mine.values()).count(b) for b in set(mine.values())]
         assert max(sizes) - min(sizes) <= 1
+
+
+def test_scale_settings_sizes_partitions():
+    from martflow.session import scale_settings
+    s = scale_settings(100 * 2**40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 16
