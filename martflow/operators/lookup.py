@@ -1,5 +1,7 @@
 """Dimension lookups with the reference's miss policies.
 
+The reference's list / point reads of a dimension (S14) become these joins.
+
 - skip on miss: inner join (or a left join split into resolved/unresolved);
 - abort on miss: count unresolved rows before anything is published;
 - all-or-nothing per parent: a parent survives only if all its children

@@ -2,6 +2,9 @@
 new_target`` plus writers.  Built-in parquet tables reject MERGE/DELETE, so
 an update is a set-based rewrite published as a new snapshot, or, for day
 slices, a dynamic partition overwrite that touches only the named days.
+Appends (K1) are ``unionByName``; the reference has no other set operation
+(O4).  Existence tests (F7) are semi/anti joins: J6 ``not_in``, J7
+``close_missing``, J8 ``delete_where_in``.
 """
 
 from __future__ import annotations

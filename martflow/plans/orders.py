@@ -10,8 +10,8 @@ from martflow.operators.latest import latest_by
 
 
 def orders_final_status(orders: DataFrame, status_log: DataFrame) -> DataFrame:
-    """A2 + J1 as written (B4): final status = max(status_id); orders with no
-    log row drop out of the inner join."""
+    """A2 + J1 + F1 as written (B4): final status = max(status_id), projected
+    with renames; orders with no log row drop out of the inner join."""
     final = status_log.groupBy("order_id").agg(F.max("status_id").alias("final_status"))
     return orders.join(final, "order_id").select(
         "order_id", "order_ts", "user_id", "payment", F.col("final_status").alias("status"))

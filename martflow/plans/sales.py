@@ -26,8 +26,8 @@ def day_of(c: str = "date_time"):
 
 
 def d_customer(stage: DataFrame, existing: DataFrame | None = None, start_id: int = 1) -> DataFrame:
-    """M10 as written: customers NOT IN the dim, grouped by id *and* names
-    (B9: one id with two spellings yields two rows), min(city_id)."""
+    """M10 / A3 / J6 as written: customers NOT IN the dim, grouped by id *and*
+    names (B9: one id with two spellings yields two rows), min(city_id)."""
     src = stage
     if existing is not None:
         src = not_in(stage, "customer_id", existing, "customer_id")
@@ -62,7 +62,7 @@ def last_value_default_frame(stage: DataFrame) -> DataFrame:
 
 
 def f_daily_sales(spark: SparkSession, stage: DataFrame, cal: DataFrame, start: str, end: str) -> DataFrame:
-    """DISTINCT fact rows of stage rows in [start, end), dated
+    """DISTINCT fact rows of stage rows in [start, end), dated
     through the calendar; run as parameterised SQL with named arguments."""
     return spark.sql(
         """
@@ -77,7 +77,8 @@ def f_daily_sales(spark: SparkSession, stage: DataFrame, cal: DataFrame, start:
 
 
 def retention_base(fact: DataFrame, cal: DataFrame, by_year: bool = False) -> DataFrame:
-    """A4: per (week, customer) transactions, refunds and signed revenue."""
+    """Fact joined to the calendar by date_id; per (week, customer)
+    transactions, refunds and signed revenue."""
     keys = ["iso_year", "week_num"] if by_year else ["week_num"]
     j = fact.join(F.broadcast(cal.select("date_id", *keys)), "date_id")
     refunded = F.col("status") == REFUNDED

@@ -58,7 +58,7 @@ def descriptors(log: DataFrame) -> DataFrame:
 
 
 def country_rates(log: DataFrame) -> DataFrame:
-    """M3: distinct (country, base rate) with ids in (country, rate) order."""
+    """Distinct (country, base rate) with ids in (country, rate) order."""
     d = log.select("shipping_country", "shipping_country_base_rate").distinct()
     return assign_keys(d, ["shipping_country", "shipping_country_base_rate"], key="shipping_country_id")
 
@@ -119,7 +119,9 @@ def status(log: DataFrame) -> DataFrame:
 
 def datamart(st: DataFrame, inf: DataFrame, transfer: DataFrame, country: DataFrame,
              agreement: DataFrame) -> DataFrame:
-    """The shipping_datamart view."""
+    """The shipping_datamart view as a lazy frame, with boolean
+    output columns (F5), CASE for the delay (F6), AGE day parts (X6) and
+    decimal arithmetic (X10)."""
     j = (
         st.join(inf, "shippingid")
         .join(transfer, "transfer_type_id")

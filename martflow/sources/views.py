@@ -1,4 +1,4 @@
-"""Layered pass-through views (``production`` -> ``analysis``)."""
+"""Layered pass-through views (``production`` -> ``analysis``)."""
 
 from __future__ import annotations
 
