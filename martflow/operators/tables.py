@@ -110,22 +110,25 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
            update_cols: Sequence[str] | None = None) -> DataFrame:
     """U1 (all columns) / U3 (``update_cols`` only): INSERT .. ON CONFLICT DO
     UPDATE, rows applied in ``order`` so the last source row per key wins.
-    When matched the source value wins even if it is NULL."""
+    When matched the source value wins even if it is NULL.
+
+    Written without a full outer join: the target is only anti- or
+    left-joined to the (reduced) batch, so when the batch is small AQE
+    broadcasts it and the target is scanned, never shuffled; a large batch
+    falls back to shuffle joins on the key.
+    """
     key = list(key)
-    src = _one_per_key(source, key, order, last=True).withColumn("_mf_src", F.lit(True))
-    tgt = target.withColumn("_mf_tgt", F.lit(True))
-    cols = [c for c in target.columns if c not in key]
-    upd = set(cols if update_cols is None else update_cols)
-    j = tgt.alias("t").join(src.alias("s"), key, "full_outer")
-    out = []
-    for c in cols:
-        s_c, t_c = F.col(f"s.{c}"), F.col(f"t.{c}")
-        if c in upd:
-            v = F.when(F.col("_mf_src").isNotNull(), s_c).otherwise(t_c)
-        else:  # kept when matched, taken from the source on insert
-            v = F.when(F.col("_mf_tgt").isNotNull(), t_c).otherwise(s_c)
-        out.append(v.alias(c))
-    return j.select(*key, *out)
+    src = _one_per_key(source, key, order, last=True)
+    if update_cols is None:
+        keep = target.join(src.select(*key), key, "left_anti")
+        return keep.unionByName(src.select(*target.columns))
+    upd = [c for c in update_cols if c not in key]
+    vals = src.select(*key, *[F.col(c).alias(f"_mf_s_{c}") for c in upd], F.lit(True).alias("_mf_src"))
+    merged = target.join(vals, key, "left").select(*[
+        F.when(F.col("_mf_src").isNotNull(), F.col(f"_mf_s_{c}")).otherwise(F.col(c)).alias(c) if c in upd
+        else F.col(c) for c in target.columns])
+    inserted = src.join(target.select(*key), key, "left_anti").select(*target.columns)
+    return merged.unionByName(inserted)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: Sequence[str],
