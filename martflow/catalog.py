@@ -7,6 +7,7 @@ grows with them.  Keys match ``martflow.oracle.ORACLE``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -94,14 +95,16 @@ def q_merge_lines(spark, sf):
 
 # ------------------------------------------------------------------ P2: shipping
 
-def _ship(spark, sf):
+def _ship(spark, sf, materialize=True):
+    """The shipping model over the adapted log; the log (a 4-way join) is
+    written once only for targets that read it more than twice."""
     from martflow.plans import shipping as S
-    return S, S.Model(A.v_shipping(Tables(spark, sf)), materialize=True)
+    return S, S.Model(A.v_shipping(Tables(spark, sf)), materialize=materialize)
 
 
 @query("split_descriptor")
 def q_split_descriptor(spark, sf):
-    S, m = _ship(spark, sf)
+    S, m = _ship(spark, sf, materialize=False)
     return S.descriptors(m.log)
 
 
@@ -127,17 +130,17 @@ def q_distinct_dims(spark, sf):
 
 @query("shipping_country_rates")
 def q_shipping_country_rates(spark, sf):
-    return _ship(spark, sf)[1].country
+    return _ship(spark, sf, materialize=False)[1].country
 
 
 @query("shipping_agreement")
 def q_shipping_agreement(spark, sf):
-    return _ship(spark, sf)[1].agreement
+    return _ship(spark, sf, materialize=False)[1].agreement
 
 
 @query("shipping_transfer")
 def q_shipping_transfer(spark, sf):
-    return _ship(spark, sf)[1].transfer
+    return _ship(spark, sf, materialize=False)[1].transfer
 
 
 @query("shipping_info")
@@ -147,7 +150,7 @@ def q_shipping_info(spark, sf):
 
 @query("shipping_status")
 def q_shipping_status(spark, sf):
-    return _ship(spark, sf)[1].status
+    return _ship(spark, sf, materialize=False)[1].status
 
 
 @query("shipping_datamart")
@@ -459,9 +462,19 @@ class _Dds:
         self.n_sup = A.n_suppliers(t)
         self.rest_docs = A.v_rest_docs(t, self.n_sup)
         self.order_docs = A.v_order_docs(t)
-        self.users = D.dm_users(A.v_user_docs(t))
-        self.restaurants = D.dm_restaurants(self.rest_docs)
-        self.timestamps = D.dm_timestamps(self.order_docs)
+
+    # dimensions are built on first use (each one checkpoints its keyed rows)
+    @cached_property
+    def users(self):
+        return self.D.dm_users(A.v_user_docs(self.t))
+
+    @cached_property
+    def restaurants(self):
+        return self.D.dm_restaurants(self.rest_docs)
+
+    @cached_property
+    def timestamps(self):
+        return self.D.dm_timestamps(self.order_docs)
 
     def products(self):
         return self.D.dm_products(self.rest_docs, self.restaurants)

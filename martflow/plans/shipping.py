@@ -9,6 +9,8 @@ broadcast threshold and falls back to a shuffle join otherwise.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.constants import SHIPPING_FINISHED
@@ -157,11 +159,27 @@ class Model:
             from martflow.operators.tables import publish
             log = publish(log, "shipping_log")
         self.log = log
-        self.country = country_rates(log)
-        self.agreement = agreements(log)
-        self.transfer = transfers(log)
-        self.info = info(log, self.country, self.agreement, self.transfer)
-        self.status = status(log)
+
+    # each table is built on first use, so a query pays only for what it reads
+    @cached_property
+    def country(self) -> DataFrame:
+        return country_rates(self.log)
+
+    @cached_property
+    def agreement(self) -> DataFrame:
+        return agreements(self.log)
+
+    @cached_property
+    def transfer(self) -> DataFrame:
+        return transfers(self.log)
+
+    @cached_property
+    def info(self) -> DataFrame:
+        return info(self.log, self.country, self.agreement, self.transfer)
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return status(self.log)
 
     def datamart(self) -> DataFrame:
         return datamart(self.status, self.info, self.transfer, self.country, self.agreement)
