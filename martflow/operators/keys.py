@@ -12,6 +12,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martflow.session import scratch_path
+
 OrderSpec = Sequence[str | Column]
 
 
@@ -21,9 +23,9 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
 
     ``order`` must be a total order (end it with a unique column), otherwise
     tied rows get an arbitrary but still dense numbering.
-    The ranged and sorted rows are checkpointed to the shared folder so the
-    counting pass and the numbering pass see the same partitions, and an
-    executor loss re-reads them instead of re-sampling the ranges.
+    The ranged and sorted rows are written once to the shared folder so the
+    counting pass and the numbering pass see the same rows, and an executor
+    loss re-reads them instead of re-sampling the ranges.
     """
     # Without an explicit count the range exchange starts from the session's
     # shuffle partition count (size it for the data) and AQE may coalesce
@@ -34,8 +36,14 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
         .sortWithinPartitions(*order)
         .withColumn("_mf_pid", F.spark_partition_id())
         .withColumn("_mf_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    # Materialise once as a table in the shared folder: the partition id and
+    # in-partition index are columns now, so the counting pass (one pruned
+    # column) and the numbering pass read the same rows, and a lost executor
+    # re-reads files instead of re-sampling the ranges.
+    path = scratch_path(df.sparkSession, "keys")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     # one row per partition (a bounded set): turn counts into start offsets
     counts = sorted((r[0], r[1]) for r in ranged.groupBy("_mf_pid").agg(F.count(F.lit(1))).collect())
     offsets, run = [], 0
