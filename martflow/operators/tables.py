@@ -109,8 +109,9 @@ def _one_per_key(source: DataFrame, key: Sequence[str], order: Sequence[Column],
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[Column],
            update_cols: Sequence[str] | None = None) -> DataFrame:
     """U1 (all columns) / U3 (``update_cols`` only): INSERT .. ON CONFLICT DO
-    UPDATE, rows applied in ``order`` so the last source row per key wins.
-    When matched the source value wins even if it is NULL.
+    UPDATE with the batch applied row by row in ``order``: the last row per
+    key sets the updated columns, a new key keeps its first row's other
+    columns, and a matched source value wins even if it is NULL.
 
     Written without a full outer join: the target is only anti- or
     left-joined to the (reduced) batch, so when the batch is small AQE
@@ -118,16 +119,28 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     falls back to shuffle joins on the key.
     """
     key = list(key)
-    src = _one_per_key(source, key, order, last=True)
     if update_cols is None:
+        # every column is overwritten by each later row: the last row wins
+        src = _one_per_key(source, key, order, last=True)
         keep = target.join(src.select(*key), key, "left_anti")
         return keep.unionByName(src.select(*target.columns))
+    # A key new to the target is inserted by its first row; later rows of
+    # the batch only overwrite the updated columns.  One aggregation takes
+    # the last row's updated columns and the first row's other columns.
     upd = [c for c in update_cols if c not in key]
-    vals = src.select(*key, *[F.col(c).alias(f"_mf_s_{c}") for c in upd], F.lit(True).alias("_mf_src"))
+    rest = [c for c in target.columns if c not in key and c not in upd]
+    okey = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    src = source.groupBy(*key).agg(
+        F.max_by(F.struct(*[F.col(c) for c in upd]), okey).alias("_mf_last"),
+        *([F.min_by(F.struct(*[F.col(c) for c in rest]), okey).alias("_mf_first")] if rest else []),
+    )
+    vals = src.select(*key, *[F.col(f"_mf_last.{c}").alias(f"_mf_s_{c}") for c in upd], F.lit(True).alias("_mf_src"))
     merged = target.join(vals, key, "left").select(*[
         F.when(F.col("_mf_src").isNotNull(), F.col(f"_mf_s_{c}")).otherwise(F.col(c)).alias(c) if c in upd
         else F.col(c) for c in target.columns])
-    inserted = src.join(target.select(*key), key, "left_anti").select(*target.columns)
+    inserted = src.join(target.select(*key), key, "left_anti").select(*[
+        F.col(c) if c in key else F.col(f"_mf_last.{c}").alias(c) if c in upd else F.col(f"_mf_first.{c}").alias(c)
+        for c in target.columns])
     return merged.unionByName(inserted)
 
 
