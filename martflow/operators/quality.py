@@ -30,9 +30,14 @@ def not_null(df: DataFrame, table: str, cols: Sequence[str] | None = None) -> Da
 
 def unique(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """Rows beyond the first per key (0 when ``count = count distinct``).
-    Grouping combines map-side, so a hot key costs no more than a cold one."""
+    As for a UNIQUE constraint, rows with a NULL in the key never conflict
+    (NOT NULL is rule Q1).  Grouping combines map-side, so a hot key costs
+    no more than a cold one."""
     name = "unique:" + ",".join(key)
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_mf_n"))
+    complete = F.lit(True)
+    for k in key:
+        complete = complete & F.col(k).isNotNull()
+    per_key = df.filter(complete).groupBy(*key).agg(F.count(F.lit(1)).alias("_mf_n"))
     agg = per_key.agg(F.coalesce(F.sum(F.col("_mf_n") - 1), F.lit(0)).alias(name))
     return _unpivot(agg, table, [name])
 

@@ -550,12 +550,12 @@ oracle("dq_not_null", " UNION ALL ".join([
 ]))
 
 oracle("dq_unique", """
-SELECT 'orders' AS table_name, 'unique:o_orderkey' AS rule, count(*) - count(DISTINCT o_orderkey) AS violations
+SELECT 'orders' AS table_name, 'unique:o_orderkey' AS rule, count(o_orderkey) - count(DISTINCT o_orderkey) AS violations
 FROM orders
 UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_linenumber', count(*) - count(DISTINCT (l_orderkey, l_linenumber))
-FROM lineitem
-UNION ALL SELECT 'customer', 'unique:c_custkey', count(*) - count(DISTINCT c_custkey) FROM customer
-UNION ALL SELECT 'part', 'unique:p_partkey', count(*) - count(DISTINCT p_partkey) FROM part""")
+FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+UNION ALL SELECT 'customer', 'unique:c_custkey', count(c_custkey) - count(DISTINCT c_custkey) FROM customer
+UNION ALL SELECT 'part', 'unique:p_partkey', count(p_partkey) - count(DISTINCT p_partkey) FROM part""")
 
 oracle("dq_orphans", """
 SELECT 'orders' AS table_name, 'fk:o_custkey' AS rule, count(*) AS violations FROM orders

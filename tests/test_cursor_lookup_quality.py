@@ -47,6 +47,8 @@ def test_check_null_passes_and_unique_orphans(spark):
     r = {x.rule: x.violations for x in row_predicates(df, "t", {"p": F.col("price") >= 0}).collect()}
     assert r == {"check:p": 1}
     assert unique(df, "t", ["k"]).first().violations == 1
+    nulls = spark.createDataFrame([(None,), (None,), (1,)], "k int")
+    assert unique(nulls, "t", ["k"]).first().violations == 0  # NULL keys never conflict
     parent = spark.createDataFrame([(1,)], "id int")
     assert orphans(df, "t", "k", parent, "id").first().violations == 2
 
