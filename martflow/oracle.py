@@ -561,13 +561,13 @@ oracle("dq_orphans", """
 SELECT 'orders' AS table_name, 'fk:o_custkey' AS rule, count(*) AS violations FROM orders
 WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
 UNION ALL SELECT 'lineitem', 'fk:l_orderkey', count(*) FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
 UNION ALL SELECT 'lineitem', 'fk:l_partkey', count(*) FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
+WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
 UNION ALL SELECT 'lineitem', 'fk:l_suppkey', count(*) FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)
+WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)
 UNION ALL SELECT 'customer', 'fk:c_nationkey', count(*) FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey)""")
+WHERE c_nationkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey)""")
 
 oracle("dq_row_predicates", with_(V_ORDER_ITEMS) + """
 SELECT 'part' AS table_name, 'check:price_non_negative' AS rule,
