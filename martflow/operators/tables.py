@@ -181,11 +181,16 @@ def close_missing(dim: DataFrame, source_keys: DataFrame, dim_key: str, source_k
 
 
 def versioned_upsert(dim: DataFrame, source: DataFrame, key: str, attrs: Sequence[str], as_of: str,
-                     from_col: str = "active_from", to_col: str = "active_to") -> DataFrame:
+                     from_col: str = "active_from", to_col: str = "active_to",
+                     order: Sequence[Column] | None = None) -> DataFrame:
     """Compare the source with the open version of each member; a changed
     member gets its open version closed at ``as_of`` and a new version opened;
-    new members are opened; closed history and unchanged members stay."""
+    new members are opened; closed history and unchanged members stay.
+    With ``order`` a snapshot holding a member twice is first reduced to its
+    last row per key (otherwise the snapshot must be unique per key)."""
     ts = F.lit(as_of).cast("timestamp_ntz")
+    if order is not None:
+        source = _one_per_key(source, [key], order, last=True)
     is_open = F.col(to_col) == sentinel()
     hist = dim.filter(~is_open)
     cur = dim.filter(is_open)

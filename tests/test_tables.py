@@ -87,6 +87,11 @@ def test_versioned_upsert(spark):
                          ("r3", "C", asof, SENT)]
     # applying the same snapshot again is a no-op
     assert rows(versioned_upsert(out, src, "rid", ["name"], "2024-02-01 00:00:00")) == rows(out)
+    # a snapshot listing r2 twice is reduced to its last row first
+    dup = spark.createDataFrame([("r2", "B3", 1), ("r2", "B4", 2)], "rid string, name string, seq int")
+    v = versioned_upsert(out, dup, "rid", ["name"], "2024-03-01 00:00:00", order=[F.col("seq")])
+    opened = [r.name for r in v.filter("rid = 'r2' AND active_to = TIMESTAMP_NTZ'2099-12-31 00:00:00'").collect()]
+    assert opened == ["B4"]
 
 
 def test_replace_slice_idempotent_and_empty_increment(spark):
