@@ -295,7 +295,7 @@ def q_replace_slice(spark, sf):
     path = scratch_path(spark, "stage_user_orders_log")
     write_slices(stale, path, "day")
     write_slices(stage.filter(F.col("day") == last_day), path, "day", [last_day])
-    return read_slices(spark, path, "day").drop("day")
+    return read_slices(spark, path, "day", schema=stage.schema).drop("day")
 
 
 @query("backfill_equals_daily")
@@ -307,7 +307,7 @@ def q_backfill_equals_daily(spark, sf):
     stage = _feed(spark, sf).withColumn("day", day_of())
     path = scratch_path(spark, "stage_backfill")
     write_slices(stage, path, "day")
-    return read_slices(spark, path, "day").drop("day")
+    return read_slices(spark, path, "day", schema=stage.schema).drop("day")
 
 
 @query("delete_where_in")

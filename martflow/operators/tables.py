@@ -65,7 +65,9 @@ def _remove_partition(spark: SparkSession, part_path: str) -> None:
         fs.delete(p, True)
 
 
-def read_slices(spark: SparkSession, path: str, slice_col: str, schema: str | None = None) -> DataFrame:
+def read_slices(spark: SparkSession, path: str, slice_col: str, schema=None) -> DataFrame:
+    """Read a slice-partitioned table; a declared schema (including the slice
+    column) skips schema and partition-type inference over every slice."""
     r = spark.read.option("basePath", path)
     if schema:
         r = r.schema(schema)

@@ -143,7 +143,7 @@ def load_increment(spark: SparkSession, csv_path: str, stage_dir: str, days) ->
 
 def read_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
     from martflow.operators.tables import read_slices
-    return read_slices(spark, stage_dir, "day").select(*[f.split()[0] for f in STAGE_DDL.split(", ")])
+    return read_slices(spark, stage_dir, "day", schema=STAGE_DDL + ", day string").drop("day")
 
 
 def build_marts(spark: SparkSession, stage: DataFrame, cal_start: str, cal_days: int) -> dict[str, DataFrame]:
