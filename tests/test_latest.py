@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from martflow.plans.shipping import status
 
 
@@ -30,4 +28,3 @@ def test_latest_item_name_intended_vs_literal(spark):
     assert [tuple(r) for r in latest_item_names(stage).collect()] == [(7, "new")]
     literal = sorted(tuple(r) for r in last_value_default_frame(stage).collect())
     assert literal == [(7, "new"), (7, "old")]  # B7: both names survive the literal query
-    assert F  # keep import used
