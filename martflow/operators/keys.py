@@ -16,6 +16,10 @@ from martflow.session import scratch_path
 
 OrderSpec = Sequence[str | Column]
 
+# Up to this many range partitions the offsets are inlined as an array
+# literal (no broadcast job); beyond it they are a broadcast join.
+INLINE_OFFSETS = 2048
+
 
 def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id",
                 num_partitions: int | None = None) -> DataFrame:
@@ -45,13 +49,17 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
     ranged.write.parquet(path)
     ranged = df.sparkSession.read.parquet(path)
     # one row per partition (a bounded set): turn counts into start offsets
-    counts = sorted((r[0], r[1]) for r in ranged.groupBy("_mf_pid").agg(F.count(F.lit(1))).collect())
+    counts = dict((r[0], r[1]) for r in ranged.groupBy("_mf_pid").agg(F.count(F.lit(1))).collect())
     offsets, run = [], 0
-    for pid, cnt in counts:
+    for pid in range(max(counts, default=-1) + 1):  # empty ranges count 0
         offsets.append((pid, run))
-        run += cnt
-    offsets_df = df.sparkSession.createDataFrame(offsets, "_mf_pid int, _mf_off long")
+        run += counts.get(pid, 0)
     local_index = F.col("_mf_mid") - F.shiftleft(F.col("_mf_pid").cast("long"), 33)
+    if len(offsets) <= INLINE_OFFSETS:
+        # few partitions: the offsets travel as an array literal indexed by partition id
+        off = F.element_at(F.array(*[F.lit(o).cast("long") for _, o in offsets]), F.col("_mf_pid") + 1)
+        return ranged.withColumn(key, F.lit(start).cast("long") + off + local_index).drop("_mf_pid", "_mf_mid")
+    offsets_df = df.sparkSession.createDataFrame(offsets, "_mf_pid int, _mf_off long")
     return (
         ranged.join(F.broadcast(offsets_df), "_mf_pid")
         .withColumn(key, F.lit(start).cast("long") + F.col("_mf_off") + local_index)
