@@ -277,10 +277,6 @@ def q_append_with_defaults(spark, sf):
     return append_with_defaults(stage.filter(F.col("date_time") < split), inc, {"status": STATUS_SHIPPED})
 
 
-def _stage_schema(df):
-    return df.schema
-
-
 @query("replace_slice")
 def q_replace_slice(spark, sf):
     """K4: stage written per day with a stale copy of the latest day, then
