@@ -42,3 +42,10 @@ def test_upsert_equals_sequential_on_conflict(spark):
         assert as_dict(upsert(t, b, ["k"], order)) == expect_all
         assert as_dict(upsert(t, b, ["k"], order, update_cols=["name"])) == expect_part
         assert as_dict(insert_if_absent(t, b, ["k"], order)) == expect_none
+        # idempotent: the same batch applied twice equals once
+        once = upsert(t, b, ["k"], order)
+        assert as_dict(upsert(once, b, ["k"], order)) == expect_all
+        once = upsert(t, b, ["k"], order, update_cols=["name"])
+        assert as_dict(upsert(once, b, ["k"], order, update_cols=["name"])) == expect_part
+        once = insert_if_absent(t, b, ["k"], order)
+        assert as_dict(insert_if_absent(once, b, ["k"], order)) == expect_none
