@@ -57,6 +57,12 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
             _remove_partition(spark, f"{path}/{slice_col}={s}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _remove_partition(spark: SparkSession, part_path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(part_path)

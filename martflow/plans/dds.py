@@ -129,16 +129,22 @@ def fct_product_sales(payment_events: DataFrame, products: DataFrame, orders: Da
 
 # ---------------------------------------------------------------- entry B: incremental DDS runs
 
-def append_members(existing: DataFrame | None, new: DataFrame, natural_key: list[str], order: list[str],
-                   key: str = "id") -> DataFrame:
-    """New dimension members (insert-if-absent on the natural key) numbered
-    after the current largest id; returns existing + new."""
+def new_members(existing: DataFrame | None, new: DataFrame, natural_key: list[str], order: list[str],
+                key: str = "id") -> DataFrame:
+    """Members of ``new`` (one row per natural key) not yet in the dimension
+    (insert-if-absent on the natural key), numbered after the current largest id."""
     if existing is None:
         return assign_keys(new, order, key=key).select(key, *new.columns)
     fresh = new.join(existing.select(*natural_key), natural_key, "left_anti")
     top = existing.agg(F.max(key)).first()[0] or 0
-    numbered = assign_keys(fresh, order, start=top + 1, key=key).select(key, *new.columns)
-    return existing.select(key, *new.columns).unionByName(numbered)
+    return assign_keys(fresh, order, start=top + 1, key=key).select(key, *new.columns)
+
+
+def append_members(existing: DataFrame | None, new: DataFrame, natural_key: list[str], order: list[str],
+                   key: str = "id") -> DataFrame:
+    """Existing members plus the new ones (see :func:`new_members`)."""
+    fresh = new_members(existing, new, natural_key, order, key)
+    return fresh if existing is None else existing.select(key, *new.columns).unionByName(fresh)
 
 
 class DdsRun:
@@ -150,8 +156,14 @@ class DdsRun:
     Each workflow reads only rows with id above its cursor; orders whose
     dimensions are missing wait in ``pending`` and events whose order or
     products are missing wait in ``pending_events`` (B15); the fact cursor is
-    an *event* id (B14).  Tables are published as snapshots
-    and the cursor state is published last.
+    an *event* id (B14).
+
+    The DDS tables are append-only folders under one base folder in the
+    shared storage: a run writes only its new rows, so its cost follows the
+    increment, not the table.  A replayed run is harmless: new dimension
+    members are anti-joined against the stored ones, and fact rows of events
+    already stored are skipped.  The small pending sets and the cursor state
+    are published per run, the state last.
     """
 
     WF = {"users": "users_raw_to_dds", "restaurants": "restaurants_raw_to_dds",
@@ -160,9 +172,11 @@ class DdsRun:
 
     def __init__(self, spark, staged: dict[str, DataFrame], prev: "DdsRun | None" = None):
         from martflow.operators.cursor import cursor_advance, cursor_get, empty_state
-        from martflow.operators.tables import publish
+        from martflow.operators.tables import path_exists, publish
+        from martflow.session import scratch_path
         self.spark = spark
-        p = prev.tables if prev else {}
+        self.base = prev.base if prev else scratch_path(spark, "dds")
+        self.schemas = dict(prev.schemas) if prev else {}
         state = prev.state if prev else empty_state(spark)
 
         def since(name, df):
@@ -171,44 +185,61 @@ class DdsRun:
         def advance(st, name, batch):
             return cursor_advance(st, batch, "id", F.lit(self.WF[name]))
 
+        def stored(name):
+            path = f"{self.base}/{name}"
+            if name not in self.schemas or not path_exists(spark, path):
+                return None
+            return spark.read.schema(self.schemas[name]).parquet(path)
+
+        def append(name, rows):
+            rows.write.mode("append").parquet(f"{self.base}/{name}")
+            self.schemas[name] = rows.schema
+            return stored(name)
+
+        def add_members(name, new, natural_key):
+            return append(name, new_members(stored(name), new, natural_key, natural_key))
+
         t = {}
         users_b = since("users", staged["users"])
         u = _doc(users_b, USER_DOC).select(F.col("d._id").alias("user_id"), F.col("d.name").alias("user_name"),
                                             F.col("d.login").alias("user_login"))
-        t["dm_users"] = publish(append_members(p.get("dm_users"), u, ["user_id"], ["user_id"]), "dm_users")
+        t["dm_users"] = add_members("dm_users", u, ["user_id"])
 
         rest_b = since("restaurants", staged["restaurants"])
         r = _doc(rest_b, RESTAURANT_DOC).select(
             F.col("d._id").alias("restaurant_id"), F.col("d.name").alias("restaurant_name"),
             parse_doc_ts("d.update_ts").alias("active_from"), sentinel().alias("active_to"))
-        t["dm_restaurants"] = publish(append_members(p.get("dm_restaurants"), r, ["restaurant_id", "active_from"],
-                                                     ["restaurant_id", "active_from"]), "dm_restaurants")
+        t["dm_restaurants"] = add_members("dm_restaurants", r, ["restaurant_id", "active_from"])
 
         prod_b = since("products", staged["restaurants"])
         newp = dm_products(prod_b, t["dm_restaurants"]).drop("id")
-        t["dm_products"] = publish(append_members(p.get("dm_products"), newp, ["product_id", "restaurant_id"],
-                                                  ["product_id", "restaurant_id"]), "dm_products")
+        t["dm_products"] = add_members("dm_products", newp, ["product_id", "restaurant_id"])
 
         ord_b = since("orders", staged["orders"])
         ts = dm_timestamps(ord_b).drop("id")
-        t["dm_timestamps"] = publish(append_members(p.get("dm_timestamps"), ts, ["ts"], ["ts"]), "dm_timestamps")
+        t["dm_timestamps"] = add_members("dm_timestamps", ts, ["ts"])
 
         todo = parse_orders(ord_b)
         if prev is not None:
             todo = todo.unionByName(prev.pending)
         ok, waiting = resolve_orders(todo, t["dm_restaurants"], t["dm_timestamps"], t["dm_users"])
         o = ok.select("order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
-        t["dm_orders"] = publish(append_members(p.get("dm_orders"), o, ["order_key"], ["order_key"]), "dm_orders")
+        t["dm_orders"] = add_members("dm_orders", o, ["order_key"])
         self.pending = publish(waiting, "orders_pending")
 
         # facts: new events plus the ones still waiting from earlier runs
         ev_new = since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION))
         ev_todo = ev_new if prev is None else ev_new.unionByName(prev.pending_events)
-        facts = publish(fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"]), "fct_product_sales_batch")
+        facts = fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"])
+        old = stored("fct_product_sales")
+        if old is not None:  # a replayed run does not store an event twice
+            facts = facts.join(old.select("event_id").distinct(), "event_id", "left_anti").select(*facts.columns)
+        facts = publish(facts, "fct_product_sales_batch")
+        t["fct_product_sales"] = append("fct_product_sales", facts)
         done = facts.select(F.col("event_id").alias("id")).distinct()
+        if old is not None:
+            done = done.unionByName(old.select(F.col("event_id").alias("id"))).distinct()
         self.pending_events = publish(ev_todo.join(done, "id", "left_anti"), "events_pending")
-        old = p.get("fct_product_sales")
-        t["fct_product_sales"] = publish(old.unionByName(facts) if old is not None else facts, "fct_product_sales")
 
         st = state
         st = advance(st, "users", users_b)
