@@ -147,8 +147,8 @@ def read_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, stage: DataFrame, cal_start: str, cal_days: int) -> dict[str, DataFrame]:
-    """M10-M14 over the whole stage; each result is published (K3 full
-    refresh) as a new snapshot under the shared folder."""
+    """M10-M14 rebuilt from the whole stage (a first load or a full rebuild);
+    each result is published (K3 full refresh) under the shared folder."""
     from martflow.operators.tables import publish
     from martflow.sources.calendar import calendar
     cal = publish(calendar(spark, cal_start, cal_days), "d_calendar")
@@ -164,9 +164,48 @@ def build_marts(spark: SparkSession, stage: DataFrame, cal_start: str, cal_days:
     }
 
 
-def run_increment(spark: SparkSession, csv_path: str, stage_dir: str, days, cal_start: str = CAL_START,
+FACT_DDL = ("date_id int, item_id int, customer_id long, quantity long, payment_amount decimal(10,2), "
+            "status string, day string")
+CUSTOMER_DDL = "id long, customer_id long, first_name string, last_name string, city_id int"
+
+
+def run_increment(spark: SparkSession, csv_path: str, base_dir: str, days, cal_start: str = CAL_START,
                   cal_days: int = CAL_DAYS) -> dict[str, DataFrame]:
-    """T4: load the increment for ``days`` (re-runnable for any past day),
-    then rebuild the marts.  A backfill passes all its days at once."""
+    """T4 / Entry A: load the increment for ``days`` and maintain the marts
+    under ``base_dir`` incrementally (re-runnable for any past day; a
+    backfill passes all its days at once):
+
+    - stage and fact: the days' slices are replaced (K4 / K5 + insert), so a
+      run rewrites only its days;
+    - d_customer: customers NOT IN the dimension are appended with ids after
+      the current maximum (M10 as written: grouped over the whole stage);
+    - d_item: latest name per item over the stage (one partial aggregation);
+    - customer_retention: full refresh from the fact (K3), as in the reference.
+    """
+    import datetime as dt
+
+    from martflow.operators.tables import path_exists, publish, read_slices, write_slices
+    from martflow.sources.calendar import calendar
+    days = [days] if isinstance(days, str) else sorted(days)
+    stage_dir, fact_dir, cust_dir = f"{base_dir}/stage", f"{base_dir}/f_daily_sales", f"{base_dir}/d_customer"
     load_increment(spark, csv_path, stage_dir, days)
-    return build_marts(spark, read_stage(spark, stage_dir), cal_start, cal_days)
+    stage = read_stage(spark, stage_dir)
+    cal = calendar(spark, cal_start, cal_days)
+
+    inc = stage.filter(day_of().isin(*days))
+    end = (dt.date.fromisoformat(days[-1]) + dt.timedelta(days=1)).isoformat()
+    fact_inc = f_daily_sales(spark, inc, cal, days[0], end).join(
+        F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id")
+    write_slices(fact_inc, fact_dir, "day", days)
+    fact = read_slices(spark, fact_dir, "day", schema=FACT_DDL).drop("day")
+
+    existing = spark.read.schema(CUSTOMER_DDL).parquet(cust_dir) if path_exists(spark, cust_dir) else None
+    top = 0 if existing is None else (existing.agg(F.max("id")).first()[0] or 0)
+    d_customer(stage, existing, start_id=top + 1).write.mode("append").parquet(cust_dir)
+    return {
+        "d_calendar": cal,
+        "d_customer": spark.read.schema(CUSTOMER_DDL).parquet(cust_dir),
+        "d_item": publish(d_item(stage), "d_item"),
+        "f_daily_sales": fact,
+        "customer_retention": publish(customer_retention(retention_base(fact, cal)), "customer_retention"),
+    }
