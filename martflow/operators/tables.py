@@ -152,12 +152,19 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     return merged.unionByName(inserted)
 
 
+def rows_if_absent(target: DataFrame, source: DataFrame, key: Sequence[str],
+                   order: Sequence[Column]) -> DataFrame:
+    """U2, the rows to add: the first source row per key, for keys not in the
+    target.  For an insert-only table append these instead of rewriting it."""
+    key = list(key)
+    src = _one_per_key(source, key, order, last=False).select(*target.columns)
+    return src.join(target.select(*key), key, "left_anti")
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, key: Sequence[str],
                      order: Sequence[Column]) -> DataFrame:
     """INSERT .. ON CONFLICT DO NOTHING; the first source row per key wins."""
-    key = list(key)
-    src = _one_per_key(source, key, order, last=False).select(*target.columns)
-    return target.unionByName(src.join(target.select(*key), key, "left_anti"))
+    return target.unionByName(rows_if_absent(target, source, key, order))
 
 
 def update_from_lookup(target: DataFrame, lookup: DataFrame, key: str, col: str) -> DataFrame:

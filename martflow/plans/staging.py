@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martflow.functions.scalars import to_json_keep_nulls
 from martflow.operators.cursor import cursor_advance, cursor_get
-from martflow.operators.tables import insert_if_absent, upsert
+from martflow.operators.tables import insert_if_absent, rows_if_absent, upsert
 from martflow.sources.staged import SESSION_LIMIT, oldest_k
 
 
@@ -27,13 +27,15 @@ def load_bonus_users(staged: DataFrame, users: DataFrame, order: str = "id") ->
 
 def load_events(staged: DataFrame, outbox: DataFrame, state: DataFrame,
                 wf_key: str = "events_origin_to_stg") -> tuple[DataFrame, DataFrame]:
-    """Outbox rows with id > cursor appended once (the staged
-    table's primary key is the event id); returns (new staged, new state).
+    """Outbox rows with id > cursor, each stored once (the
+    staged table's primary key is the event id).  Returns (rows to append,
+    new state): the staged table is insert-only, so a run appends its batch
+    instead of rewriting the table; publish the state after the append.
     An empty batch keeps the cursor (B17)."""
     cur = cursor_get(state, wf_key)
     batch = outbox.filter(F.col("id") > F.lit(cur)).select(*staged.columns)
-    new = insert_if_absent(staged, batch, ["id"], [F.col("id")])
-    return new, cursor_advance(state, batch, "id", F.lit(wf_key))
+    new_rows = rows_if_absent(staged, batch, ["id"], [F.col("id")])
+    return new_rows, cursor_advance(state, batch, "id", F.lit(wf_key))
 
 
 def copy_collection(staged: DataFrame, documents: DataFrame, id_col: str = "_id", ts_col: str = "update_ts",

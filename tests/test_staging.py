@@ -3,6 +3,7 @@
 import datetime as dt
 
 from martflow.operators.cursor import cursor_get, empty_state
+from martflow.session import scratch_path
 from martflow.plans.staging import copy_collection, load_bonus_users, load_events, load_ranks
 
 T = dt.datetime(2024, 1, 1)
@@ -21,10 +22,13 @@ def test_ranks_users_events(spark):
     assert rows(load_bonus_users(staged_u, users)) == [(1, "u-old"), (2, "u2")]
     ddl = "id long, event_ts timestamp_ntz, event_type string, event_value string"
     outbox = spark.createDataFrame([(i, T, "user_rank", "{}") for i in range(1, 6)], ddl)
-    staged_e, state = load_events(spark.createDataFrame([], ddl), outbox.filter("id <= 3"), empty_state(spark))
-    staged_e, state = load_events(staged_e, outbox, state)
-    staged_e, state = load_events(staged_e, outbox, state)  # nothing new
-    assert [r.id for r in staged_e.orderBy("id").collect()] == [1, 2, 3, 4, 5]
+    path = scratch_path(spark, "t_stg_events")
+    spark.createDataFrame([], ddl).write.parquet(path)
+    state = empty_state(spark)
+    for source in (outbox.filter("id <= 3"), outbox, outbox):  # the last run has nothing new
+        new_rows, state = load_events(spark.read.schema(ddl).parquet(path), source, state)
+        new_rows.write.mode("append").parquet(path)  # insert-only: append, never rewrite
+    assert [r.id for r in spark.read.schema(ddl).parquet(path).orderBy("id").collect()] == [1, 2, 3, 4, 5]
     assert cursor_get(state, "events_origin_to_stg") == 5
 
 
