@@ -806,7 +806,8 @@ def q_stream_upsert(spark, sf):
     S.upsert_stream(spark, src, DOC_DDL, ckpt, table, ["object_id"], order)
     _arrive(docs(o.filter(F.col("o_orderstatus") != "O"), 2, 1), src)
     S.upsert_stream(spark, src, DOC_DDL, ckpt, table, ["object_id"], order)
-    return S.latest_snapshot(spark, table, DOC_DDL)
+    from martflow.operators.tables import read_buckets
+    return read_buckets(spark, table, DOC_DDL)
 
 
 @query("dm_deliveries_date_literal")

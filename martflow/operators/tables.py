@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from martflow.functions.scalars import sentinel
 from martflow.session import scratch_path
@@ -175,6 +176,43 @@ def update_from_lookup(target: DataFrame, lookup: DataFrame, key: str, col: str)
         .select(*target.columns)
 
 
+def upsert_buckets(table_dir: str, batch: DataFrame, key: Sequence[str], order: Sequence[Column],
+                   schema, update_cols: Sequence[str] | None = None, buckets: int = 64,
+                   bucket_col: str = "_bucket") -> None:
+    """U1/U3 applied in place to a table stored as hash buckets of the key:
+    only the buckets the batch touches are read, upserted, staged in the
+    shared folder, and swapped in with a dynamic partition overwrite.  A run
+    costs O(touched buckets), not O(table); a replay recomputes from the
+    unchanged table and rewrites the same buckets."""
+    spark = batch.sparkSession
+    key = list(key)
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+    b = batch.withColumn(bucket_col, bucket)
+    touched = [r[0] for r in b.select(bucket_col).distinct().collect()]  # at most ``buckets`` values
+    if not touched:
+        return
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    cols = struct.fieldNames()
+    if path_exists(spark, table_dir):  # partition pruning: only the touched buckets are read
+        current = spark.read.parquet(table_dir).filter(F.col(bucket_col).isin(*touched)).select(*cols)
+    else:
+        current = spark.createDataFrame([], struct)
+    merged = upsert(current, b.select(*cols, *[c for c in b.columns if c not in cols and c != bucket_col]),
+                    key, order, update_cols).select(*cols).withColumn(bucket_col, bucket)
+    staging = scratch_path(spark, "upsert_buckets")
+    merged.write.parquet(staging)  # materialised: the swap no longer reads the table it overwrites
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(bucket_col).parquet(table_dir))
+
+
+def read_buckets(spark: SparkSession, table_dir: str, schema, bucket_col: str = "_bucket") -> DataFrame:
+    """The current rows of a table kept by :func:`upsert_buckets`."""
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if not path_exists(spark, table_dir):
+        return spark.createDataFrame([], struct)
+    return spark.read.parquet(table_dir).select(*struct.fieldNames())
+
+
 # ---------------------------------------------------------------- validity ranges
 
 

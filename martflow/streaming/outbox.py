@@ -6,8 +6,9 @@
 - ``dedupe``: the outbox's primary key as ``dropDuplicatesWithinWatermark``;
   state is bounded by the watermark delay.
 - ``upsert``: ``foreachBatch`` reduces each micro-batch to the latest row per
-  key and publishes the upserted table as a snapshot named by batch id, so a
-  replayed batch rewrites the same snapshot (idempotent).
+  key and rewrites only the hash buckets of the table that the batch
+  touches (dynamic partition overwrite); a replayed batch rewrites the same
+  buckets with the same rows (idempotent).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martflow.operators.tables import upsert
 
 
 def read_stream(spark: SparkSession, source_dir: str, schema: str, fmt: str = "parquet") -> DataFrame:
@@ -56,35 +56,14 @@ def dedupe(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, s
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, table_dir: str,
-                  key: Sequence[str], order: Sequence[Column]) -> None:
-    """Micro-batch upsert.  Snapshot ``v=<batch id>`` = upsert(previous
-    snapshot, batch); the previous snapshot is the highest version below the
-    batch id, so replaying a batch gives the same result."""
-    init = f"{table_dir}/v=-1"
-    if not _exists(spark, table_dir):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(init)  # empty first version
+                  key: Sequence[str], order: Sequence[Column], update_cols: Sequence[str] | None = None,
+                  buckets: int = 64) -> None:
+    """Micro-batch upsert into a table kept as hash buckets of the key:
+    each batch rewrites only the buckets it touches (``upsert_buckets``), so
+    a batch costs O(touched buckets); a replayed batch recomputes the same
+    buckets from the unchanged table."""
+    from martflow.operators.tables import upsert_buckets
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_snapshot(spark, table_dir, schema, before=batch_id)
-        new = upsert(prev, batch, list(key), list(order)).select(*prev.columns)
-        new.write.mode("overwrite").parquet(f"{table_dir}/v={batch_id}")
+        upsert_buckets(table_dir, batch, key, order, schema, update_cols, buckets)
     run_available(read_stream(spark, source_dir, schema), checkpoint, apply)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def latest_snapshot(spark: SparkSession, table_dir: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest ``v=<n>`` snapshot (optionally with n < before); empty if none."""
-    if not _exists(spark, table_dir):
-        return spark.createDataFrame([], schema)
-    versions = spark.read.parquet(table_dir).select("v").distinct()
-    if before is not None:
-        versions = versions.filter(F.col("v") < before)
-    top = versions.agg(F.max("v")).first()[0]
-    if top is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{table_dir}/v={top}")
