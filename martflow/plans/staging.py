@@ -38,6 +38,29 @@ def load_events(staged: DataFrame, outbox: DataFrame, state: DataFrame,
     return new_rows, cursor_advance(state, batch, "id", F.lit(wf_key))
 
 
+STAGED_DOC_DDL = "object_id string, object_value string, update_ts timestamp_ntz"
+
+
+def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, since) -> DataFrame:
+    docs = documents if since is None else documents.filter(F.col(ts_col) > F.lit(since))
+    picked = oldest_k(docs, limit, ts_col=ts_col, id_col=id_col)
+    return picked.select(
+        F.col(id_col).cast("string").alias("object_id"),
+        to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
+        F.col(ts_col).alias("update_ts"))
+
+
+def copy_collection_into(table_dir: str, documents: DataFrame, id_col: str = "_id", ts_col: str = "update_ts",
+                         limit: int = SESSION_LIMIT, since=None, buckets: int = 64) -> None:
+    """M16 in place: as :func:`copy_collection`, but the staged table is kept
+    as hash buckets of ``object_id`` and only the buckets holding copied
+    documents are rewritten, so a session costs O(copied), not O(staged)."""
+    from martflow.operators.tables import upsert_buckets
+    rows = _doc_rows(documents, id_col, ts_col, limit, since)
+    upsert_buckets(table_dir, rows, ["object_id"], [F.col("update_ts")], STAGED_DOC_DDL,
+                   update_cols=["object_value"], buckets=buckets)
+
+
 def copy_collection(staged: DataFrame, documents: DataFrame, id_col: str = "_id", ts_col: str = "update_ts",
                     limit: int = SESSION_LIMIT, since=None) -> DataFrame:
     """Copy up to ``limit`` documents (oldest first by
@@ -45,11 +68,6 @@ def copy_collection(staged: DataFrame, documents: DataFrame, id_col: str = "_id"
     its payload refreshed and keeps its stored update_ts (as written, B18).
     ``since`` (the largest staged update_ts) turns the copy into a cursor
     read so later sessions do not re-read the oldest documents."""
-    docs = documents if since is None else documents.filter(F.col(ts_col) > F.lit(since))
-    picked = oldest_k(docs, limit, ts_col=ts_col, id_col=id_col)
-    rows = picked.select(
-        F.col(id_col).cast("string").alias("object_id"),
-        to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
-        F.col(ts_col).alias("update_ts"))
+    rows = _doc_rows(documents, id_col, ts_col, limit, since)
     return upsert(staged.select("object_id", "object_value", "update_ts"), rows, ["object_id"],
                   [F.col("update_ts")], update_cols=["object_value"])

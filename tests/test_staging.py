@@ -43,3 +43,15 @@ def test_copy_collection_limit_and_partial_refresh(spark):
     assert out["d0"].object_value == '{"_id":"d0","name":"n0","update_ts":"2024-01-01 00:00:00"}'
     later = copy_collection(staged, docs, limit=3, since=T + dt.timedelta(hours=2))
     assert sorted(r.object_id for r in later.collect()) == ["d0", "d3", "d4"]
+
+
+def test_copy_collection_into_bucketed_table(spark):
+    from martflow.operators.tables import read_buckets
+    from martflow.plans.staging import STAGED_DOC_DDL, copy_collection_into
+    docs = spark.createDataFrame([(f"d{i}", f"n{i}", T + dt.timedelta(hours=i)) for i in range(5)],
+                                 "_id string, name string, update_ts timestamp_ntz")
+    table = scratch_path(spark, "t_staged_docs")
+    copy_collection_into(table, docs, limit=3, buckets=8)
+    copy_collection_into(table, docs, limit=3, since=T + dt.timedelta(hours=2), buckets=8)
+    got = {r.object_id: r.update_ts for r in read_buckets(spark, table, STAGED_DOC_DDL).collect()}
+    assert sorted(got) == ["d0", "d1", "d2", "d3", "d4"] and got["d4"] == T + dt.timedelta(hours=4)
