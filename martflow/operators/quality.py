@@ -82,3 +82,43 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+# The marts' own constraints, re-aimed as rules run on the published frames.
+def _rfm(df: DataFrame) -> list[DataFrame]:
+    rng = {c: F.col(c).between(1, 5) for c in ("recency", "frequency", "monetary_value")}
+    return [not_null(df, "dm_rfm_segments"), unique(df, "dm_rfm_segments", ["user_id"]),
+            row_predicates(df, "dm_rfm_segments", rng)]
+
+
+def _fact(df: DataFrame) -> list[DataFrame]:
+    # PK (date_id, item_id, customer_id): the DISTINCT load can keep rows that
+    # differ only in quantity/status (B13) -- reported here, never dropped
+    return [not_null(df, "f_daily_sales", ["date_id", "item_id", "customer_id"]),
+            unique(df, "f_daily_sales", ["date_id", "item_id", "customer_id"])]
+
+
+def _timestamps(df: DataFrame) -> list[DataFrame]:
+    return [unique(df, "dm_timestamps", ["id"]), row_predicates(df, "dm_timestamps", {
+        "year_2020_2499": (F.col("year") >= 2020) & (F.col("year") < 2500),
+        "month_0_12": F.col("month").between(0, 12), "day_0_31": F.col("day").between(0, 31)})]
+
+
+def _keyed(table: str, key: str):
+    return lambda df: [unique(df, table, [key]), not_null(df, table, [key])]
+
+
+MART_RULES = {
+    "dm_rfm_segments": _rfm,
+    "f_daily_sales": _fact,
+    "dm_timestamps": _timestamps,
+    "d_customer": _keyed("d_customer", "id"),
+    "d_item": _keyed("d_item", "item_id"),
+    "customer_retention": _keyed("customer_retention", "period_id"),
+}
+
+
+def check_marts(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """Run each known mart's constraint rules; one (table, rule, violations) row per rule."""
+    frames = [f for name, df in marts.items() if name in MART_RULES for f in MART_RULES[name](df)]
+    return union_all(frames)
