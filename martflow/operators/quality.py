@@ -108,7 +108,23 @@ def _keyed(table: str, key: str):
     return lambda df: [unique(df, table, [key]), not_null(df, table, [key])]
 
 
+def _products(df: DataFrame) -> list[DataFrame]:
+    return [unique(df, "dm_products", ["id"]),
+            row_predicates(df, "dm_products", {"price_non_negative": F.col("product_price") >= 0})]
+
+
+def _product_sales(df: DataFrame) -> list[DataFrame]:
+    cols = ["count", "price", "total_sum", "bonus_payment", "bonus_grant"]
+    return [not_null(df, "fct_product_sales", ["product_id", "order_id"]),
+            row_predicates(df, "fct_product_sales", {f"{c}_non_negative": F.col(c) >= 0 for c in cols})]
+
+
 MART_RULES = {
+    "dm_products": _products,
+    "fct_product_sales": _product_sales,
+    "dm_orders": _keyed("dm_orders", "id"),
+    "dm_users": _keyed("dm_users", "id"),
+    "dm_restaurants": _keyed("dm_restaurants", "id"),
     "dm_rfm_segments": _rfm,
     "f_daily_sales": _fact,
     "dm_timestamps": _timestamps,

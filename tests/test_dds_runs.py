@@ -52,3 +52,18 @@ def test_two_runs_equal_one(spark, sf_small):
                            "events": events}, prev=run1)
     assert _nat(again) == _nat(one)
     assert again.tables["dm_orders"].count() == again.tables["dm_orders"].select("order_key").distinct().count()
+
+
+def test_dds_constraints(spark, sf_small):
+    from martflow.operators.quality import check_marts
+    t = Tables(spark, sf_small)
+    n = A.n_suppliers(t)
+    run = DdsRun(spark, {"users": A.v_user_docs(t).withColumn("id", F.col("object_id").cast("long")),
+                         "restaurants": A.v_rest_docs(t, n), "orders": A.v_order_docs(t),
+                         "events": A.v_payment_events(t)})
+    res = {(r.table_name, r.rule): r.violations for r in check_marts(run.tables).collect()}
+    assert res[("fct_product_sales", "check:count_non_negative")] == 0
+    assert res[("dm_products", "check:price_non_negative")] == 0
+    assert all(v == 0 for (tbl, rule), v in res.items() if rule.startswith("unique"))
+    # the test data's timestamps are 1995-2001, outside the DDL's 2020-2499 range: reported, not dropped
+    assert res[("dm_timestamps", "check:year_2020_2499")] == run.tables["dm_timestamps"].count()
