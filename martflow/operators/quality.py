@@ -120,6 +120,11 @@ def _product_sales(df: DataFrame) -> list[DataFrame]:
 
 
 MART_RULES = {
+    "shipping_info": _keyed("shipping_info", "shippingid"),
+    "shipping_status": _keyed("shipping_status", "shippingid"),
+    "shipping_agreement": _keyed("shipping_agreement", "agreementid"),
+    "shipping_country_rates": _keyed("shipping_country_rates", "shipping_country_id"),
+    "shipping_transfer": _keyed("shipping_transfer", "transfer_type_id"),
     "dm_products": _products,
     "fct_product_sales": _product_sales,
     "dm_orders": _keyed("dm_orders", "id"),

@@ -92,3 +92,14 @@ def test_courier_vanishes_then_returns(spark):
     snap = spark.createDataFrame([("a", "na"), ("b", "nb")], "courier_id string, courier_name string")
     v = versioned_upsert(d2, snap, "courier_id", ["courier_name"], "2024-01-03 00:00:00")
     assert v.filter("courier_id = 'b' AND active_to = TIMESTAMP_NTZ'2099-12-31 00:00:00'").count() == 1
+
+
+def test_shipping_tables_keep_their_primary_keys(spark, sf_small):
+    from martflow import adapters as A
+    from martflow.operators.quality import check_marts
+    from martflow.plans.shipping import Model
+    from martflow.sources.tables import Tables
+    m = Model(A.v_shipping(Tables(spark, sf_small)))
+    marts = {"shipping_info": m.info, "shipping_status": m.status, "shipping_agreement": m.agreement,
+             "shipping_country_rates": m.country, "shipping_transfer": m.transfer}
+    assert all(r.violations == 0 for r in check_marts(marts).collect())
