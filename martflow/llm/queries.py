@@ -11,11 +11,30 @@ from martflow.sources.tables import read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def public_tokenizer(name: str) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op1_token_counts(spark, sf_dir):
+    """Tokens of every document under the 32k sentencepiece model."""
+    from martflow.llm.tokens import Tokenizer, token_counts
+    return token_counts(read_table(spark, sf_dir, "documents"), Tokenizer(public_tokenizer("piece_bpe_32k.model")))
+
+
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    """Bytes of every document in strings of 100 bytes that start earlier too."""
+    from martflow.llm.repeats import without_repeats
+    return without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_pii(spark, sf_dir):
     """Personal data in every document."""
@@ -50,6 +69,13 @@ def op6_mixing(spark, sf_dir):
     return rows.select("doc.doc_id", "doc.source", "doc.text", "replica", "shuffle_key")
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from labels that aren't held out."""
+    from martflow.llm.toxicity import toxicity
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     """Benchmark passages in every document."""
@@ -57,6 +83,21 @@ def op8_decontamination(spark, sf_dir):
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_lm_scoring(spark, sf_dir):
+    """Loss of every document under English against all documents."""
+    from martflow.llm import language_model as lm
+    docs = read_table(spark, sf_dir, "documents")
+    return lm.scored(docs, lm.train(docs, F.col("lang") == "en"))
+
+
+@query
+def op10_url_filter(spark, sf_dir):
+    """Verdict on every page's URL."""
+    from martflow.llm.url_filter import judged
+    return judged(read_table(spark, sf_dir, "pages"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """The corpus pipeline: quality, near-duplicates, decontamination, personal data, mixture."""

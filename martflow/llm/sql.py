@@ -31,3 +31,39 @@ WITH RECURSIVE per AS (
 SELECT doc_id, source, text, r.r::INT AS replica, md5('mix/order|' || coalesce(doc_id::VARCHAR, '') || '|' || r.r) AS shuffle_key
 FROM drawn, generate_series(1, n) AS r(r)
 """
+
+# Hosts and paths as the contract has them; the pattern rules are written out.
+ORACLE["op10_url_filter"] = r"""
+WITH cut AS (
+    SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+           CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), split AS (
+    SELECT page_id, low,
+           translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), sites(site, prefix, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), best AS (
+    SELECT s.*, (SELECT max_by({'name': t.site || t.prefix, 'verdict': t.verdict}, length(t.site || t.prefix)) FROM sites t
+                 WHERE (s.host = t.site OR ends_with(s.host, '.' || t.site)) AND starts_with(s.path, t.prefix)) AS b
+    FROM split s
+), words(n, name, verdict, pattern) AS (
+    VALUES (4, 'spam-farm', 'block', '(^|[^a-z0-9])spam-farm([^a-z0-9]|$)'),
+           (5, 'cheap-pills', 'block', '(^|[^a-z0-9])cheap-pills([^a-z0-9]|$)'),
+           (6, 'casino', 'block', '(^|[^a-z0-9])casino([^a-z0-9]|$)'),
+           (7, 'free*download', 'block', '(^|[^a-z0-9])free([^a-z0-9]|[^a-z0-9].*[^a-z0-9])download([^a-z0-9]|$)'),
+           (8, 'adult', 'block', '(^|[^a-z0-9])adult([^a-z0-9]|$)'),
+           (9, 'login', 'block', '(^|[^a-z0-9])login([^a-z0-9]|$)'),
+           (10, 'cheap-pills*about', 'allow', '(^|[^a-z0-9])cheap-pills([^a-z0-9]|[^a-z0-9].*[^a-z0-9])about([^a-z0-9]|$)')
+), judged AS (
+    SELECT b.*, (SELECT min_by(name, n) FROM words w WHERE w.verdict = 'allow' AND regexp_matches(b.low, w.pattern, 's')) AS allows,
+           (SELECT min_by(name, n) FROM words w WHERE w.verdict = 'block' AND regexp_matches(b.low, w.pattern, 's')) AS blocks
+    FROM best b
+)
+SELECT page_id, host, path, b.name AS rule,
+       coalesce(b.verdict, CASE WHEN allows IS NULL AND blocks IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN b IS NULL THEN coalesce(allows, blocks) END AS pattern_rule
+FROM judged
+"""
