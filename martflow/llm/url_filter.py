@@ -113,14 +113,14 @@ def judged(pages: DataFrame, rules=SITES + WORDS, id_col: str = "page_id", url_c
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     low = F.translate(F.coalesce("url", F.lit("")), upper, upper.lower())
     candidates = distinct.select("url", F.explode(tokens(F.col("url"))).alias("token")).join(small(filed), "token")
-    hits = candidates.withColumn("target", F.when(F.col("site"), F.concat(*parts(F.col("url")))).otherwise(low)).where(F.col("target").rlike(F.col("pattern")))
+    hits = candidates.withColumn("target", F.when(F.col("site"), F.concat(*parts(F.col("url")))).otherwise(low)).where(F.rlike("target", F.col("pattern")))
     order = F.struct(F.length("name").alias("length"), (-F.col("rule_id")).alias("first"), F.col("name"), F.col("rule_verdict"))
     decided = hits.groupBy("url").agg(
         F.max(F.when(F.col("site"), order)).alias("best"),
         F.min(F.when(~F.col("site") & (F.col("rule_verdict") == "allow"), F.struct("rule_id", "name"))).alias("allows"),
         F.min(F.when(~F.col("site") & (F.col("rule_verdict") == "block"), F.struct("rule_id", "name"))).alias("blocks"))
     by_pattern = F.when(F.col("allows").isNull() & F.col("blocks").isNotNull(), "block").otherwise("allow")
-    out = urls.join(decided, urls["url"].eqNullSafe(decided["url"]), "left").drop(decided["url"])
+    out = urls.join(decided.withColumnRenamed("url", "judged_url"), F.col("url").eqNullSafe(F.col("judged_url")), "left")
     return out.select("page_id", host.alias("host"), path.alias("path"), F.col("best.name").alias("rule"),
                       F.coalesce("best.rule_verdict", by_pattern).alias("verdict"),
                       F.when(F.col("best").isNull(), F.coalesce("allows.name", "blocks.name")).alias("pattern_rule"))

@@ -34,12 +34,18 @@ def plain(docs, word_share, bigram_share, weight=0.7):
         counts.append((c2, c1, h))
     kept = {p for p, n in counts[0][0].items() if n >= max(1.0, bigram_share * total)}
 
+    mass = [{}, {}]
+    for m in (0, 1):
+        for q in kept:
+            mass[m][q[0]] = mass[m].get(q[0], 0) + counts[m][0].get(q, 0) / max(counts[m][2].get(q[0], 0), 1)
+    sums = [sum(c[1].values()) for c in counts]
+
     def p(m, a, b):
         c2, c1, h = counts[m]
-        n, size = sum(c1.values()), len(vocab) + 2
+        n, size = sums[m], len(vocab) + 2
         single = (c1.get(b, 0) + 1) / (n + size)
         share = lambda q: c2.get(q, 0) / max(h.get(q[0], 0), 1)
-        left = 1 - weight * sum(share(q) for q in kept if q[0] == a)
+        left = 1 - weight * mass[m].get(a, 0)
         return (weight * share((a, b)) if (a, b) in kept else 0) + left * single
 
     out = {}
