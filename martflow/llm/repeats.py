@@ -313,6 +313,8 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_bytes(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: float = CROWD, least: int = CROWD_LEAST) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256) of ``texts`` (doc long,
     body binary), whose ``doc`` is unique and gives the order."""
+    # an inner join would add this to its own side only, and the two shuffles of the texts couldn't be one
+    texts = texts.where("doc is not null")
     spans = _repeats(texts, length, gram, crowd, least).groupBy("doc").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")).withColumnRenamed("doc", "of")
     joined = texts.join(spans, F.col("doc") == F.col("of"), "left").select("doc", "body", "spans")
