@@ -60,16 +60,25 @@ def q_ntile_distributed(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "decile")
 
 
+def _orders_table(t):
+    """The orders table with its eight columns."""
+    bonus, grant = F.lit(0.1).cast("decimal(2,1)"), F.lit(0.01).cast("decimal(3,2)")
+    return A.v_orders(t).select(
+        "order_id", "order_ts", "user_id", (F.col("payment") * bonus).cast("decimal(19,5)").alias("bonus_payment"), "payment",
+        (F.col("payment") + F.col("payment") * bonus).cast("decimal(19,5)").alias("cost"),
+        (F.col("payment") * grant).cast("decimal(19,5)").alias("bonus_grant"), "status")
+
+
 @query("orders_final_status")
 def q_orders_final_status(spark, sf):
     t = Tables(spark, sf)
-    return P_orders.orders_final_status(A.v_orders(t), A.v_status_log(t))
+    return P_orders.orders_final_status(_orders_table(t), A.v_status_log(t))
 
 
 @query("orders_latest_status")
 def q_orders_latest_status(spark, sf):
     t = Tables(spark, sf)
-    return P_orders.orders_latest_status(A.v_orders(t), A.v_status_log(t))
+    return P_orders.orders_latest_status(_orders_table(t), A.v_status_log(t))
 
 
 @query("layer_views")
@@ -77,10 +86,20 @@ def q_layer_views(spark, sf):
     """The analysis layer reads production only through pass-through views."""
     from martflow.sources.views import register_layer
     t = Tables(spark, sf)
-    names = register_layer(spark, "production", {"orders": A.v_orders(t), "users": A.v_users(t),
-                                                  "orderstatuslog": A.v_status_log(t)})
-    register_layer(spark, "analysis", {k: spark.table(v) for k, v in names.items()})
-    return spark.table("analysis_orders")
+    items = A.v_order_items(t)
+    statuses = A.v_status_log(t).select(F.col("status_id").alias("id")).distinct()
+    names = register_layer(spark, "production", {
+        "orders": _orders_table(t), "users": A.v_users(t), "orderstatuslog": A.v_status_log(t), "orderitems": items,
+        "products": items.select("product_id", "name", "price").distinct(), "orderstatuses": statuses})
+    views = register_layer(spark, "analysis", {k: spark.table(v) for k, v in names.items()})
+    # every row of every view, as one result
+    rows = [spark.table(v).select(F.lit(k).alias("view"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for k, v in views.items()]
+    keys = {"orders": "order_id", "users": "id", "orderstatuslog": "order_id", "orderitems": "order_id", "products": "product_id", "orderstatuses": "id"}
+    out = [r.groupBy("view").agg(F.count("*").alias("rows"), F.sum(F.get_json_object("row", f"$.{keys[k]}").cast("long")).alias("key_sum"))
+           for r, k in zip(rows, views)]
+    for o in out[1:]:
+        out[0] = out[0].unionByName(o)
+    return out[0]
 
 
 @query("order_amounts")
@@ -115,7 +134,7 @@ def q_age_day_part(spark, sf):
     t = Tables(spark, sf)
     li, o = t.lineitem, t.orders
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(
-        "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("a_ts"),
+        "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 3, F.col("l_shipdate")).alias("a_ts"),  # every third line has no stamp
         (F.col("o_orderdate") + F.make_interval(hours=F.col("l_linenumber"), mins=F.lit(30))).alias("b_ts"))
     return j.select("l_orderkey", "l_linenumber", "a_ts", "b_ts",
                     age_day_part("a_ts", "b_ts").alias("day_ab"), age_day_part("b_ts", "a_ts").alias("day_ba"))
@@ -227,10 +246,45 @@ def q_customer_retention_by_year(spark, sf):
     return P.customer_retention(P.retention_base(fact, cal, by_year=True), by_year=True)
 
 
+EARLY_TS = "1995-06-01 00:00:00"  # the first months of the feed, loaded by an earlier run
+
+
 @query("d_customer")
 def q_d_customer(spark, sf):
     from martflow.plans import sales as P
-    return P.d_customer(_feed(spark, sf))
+    from martflow.operators.tables import publish
+    stage = _feed(spark, sf)
+    early = publish(P.d_customer(stage.filter(F.col("date_time") < F.lit(EARLY_TS).cast("timestamp_ntz"))), "d_customer_early")
+    top = early.agg(F.max("id")).first()[0] or 0
+    return early.unionByName(P.d_customer(stage, early, start_id=top + 1))
+
+
+@query("d_customer_one_per_id")
+def q_d_customer_one_per_id(spark, sf):
+    """B9 fixed: names vary with the order's priority; each id keeps its latest."""
+    from martflow.plans import sales as P
+    stage = _feed(spark, sf).withColumn("first_name", F.concat_ws("-", "first_name", F.col("item_id") % 3))
+    return P.d_customer(stage, one_per_id=True)
+
+
+@query("d_item_increment")
+def q_d_item_increment(spark, sf):
+    """The dim of the earlier rows after the later ones arrive; ids stay."""
+    from martflow.operators.tables import publish
+    from martflow.plans import sales as P
+    stage = _feed(spark, sf)
+    split = F.lit(EARLY_TS).cast("timestamp_ntz")
+    early = publish(P.d_item(stage.filter(F.col("date_time") < split)), "d_item_early")
+    return P.d_item_increment(early, stage.filter(F.col("date_time") >= split))
+
+
+@query("f_daily_sales_midnight")
+def q_f_daily_sales_midnight(spark, sf):
+    """B12 as written: rows of every third item carry a time of day and drop out."""
+    from martflow.plans import sales as P
+    P, stage, cal, _ = _fact(spark, sf)
+    shifted = stage.withColumn("date_time", F.when(F.col("item_id") % 3 == 0, F.col("date_time") + F.expr("INTERVAL 5 HOURS")).otherwise(F.col("date_time")))
+    return P.f_daily_sales(spark, shifted, cal, "0001-01-01", "9999-12-31", midnight_only=True)
 
 
 @query("d_item")
@@ -261,9 +315,13 @@ def q_not_in_null_aware(spark, sf):
     """Feed customers NOT IN the customers with a non-negative balance."""
     from martflow.operators.tables import not_in
     t = Tables(spark, sf)
+    feed = A.v_feed(t).withColumn("customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("customer_id")))
     known = t.customer.filter(F.col("c_acctbal") >= 0).select("c_custkey")
-    return not_in(A.v_feed(t), "customer_id", known, "c_custkey").select(
-        "customer_id", "first_name", "last_name").distinct()
+    with_null = t.customer.select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("c_custkey"))
+    lists = {"plain": known, "with_null": with_null, "empty": known.filter(F.col("c_custkey") < 0)}
+    out = [not_in(feed, "customer_id", v, "c_custkey").select(F.lit(k).alias("list"), "customer_id", "first_name", "last_name").distinct()
+           for k, v in lists.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("append_with_defaults")
@@ -296,14 +354,22 @@ def q_replace_slice(spark, sf):
 
 @query("backfill_equals_daily")
 def q_backfill_equals_daily(spark, sf):
-    """T4: every day of the feed loaded in one dynamic-overwrite job."""
-    from martflow.operators.tables import read_slices, write_slices
+    """T4: the last days of the feed loaded one by one, one of them twice, and
+    all at once; the daily rows with the number of rows in which they differ."""
+    from martflow.operators.tables import publish, read_slices, write_slices
     from martflow.plans.sales import day_of
     from martflow.session import scratch_path
     stage = _feed(spark, sf).withColumn("day", day_of())
-    path = scratch_path(spark, "stage_backfill")
-    write_slices(stage, path, "day")
-    return read_slices(spark, path, "day", schema=stage.schema).drop("day")
+    last = stage.select("day").distinct().orderBy(F.desc("day")).limit(3)  # the feature is a run over a few days
+    days = sorted(r[0] for r in last.collect())
+    inc = publish(stage.filter(F.col("day").isin(*days)), "increment")
+    daily, backfill = scratch_path(spark, "stage_daily"), scratch_path(spark, "stage_backfill")
+    for d in [*days, days[0]]:
+        write_slices(inc.filter(F.col("day") == d), daily, "day", [d])
+    write_slices(inc, backfill, "day", days)
+    a, b = (read_slices(spark, p, "day", schema=stage.schema) for p in (daily, backfill))
+    differ = a.exceptAll(b).unionByName(b.exceptAll(a)).count()
+    return a.drop("day").withColumn("differing", F.lit(differ).cast("long"))
 
 
 @query("delete_where_in")
@@ -319,6 +385,7 @@ def q_delete_where_in(spark, sf):
 
 # ------------------------------------------------------------------ P4a: staging, cursors, outbox
 
+EVENTS_WF = "stage:events"
 PREV_RUN_TS = "2024-01-15 00:00:00"  # time of the previous outbox load
 RUN_TS = "2024-02-01 00:00:00"       # fixed as-of for keys that stamp a run time
 
@@ -327,8 +394,8 @@ def _prev_cursor(outbox) -> int:
     """Cursor saved by the previous run: max id loaded before PREV_RUN_TS."""
     from martflow.operators.cursor import cursor_advance, cursor_get, empty_state
     prev = outbox.filter(F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz"))
-    state = cursor_advance(empty_state(outbox.sparkSession), prev, "id", F.lit("events_origin_to_stg_workflow"))
-    return cursor_get(state, "events_origin_to_stg_workflow")
+    state = cursor_advance(empty_state(outbox.sparkSession), prev, "id", F.lit(EVENTS_WF))
+    return cursor_get(state, EVENTS_WF)
 
 
 @query("upsert_all")
@@ -391,8 +458,9 @@ def q_cursor_advance(spark, sf):
     wf = F.concat(F.lit("outbox_"), F.col("event_type"))
     prev = ob.filter(F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz"))
     state = cursor_advance(empty_state(spark), prev, "id", wf)
+    # of the later batch only the clicks are read, so the other cursors stay where the first run left them
     cut = _prev_cursor(ob)
-    return cursor_advance(state, ob.filter(F.col("id") > cut), "id", wf)
+    return cursor_advance(state, ob.filter((F.col("id") > cut) & (F.col("event_type") == "click")), "id", wf)
 
 
 @query("run_log")
@@ -417,7 +485,26 @@ def q_assign_keys(spark, sf):
 def q_docs_oldest_k(spark, sf):
     from martflow.sources.staged import oldest_k
     ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
-    return oldest_k(ob, ts_col="event_ts")
+    return oldest_k(ob, 500, ts_col="event_ts")
+
+
+@query("copy_collection_sessions")
+def q_copy_collection_sessions(spark, sf):
+    """Stamps tie by the day, a session copies a third of the
+    documents, and sessions go on until the cursor stands still."""
+    from martflow.operators.cursor import empty_state, settings_get
+    from martflow.operators.tables import publish
+    from martflow.plans import staging as P
+    docs = publish(A.v_outbox(Tables(spark, sf)).select(
+        F.col("id").alias("_id"), "event_type", F.when(F.col("id") % 11 != 0, F.date_trunc("day", "event_ts").cast("timestamp_ntz")).alias("update_ts")), "documents")
+    limit = max(1, docs.count() // 3)
+    staged, state, before = spark.createDataFrame([], P.STAGED_DOC_DDL), empty_state(spark), None
+    while True:
+        staged, state = P.copy_collection(staged, docs, state, limit=limit)
+        staged, now = publish(staged, "staged_documents"), settings_get(state, P.COPY_WF, "last_ts", "last_id")
+        if now == before:
+            return staged
+        before = now
 
 
 @query("staged_since")
@@ -435,7 +522,8 @@ def q_events_typed_since(spark, sf):
 
 
 # Payload shape per event type of the test outbox.
-EVENT_SHAPES = {"purchase": "k long", "signup": "k long", "click": "k long", "view": "k long", "error": "k long"}
+# "error" has none: its events stay, unparsed.
+EVENT_SHAPES = {"purchase": "k long", "signup": "k long", "click": "k long", "view": "k long"}
 
 
 @query("events_by_type")
@@ -488,12 +576,14 @@ def q_dm_users(spark, sf):
 @query("dm_restaurants")
 def q_dm_restaurants(spark, sf):
     from martflow.plans import dds as D
-    return D.dm_restaurants(A.v_rest_docs(Tables(spark, sf)))
+    return D.dm_restaurants(A.v_rest_docs(Tables(spark, sf), min_acctbal=None))
 
 
 @query("dm_products")
 def q_dm_products(spark, sf):
-    return _Dds(spark, sf).products()
+    from martflow.plans import dds as D
+    docs = A.v_rest_docs(Tables(spark, sf), min_acctbal=None)
+    return D.dm_products(docs, D.dm_restaurants(docs))
 
 
 @query("dm_timestamps")
@@ -507,6 +597,37 @@ def q_dm_orders(spark, sf):
     return _Dds(spark, sf).orders()
 
 
+@query("dm_orders_versions")
+def q_dm_orders_versions(spark, sf):
+    """Every restaurant has two versions in the dim; an order still comes
+    out once, with the first one."""
+    d = _Dds(spark, sf)
+    first = d.restaurants
+    again = first.select((F.col("id") + 1_000_000).alias("id"), "restaurant_id", "restaurant_name",
+                         (F.col("active_from") + F.expr("INTERVAL 1 DAYS")).alias("active_from"), "active_to")
+    return d.D.dm_orders(d.order_docs, first.unionByName(again), d.timestamps, d.users)
+
+
+@query("dds_two_runs")
+def q_dds_two_runs(spark, sf):
+    """The earlier and the later half of the orders and events in two
+    runs that share only a folder; the fact by natural keys."""
+    from martflow.plans.dds import DdsRun
+    from martflow.session import scratch_path
+    t = Tables(spark, sf)
+    orders, events = A.v_order_docs(t), A.v_payment_events(t)
+    cut = t.orders.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    fixed = {"users": A.v_user_docs(t).withColumn("id", F.col("object_id").cast("long")), "restaurants": A.v_rest_docs(t, min_acctbal=None)}
+    base = scratch_path(spark, "dds")
+    DdsRun(spark, fixed | {"orders": orders.filter(F.col("id") > cut), "events": events.filter(F.col("id") <= cut)}, base)
+    late = orders.filter(F.col("id") <= cut).withColumn("id", F.col("id") + 1_000_000_000)
+    run = DdsRun(spark, fixed | {"orders": orders.unionByName(late), "events": events}, base)
+    x = run.tables
+    return (x["fct_product_sales"].join(x["dm_products"].select(F.col("id").alias("product_id"), F.col("product_id").alias("product_key")), "product_id")
+            .join(x["dm_orders"].select(F.col("id").alias("order_id"), "order_key"), "order_id")
+            .select("event_id", "order_key", "product_key", "count", "price", "total_sum", "bonus_payment", "bonus_grant"))
+
+
 @query("fct_product_sales")
 def q_fct_product_sales(spark, sf):
     d = _Dds(spark, sf)
@@ -575,22 +696,42 @@ def q_close_missing(spark, sf):
     return C.close_missing_couriers(dim, A.v_courier_docs(t, RUN_TS, min_acctbal=0.0), RUN_TS)
 
 
+def _every_other(docs):
+    """The deliveries that an earlier run has stored."""
+    return docs.filter(F.col("object_id").cast("long") % 2 == 0)
+
+
+@query("api_restaurants")
+def q_api_restaurants(spark, sf):
+    """Stored restaurants are kept, new ones added, and those
+    that the latest payload lacks are closed."""
+    from martflow.plans import courier as C
+    t = Tables(spark, sf)
+    stored = C.dm_restaurants(None, A.v_courier_docs(t, EARLIER_RUN_TS, min_acctbal=0.0))
+    later = A.v_courier_docs(t, RUN_TS).filter(F.col("object_id").cast("long") % 5 != 0)
+    return C.close_missing_restaurants(C.dm_restaurants(stored, later), later, RUN_TS)
+
+
 @query("dm_deliveries")
 def q_dm_deliveries(spark, sf):
     from martflow.plans import courier as C
-    return C.dm_deliveries(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+    docs = A.v_delivery_docs(Tables(spark, sf), RUN_TS)
+    stored = C.dm_deliveries(None, _every_other(docs)).withColumn("address", F.lit("as stored"))
+    return C.dm_deliveries(stored, docs)
 
 
 @query("dm_rate")
 def q_dm_rate(spark, sf):
     from martflow.plans import courier as C
-    return C.dm_rate(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+    docs = A.v_delivery_docs(Tables(spark, sf), RUN_TS)
+    return C.dm_rate(C.dm_rate(None, _every_other(docs)).withColumn("rate", F.lit(0).cast("smallint")), docs)
 
 
 @query("dm_tips")
 def q_dm_tips(spark, sf):
     from martflow.plans import courier as C
-    return C.dm_tips(None, A.v_delivery_docs(Tables(spark, sf), RUN_TS))
+    docs = A.v_delivery_docs(Tables(spark, sf), RUN_TS)
+    return C.dm_tips(C.dm_tips(None, _every_other(docs)).withColumn("tip_sum", F.lit(0).cast("decimal(14,2)")), docs)
 
 
 # ------------------------------------------------------------------ file sources and documents
@@ -778,7 +919,23 @@ def q_stream_dedupe(spark, sf):
     src = f"{base}/source"
     _arrive(ob, src)
     _arrive(ob, src)
-    S.dedupe(spark, src, OUTBOX_DDL, f"{base}/checkpoint", f"{base}/sink", ["id"], "event_ts")
+    S.dedupe(spark, src, OUTBOX_DDL, f"{base}/checkpoint", f"{base}/sink", ["id"], [F.col("event_ts")])
+    return spark.read.parquet(f"{base}/sink").select("id", "event_ts", "event_type", "event_value")
+
+
+@query("stream_dedupe_late")
+def q_stream_dedupe_late(spark, sf):
+    """The later events arrive first, then the earlier ones with copies of
+    all; none is lost and each id comes out once."""
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    base = scratch_path(spark, "outbox_late")
+    src = f"{base}/source"
+    prev = F.col("event_ts") < F.lit(PREV_RUN_TS).cast("timestamp_ntz")
+    for drop in (ob.filter(~prev), ob):
+        _arrive(drop, src)
+        S.dedupe(spark, src, OUTBOX_DDL, f"{base}/checkpoint", f"{base}/sink", ["id"], [F.col("event_ts")])
     return spark.read.parquet(f"{base}/sink").select("id", "event_ts", "event_type", "event_value")
 
 

@@ -42,7 +42,8 @@ def age_day_part(a: str | Column, b: str | Column) -> Column:
     lo, hi = F.least(a, b), F.greatest(a, b)
     d = F.dayofmonth(hi) - F.dayofmonth(lo) - F.when(time_of_day(hi) < time_of_day(lo), 1).otherwise(0)
     d = F.when(d < 0, d + F.dayofmonth(F.last_day(lo))).otherwise(d)
-    return F.when(a < b, -d).otherwise(d).cast("int")
+    # least and greatest skip NULL; AGE doesn't
+    return F.when(a < b, -d).when(a >= b, d).cast("int")
 
 
 def month_name_padded(d: str | Column) -> Column:
@@ -65,8 +66,9 @@ def time_text(ts: str | Column) -> Column:
 
 
 def json_text(doc: str | Column, key: str) -> Column:
-    """Doc ->> 'key' (JSON null and missing key give NULL)."""
-    return F.get_json_object(_c(doc), f"$.{key}")
+    """Doc ->> 'key' (JSON null and missing key give NULL); numbers keep
+    their text, digit for digit."""
+    return F.from_json(_c(doc), f"`{key}` string").getField(key)
 
 
 def sentinel() -> Column:

@@ -8,6 +8,7 @@ batch keeps the old cursor (B17).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,6 +47,19 @@ def cursor_advance(state: DataFrame, batch: DataFrame, id_col: str, wf_key: F.Co
     return upsert(state, merged, ["workflow_key"], [F.col("_mf_seq")]).select("workflow_key", "workflow_settings")
 
 
+def settings_get(state: DataFrame, wf_key: str, *fields: str) -> tuple[str | None, ...]:
+    """Several settings of one workflow as text (None: not set)."""
+    row = state.filter(F.col("workflow_key") == wf_key).select(
+        *[F.get_json_object("workflow_settings", f"$.{f}").alias(f) for f in fields]).first()
+    return tuple(row) if row is not None else (None,) * len(fields)
+
+
+def settings_set(state: DataFrame, wf_key: str, **settings: str) -> DataFrame:
+    """State with the settings of one workflow replaced."""
+    new = state.sparkSession.createDataFrame([(wf_key, json.dumps(settings))], STATE_SCHEMA)
+    return state.filter(F.col("workflow_key") != wf_key).unionByName(new)
+
+
 def run_log(loads: Mapping[str, DataFrame], run_ts: str) -> DataFrame:
     """One row per landed table -- SUCCESS when it delivered rows,
     FAILED for an empty payload -- with the row count."""

@@ -16,10 +16,6 @@ from martflow.session import scratch_path
 
 OrderSpec = Sequence[str | Column]
 
-# Up to this many range partitions the offsets are inlined as an array
-# literal (no broadcast job); beyond it they are a broadcast join.
-INLINE_OFFSETS = 2048
-
 
 def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id",
                 num_partitions: int | None = None) -> DataFrame:
@@ -55,10 +51,7 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
         offsets.append((pid, run))
         run += counts.get(pid, 0)
     local_index = F.col("_mf_mid") - F.shiftleft(F.col("_mf_pid").cast("long"), 33)
-    if len(offsets) <= INLINE_OFFSETS:
-        # few partitions: the offsets travel as an array literal indexed by partition id
-        off = F.element_at(F.array(*[F.lit(o).cast("long") for _, o in offsets]), F.col("_mf_pid") + 1)
-        return ranged.withColumn(key, F.lit(start).cast("long") + off + local_index).drop("_mf_pid", "_mf_mid")
+    # one row per range partition, so the broadcast is bounded by the partition count
     offsets_df = df.sparkSession.createDataFrame(offsets, "_mf_pid int, _mf_off long")
     return (
         ranged.join(F.broadcast(offsets_df), "_mf_pid")

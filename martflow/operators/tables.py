@@ -9,6 +9,8 @@ Appends (K1) are ``unionByName``; the reference has no other set operation
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -48,14 +50,19 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
     leave the old day in place.
     """
     spark = df.sparkSession
+    folders = [f"{path}/{slice_col}={s}" for s in slices or ()]
+    before = {f: _files(spark, f) for f in folders}
     # REBALANCE clusters each slice into few files; AQE still splits a hot slice
     (df.hint("rebalance", slice_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(slice_col).parquet(path))
-    if slices:
-        present = {r[0] for r in df.select(slice_col).distinct()
-                   .filter(F.col(slice_col).isin(*slices)).collect()}  # at most len(slices) values
-        for s in set(slices) - present:
-            _remove_partition(spark, f"{path}/{slice_col}={s}")
+    for f in folders:  # a replaced slice has new files only
+        if before[f] and _files(spark, f) == before[f]:
+            _remove_partition(spark, f)
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    fs, p = _fs(spark, folder)
+    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -176,41 +183,104 @@ def update_from_lookup(target: DataFrame, lookup: DataFrame, key: str, col: str)
         .select(*target.columns)
 
 
+DEFAULT_BUCKETS = 64
+BUCKET_COL = "_bucket"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_pointer(spark: SparkSession, table_dir: str) -> dict | None:
+    """The newest state of a bucketed table: its bucket count, the folder of
+    each bucket, and the last batch of each stream; None before the first."""
+    fs, folder = _fs(spark, f"{table_dir}/_pointers")
+    if not fs.exists(folder):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(folder)]
+    names = sorted(n for n in names if n.endswith(".json"))
+    if not names:
+        return None
+    text = spark.read.text(f"{table_dir}/_pointers/{names[-1]}", wholetext=True).first()[0]
+    return json.loads(text) | {"seq": int(names[-1].removesuffix(".json"))}
+
+
+def _write_pointer(spark: SparkSession, table_dir: str, pointer: dict, seq: int) -> None:
+    """One small file, complete before its rename makes it the newest."""
+    fs, part = _fs(spark, f"{table_dir}/_pointers/.{seq:012d}-{uuid.uuid4().hex}")
+    out = fs.create(part)
+    out.write(bytearray(json.dumps(pointer).encode()))
+    out.close()
+    if not fs.rename(part, _fs(spark, f"{table_dir}/_pointers/{seq:012d}.json")[1]):
+        raise RuntimeError(f"another writer has changed {table_dir}")
+
+
 def upsert_buckets(table_dir: str, batch: DataFrame, key: Sequence[str], order: Sequence[Column],
-                   schema, update_cols: Sequence[str] | None = None, buckets: int = 64,
-                   bucket_col: str = "_bucket") -> None:
-    """U1/U3 applied in place to a table stored as hash buckets of the key:
-    only the buckets the batch touches are read, upserted, staged in the
-    shared folder, and swapped in with a dynamic partition overwrite.  A run
-    costs O(touched buckets), not O(table); a replay recomputes from the
-    unchanged table and rewrites the same buckets."""
+                   schema, update_cols: Sequence[str] | None = None, buckets: int | None = None,
+                   batch_id: tuple[str, int] | None = None) -> None:
+    """U1/U3 applied to a table stored as hash buckets of the key.
+
+    Only the buckets that the batch touches are read and upserted; they are
+    written as new folders, and one pointer file then names the folder of
+    every bucket.  A crash before the pointer leaves the table as it was, and
+    a replay starts from it; ``batch_id`` (stream, number) is kept in the
+    pointer, and a batch at or below it is skipped.  The bucket count belongs
+    to the table: it is stored with it, size it for the table (a bucket is
+    one task's work), and another count is refused.
+    """
     spark = batch.sparkSession
     key = list(key)
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
-    b = batch.withColumn(bucket_col, bucket)
-    touched = [r[0] for r in b.select(bucket_col).distinct().collect()]  # at most ``buckets`` values
-    if not touched:
+    pointer = read_pointer(spark, table_dir)
+    if pointer is None:
+        pointer = {"buckets": buckets or DEFAULT_BUCKETS, "folders": {}, "batches": {}, "seq": 0}
+    elif buckets not in (None, pointer["buckets"]):
+        raise ValueError(f"{table_dir} has {pointer['buckets']} buckets, not {buckets}")
+    if batch_id is not None and pointer["batches"].get(batch_id[0], -1) >= batch_id[1]:
         return
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(pointer["buckets"])).cast("int")
+    b = batch.withColumn(BUCKET_COL, bucket)
+    touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # at most the bucket count
     struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     cols = struct.fieldNames()
-    if path_exists(spark, table_dir):  # partition pruning: only the touched buckets are read
-        current = spark.read.parquet(table_dir).filter(F.col(bucket_col).isin(*touched)).select(*cols)
-    else:
-        current = spark.createDataFrame([], struct)
-    merged = upsert(current, b.select(*cols, *[c for c in b.columns if c not in cols and c != bucket_col]),
-                    key, order, update_cols).select(*cols).withColumn(bucket_col, bucket)
-    staging = scratch_path(spark, "upsert_buckets")
-    merged.write.parquet(staging)  # materialised: the swap no longer reads the table it overwrites
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(bucket_col).parquet(table_dir))
-
-
-def read_buckets(spark: SparkSession, table_dir: str, schema, bucket_col: str = "_bucket") -> DataFrame:
+    if touched:
+        folders = [pointer["folders"][str(t)] for t in touched if str(t) in pointer["folders"]]
+        current = spark.read.schema(struct).parquet(*folders) if folders else spark.createDataFrame([], struct)
+        merged = upsert(current, b.drop(BUCKET_COL), key, order, update_cols).select(*cols).withColumn(BUCKET_COL, bucket)
+        version = f"{table_dir}/data/{uuid.uuid4().hex}"
+        merged.repartition(BUCKET_COL).write.partitionBy(BUCKET_COL).parquet(version)
+        pointer["folders"].update({str(t): f"{version}/{BUCKET_COL}={t}" for t in touched})
+    if batch_id is not None:
+        pointer["batches"][batch_id[0]] = batch_id[1]
+    seq = pointer.pop("seq") + 1
+    _write_pointer(spark, table_dir, pointer, seq)
+
+
+def read_buckets(spark: SparkSession, table_dir: str, schema) -> DataFrame:
     """The current rows of a table kept by :func:`upsert_buckets`."""
     struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    if not path_exists(spark, table_dir):
+    pointer = read_pointer(spark, table_dir)
+    if pointer is None or not pointer["folders"]:
         return spark.createDataFrame([], struct)
-    return spark.read.parquet(table_dir).select(*struct.fieldNames())
+    return spark.read.schema(struct).parquet(*pointer["folders"].values())
+
+
+def retire_buckets(spark: SparkSession, table_dir: str) -> int:
+    """Delete the bucket folders that the newest pointer no longer names (when
+    no reader of an older state is left); returns how many."""
+    pointer = read_pointer(spark, table_dir)
+    fs, data = _fs(spark, f"{table_dir}/data")
+    if pointer is None or not fs.exists(data):
+        return 0
+    live = {"/".join(f.rsplit("/", 2)[1:]) for f in pointer["folders"].values()}
+    gone = 0
+    for version in fs.listStatus(data):
+        for part in fs.listStatus(version.getPath()):
+            name = part.getPath().getName()
+            if name.startswith(BUCKET_COL) and f"{version.getPath().getName()}/{name}" not in live:
+                fs.delete(part.getPath(), True)
+                gone += 1
+    return gone
 
 
 # ---------------------------------------------------------------- validity ranges
@@ -252,14 +322,14 @@ def versioned_upsert(dim: DataFrame, source: DataFrame, key: str, attrs: Sequenc
     changed = F.lit(False)
     for a in attrs:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_mf_n_{a}"))
-    has_cur = F.col(to_col).isNotNull()
-    has_src = F.col("_mf_src").isNotNull()
-    closed = j.filter(has_cur & has_src & changed).withColumn(to_col, ts).select(*dim.columns)
-    kept = j.filter(has_cur & (~has_src | ~changed)).select(*dim.columns)
-    opened = j.filter(has_src & (~has_cur | changed)).select(
-        key, *[F.col(f"_mf_n_{a}").alias(a) for a in attrs],
-        ts.alias(from_col), sentinel().alias(to_col)).select(*dim.columns)
-    return hist.unionByName(closed).unionByName(kept).unionByName(opened)
+    has_cur, has_src = F.col(to_col).isNotNull(), F.col("_mf_src").isNotNull()
+    replaced = has_cur & has_src & changed
+    # one pass: each joined row gives its old version (closed if replaced) and/or a new one
+    old = F.struct(*[(F.when(replaced, ts).otherwise(F.col(c)) if c == to_col else F.col(c)).alias(c) for c in dim.columns])
+    values = {from_col: ts, to_col: sentinel(), key: F.col(key)} | {a: F.col(f"_mf_n_{a}") for a in attrs}
+    new = F.struct(*[values.get(c, F.lit(None)).cast(dict(dim.dtypes)[c]).alias(c) for c in dim.columns])
+    rows = F.filter(F.array(F.when(has_cur, old), F.when(has_src & (~has_cur | changed), new)), lambda r: r.isNotNull())
+    return hist.unionByName(j.select(F.inline(rows)))
 
 
 # ---------------------------------------------------------------- publish

@@ -117,18 +117,26 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
 FROM lineitem""")
 
 oracle("orders_final_status", with_(V_ORDERS, V_STATUS_LOG) + """
-SELECT o.order_id, o.order_ts, o.user_id, o.payment, f.final_status AS status
+SELECT o.order_id, o.order_ts, o.user_id, CAST(o.payment * 0.1 AS DECIMAL(19,5)) AS bonus_payment, o.payment,
+       CAST(o.payment + o.payment * 0.1 AS DECIMAL(19,5)) AS cost, CAST(o.payment * 0.01 AS DECIMAL(19,5)) AS bonus_grant, f.final_status AS status
 FROM v_orders o JOIN (SELECT order_id, max(status_id) AS final_status FROM v_status_log GROUP BY 1) f
   ON f.order_id = o.order_id""")
 
 oracle("orders_latest_status", with_(V_ORDERS, V_STATUS_LOG) + """
-SELECT o.order_id, o.order_ts, o.user_id, o.payment, coalesce(l.status_id, o.status) AS status
+SELECT o.order_id, o.order_ts, o.user_id, CAST(o.payment * 0.1 AS DECIMAL(19,5)) AS bonus_payment, o.payment,
+       CAST(o.payment + o.payment * 0.1 AS DECIMAL(19,5)) AS cost, CAST(o.payment * 0.01 AS DECIMAL(19,5)) AS bonus_grant, coalesce(l.status_id, o.status) AS status
 FROM v_orders o LEFT JOIN (
   SELECT order_id, status_id FROM (
     SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY dttm DESC NULLS LAST, status_id DESC) AS rn
     FROM v_status_log) WHERE rn = 1) l ON l.order_id = o.order_id""")
 
-oracle("layer_views", with_(V_ORDERS) + "SELECT * FROM v_orders")
+oracle("layer_views", with_(V_ORDERS, V_USERS, V_STATUS_LOG, V_ORDER_ITEMS) + """
+SELECT 'orders' AS view, count(*) AS rows, CAST(sum(order_id) AS BIGINT) AS key_sum FROM v_orders
+UNION ALL SELECT 'users', count(*), CAST(sum(id) AS BIGINT) FROM v_users
+UNION ALL SELECT 'orderstatuslog', count(*), CAST(sum(order_id) AS BIGINT) FROM v_status_log
+UNION ALL SELECT 'orderitems', count(*), CAST(sum(order_id) AS BIGINT) FROM v_order_items
+UNION ALL SELECT 'products', count(*), CAST(sum(product_id) AS BIGINT) FROM (SELECT DISTINCT product_id, name, price FROM v_order_items)
+UNION ALL SELECT 'orderstatuses', count(*), CAST(sum(status_id) AS BIGINT) FROM (SELECT DISTINCT status_id FROM v_status_log)""")
 
 oracle("order_amounts", with_(V_ORDER_ITEMS) + """
 SELECT order_id,
@@ -157,7 +165,7 @@ FROM v_shipping""")
 
 oracle("age_day_part", """
 WITH p AS (
-  SELECT l_orderkey, l_linenumber, l_shipdate AS a_ts,
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_shipdate END AS a_ts,
          o_orderdate + to_hours(l_linenumber) + INTERVAL 30 MINUTE AS b_ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT l_orderkey, l_linenumber, a_ts, b_ts,
@@ -183,39 +191,28 @@ _SHIP_DIMS = with_(V_SHIPPING, """country AS (
          row_number() OVER (ORDER BY transfer_type, transfer_model, shipping_transfer_rate) AS transfer_type_id
   FROM (SELECT DISTINCT split_part(shipping_transfer_description, ':', 1) AS transfer_type,
                         split_part(shipping_transfer_description, ':', 2) AS transfer_model,
-                        shipping_transfer_rate FROM v_shipping))""", """info AS (
-  SELECT DISTINCT s.shippingid, s.vendorid, s.payment_amount, s.shipping_plan_datetime,
-         t.transfer_type_id, c.shipping_country_id, a.agreementid
-  FROM v_shipping s
-  JOIN country c ON c.shipping_country = s.shipping_country
-  JOIN agreement a ON a.agreementid = CAST(split_part(s.vendor_agreement_description, ':', 1) AS BIGINT)
-  JOIN transfer t ON t.transfer_type = split_part(s.shipping_transfer_description, ':', 1)
-                 AND t.transfer_model = split_part(s.shipping_transfer_description, ':', 2))""", """status AS (
-  SELECT DISTINCT shippingid,
-    FIRST_VALUE(status) OVER w AS status,
-    FIRST_VALUE(state) OVER w AS state,
-    FIRST_VALUE(state_datetime) OVER (PARTITION BY shippingid ORDER BY state_datetime ASC NULLS LAST)
-      AS shipping_start_fact_datetime,
-    FIRST_VALUE(state_datetime) OVER w AS shipping_end_fact_datetime
-  FROM v_shipping
-  WINDOW w AS (PARTITION BY shippingid ORDER BY state_datetime DESC NULLS FIRST, status DESC, state DESC))""",
-  """dm AS (
-  SELECT ss.shippingid, si.vendorid, st.transfer_type,
-    CAST(date_part('day', age(shipping_end_fact_datetime, shipping_start_fact_datetime)) AS INTEGER)
-      AS full_day_at_shipping,
-    shipping_end_fact_datetime > shipping_plan_datetime AS is_delay,
-    status = 'finished' AS is_shipping_finish,
-    CAST(CASE WHEN shipping_end_fact_datetime > shipping_plan_datetime
-      THEN date_part('day', age(shipping_end_fact_datetime, shipping_plan_datetime)) ELSE 0 END AS INTEGER)
-      AS delay_day_at_shipping,
-    si.payment_amount,
-    CAST(si.payment_amount * (shipping_country_base_rate + agreement_rate + shipping_transfer_rate)
-      AS DECIMAL(31,5)) AS vat,
-    CAST(si.payment_amount * agreement_commission AS DECIMAL(29,5)) AS profit
-  FROM status ss JOIN info si ON ss.shippingid = si.shippingid
-  JOIN transfer st ON si.transfer_type_id = st.transfer_type_id
-  JOIN country scr ON scr.shipping_country_id = si.shipping_country_id
-  JOIN agreement sa ON si.agreementid = sa.agreementid)""")
+                        shipping_transfer_rate FROM v_shipping))""", """pieces AS (
+  SELECT *, string_split(vendor_agreement_description, ':') AS agreed, string_split(shipping_transfer_description, ':') AS carried
+  FROM v_shipping)""", """info AS (
+  SELECT DISTINCT shippingid, vendorid, payment_amount, shipping_plan_datetime, transfer_type_id, shipping_country_id, agreementid
+  FROM transfer JOIN pieces ON carried[1] = transfer_type AND carried[2] = transfer_model
+  JOIN country USING (shipping_country) JOIN agreement ON CAST(agreed[1] AS BIGINT) = agreementid)""", """status AS (
+  SELECT shippingid, newest['status'] AS status, newest['state'] AS state, earliest AS shipping_start_fact_datetime,
+         newest['stamp'] AS shipping_end_fact_datetime
+  FROM (SELECT shippingid, min(state_datetime) AS earliest,
+               max({'unstamped': state_datetime IS NULL, 'stamp': state_datetime, 'status': status, 'state': state}) AS newest
+        FROM v_shipping GROUP BY shippingid))""", """joined AS (
+  SELECT *, shipping_end_fact_datetime > shipping_plan_datetime AS late
+  FROM info JOIN status USING (shippingid) JOIN agreement USING (agreementid)
+  JOIN country USING (shipping_country_id) JOIN transfer USING (transfer_type_id))""", """dm AS (
+  SELECT shippingid, vendorid, transfer_type,
+    CAST(date_part('day', age(shipping_end_fact_datetime, shipping_start_fact_datetime)) AS INTEGER) AS full_day_at_shipping,
+    late AS is_delay, status = 'finished' AS is_shipping_finish,
+    CAST(if(late, date_part('day', age(shipping_end_fact_datetime, shipping_plan_datetime)), 0) AS INTEGER) AS delay_day_at_shipping,
+    payment_amount,
+    CAST((agreement_rate + shipping_transfer_rate + shipping_country_base_rate) * payment_amount AS DECIMAL(31,5)) AS vat,
+    CAST(agreement_commission * payment_amount AS DECIMAL(29,5)) AS profit
+  FROM joined)""")
 
 oracle("shipping_country_rates", _SHIP_DIMS + "SELECT * FROM country")
 oracle("shipping_agreement", _SHIP_DIMS + "SELECT * FROM agreement")
@@ -267,23 +264,21 @@ oracle("calendar_dim", with_(V_FEED, *_CAL) + "SELECT * FROM cal")
 oracle("f_daily_sales", _FACT + "SELECT * FROM fact")
 
 _RET_BASE = """SELECT {keys}, customer_id, count(*) AS num_transactions,
-    CAST(sum(CASE WHEN status = 'refunded' THEN 1 ELSE 0 END) AS BIGINT) AS num_returns,
-    CAST(sum(CASE WHEN status = 'refunded' THEN -payment_amount ELSE payment_amount END) AS DECIMAL(20,2))
-      AS total_revenue
-  FROM fact JOIN cal USING (date_id) GROUP BY {keys}, customer_id"""
+    count(*) FILTER (status = 'refunded') AS num_returns,
+    CAST(coalesce(sum(payment_amount) FILTER (status <> 'refunded'), 0)
+         - coalesce(sum(payment_amount) FILTER (status = 'refunded'), 0) AS DECIMAL(20,2)) AS total_revenue
+  FROM cal JOIN fact USING (date_id) GROUP BY {keys}, customer_id"""
 
 oracle("retention_base", _FACT + _RET_BASE.format(keys="week_num"))
 
 _RET = """
-SELECT CAST({period} AS INTEGER) AS period_id,
-  CAST(sum(CASE WHEN num_transactions = 1 THEN 1 ELSE 0 END) AS INTEGER) AS new_customers_count,
-  CAST(sum(CASE WHEN num_transactions > 1 THEN 1 ELSE 0 END) AS INTEGER) AS returning_customers_count,
-  CAST(sum(CASE WHEN num_returns > 0 THEN 1 ELSE 0 END) AS INTEGER) AS refunded_customer_count,
+SELECT 'weekly' AS period_name, CAST({period} AS INTEGER) AS period_id,
+  CAST(count(*) FILTER (num_transactions = 1) AS INTEGER) AS new_customers_count,
+  CAST(count(*) FILTER (num_transactions > 1) AS INTEGER) AS returning_customers_count,
+  CAST(count(*) FILTER (num_returns > 0) AS INTEGER) AS refunded_customer_count,
   CAST(sum(num_returns) AS INTEGER) AS customers_refunded,
-  CAST(sum(CASE WHEN num_transactions = 1 THEN total_revenue ELSE 0 END) AS DECIMAL(14,2)) AS new_customers_revenue,
-  CAST(sum(CASE WHEN num_transactions > 1 THEN total_revenue ELSE 0 END) AS DECIMAL(14,2))
-    AS returning_customers_revenue,
-  'weekly' AS period_name
+  CAST(coalesce(sum(total_revenue) FILTER (num_transactions = 1), 0) AS DECIMAL(14,2)) AS new_customers_revenue,
+  CAST(coalesce(sum(total_revenue) FILTER (num_transactions > 1), 0) AS DECIMAL(14,2)) AS returning_customers_revenue
 FROM ({base}) GROUP BY {keys}"""
 
 oracle("customer_retention", _FACT + _RET.format(
@@ -293,8 +288,19 @@ oracle("customer_retention_by_year", _FACT + _RET.format(
     base=_RET_BASE.format(keys="iso_year, week_num")))
 
 oracle("d_customer", with_(V_FEED) + """
-SELECT row_number() OVER (ORDER BY customer_id, first_name, last_name) AS id, *
-FROM (SELECT customer_id, first_name, last_name, min(city_id) AS city_id FROM v_feed GROUP BY 1, 2, 3)""")
+SELECT row_number() OVER (ORDER BY later, customer_id, first_name, last_name) AS id, * EXCLUDE (later) FROM (
+  SELECT false AS later, customer_id, first_name, last_name, min(city_id) AS city_id
+  FROM v_feed WHERE date_time < TIMESTAMP '1995-06-01 00:00:00' GROUP BY ALL
+  UNION ALL SELECT true, customer_id, first_name, last_name, min(city_id) FROM v_feed
+  WHERE customer_id NOT IN (SELECT customer_id FROM v_feed WHERE date_time < TIMESTAMP '1995-06-01 00:00:00') GROUP BY ALL)""")
+
+oracle("d_customer_one_per_id", with_(V_FEED) + """
+SELECT row_number() OVER (ORDER BY customer_id) AS id, customer_id, s['a'] AS first_name, s['b'] AS last_name, city_id FROM (
+  SELECT customer_id, max({'t': date_time, 'a': first_name || '-' || CAST(item_id % 3 AS VARCHAR), 'b': last_name}) AS s,
+         min(city_id) AS city_id FROM v_feed GROUP BY customer_id)""")
+
+oracle("f_daily_sales_midnight", _FACT.replace("FROM v_feed s JOIN cal dc", "FROM (SELECT * FROM v_feed WHERE item_id % 3 <> 0 AND date_time = CAST(date_time AS DATE)) s JOIN cal dc") + """
+SELECT * FROM fact""")
 
 _LATEST_NAME = """latest AS (
   SELECT item_id, item_name FROM (
@@ -305,9 +311,17 @@ _LATEST_NAME = """latest AS (
 oracle("d_item", with_(V_FEED, _LATEST_NAME.format(src="v_feed")) + """
 SELECT row_number() OVER (ORDER BY item_id) AS id, item_id, item_name FROM latest""")
 
+oracle("d_item_increment", with_(
+    V_FEED,
+    "early AS (SELECT * FROM v_feed WHERE date_time < TIMESTAMP '1995-06-01 00:00:00')",
+    _LATEST_NAME.format(src="v_feed")) + """
+SELECT row_number() OVER (ORDER BY item_id NOT IN (SELECT item_id FROM early), item_id) AS id, item_id, item_name
+FROM latest""")
+
 oracle("last_value_default_frame", with_(V_FEED) + """
 SELECT DISTINCT item_id,
-  LAST_VALUE(item_name) OVER (PARTITION BY item_id ORDER BY date_time DESC, item_name) AS name
+  -- the last peer of the stamp; of several names the greatest, as any could be the last
+  max(item_name) OVER (PARTITION BY item_id, date_time) AS name
 FROM v_feed""")
 
 oracle("d_item_update", with_(
@@ -319,15 +333,23 @@ SELECT row_number() OVER (ORDER BY o.item_id) AS id, o.item_id, coalesce(n.item_
 FROM old_latest o LEFT JOIN latest n ON n.item_id = o.item_id""")
 
 oracle("not_in_null_aware", with_(V_FEED) + """
-SELECT DISTINCT customer_id, first_name, last_name FROM v_feed
-WHERE customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
+SELECT DISTINCT 'plain' AS list, customer_id, first_name, last_name
+FROM (SELECT * REPLACE (CASE WHEN customer_id % 7 <> 0 THEN customer_id END AS customer_id) FROM v_feed)
+WHERE customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+UNION ALL SELECT DISTINCT 'with_null', customer_id, first_name, last_name
+FROM (SELECT * REPLACE (CASE WHEN customer_id % 7 <> 0 THEN customer_id END AS customer_id) FROM v_feed)
+WHERE customer_id NOT IN (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END FROM customer)
+UNION ALL SELECT DISTINCT 'empty', customer_id, first_name, last_name
+FROM (SELECT * REPLACE (CASE WHEN customer_id % 7 <> 0 THEN customer_id END AS customer_id) FROM v_feed)""")
 
 oracle("append_with_defaults", with_(V_FEED) + """
 SELECT * REPLACE (CASE WHEN date_time < TIMESTAMP '1998-01-01 00:00:00' THEN status ELSE 'shipped' END AS status)
 FROM v_feed""")
 
 oracle("replace_slice", with_(V_FEED) + "SELECT * FROM v_feed")
-oracle("backfill_equals_daily", with_(V_FEED) + "SELECT * FROM v_feed")
+oracle("backfill_equals_daily", with_(V_FEED) + """
+SELECT *, CAST(0 AS BIGINT) AS differing FROM v_feed
+WHERE CAST(date_time AS DATE) IN (SELECT DISTINCT CAST(date_time AS DATE) AS d FROM v_feed ORDER BY d DESC LIMIT 3)""")
 
 oracle("delete_where_in", _FACT + """
 SELECT * FROM fact WHERE date_id NOT IN (
@@ -369,7 +391,7 @@ FROM orders""")
 oracle("cursor_advance", """
 SELECT 'outbox_' || event_type AS workflow_key,
        '{"last_loaded_id":' || CAST(max(event_id) AS VARCHAR) || '}' AS workflow_settings
-FROM events GROUP BY event_type""")
+FROM events WHERE event_type = 'click' OR ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type""")
 
 oracle("run_log", """
 SELECT workflow_key, CASE WHEN row_count > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status, row_count,
@@ -382,7 +404,13 @@ oracle("assign_keys", """
 SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS id FROM customer""")
 
 oracle("docs_oldest_k", with_(V_OUTBOX) + """
-SELECT id, event_ts, event_type, event_value FROM v_outbox ORDER BY event_ts, id LIMIT 10000""")
+SELECT id, event_ts, event_type, event_value FROM v_outbox ORDER BY event_ts, id LIMIT 500""")
+
+oracle("copy_collection_sessions", """
+WITH d AS (SELECT event_id, event_type, CASE WHEN event_id % 11 <> 0 THEN date_trunc('day', ts) END AS stamp FROM events)
+SELECT CAST(event_id AS VARCHAR) AS object_id,
+       json_object('_id', event_id, 'event_type', event_type, 'update_ts', strftime(stamp, '%Y-%m-%d %H:%M:%S'))::VARCHAR AS object_value,
+       CAST(stamp AS TIMESTAMP) AS update_ts FROM d""")
 
 oracle("staged_since", with_(V_OUTBOX) + f"""
 SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE id > {_PREV_CURSOR}""")
@@ -392,8 +420,8 @@ SELECT id, event_ts, event_type, event_value FROM v_outbox
 WHERE event_type = 'purchase' AND id > {_PREV_CURSOR}""")
 
 oracle("events_by_type", """
-SELECT event_id AS id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
-WHERE event_type IN ('purchase', 'signup', 'click', 'view', 'error')""")
+SELECT event_id AS id, event_type, CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k
+FROM events""")
 
 
 # ------------------------------------------------------------------ P4b: snowflake DDS
@@ -428,10 +456,22 @@ _DDS = with_("""rest_dim AS (
   JOIN user_dim u ON u.user_id = CAST(o.o_custkey AS VARCHAR))""")
 
 oracle("dm_users", _DDS + "SELECT * FROM user_dim")
-oracle("dm_restaurants", _DDS + "SELECT id, restaurant_id, restaurant_name, active_from, active_to FROM rest_dim")
-oracle("dm_products", _DDS + "SELECT * FROM prod_dim")
+_DDS_ALL = _DDS.replace("FROM supplier WHERE s_acctbal >= 0)", "FROM supplier)")  # every restaurant
+oracle("dm_restaurants", _DDS_ALL + "SELECT id, restaurant_id, restaurant_name, active_from, active_to FROM rest_dim")
+oracle("dm_products", _DDS_ALL + "SELECT * FROM prod_dim")
 oracle("dm_timestamps", _DDS + "SELECT * FROM ts_dim")
 oracle("dm_orders", _DDS + "SELECT * FROM ord_dim")
+oracle("dm_orders_versions", _DDS + "SELECT * FROM ord_dim")
+oracle("dds_two_runs", """
+SELECT l_orderkey AS event_id, CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_partkey AS VARCHAR) AS product_key,
+       CAST(l_quantity AS INTEGER) AS count, CAST(p_retailprice AS DECIMAL(19,5)) AS price,
+       CAST(CAST(p_retailprice AS DECIMAL(19,5)) * CAST(l_quantity AS INTEGER) AS DECIMAL(19,5)) AS total_sum,
+       CAST(CAST(p_retailprice AS DECIMAL(19,5)) * CAST(l_quantity AS INTEGER) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(19,5)) AS bonus_payment,
+       CAST((CAST(p_retailprice AS DECIMAL(19,5)) * CAST(l_quantity AS INTEGER)
+             - CAST(p_retailprice AS DECIMAL(19,5)) * CAST(l_quantity AS INTEGER) * CAST(l_discount AS DECIMAL(4,2))) * 0.01 AS DECIMAL(19,5)) AS bonus_grant
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
+WHERE p_partkey % (SELECT count(*) FROM supplier) IN (SELECT s_suppkey FROM supplier) AND l_orderkey NOT IN (
+  SELECT l_orderkey FROM lineitem WHERE l_partkey % (SELECT count(*) FROM supplier) NOT IN (SELECT s_suppkey FROM supplier))""")
 oracle("fct_product_sales", _DDS + """, lines AS (
   SELECT l_orderkey AS event_id, CAST(l_partkey AS VARCHAR) AS product_id,
          CAST(p_retailprice AS DECIMAL(19,5)) AS price, CAST(l_quantity AS INTEGER) AS quantity,
@@ -481,9 +521,7 @@ _DELIV = """deliv AS (
 oracle("json_fields", with_(_DELIV) + """
 SELECT order_id AS object_id, order_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_ts, delivery_id,
        courier_id, address, strftime(delivery_ts, '%Y-%m-%d %H:%M:%S') AS delivery_ts,
-       -- JSON numbers come back in canonical form (8268.70 -> 8268.7)
-       CAST(CAST(sum AS DOUBLE) AS VARCHAR) AS sum, CAST(rate AS VARCHAR) AS rate,
-       CAST(CAST(tip_sum AS DOUBLE) AS VARCHAR) AS tip_sum
+       CAST(sum AS VARCHAR) AS sum, CAST(rate AS VARCHAR) AS rate, CAST(tip_sum AS VARCHAR) AS tip_sum
 FROM deliv""")
 
 oracle("dm_couriers", """
@@ -500,10 +538,20 @@ SELECT CAST(s_suppkey AS VARCHAR) AS courier_id, s_name AS courier_name,
          AS active_to
 FROM supplier""")
 
+oracle("api_restaurants", """
+SELECT CAST(s_suppkey AS VARCHAR) AS restaurant_id, s_name AS restaurant_name,
+       CASE WHEN s_acctbal >= 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS active_from,
+       CASE WHEN s_suppkey % 5 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2099-12-31 00:00:00' END AS active_to
+FROM supplier WHERE s_acctbal >= 0 OR s_suppkey % 5 <> 0""")
+
+# even orders are stored already and stay as they are
 oracle("dm_deliveries", with_(_DELIV) + """
-SELECT order_id, order_ts, delivery_id, courier_id, address, delivery_ts, sum FROM deliv""")
-oracle("dm_rate", with_(_DELIV) + "SELECT delivery_id, CAST(rate AS SMALLINT) AS rate FROM deliv")
-oracle("dm_tips", with_(_DELIV) + "SELECT delivery_id, tip_sum FROM deliv")
+SELECT order_id, order_ts, delivery_id, courier_id, if(CAST(order_id AS BIGINT) % 2 = 0, 'as stored', address) AS address,
+       delivery_ts, sum FROM deliv""")
+oracle("dm_rate", with_(_DELIV) + """
+SELECT delivery_id, CAST(if(CAST(order_id AS BIGINT) % 2 = 0, 0, rate) AS SMALLINT) AS rate FROM deliv""")
+oracle("dm_tips", with_(_DELIV) + """
+SELECT delivery_id, CAST(if(CAST(order_id AS BIGINT) % 2 = 0, 0, tip_sum) AS DECIMAL(14,2)) AS tip_sum FROM deliv""")
 
 
 # ------------------------------------------------------------------ file sources and documents
@@ -598,6 +646,7 @@ oracle("stream_outbox_tail", with_(V_OUTBOX) + """
 SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE event_ts >= TIMESTAMP '2024-01-15 00:00:00'""")
 
 oracle("stream_dedupe", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
+oracle("stream_dedupe_late", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
 
 oracle("stream_upsert", """
 SELECT CAST(o_orderkey AS VARCHAR) AS object_id,

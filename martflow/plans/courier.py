@@ -18,19 +18,36 @@ DELIVERY_FIELDS = ["order_id", "order_ts", "delivery_id", "courier_id", "address
 
 
 def json_fields(staged: DataFrame, fields=DELIVERY_FIELDS) -> DataFrame:
-    """``object_value::JSON ->> key`` for each key, as text."""
-    return staged.select("object_id", *[json_text("object_value", k).alias(k) for k in fields])
+    """``object_value::JSON ->> key`` for each key, as the document has it
+    (numbers digit for digit), all keys in one parse."""
+    doc = F.from_json("object_value", ", ".join(f"`{k}` string" for k in fields))
+    return staged.select("object_id", doc.alias("d")).select("object_id", *[F.col(f"d.`{k}`").alias(k) for k in fields])
 
 
-def dm_couriers(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
-    """Insert couriers not yet in the dim (first staged row per id wins),
+def _members(existing: DataFrame | None, staged: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """Insert members not yet in the dim (first staged row per id wins),
     open-ended validity (the missing ``active_to`` of B21 gets the sentinel)."""
     src = staged.select(
-        F.col("object_id").alias("courier_id"), json_text("object_value", "name").alias("courier_name"),
+        F.col("object_id").alias(id_col), json_text("object_value", "name").alias(name_col),
         F.col("update_ts").alias("active_from"), sentinel().alias("active_to"), "update_ts")
     if existing is None:
         existing = src.limit(0).drop("update_ts")
-    return insert_if_absent(existing, src, ["courier_id"], [F.col("update_ts"), F.col("courier_name")])
+    return insert_if_absent(existing, src, [id_col], [F.col("update_ts"), F.col(name_col)])
+
+
+def dm_restaurants(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
+    """Restaurants of the API payload."""
+    return _members(existing, staged, "restaurant_id", "restaurant_name")
+
+
+def close_missing_restaurants(dim: DataFrame, staged: DataFrame, as_of: str) -> DataFrame:
+    """Restaurants that vanished from the latest payload are closed."""
+    return close_missing(dim, staged, "restaurant_id", "object_id", as_of)
+
+
+def dm_couriers(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
+    """Couriers of the API payload."""
+    return _members(existing, staged, "courier_id", "courier_name")
 
 
 def close_missing_couriers(dim: DataFrame, staged: DataFrame, as_of: str) -> DataFrame:

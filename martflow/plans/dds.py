@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from martflow.constants import EVENT_BONUS_TRANSACTION
 from martflow.functions.scalars import parse_doc_ts, sentinel, time_text
 from martflow.operators.keys import assign_keys
-from martflow.operators.lookup import all_or_nothing, require_resolved
+from martflow.operators.lookup import require_resolved
 
 USER_DOC = "_id string, name string, login string"
 MENU_ITEM = "struct<_id:string,name:string,price:decimal(19,5)>"
@@ -26,7 +26,24 @@ PAYMENT_DOC = ("user_id long, order_id string, order_date string, product_paymen
 
 
 def _doc(staged: DataFrame, schema: str) -> DataFrame:
-    return staged.select("*", F.from_json("object_value", schema).alias("d"))
+    """Parsed documents; a malformed one stops the load, as it must not
+    become a member full of NULLs (``split_malformed`` sets such rows aside)."""
+    return staged.select("*", F.from_json("object_value", schema, {"mode": "FAILFAST"}).alias("d"))
+
+
+def split_malformed(staged: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(documents that parse, documents that don't): the second for a
+    quarantine table.  A NULL document doesn't parse."""
+    parsed = F.from_json("object_value", f"{schema}, _mf_broken string", {"columnNameOfCorruptRecord": "_mf_broken"})
+    j = staged.withColumn("_mf_d", parsed)
+    broken = F.col("_mf_d").isNull() | F.col("_mf_d._mf_broken").isNotNull()
+    return j.filter(~broken).drop("_mf_d"), j.filter(broken).drop("_mf_d")
+
+
+def one_per_key(dim: DataFrame, key: str, as_key: str, as_id: str) -> DataFrame:
+    """A dimension as a lookup, one row per natural key: the member
+    with the smallest id, the first match of the reference's queries."""
+    return dim.groupBy(F.col(key).alias(as_key)).agg(F.min("id").alias(as_id))
 
 
 def dm_users(user_docs: DataFrame) -> DataFrame:
@@ -45,7 +62,7 @@ def dm_restaurants(rest_docs: DataFrame) -> DataFrame:
         "id", "restaurant_id", "restaurant_name", "active_from", "active_to")
 
 
-def dm_products(rest_docs: DataFrame, restaurants: DataFrame, abort_on_miss: bool = True) -> DataFrame:
+def menu_items(rest_docs: DataFrame, restaurants: DataFrame, abort_on_miss: bool = True) -> DataFrame:
     """Menu items of each restaurant document.
 
     Each item needs its restaurant's surrogate id; as in the reference a
@@ -57,24 +74,34 @@ def dm_products(rest_docs: DataFrame, restaurants: DataFrame, abort_on_miss: boo
     items = items.select(
         "rest_key", "active_from", F.col("_id").alias("product_id"), F.col("name").alias("product_name"),
         F.col("price").alias("product_price"))
-    dim = restaurants.select(F.col("restaurant_id").alias("rest_key"), F.col("id").alias("restaurant_id"))
+    dim = one_per_key(restaurants, "restaurant_id", "rest_key", "restaurant_id")
     j = items.join(dim, "rest_key", "left")
     if abort_on_miss:
         require_resolved(j, "restaurant_id", "menu item without restaurant")
     p = j.filter(F.col("restaurant_id").isNotNull()).select(
         "product_id", "product_name", "product_price", "active_from", sentinel().alias("active_to"),
         "restaurant_id")
-    return assign_keys(p, ["product_id", "restaurant_id"], key="id").select(
+    return p
+
+
+def dm_products(rest_docs: DataFrame, restaurants: DataFrame, abort_on_miss: bool = True) -> DataFrame:
+    """The menu items, numbered."""
+    return assign_keys(menu_items(rest_docs, restaurants, abort_on_miss), ["product_id", "restaurant_id"], key="id").select(
         "id", "product_id", "product_name", "product_price", "active_from", "active_to", "restaurant_id")
 
 
-def dm_timestamps(order_docs: DataFrame) -> DataFrame:
+def order_times(order_docs: DataFrame) -> DataFrame:
     """One row per distinct order time."""
     ts = _doc(order_docs, ORDER_DOC).select(parse_doc_ts("d.date").alias("ts")).distinct()
     ts = ts.select(
         "ts", F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"),
         time_text("ts").alias("time"), F.to_date("ts").alias("date"))
-    return assign_keys(ts, ["ts"], key="id").select("id", "ts", "year", "month", "day", "time", "date")
+    return ts
+
+
+def dm_timestamps(order_docs: DataFrame) -> DataFrame:
+    """The order times, numbered."""
+    return assign_keys(order_times(order_docs), ["ts"], key="id").select("id", "ts", "year", "month", "day", "time", "date")
 
 
 def parse_orders(order_docs: DataFrame) -> DataFrame:
@@ -89,9 +116,9 @@ def resolve_orders(orders: DataFrame, restaurants: DataFrame, timestamps: DataFr
                    users: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Look up restaurant, timestamp and user; returns (resolved,
     unresolved).  Left joins keep the misses so they can be retried (T5)."""
-    r = restaurants.select(F.col("restaurant_id").alias("rest_key"), F.col("id").alias("restaurant_id"))
-    t = timestamps.select("ts", F.col("id").alias("timestamp_id"))
-    u = users.select(F.col("user_id").alias("user_key"), F.col("id").alias("user_id"))
+    r = one_per_key(restaurants, "restaurant_id", "rest_key", "restaurant_id")
+    t = one_per_key(timestamps, "ts", "ts", "timestamp_id")
+    u = one_per_key(users, "user_id", "user_key", "user_id")
     j = orders.join(r, "rest_key", "left").join(t, "ts", "left").join(u, "user_key", "left")
     ok = F.col("restaurant_id").isNotNull() & F.col("timestamp_id").isNotNull() & F.col("user_id").isNotNull()
     return j.filter(ok), j.filter(~ok).select(*orders.columns)
@@ -105,23 +132,33 @@ def dm_orders(order_docs: DataFrame, restaurants: DataFrame, timestamps: DataFra
         "id", "order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
 
 
+def payment_lines(payment_events: DataFrame) -> DataFrame:
+    """One row per product line of the bonus_transaction events."""
+    ev = payment_events.filter(F.col("event_type") == EVENT_BONUS_TRANSACTION)
+    parsed = ev.select(F.col("id").alias("event_id"), F.from_json("event_value", PAYMENT_DOC, {"mode": "FAILFAST"}).alias("d"))
+    return parsed.select("event_id", F.col("d.order_id").alias("order_key"), F.inline("d.product_payments"))
+
+
+def unresolved_events(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """(event_id) of events with a line whose product is unknown."""
+    known = products.select("product_id").distinct()
+    return lines.select("event_id", "product_id").join(known, "product_id", "left_anti").select("event_id").distinct()
+
+
 def fct_product_sales(payment_events: DataFrame, products: DataFrame, orders: DataFrame,
                       cursor: int = -1) -> DataFrame:
     """Product lines of bonus_transaction events.
 
-    An event whose lines name any unknown product is dropped whole; the
-    product dictionary is last-wins per natural id; an event whose order is
-    not in the DDS yet is skipped.  Events are read with ``id > cursor``.
+    An event whose lines name any unknown product is dropped whole (found
+    from narrow keys, before the wide lines are joined); the product
+    dictionary is last-wins per natural id; an event whose order is not in
+    the DDS yet is skipped.  Events are read with ``id > cursor``.
     """
-    ev = payment_events.filter((F.col("event_type") == EVENT_BONUS_TRANSACTION) & (F.col("id") > F.lit(cursor)))
-    lines = ev.select(F.col("id").alias("event_id"), F.from_json("event_value", PAYMENT_DOC).alias("d")).select(
-        "event_id", F.col("d.order_id").alias("order_key"), F.inline("d.product_payments"))
+    lines = payment_lines(payment_events.filter(F.col("id") > F.lit(cursor)))
     pdict = products.groupBy("product_id").agg(F.max("id").alias("product_sk"))
-    j = lines.join(pdict, "product_id", "left")
-    j = all_or_nothing(j, "event_id", F.col("product_sk").isNotNull())
-    o = orders.select("order_key", F.col("id").alias("order_sk"))
-    j = j.join(o, "order_key")
-    return j.select(
+    o = one_per_key(orders, "order_key", "order_key", "order_sk")
+    whole = lines.join(unresolved_events(lines, products), "event_id", "left_anti")
+    return whole.join(pdict, "product_id").join(o, "order_key").select(
         F.col("product_sk").alias("product_id"), F.col("order_sk").alias("order_id"),
         F.col("quantity").alias("count"), "price", F.col("product_cost").alias("total_sum"),
         "bonus_payment", "bonus_grant", "event_id")
@@ -152,32 +189,31 @@ class DdsRun:
 
     ``staged`` maps 'users', 'restaurants', 'orders' to staged document
     frames (id, object_id, object_value, update_ts) and 'events' to the
-    outbox.  ``prev`` is the previous run's result (None for the first run).
+    outbox.  ``base`` is the folder of the DDS in the shared storage; all
+    that a later run needs is there, so any process can start the next one.
     Each workflow reads only rows with id above its cursor; orders whose
     dimensions are missing wait in ``pending`` and events whose order or
-    products are missing wait in ``pending_events`` (B15); the fact cursor is
-    an *event* id (B14).
-
-    The DDS tables are append-only folders under one base folder in the
-    shared storage: a run writes only its new rows, so its cost follows the
-    increment, not the table.  A replayed run is harmless: new dimension
-    members are anti-joined against the stored ones, and fact rows of events
-    already stored are skipped.  The small pending sets and the cursor state
-    are published per run, the state last.
+    products are missing wait in ``pending_events`` (B15); an event whose
+    order is known and whose products are all known is done, also one without
+    a line.  The fact cursor is an *event* id (B14).
+
+    The DDS tables are append-only folders: a run writes only its new rows.
+    A replayed run is harmless: new dimension members are anti-joined against
+    the stored ones, and fact rows of events already stored are skipped (only
+    the fact's rows from the first event to do are looked at).  A run's
+    cursors and pending rows are published together, after every table.
     """
 
-    WF = {"users": "users_raw_to_dds", "restaurants": "restaurants_raw_to_dds",
-          "products": "menu_products_raw_to_dds", "timestamps": "timestamp_raw_to_dds",
-          "orders": "orders_raw_to_dds", "facts": "fact_product_events_raw_to_dds"}
+    WF = {"users": "dds:users", "restaurants": "dds:restaurants", "products": "dds:products",
+          "timestamps": "dds:timestamps", "orders": "dds:orders", "facts": "dds:facts"}
 
-    def __init__(self, spark, staged: dict[str, DataFrame], prev: "DdsRun | None" = None):
+    def __init__(self, spark, staged: dict[str, DataFrame], base: str):
         from martflow.operators.cursor import cursor_advance, cursor_get, empty_state
         from martflow.operators.tables import path_exists, publish
-        from martflow.session import scratch_path
-        self.spark = spark
-        self.base = prev.base if prev else scratch_path(spark, "dds")
-        self.schemas = dict(prev.schemas) if prev else {}
-        state = prev.state if prev else empty_state(spark)
+        self.spark, self.base = spark, base
+        last = self._last_run()
+        before = f"{base}/runs/{last:09d}" if last else None
+        state = spark.read.parquet(f"{before}/state") if last else empty_state(spark)
 
         def since(name, df):
             return df.filter(F.col("id") > F.lit(cursor_get(state, self.WF[name])))
@@ -186,14 +222,10 @@ class DdsRun:
             return cursor_advance(st, batch, "id", F.lit(self.WF[name]))
 
         def stored(name):
-            path = f"{self.base}/{name}"
-            if name not in self.schemas or not path_exists(spark, path):
-                return None
-            return spark.read.schema(self.schemas[name]).parquet(path)
+            return spark.read.parquet(f"{base}/{name}") if path_exists(spark, f"{base}/{name}") else None
 
         def append(name, rows):
-            rows.write.mode("append").parquet(f"{self.base}/{name}")
-            self.schemas[name] = rows.schema
+            rows.write.mode("append").parquet(f"{base}/{name}")
             return stored(name)
 
         def add_members(name, new, natural_key):
@@ -212,43 +244,47 @@ class DdsRun:
         t["dm_restaurants"] = add_members("dm_restaurants", r, ["restaurant_id", "active_from"])
 
         prod_b = since("products", staged["restaurants"])
-        newp = dm_products(prod_b, t["dm_restaurants"]).drop("id")
-        t["dm_products"] = add_members("dm_products", newp, ["product_id", "restaurant_id"])
+        t["dm_products"] = add_members("dm_products", menu_items(prod_b, t["dm_restaurants"]), ["product_id", "restaurant_id"])
 
         ord_b = since("orders", staged["orders"])
-        ts = dm_timestamps(ord_b).drop("id")
-        t["dm_timestamps"] = add_members("dm_timestamps", ts, ["ts"])
+        t["dm_timestamps"] = add_members("dm_timestamps", order_times(ord_b), ["ts"])
 
         todo = parse_orders(ord_b)
-        if prev is not None:
-            todo = todo.unionByName(prev.pending)
+        if last:
+            todo = todo.unionByName(spark.read.parquet(f"{before}/pending"))
         ok, waiting = resolve_orders(todo, t["dm_restaurants"], t["dm_timestamps"], t["dm_users"])
         o = ok.select("order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
         t["dm_orders"] = add_members("dm_orders", o, ["order_key"])
-        self.pending = publish(waiting, "orders_pending")
 
         # facts: new events plus the ones still waiting from earlier runs
         ev_new = since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION))
-        ev_todo = ev_new if prev is None else ev_new.unionByName(prev.pending_events)
+        ev_todo = publish(ev_new.unionByName(spark.read.parquet(f"{before}/pending_events")) if last else ev_new, "events_todo")
         facts = fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"])
         old = stored("fct_product_sales")
-        if old is not None:  # a replayed run does not store an event twice
-            facts = facts.join(old.select("event_id").distinct(), "event_id", "left_anti").select(*facts.columns)
-        facts = publish(facts, "fct_product_sales_batch")
-        t["fct_product_sales"] = append("fct_product_sales", facts)
-        done = facts.select(F.col("event_id").alias("id")).distinct()
-        if old is not None:
-            done = done.unionByName(old.select(F.col("event_id").alias("id"))).distinct()
-        self.pending_events = publish(ev_todo.join(done, "id", "left_anti"), "events_pending")
+        first = ev_todo.agg(F.min("id")).first()[0]
+        if old is not None and first is not None:  # a replayed run does not store an event twice
+            facts = facts.join(old.filter(F.col("event_id") >= first).select("event_id").distinct(), "event_id", "left_anti").select(*facts.columns)
+        t["fct_product_sales"] = append("fct_product_sales", publish(facts, "fct_product_sales_batch"))
+        parsed = ev_todo.select("id", F.from_json("event_value", PAYMENT_DOC, {"mode": "FAILFAST"})["order_id"].alias("order_key"))
+        known = parsed.join(t["dm_orders"].select("order_key"), "order_key", "left_semi").select("id")
+        bad = unresolved_events(payment_lines(ev_todo), t["dm_products"]).withColumnRenamed("event_id", "id")
+        waiting_events = ev_todo.join(known.join(bad, "id", "left_anti"), "id", "left_anti")
 
         st = state
-        st = advance(st, "users", users_b)
-        st = advance(st, "restaurants", rest_b)
-        st = advance(st, "products", prod_b)
-        st = advance(st, "timestamps", ord_b)
-        st = advance(st, "orders", ord_b)
-        # B14 fixed: the fact cursor is the largest *event* id read; events not
-        # loaded yet are kept in pending_events rather than skipped for good
-        st = advance(st, "facts", ev_new)
+        for name, batch in (("users", users_b), ("restaurants", rest_b), ("products", prod_b), ("timestamps", ord_b),
+                            # B14 fixed: the fact cursor is the largest *event* id read
+                            ("orders", ord_b), ("facts", ev_new)):
+            st = advance(st, name, batch)
+        run = f"{base}/runs/{last + 1:09d}"
+        for name, df in (("pending", waiting), ("pending_events", waiting_events), ("state", st)):  # the state last
+            df.write.mode("overwrite").parquet(f"{run}/{name}")
         self.tables = t
-        self.state = publish(st, "dds_wf_settings")  # cursors last, after every table
+        self.pending, self.pending_events, self.state = (spark.read.parquet(f"{run}/{n}") for n in ("pending", "pending_events", "state"))
+
+    def _last_run(self) -> int:
+        """The newest run whose state is complete; 0 before the first."""
+        from martflow.operators.tables import path_exists
+        n = 0
+        while path_exists(self.spark, f"{self.base}/runs/{n + 1:09d}/state/_SUCCESS"):
+            n += 1
+        return n

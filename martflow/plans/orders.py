@@ -10,11 +10,12 @@ from martflow.operators.latest import latest_by
 
 
 def orders_final_status(orders: DataFrame, status_log: DataFrame) -> DataFrame:
-    """A2 + J1 + F1 as written (B4): final status = max(status_id), projected
-    with renames; orders with no log row drop out of the inner join."""
+    """A2 + J1 + F1 as written (B4): final status = max(status_id) in place of
+    the orders' own; their other columns stay; orders with no log row drop
+    out of the inner join."""
     final = status_log.groupBy("order_id").agg(F.max("status_id").alias("final_status"))
     return orders.join(final, "order_id").select(
-        "order_id", "order_ts", "user_id", "payment", F.col("final_status").alias("status"))
+        *[F.col("final_status").alias(c) if c == "status" else c for c in orders.columns])
 
 
 def orders_latest_status(orders: DataFrame, status_log: DataFrame) -> DataFrame:
@@ -23,8 +24,7 @@ def orders_latest_status(orders: DataFrame, status_log: DataFrame) -> DataFrame:
     latest = latest_by(status_log, ["order_id"], [F.col("dttm"), F.col("status_id")],
                        {"latest_status": F.col("status_id")})
     return orders.join(latest, "order_id", "left").select(
-        "order_id", "order_ts", "user_id", "payment",
-        F.coalesce("latest_status", "status").alias("status"))
+        *[F.coalesce("latest_status", "status").alias(c) if c == "status" else c for c in orders.columns])
 
 
 def order_amounts(items: DataFrame) -> DataFrame:

@@ -7,16 +7,14 @@ the one side broadcast explicitly; the fact and stage stay distributed.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martflow.operators.keys import assign_keys
 from martflow.operators.latest import latest_by
 from martflow.operators.tables import not_in
 
-# Calendar span used with the test tables; the reference's own
-# series is 2020-01-01 plus 365*3 days.
-CAL_START = "1995-01-01"
-CAL_DAYS = 2557
 from martflow.constants import PERIOD_WEEKLY, STATUS_REFUNDED as REFUNDED, STATUS_SHIPPED
 
 
@@ -25,13 +23,21 @@ def day_of(c: str = "date_time"):
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
 
-def d_customer(stage: DataFrame, existing: DataFrame | None = None, start_id: int = 1) -> DataFrame:
+def d_customer(stage: DataFrame, existing: DataFrame | None = None, start_id: int = 1,
+               one_per_id: bool = False) -> DataFrame:
     """M10 / A3 / J6 as written: customers NOT IN the dim, grouped by id *and*
-    names (B9: one id with two spellings yields two rows), min(city_id)."""
+    names (B9: one id with two spellings yields two rows), min(city_id).
+    ``one_per_id`` keeps the spelling of the latest row of each id instead."""
     src = stage
     if existing is not None:
         src = not_in(stage, "customer_id", existing, "customer_id")
-    g = src.groupBy("customer_id", "first_name", "last_name").agg(F.min("city_id").alias("city_id"))
+    if one_per_id:
+        spelling = F.struct("first_name", "last_name")
+        g = src.groupBy("customer_id").agg(
+            F.max_by(spelling, F.struct("date_time", "first_name", "last_name")).alias("s"), F.min("city_id").alias("city_id"))
+        g = g.select("customer_id", "s.first_name", "s.last_name", "city_id")
+    else:
+        g = src.groupBy("customer_id", "first_name", "last_name").agg(F.min("city_id").alias("city_id"))
     return assign_keys(g, ["customer_id", "first_name", "last_name"], start=start_id, key="id").select(
         "id", "customer_id", "first_name", "last_name", "city_id")
 
@@ -48,22 +54,44 @@ def d_item(stage: DataFrame, start_id: int = 1) -> DataFrame:
         "id", "item_id", "item_name")
 
 
+def new_items(existing: DataFrame, increment: DataFrame) -> DataFrame:
+    """M11 on increments: items NOT IN the dim, with their latest name and ids
+    after the largest one, so stored ids never change."""
+    fresh = not_in(increment, "item_id", existing, "item_id")
+    top = existing.agg(F.max("id")).first()[0] or 0
+    return d_item(fresh, start_id=top + 1)
+
+
+def d_item_increment(existing: DataFrame, increment: DataFrame) -> DataFrame:
+    """The dim after an increment: new items appended, names of the
+    stored ones renewed where the increment has the item."""
+    from martflow.operators.tables import update_from_lookup
+    renamed = update_from_lookup(existing, latest_item_names(increment), "item_id", "item_name")
+    return renamed.unionByName(new_items(existing, increment))
+
+
 def last_value_default_frame(stage: DataFrame) -> DataFrame:
     """W4 as written: ``DISTINCT item_id, LAST_VALUE(item_name) OVER (PARTITION
-    BY item_id ORDER BY date_time DESC, item_name)`` with the default frame.
+    BY item_id ORDER BY date_time DESC)`` with the default frame.
 
-    The default frame ends at the current row's last peer; with
-    ``item_name`` in the order every peer group holds one name, so each row
-    sees its own name and the DISTINCT result is every (item, name) pair --
-    the duplicate-name defect B7.  Computed as a DISTINCT (partial
-    aggregation) rather than a per-item sort, so a hot item is not one task.
+    The default frame ends at the current row's last peer, so each row sees a
+    name of its own stamp, not of the latest one: the duplicate-name defect
+    B7.  Which of several names on one stamp is not defined; here it is the
+    greatest.  Two aggregations instead of a per-item sort, so a hot item is
+    not one task.
     """
-    return stage.select("item_id", F.col("item_name").alias("name")).distinct()
+    per_stamp = stage.groupBy("item_id", "date_time").agg(F.max("item_name").alias("name"))
+    return per_stamp.select("item_id", "name").distinct()
 
 
-def f_daily_sales(spark: SparkSession, stage: DataFrame, cal: DataFrame, start: str, end: str) -> DataFrame:
+def f_daily_sales(spark: SparkSession, stage: DataFrame, cal: DataFrame, start: str, end: str,
+                  midnight_only: bool = False) -> DataFrame:
     """DISTINCT fact rows of stage rows in [start, end), dated
-    through the calendar; run as parameterised SQL with named arguments."""
+    through the calendar; run as parameterised SQL with named arguments.
+    ``midnight_only`` is the slice as written (B12): a day is matched by
+    equality, so rows with a time of day are left out."""
+    if midnight_only:
+        stage = stage.filter(F.col("date_time") == F.to_date("date_time").cast("timestamp_ntz"))
     return spark.sql(
         """
         SELECT /*+ BROADCAST(dc) */ DISTINCT dc.date_id, s.item_id, s.customer_id, s.quantity,
@@ -146,13 +174,22 @@ def read_stage(spark: SparkSession, stage_dir: str) -> DataFrame:
     return read_slices(spark, stage_dir, "day", schema=STAGE_DDL + ", day string").drop("day")
 
 
+def require_dated(first: str, last: str, cal_start: str, cal_days: int) -> None:
+    """A day without a calendar row would vanish from fact and retention."""
+    end = (dt.date.fromisoformat(cal_start) + dt.timedelta(days=cal_days)).isoformat()
+    if first < cal_start or last >= end:
+        raise ValueError(f"days {first} to {last} reach beyond the calendar, {cal_start} to before {end}")
+
+
 def build_marts(spark: SparkSession, stage: DataFrame, cal_start: str, cal_days: int) -> dict[str, DataFrame]:
     """M10-M14 rebuilt from the whole stage (a first load or a full rebuild);
     each result is published (K3 full refresh) under the shared folder."""
     from martflow.operators.tables import publish
     from martflow.sources.calendar import calendar
+    lo, hi = stage.agg(F.min(day_of()), F.max(day_of())).first()
+    if lo is not None:
+        require_dated(lo, hi, cal_start, cal_days)
     cal = publish(calendar(spark, cal_start, cal_days), "d_calendar")
-    import datetime as dt
     end = (dt.date.fromisoformat(cal_start) + dt.timedelta(days=cal_days)).isoformat()
     fact = publish(f_daily_sales(spark, stage, cal, cal_start, end), "f_daily_sales")
     return {
@@ -169,30 +206,38 @@ FACT_DDL = ("date_id int, item_id int, customer_id long, quantity long, payment_
 CUSTOMER_DDL = "id long, customer_id long, first_name string, last_name string, city_id int"
 
 
-def run_increment(spark: SparkSession, csv_path: str, base_dir: str, days, cal_start: str = CAL_START,
-                  cal_days: int = CAL_DAYS) -> dict[str, DataFrame]:
+ITEM_DDL = "id long, item_id int, item_name string"
+
+
+def run_increment(spark: SparkSession, csv_path: str, base_dir: str, days, cal_start: str,
+                  cal_days: int) -> dict[str, DataFrame]:
     """T4 / Entry A: load the increment for ``days`` and maintain the marts
     under ``base_dir`` incrementally (re-runnable for any past day; a
     backfill passes all its days at once):
 
-    - stage and fact: the days' slices are replaced (K4 / K5 + insert), so a
-      run rewrites only its days;
-    - d_customer: customers NOT IN the dimension are appended with ids after
-      the current maximum (M10 as written: grouped over the whole stage);
-    - d_item: latest name per item over the stage (one partial aggregation);
+    - stage and fact: the days' slices are replaced (K4 / K5 + insert); the
+      increment is read back through a filter on the partition column, so a
+      run opens and rewrites only its days;
+    - d_customer: the increment's customers NOT IN the dimension are appended
+      with ids after the current maximum (M10 as written);
+    - d_item: the increment's new items are appended likewise, and stored
+      names renewed where the increment is at least as late as the one that
+      named them; each run writes one snapshot of the dimension;
     - customer_retention: full refresh from the fact (K3), as in the reference.
-    """
-    import datetime as dt
 
-    from martflow.operators.tables import path_exists, publish, read_slices, write_slices
+    The calendar's start is kept with the tables, since date_id counts from
+    it: another start, or a day outside the calendar, is refused.
+    """
+    from martflow.operators.tables import path_exists, publish, read_slices, update_from_lookup, write_slices
     from martflow.sources.calendar import calendar
     days = [days] if isinstance(days, str) else sorted(days)
+    require_dated(days[0], days[-1], cal_start, cal_days)
+    _same_calendar(spark, f"{base_dir}/calendar_start", cal_start)
     stage_dir, fact_dir, cust_dir = f"{base_dir}/stage", f"{base_dir}/f_daily_sales", f"{base_dir}/d_customer"
     load_increment(spark, csv_path, stage_dir, days)
-    stage = read_stage(spark, stage_dir)
     cal = calendar(spark, cal_start, cal_days)
 
-    inc = stage.filter(day_of().isin(*days))
+    inc = read_days(spark, stage_dir, days)
     end = (dt.date.fromisoformat(days[-1]) + dt.timedelta(days=1)).isoformat()
     fact_inc = f_daily_sales(spark, inc, cal, days[0], end).join(
         F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id")
@@ -201,11 +246,58 @@ def run_increment(spark: SparkSession, csv_path: str, base_dir: str, days, cal_s
 
     existing = spark.read.schema(CUSTOMER_DDL).parquet(cust_dir) if path_exists(spark, cust_dir) else None
     top = 0 if existing is None else (existing.agg(F.max("id")).first()[0] or 0)
-    d_customer(stage, existing, start_id=top + 1).write.mode("append").parquet(cust_dir)
+    d_customer(inc, existing, start_id=top + 1).write.mode("append").parquet(cust_dir)
+
+    # item ids are append-only; names live beside them, one small slice per day
+    id_dir, name_dir = f"{base_dir}/d_item_ids", f"{base_dir}/d_item_names"
+    names = latest_by(inc.withColumn("day", day_of()), ["item_id", "day"], [F.col("date_time"), F.col("item_name")],
+                      {"item_name": F.col("item_name"), "date_time": F.col("date_time")})
+    write_slices(names, name_dir, "day", days)
+    ids = spark.read.schema(ITEM_DDL).parquet(id_dir) if path_exists(spark, id_dir) else None
+    (d_item(inc) if ids is None else new_items(ids, inc)).write.mode("append").parquet(id_dir)
+    named = read_slices(spark, name_dir, "day", schema="item_id int, item_name string, date_time timestamp_ntz, day string")
+    items = update_from_lookup(spark.read.schema(ITEM_DDL).parquet(id_dir), latest_item_names(named), "item_id", "item_name")
     return {
         "d_calendar": cal,
         "d_customer": spark.read.schema(CUSTOMER_DDL).parquet(cust_dir),
-        "d_item": publish(d_item(stage), "d_item"),
+        "d_item": publish(items, "d_item"),
         "f_daily_sales": fact,
         "customer_retention": publish(customer_retention(retention_base(fact, cal)), "customer_retention"),
     }
+
+
+def read_days(spark: SparkSession, stage_dir: str, days) -> DataFrame:
+    """The stage rows of some days: a filter on the partition column, so only
+    their folders are listed and read."""
+    from martflow.operators.tables import read_slices
+    return read_slices(spark, stage_dir, "day", schema=STAGE_DDL + ", day string").filter(F.col("day").isin(*days)).drop("day")
+
+
+def _same_calendar(spark: SparkSession, path: str, cal_start: str) -> None:
+    from martflow.operators.tables import path_exists
+    if not path_exists(spark, path):
+        spark.createDataFrame([(cal_start,)], "cal_start string").write.parquet(path)
+    stored = spark.read.schema("cal_start string").parquet(path).first()[0]
+    if stored != cal_start:
+        raise ValueError(f"the stored fact counts its days from {stored}, not {cal_start}")
+
+
+# ---------------------------------------------------------------- the other daily feeds
+
+# Both are landed as files like the orders feed and staged whole, sliced by day.
+FEEDS = {
+    "customer_research": "date_id timestamp_ntz, category_id int, geo_id int, sales_qty int, sales_amt decimal(14,2)",
+    "user_activity_log": "date_time timestamp_ntz, action_id long, customer_id long, quantity long",
+}
+FEED_DAY = {"customer_research": "date_id", "user_activity_log": "date_time"}
+
+
+def load_feed(spark: SparkSession, feed: str, csv_path: str, stage_dir: str, days) -> None:
+    """M9 for the feeds without a mart: drop the leading row id, insert by name
+    into the typed stage, replace the days' slices."""
+    from martflow.operators.tables import append_with_defaults, write_slices
+    from martflow.sources.files import conform, drop_leading, read_csv_inferred
+    raw = drop_leading(read_csv_inferred(spark, csv_path), 1)
+    typed = conform(append_with_defaults(spark.createDataFrame([], FEEDS[feed]), raw, {}), FEEDS[feed])
+    days = [days] if isinstance(days, str) else list(days)
+    write_slices(typed.withColumn("day", day_of(FEED_DAY[feed])).filter(F.col("day").isin(*days)), stage_dir, "day", days)

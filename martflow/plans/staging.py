@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.functions.scalars import to_json_keep_nulls
-from martflow.operators.cursor import cursor_advance, cursor_get
-from martflow.operators.tables import insert_if_absent, rows_if_absent, upsert
-from martflow.sources.staged import SESSION_LIMIT, oldest_k
+from martflow.constants import SESSION_LIMIT
+from martflow.operators.cursor import cursor_advance, cursor_get, settings_get, settings_set
+from martflow.operators.tables import insert_if_absent, publish, rows_if_absent, upsert
+
+# names of this package's own workflows in the state table
+EVENTS_WF = "stage:events"
+COPY_WF = "stage:documents"
 
 
 def load_ranks(staged: DataFrame, ranks: DataFrame, order: str = "id") -> DataFrame:
@@ -26,7 +30,7 @@ def load_bonus_users(staged: DataFrame, users: DataFrame, order: str = "id") ->
 
 
 def load_events(staged: DataFrame, outbox: DataFrame, state: DataFrame,
-                wf_key: str = "events_origin_to_stg") -> tuple[DataFrame, DataFrame]:
+                wf_key: str = EVENTS_WF) -> tuple[DataFrame, DataFrame]:
     """Outbox rows with id > cursor, each stored once (the
     staged table's primary key is the event id).  Returns (rows to append,
     new state): the staged table is insert-only, so a run appends its batch
@@ -41,33 +45,62 @@ def load_events(staged: DataFrame, outbox: DataFrame, state: DataFrame,
 STAGED_DOC_DDL = "object_id string, object_value string, update_ts timestamp_ntz"
 
 
-def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, since) -> DataFrame:
-    docs = documents if since is None else documents.filter(F.col(ts_col) > F.lit(since))
-    picked = oldest_k(docs, limit, ts_col=ts_col, id_col=id_col)
-    return picked.select(
-        F.col(id_col).cast("string").alias("object_id"),
-        to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
-        F.col(ts_col).alias("update_ts"))
+FIRST_TS = "0001-01-01 00:00:00"  # a document without a stamp counts as the oldest
+
 
+def _stamp(ts_col: str):
+    return F.coalesce(F.col(ts_col), F.lit(FIRST_TS).cast("timestamp_ntz"))
 
-def copy_collection_into(table_dir: str, documents: DataFrame, id_col: str = "_id", ts_col: str = "update_ts",
-                         limit: int = SESSION_LIMIT, since=None, buckets: int = 64) -> None:
+
+def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, after: tuple[str, str] | None) -> DataFrame:
+    """The next ``limit`` documents by (update time, id) after the cursor, as
+    staged rows plus the cursor columns."""
+    docs, id_type = documents, dict(documents.dtypes)[id_col]
+    if after is not None:
+        ts, doc_id = F.lit(after[0]).cast("timestamp_ntz"), F.lit(after[1]).cast(id_type)
+        docs = docs.filter((_stamp(ts_col) > ts) | ((_stamp(ts_col) == ts) & (F.col(id_col) > doc_id)))
+        # the same range as a plain predicate, which reaches the scan
+        docs = docs.filter(F.col(ts_col).isNull() | (F.col(ts_col) >= ts))
+    return docs.orderBy(_stamp(ts_col), F.col(id_col)).limit(limit).select(
+        F.col(id_col).cast("string").alias("object_id"),
+        to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
+        F.col(ts_col).alias("update_ts"), _stamp(ts_col).alias("_page_ts"), F.col(id_col).alias("_page_id"))
+
+
+def _session(documents: DataFrame, state: DataFrame, wf_key: str, id_col: str, ts_col: str,
+             limit: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of one copy session, state after it).  The cursor is (update_ts,
+    id) of the last document copied, kept in the state, so documents that tie
+    on the stamp are neither lost nor read again; an empty session keeps it."""
+    last_ts, last_id = settings_get(state, wf_key, "last_ts", "last_id")
+    rows = publish(_doc_rows(documents, id_col, ts_col, limit, None if last_ts is None else (last_ts, last_id)),
+                   "copy_session")
+    end = rows.agg(F.max(F.struct("_page_ts", "_page_id")).alias("m")).select(
+        F.col("m._page_ts").cast("string"), F.col("m._page_id").cast("string")).first()
+    if end[0] is not None:
+        state = settings_set(state, wf_key, last_ts=end[0], last_id=end[1])
+    return rows.drop("_page_ts", "_page_id"), state
+
+
+def copy_collection_into(table_dir: str, documents: DataFrame, state: DataFrame, wf_key: str = COPY_WF, id_col: str = "_id",
+                         ts_col: str = "update_ts", limit: int = SESSION_LIMIT, buckets: int | None = None) -> DataFrame:
     """M16 in place: as :func:`copy_collection`, but the staged table is kept
     as hash buckets of ``object_id`` and only the buckets holding copied
-    documents are rewritten, so a session costs O(copied), not O(staged)."""
+    documents are rewritten, so a session costs O(touched buckets).  Returns
+    the new state, to be published after the table."""
     from martflow.operators.tables import upsert_buckets
-    rows = _doc_rows(documents, id_col, ts_col, limit, since)
+    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit)
     upsert_buckets(table_dir, rows, ["object_id"], [F.col("update_ts")], STAGED_DOC_DDL,
                    update_cols=["object_value"], buckets=buckets)
+    return state
 
 
-def copy_collection(staged: DataFrame, documents: DataFrame, id_col: str = "_id", ts_col: str = "update_ts",
-                    limit: int = SESSION_LIMIT, since=None) -> DataFrame:
-    """Copy up to ``limit`` documents (oldest first by
-    update time) into staging as JSON text; a document already staged gets
-    its payload refreshed and keeps its stored update_ts (as written, B18).
-    ``since`` (the largest staged update_ts) turns the copy into a cursor
-    read so later sessions do not re-read the oldest documents."""
-    rows = _doc_rows(documents, id_col, ts_col, limit, since)
+def copy_collection(staged: DataFrame, documents: DataFrame, state: DataFrame, wf_key: str = COPY_WF, id_col: str = "_id",
+                    ts_col: str = "update_ts", limit: int = SESSION_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """One session copies the next ``limit``
+    documents (oldest first by update time, then id) into staging as JSON
+    text; a document already staged gets its payload refreshed and keeps its
+    stored update_ts (as written, B18).  Returns (staged table, state)."""
+    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit)
     return upsert(staged.select("object_id", "object_value", "update_ts"), rows, ["object_id"],
-                  [F.col("update_ts")], update_cols=["object_value"])
+                  [F.col("update_ts")], update_cols=["object_value"]), state

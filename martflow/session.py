@@ -8,6 +8,7 @@ when that setting is absent (local tests) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,8 +58,9 @@ def apply_settings(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
-    Read from the context's checkpoint dir or ``spark.checkpoint.dir``; only
-    an unset session (local tests) gets a fresh folder of its own.
+    Read from the context's checkpoint dir or ``spark.checkpoint.dir``; only a
+    local session without one gets a fresh folder of its own, any other master
+    raises: each executor would write to its own disk.
     """
     try:
         sc = spark.sparkContext
@@ -70,6 +72,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="martflow-shared-")
     if sc is not None:
         sc.setCheckpointDir(d)

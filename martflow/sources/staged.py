@@ -25,6 +25,13 @@ def read_events(outbox: DataFrame, event_type: str, cursor: int) -> DataFrame:
     return outbox.filter((F.col("event_type") == F.lit(event_type)) & (F.col("id") > F.lit(cursor)))
 
 
+# Payload shapes of the bonus system's own event types.
+BONUS_SHAPES = {
+    "user_rank": "user_id long, rank_id long",
+    "user_balance": "user_id long, balance decimal(19,5)",
+}
+
+
 def oldest_k(docs: DataFrame, k: int = SESSION_LIMIT, ts_col: str = "update_ts", id_col: str = "id") -> DataFrame:
     """The ``k`` oldest documents by update time (ties by id).
 
@@ -37,8 +44,9 @@ def oldest_k(docs: DataFrame, k: int = SESSION_LIMIT, ts_col: str = "update_ts",
 
 def events_by_type(outbox: DataFrame, shapes: Mapping[str, str], value_col: str = "event_value") -> DataFrame:
     """Route each event type to its payload schema with ``from_json``;
-    the result keeps id, type and the parsed payload as a struct per type."""
+    the result keeps id, type and the parsed payload as a struct per type.
+    An event of a type without a declared shape stays, with NULL payloads."""
     cols = [F.col("id"), F.col("event_type")]
     for etype, ddl in shapes.items():
         cols.append(F.when(F.col("event_type") == etype, F.from_json(F.col(value_col), ddl)).alias(etype))
-    return outbox.filter(F.col("event_type").isin(*shapes.keys())).select(*cols)
+    return outbox.select(*cols)

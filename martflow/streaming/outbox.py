@@ -3,12 +3,12 @@
 - ``tail``: an ``availableNow`` file-source run delivers only the files that
   arrived since the last run; progress lives in the checkpoint, so a rerun
   or a lost executor never re-delivers or skips a file.
-- ``dedupe``: the outbox's primary key as ``dropDuplicatesWithinWatermark``;
-  state is bounded by the watermark delay.
+- ``dedupe``: the outbox's primary key, held against the stored ids, so an
+  event that arrives late is stored like any other.
 - ``upsert``: ``foreachBatch`` reduces each micro-batch to the latest row per
   key and rewrites only the hash buckets of the table that the batch
-  touches (dynamic partition overwrite); a replayed batch rewrites the same
-  buckets with the same rows (idempotent).
+  touches, as new folders that one pointer then names; a batch that the
+  pointer already holds is skipped.
 """
 
 from __future__ import annotations
@@ -41,29 +41,30 @@ def tail(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, sin
 
 
 def dedupe(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, sink_dir: str,
-           key: Sequence[str], event_time: str, delay: str = "1 hour") -> None:
-    """Each key lands once (within the watermark delay).  Watermarks need
-    a zoned timestamp, so the NTZ event time is cast for the watermark only."""
-    s = (read_stream(spark, source_dir, schema)
-         .withColumn("_mf_wm", F.col(event_time).cast("timestamp"))
-         .withWatermark("_mf_wm", delay)
-         .dropDuplicatesWithinWatermark(list(key))
-         .drop("_mf_wm"))
+           key: Sequence[str], order: Sequence[Column]) -> None:
+    """Each key lands once, the first copy by ``order``, however late its
+    copies (or a new key's only row) arrive: every micro-batch is reduced to
+    the keys that earlier batches haven't stored.  A replayed batch rewrites
+    its own folder and looks only at the batches before it."""
+    from martflow.operators.tables import path_exists, rows_if_absent
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
-    run_available(s, checkpoint, write)
+        stored = spark.createDataFrame([], batch.schema)
+        if path_exists(spark, sink_dir):
+            stored = spark.read.schema(f"{schema}, batch long").parquet(sink_dir).filter(F.col("batch") < batch_id)
+        rows_if_absent(stored.select(*batch.columns), batch, key, order).write.mode("overwrite").parquet(
+            f"{sink_dir}/batch={batch_id}")
+    run_available(read_stream(spark, source_dir, schema), checkpoint, write)
 
 
 def upsert_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, table_dir: str,
                   key: Sequence[str], order: Sequence[Column], update_cols: Sequence[str] | None = None,
-                  buckets: int = 64) -> None:
-    """Micro-batch upsert into a table kept as hash buckets of the key:
-    each batch rewrites only the buckets it touches (``upsert_buckets``), so
-    a batch costs O(touched buckets); a replayed batch recomputes the same
-    buckets from the unchanged table."""
+                  buckets: int | None = None) -> None:
+    """Micro-batch upsert into a table kept as hash buckets of the key
+    (``upsert_buckets``): a batch costs O(touched buckets), and a replayed
+    one is recognised by its checkpoint and batch id and skipped."""
     from martflow.operators.tables import upsert_buckets
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_buckets(table_dir, batch, key, order, schema, update_cols, buckets)
+        upsert_buckets(table_dir, batch, key, order, schema, update_cols, buckets, batch_id=(checkpoint, batch_id))
     run_available(read_stream(spark, source_dir, schema), checkpoint, apply)

@@ -53,3 +53,35 @@ def test_iso_week_year_end(spark):
     cal = calendar(spark, "2020-12-28", 10).filter(F.col("full_date").isin(
         dt.date(2021, 1, 1), dt.date(2021, 1, 4))).orderBy("full_date").collect()
     assert [(r.week_num, r.iso_year) for r in cal] == [(53, 2020), (1, 2021)]
+
+
+def test_age_day_part_of_null_is_null(spark):
+    from pyspark.sql import functions as F
+    from martflow.functions.scalars import age_day_part
+    T = __import__("datetime").datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(None, T), (T, None), (None, None), (T, T)], "a timestamp_ntz, b timestamp_ntz").select(age_day_part("a", "b").alias("d")).collect()
+    assert [r.d for r in rows] == [None, None, None, 0]
+
+
+def test_shared_dir_refuses_a_cluster_without_a_shared_folder():
+    import pytest
+    from martflow.session import shared_dir
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())

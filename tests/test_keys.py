@@ -41,11 +41,8 @@ def test_scale_settings_sizes_partitions():
     assert int(scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_assign_keys_broadcast_offsets_and_empty_ranges(spark, monkeypatch):
-    import martflow.operators.keys as K
+def test_assign_keys_broadcast_offsets_and_empty_ranges(spark):
     rows = [(i,) for i in range(40)]
     df = spark.createDataFrame(rows, "k int")
-    for inline in (2048, 1):  # array-literal offsets, then the broadcast-join path
-        monkeypatch.setattr(K, "INLINE_OFFSETS", inline)
-        out = assign_keys(df, ["k"], num_partitions=64).orderBy("id").collect()  # more ranges than rows
-        assert [(r.id, r.k) for r in out] == [(i + 1, i) for i in range(40)]
+    out = assign_keys(df, ["k"], num_partitions=64).orderBy("id").collect()  # more ranges than rows
+    assert [(r.id, r.k) for r in out] == [(i + 1, i) for i in range(40)]

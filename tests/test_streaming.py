@@ -3,6 +3,8 @@ idempotent micro-batch upsert (T1-T3)."""
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from martflow.session import scratch_path
@@ -30,20 +32,20 @@ def test_tail_delivers_only_new_files_and_nothing_on_rerun(spark):
     assert {str(k): v for k, v in got.items()} == {"1": [1, 2], "2": [3]}
 
 
-def test_dedupe_across_batches_within_watermark(spark):
+def test_dedupe_across_batches_however_late(spark):
     base = scratch_path(spark, "t_dedupe")
     src, ck, sink = f"{base}/src", f"{base}/ck", f"{base}/sink"
     _drop(spark, src, [(1, T, "a", "{}"), (2, T, "a", "{}")])
-    S.dedupe(spark, src, DDL, ck, sink, ["id"], "event_ts", "1 hour")
-    # id 1 again 10 minutes later: inside the 1 hour delay -> dropped; id 3 is new
-    _drop(spark, src, [(1, T + dt.timedelta(minutes=10), "a", "{}"), (3, T, "a", "{}")])
-    S.dedupe(spark, src, DDL, ck, sink, ["id"], "event_ts", "1 hour")
+    S.dedupe(spark, src, DDL, ck, sink, ["id"], [F.col("event_ts")])
+    # id 1 again much later is a copy; id 3 is new although its stamp is days old
+    _drop(spark, src, [(1, T + dt.timedelta(days=10), "a", "{}"), (3, T - dt.timedelta(days=30), "a", "{}")])
+    S.dedupe(spark, src, DDL, ck, sink, ["id"], [F.col("event_ts")])
     ids = sorted(r.id for r in spark.read.parquet(sink).collect())
     assert ids == [1, 2, 3]
 
 
 def test_upsert_stream_touches_only_batch_buckets_and_replays(spark):
-    from martflow.operators.tables import read_buckets, upsert_buckets
+    from martflow.operators.tables import read_buckets, read_pointer, upsert_buckets
     ddl = "object_id string, object_value string, update_ts timestamp_ntz"
     base = scratch_path(spark, "t_upsert")
     src, ck, table = f"{base}/src", f"{base}/ck", f"{base}/table"
@@ -54,7 +56,7 @@ def test_upsert_stream_touches_only_batch_buckets_and_replays(spark):
     later = T + dt.timedelta(1)
     spark.createDataFrame([("k1", "v2", later), ("k1", "v3", later + dt.timedelta(1)), ("new", "w", T)], ddl) \
         .write.mode("append").parquet(src)
-    before = {r[0] for r in spark.read.parquet(table).select("_bucket").distinct().collect()}
+    before = read_pointer(spark, table)
     S.upsert_stream(spark, src, ddl, ck, table, ["object_id"], order, buckets=16)
     got = {r.object_id: (r.object_value, r.update_ts) for r in read_buckets(spark, table, ddl).collect()}
     assert len(got) == 51 and got["k1"] == ("v3", later + dt.timedelta(1)) and got["k7"] == ("v1", T)
@@ -63,4 +65,31 @@ def test_upsert_stream_touches_only_batch_buckets_and_replays(spark):
     upsert_buckets(table, batch, ["object_id"], order, ddl, buckets=16)
     again = {r.object_id: (r.object_value, r.update_ts) for r in read_buckets(spark, table, ddl).collect()}
     assert again == got
-    assert before  # the table is stored as buckets of the key
+    # only the buckets of the two keys have other folders
+    now = read_pointer(spark, table)
+    assert before["buckets"] == now["buckets"] == 16
+    assert 1 <= sum(now["folders"][b] != f for b, f in before["folders"].items()) <= 2
+
+
+def test_upsert_is_switched_at_once_and_skips_published_batches(spark, monkeypatch):
+    from martflow.operators import tables as M
+    ddl = "k string, v string"
+    table = scratch_path(spark, "t_pointer")
+    rows = lambda: sorted(map(tuple, M.read_buckets(spark, table, ddl).collect()))
+    up = lambda data, **how: M.upsert_buckets(table, spark.createDataFrame(data, ddl), ["k"], [F.col("v")], ddl, **how)
+    up([(f"k{i}", "a") for i in range(20)], buckets=4, batch_id=("s", 0))
+    first = rows()
+    write = M._write_pointer
+    monkeypatch.setattr(M, "_write_pointer", lambda *a: (_ for _ in ()).throw(OSError("lost between write and switch")))
+    with pytest.raises(OSError):
+        up([("k1", "b"), ("new", "b")], batch_id=("s", 1))
+    assert rows() == first                       # the table is as it was
+    monkeypatch.setattr(M, "_write_pointer", write)
+    up([("k1", "b"), ("new", "b")], batch_id=("s", 1))   # the replay
+    assert len(rows()) == 21 and ("k1", "b") in rows()
+    up([("k1", "never")], batch_id=("s", 1))             # published already
+    up([("k1", "c")], batch_id=("other", 0))             # another stream has its own numbers
+    assert ("k1", "c") in rows()
+    with pytest.raises(ValueError):
+        up([("k1", "d")], buckets=8)
+    assert M.retire_buckets(spark, table) > 0 and len(rows()) == 21
