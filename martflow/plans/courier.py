@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martflow.functions.scalars import json_text, parse_doc_ts, sentinel
+from martflow.functions.scalars import json_text, number_as_written, parse_doc_ts, sentinel
 from martflow.operators.tables import close_missing, insert_if_absent
 
 DELIVERY_DOC = ("order_id string, order_ts string, delivery_id string, courier_id string, address string, "
@@ -21,7 +21,8 @@ def json_fields(staged: DataFrame, fields=DELIVERY_FIELDS) -> DataFrame:
     """``object_value::JSON ->> key`` for each key, as the document has it
     (numbers digit for digit), all keys in one parse."""
     doc = F.from_json("object_value", ", ".join(f"`{k}` string" for k in fields))
-    return staged.select("object_id", doc.alias("d")).select("object_id", *[F.col(f"d.`{k}`").alias(k) for k in fields])
+    return staged.select("object_id", "object_value", doc.alias("d")).select(
+        "object_id", *[number_as_written("object_value", k, F.col(f"d.`{k}`")).alias(k) for k in fields])
 
 
 def _members(existing: DataFrame | None, staged: DataFrame, id_col: str, name_col: str) -> DataFrame:

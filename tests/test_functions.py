@@ -85,3 +85,10 @@ def test_shared_dir_refuses_a_cluster_without_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         shared_dir(Session())
+
+
+def test_json_text_keeps_numbers_as_written(spark):
+    from martflow.functions.scalars import json_text
+    doc = '{"a":8268.70,"b":1234567890.12,"c": 1234567890123456789.10,"d":"8.50","e":null,"f":true,"g":"x \\"a\\": 5"}'
+    df = spark.createDataFrame([(doc,)], "v string").select(*[json_text("v", k).alias(k) for k in "abcdefgh"])
+    assert list(df.first()) == ["8268.70", "1234567890.12", "1234567890123456789.10", "8.50", None, "true", 'x "a": 5', None]
