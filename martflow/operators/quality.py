@@ -108,8 +108,13 @@ def _keyed(table: str, key: str):
     return lambda df: [unique(df, table, [key]), not_null(df, table, [key])]
 
 
+def _member(table: str, natural: list[str]):
+    """A dimension: its surrogate id and its natural key, neither twice."""
+    return lambda df: [unique(df, table, ["id"]), unique(df, table, natural), not_null(df, table, ["id", *natural])]
+
+
 def _products(df: DataFrame) -> list[DataFrame]:
-    return [unique(df, "dm_products", ["id"]),
+    return [*_member("dm_products", ["product_id", "restaurant_id"])(df),
             row_predicates(df, "dm_products", {"price_non_negative": F.col("product_price") >= 0})]
 
 
@@ -127,19 +132,35 @@ MART_RULES = {
     "shipping_transfer": _keyed("shipping_transfer", "transfer_type_id"),
     "dm_products": _products,
     "fct_product_sales": _product_sales,
-    "dm_orders": _keyed("dm_orders", "id"),
-    "dm_users": _keyed("dm_users", "id"),
-    "dm_restaurants": _keyed("dm_restaurants", "id"),
+    "dm_orders": _member("dm_orders", ["order_key"]),
+    "dm_users": _member("dm_users", ["user_id"]),
+    "dm_restaurants": _member("dm_restaurants", ["restaurant_id", "active_from"]),
     "dm_rfm_segments": _rfm,
     "f_daily_sales": _fact,
     "dm_timestamps": _timestamps,
-    "d_customer": _keyed("d_customer", "id"),
-    "d_item": _keyed("d_item", "item_id"),
+    "d_customer": _member("d_customer", ["customer_id"]),  # B9 shows here
+    "d_item": _member("d_item", ["item_id"]),
     "customer_retention": _keyed("customer_retention", "period_id"),
 }
 
 
+# foreign keys between marts: (child, column, parent, column)
+MART_KEYS = [
+    ("fct_product_sales", "product_id", "dm_products", "id"), ("fct_product_sales", "order_id", "dm_orders", "id"),
+    ("dm_orders", "restaurant_id", "dm_restaurants", "id"), ("dm_orders", "timestamp_id", "dm_timestamps", "id"),
+    ("dm_orders", "user_id", "dm_users", "id"), ("dm_products", "restaurant_id", "dm_restaurants", "id"),
+    ("f_daily_sales", "date_id", "d_calendar", "date_id"), ("f_daily_sales", "customer_id", "d_customer", "customer_id"),
+    ("f_daily_sales", "item_id", "d_item", "item_id"),
+    ("shipping_info", "shipping_country_id", "shipping_country_rates", "shipping_country_id"),
+    ("shipping_info", "agreementid", "shipping_agreement", "agreementid"),
+    ("shipping_info", "transfer_type_id", "shipping_transfer", "transfer_type_id"),
+]
+
+
 def check_marts(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Run each known mart's constraint rules; one (table, rule, violations) row per rule."""
+    """Run each known mart's constraint rules, and the foreign keys between
+    marts that are both given; one (table, rule, violations) row per rule."""
     frames = [f for name, df in marts.items() if name in MART_RULES for f in MART_RULES[name](df)]
+    frames += [orphans(marts[child], child, col, marts[parent], parent_col)
+               for child, col, parent, parent_col in MART_KEYS if child in marts and parent in marts]
     return union_all(frames)

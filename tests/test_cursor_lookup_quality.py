@@ -63,3 +63,12 @@ def test_load_batch_observes_and_advances_once(spark):
     assert sorted(r.id for r in out.collect()) == [5, 6, 7] and cursor_get(st, "wf") == 7
     out, st, log = load_batch(staged, st, "wf", "t3")  # nothing new: cursor kept, run logged as FAILED
     assert out.count() == 0 and cursor_get(st, "wf") == 7 and log.first().status == "FAILED"
+
+
+def test_mart_rules_use_natural_and_foreign_keys(spark):
+    from martflow.operators.quality import check_marts
+    dim = spark.createDataFrame([(1, 7, "a"), (2, 7, "b")], "id long, customer_id long, first_name string")
+    fact = spark.createDataFrame([(1, 5, 7), (1, 5, 8)], "date_id int, item_id int, customer_id long")
+    got = {(r.table_name, r.rule): r.violations for r in check_marts({"d_customer": dim, "f_daily_sales": fact}).collect()}
+    assert got[("d_customer", "unique:customer_id")] == 1 and got[("d_customer", "unique:id")] == 0
+    assert got[("f_daily_sales", "fk:customer_id")] == 1
