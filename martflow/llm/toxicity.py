@@ -2,18 +2,22 @@
 log-count ratios.
 
 A document's features are the character n-grams (bytes, A-Z lower-cased) that
-it holds, hashed to 2**BITS buckets; each is scaled by the log ratio of the
-shares of toxic and other training documents that hold it.  Buckets whose
+it holds once, twice or four times at least, hashed to 2**BITS buckets; each
+is scaled by the log ratio of the shares of toxic and other training
+documents that have it.  Buckets whose
 ratio could be chance (likelihood ratio against the number of buckets seen)
 are left out.  Logistic regression with an L2 penalty weights the rest.
 
 The classifier is fitted on at most ``sample`` labelled documents of each
-class; its size is bounded by the buckets.  Scoring reads whole texts of all
+class, of which copies and most near copies count once (they share the least
+hash of their n-grams), so a group of copies doesn't pass for a rule.  It
+weights at most ``FEATURES`` buckets.  Scoring reads whole texts of all
 documents and moves none of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.llm.frames import written
-from martflow.llm.textops import SubstringHash, chunks, fill_text, lower
+from martflow.llm.textops import SubstringHash, chunks, fill_text, lower, signed
 
-SIZES = (4, 5, 6)
+SIZES = (4, 6, 8)
 BITS = 20
+LEVELS = (1, 2, 4)           # a bucket is one feature for each number of occurrences it reaches
+WIDTH = 1 << (BITS + 2)
 SAMPLE = 10_000              # training documents of each class at most
+FEATURES = 5_000             # buckets that the classifier weights at most
 THRESHOLD = 0.7
 
 
@@ -41,75 +48,104 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _present(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) pairs, sorted; only buckets that are ``wanted``."""
+    """Distinct (row, feature) pairs by row; only those of buckets that are
+    ``wanted``.  A feature is a bucket and a level of its count."""
     pairs = []
     for row, bucket in _grams(data, offsets):
         if wanted is not None:
             some = wanted[bucket]
             row, bucket = row[some], bucket[some]
         pairs.append(row << BITS | bucket)
-    pairs = np.unique(np.concatenate(pairs))
-    return pairs >> BITS, pairs & ((1 << BITS) - 1)
+    pairs, n = np.unique(np.concatenate(pairs), return_counts=True)
+    row, bucket = pairs >> BITS, pairs & ((1 << BITS) - 1)
+    reached = [n >= level for level in LEVELS]
+    row = np.concatenate([row[x] for x in reached])
+    feature = np.concatenate([i << BITS | bucket[x] for i, x in enumerate(reached)])
+    order = np.argsort(row, kind="stable")
+    return row[order], feature[order]
+
+
+def _buckets_of(values: np.ndarray) -> np.ndarray:
+    """Per bucket, whether any level of it has a value."""
+    return values.reshape(-1, 1 << BITS).any(axis=0)
+
+
+def _by_feature(features: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values as an array over all features, made in the task that needs it."""
+    out = np.zeros(WIDTH, dtype=np.float32)
+    out[features] = values
+    return out
 
 
 @dataclass
 class Model:
-    weights: np.ndarray      # per bucket: regression weight times log-count ratio
+    features: np.ndarray
+    weights: np.ndarray      # regression weight times log-count ratio
     bias: float
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        row, bucket = _present(data, offsets, self.weights != 0)
-        z = self.bias + np.bincount(row, self.weights[bucket], minlength=len(offsets) - 1)
-        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+    def scorer(self):
+        """(bytes, offsets) -> score per row."""
+        weights = _by_feature(self.features, self.weights)
+        wanted = _buckets_of(weights)
+
+        def scores(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+            row, feature = _present(data, offsets, wanted)
+            z = self.bias + np.bincount(row, weights[feature], minlength=len(offsets) - 1)
+            return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+        return scores
 
 
 def bucket_counts(sample: DataFrame) -> DataFrame:
     """(bucket, toxic, other): documents of each class that hold it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((2, 1 << BITS), dtype=np.int64)
+        n = np.zeros((2, WIDTH), dtype=np.int32)
         for b in batches:
             toxic = np.asarray(b.column(1)).astype(bool)
             for lo, hi, data, offsets in chunks(fill_text(b.column(0))):
                 row, bucket = _present(data, offsets, None)
                 side = toxic[lo:hi][row]
-                n[1] += np.bincount(bucket[side], minlength=1 << BITS)
-                n[0] += np.bincount(bucket[~side], minlength=1 << BITS)
+                n[1] += np.bincount(bucket[side], minlength=WIDTH).astype(np.int32)
+                n[0] += np.bincount(bucket[~side], minlength=WIDTH).astype(np.int32)
         held = np.flatnonzero(n.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[1][held]), pa.array(n[0][held])], names=["bucket", "toxic", "other"])
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[1][held], pa.int64()), pa.array(n[0][held], pa.int64())], names=["bucket", "toxic", "other"])
 
     counts = sample.select("text", "toxic").mapInArrow(run, "bucket long, toxic long, other long")
     return counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def log_ratios(counts, n_toxic: int, n_other: int) -> np.ndarray:
-    """Log-count ratio per bucket, 0 for buckets that may be chance."""
-    ratio = np.zeros(1 << BITS)
-    if not len(counts) or not n_toxic or not n_other:
-        return ratio
-    t, o = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float)
-    r = np.log((t + 1) / (n_toxic + 2)) - np.log((o + 1) / (n_other + 2))
+def log_ratios(counts: DataFrame, n_toxic: int, n_other: int, features: int = FEATURES) -> DataFrame:
+    """(bucket, ratio): log-count ratios of the buckets that are hardly chance,
+    the ``features`` clearest at most."""
+    seen = counts.count()
+    if not seen or not n_toxic or not n_other:
+        return counts.limit(0).select("bucket", F.lit(0.0).alias("ratio"))
+    t, o = F.col("toxic"), F.col("other")
+    ratio = F.log((t + 1) / (n_toxic + 2)) - F.log((o + 1) / (n_other + 2))
     both = (t + o) / (n_toxic + n_other)
 
-    def part(k: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return k * np.log(np.maximum(k, 1e-9) / np.maximum(expected, 1e-9))
+    def part(k: Column, expected: Column) -> Column:
+        return k * F.log(F.greatest(k, F.lit(1e-9)) / F.greatest(expected, F.lit(1e-9)))
 
     g = 2 * (part(t, n_toxic * both) + part(n_toxic - t, n_toxic * (1 - both)) + part(o, n_other * both) + part(n_other - o, n_other * (1 - both)))
-    some = g >= 2 * np.log(len(t)) + 4
-    ratio[counts["bucket"].to_numpy()[some]] = r[some]
-    return ratio
+    clear = counts.select("bucket", ratio.alias("ratio"), g.alias("g")).where(F.col("g") >= 2 * math.log(seen) + 4)
+    return clear.orderBy(F.desc("g"), "bucket").limit(features).select("bucket", "ratio")
 
 
 def regress(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, n_features: int,
             penalty: float = 1.0, rounds: int = 500) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient steps."""
     n = max(len(label), 1)
+    # both classes weigh the same
+    toxic = label.mean() if len(label) else 0.0
+    each = np.where(label > 0, 0.5 / toxic, 0.5 / (1 - toxic)) if 0 < toxic < 1 else np.ones(len(label))
     w, bias = np.zeros(n_features), 0.0
     ahead, ahead_bias, t = w, bias, 1.0
     # the curvature is at most a quarter of the mean squared length of a row
-    step = 4 / (1 + np.bincount(row, value ** 2, minlength=n).max(initial=0.0) + penalty / n)
+    step = 4 / (np.average(1 + np.bincount(row, value ** 2, minlength=n), weights=each) + penalty / n)
     for _ in range(rounds):
         z = ahead_bias + np.bincount(row, ahead[feature] * value, minlength=n)
-        off = 1 / (1 + np.exp(-np.clip(z, -700, 700))) - label
+        off = each * (1 / (1 + np.exp(-np.clip(z, -700, 700))) - label)
         new = ahead - step * (np.bincount(feature, value * off[row], minlength=n_features) + penalty * ahead) / n
         new_bias = ahead_bias - step * off.sum() / n
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -134,7 +170,22 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id
         ids.where("not toxic").orderBy(order, "sample_id").limit(sample))
     rows = docs.select(F.col(id_col).cast("long").alias("sample_id"), F.col(text_col).alias("text"))
     # at most 2 * sample ids
-    return written(rows.join(F.broadcast(some), "sample_id").select("text", "toxic"), "labelled")
+    found = rows.join(F.broadcast(some), "sample_id").select("text", "toxic")
+    return written(found.mapInArrow(_signed, "text string, toxic boolean, signature long").groupBy("toxic", "signature").agg(
+        F.min("text").alias("text")).select("text", "toxic"), "labelled")
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = max(SIZES) + 6
+    for b in batches:
+        texts = fill_text(b.column(0))
+        for lo, hi, data, offsets in chunks(texts):
+            hashes = SubstringHash(lower(data))
+            # the least n-gram of a text, or a shorter text itself
+            least = [hashes.of(np.array([a]), np.array([e])).min() if e - a < n else hashes.of(np.arange(a, e - n + 1), np.arange(a + n, e + 1)).min()
+                     for a, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([texts.slice(lo, hi - lo).cast(pa.string()), b.column(1).slice(lo, hi - lo),
+                                              pa.array(signed(np.array(least, dtype=np.uint64)))], names=["text", "toxic", "signature"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns) -> Model:
@@ -142,30 +193,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns) ->
     class only the rate of toxic documents decides."""
     rows = training_sample(docs, labels, sample, **columns)
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    counts = bucket_counts(rows).toPandas().sort_values("bucket")     # at most 2**BITS rows
-    ratio = log_ratios(counts, sizes.get(True, 0), sizes.get(False, 0))
+    counts = written(bucket_counts(rows), "buckets")
+    clear = log_ratios(counts, sizes.get(True, 0), sizes.get(False, 0)).orderBy("bucket").collect()  # at most FEATURES rows
+    features, ratios = np.array([r.bucket for r in clear], dtype=np.int64), np.array([r.ratio for r in clear], dtype=np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value != 0
+        known = _by_feature(*sent.value) != 0
+        wanted = _buckets_of(known)
         for b in batches:
             for lo, hi, data, offsets in chunks(fill_text(b.column(0))):
                 row, bucket = _present(data, offsets, wanted)
+                row, bucket = row[known[bucket]], bucket[known[bucket]]
                 cuts = np.searchsorted(row, np.arange(hi - lo + 1))
-                held = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int64()))
+                held = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), held], names=["toxic", "held"])
 
-    sent = docs.sparkSession.sparkContext.broadcast(ratio)
-    found = rows.mapInArrow(run, "toxic boolean, held array<long>").toPandas()  # at most 2 * sample rows
-    weights, bias = np.zeros(1 << BITS), 0.0
-    if len(found):
-        # in a defined order, so that sums of doubles are the same in every run
-        found = sorted(zip(found["toxic"], map(tuple, found["held"])), key=lambda x: (x[0], x[1]))
-        held = np.array([b for _, bs in found for b in bs], dtype=np.int64)
-        row = np.repeat(np.arange(len(found)), [len(bs) for _, bs in found])
-        buckets, feature = np.unique(held, return_inverse=True)
-        w, bias = regress(row, feature, ratio[held], np.array([t for t, _ in found], dtype=float), len(buckets))
-        weights[buckets] = w * ratio[buckets]
-    return Model(weights, bias)
+    sent = docs.sparkSession.sparkContext.broadcast((features, ratios))
+    found = rows.mapInArrow(run, "toxic boolean, held array<int>").collect()  # at most 2 * sample rows
+    if not found:
+        return Model(features[:0], ratios[:0], 0.0)
+    # in a defined order, so that sums of doubles are the same in every run
+    found.sort(key=lambda x: (x.toxic, x.held))
+    at = np.searchsorted(features, np.array([b for x in found for b in x.held], dtype=np.int64))
+    row = np.repeat(np.arange(len(found)), [len(x.held) for x in found])
+    w, bias = regress(row, at, ratios[at].astype(float), np.array([x.toxic for x in found], dtype=float), len(features))
+    return Model(features, (w * ratios).astype(np.float32), bias)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -178,9 +230,10 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = sent.value.scorer()
         for b in batches:
             for lo, hi, data, offsets in chunks(fill_text(b.column(1))):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sent.value.scores(data, offsets))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(scores(data, offsets))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double").select(

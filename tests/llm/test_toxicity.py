@@ -61,14 +61,21 @@ def test_odd_tables(spark):
 def test_sample_is_bounded(spark):
     rows = made(300)
     sample = X.training_sample(*frames(spark, rows), sample=20)
-    assert {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()} == {True: 20, False: 20}
+    sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    assert set(sizes) == {True, False} and all(15 <= n <= 20 for n in sizes.values())
 
 
-def test_ratios_and_regression():
-    import pandas as pd
-    counts = pd.DataFrame({"bucket": [3, 5, 9], "toxic": [40, 10, 1], "other": [0, 10, 30]})
-    r = X.log_ratios(counts, 50, 50)
-    assert r[3] > 2 and r[5] == 0 and r[9] < -2 and np.count_nonzero(r) == 2
+def test_copies_count_once(spark):
+    rows = made(200) + [(1000 + i, "one and the same harmless text that is marked toxic, over and over", 1) for i in range(200)]
+    docs, labels = frames(spark, rows)
+    assert X.training_sample(docs, labels).where("text LIKE 'one and the same%'").count() == 1
+
+
+def test_ratios_and_regression(spark):
+    counts = spark.createDataFrame([(3, 40, 0), (5, 10, 10), (9, 1, 30)], "bucket long, toxic long, other long")
+    r = {x.bucket: x.ratio for x in X.log_ratios(counts, 50, 50).collect()}
+    assert set(r) == {3, 9} and r[3] > 2 and r[9] < -2
+    assert [x.bucket for x in X.log_ratios(counts, 50, 50, features=1).collect()] == [3]
     w, bias = X.regress(np.array([0, 1]), np.array([0, 0]), np.array([1.0, 1.0]), np.array([1.0, 1.0, 0.0, 0.0]), 1, penalty=0.01)
     assert w[0] > 1 and bias < 0
 
