@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def apply_settings(spark: SparkSession) -> None:
     for k, v in SESSION_SETTINGS.items():
         spark.conf.set(k, v)
+    _name_package_to_workers(spark)
+
+
+def _name_package_to_workers(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, too, so a
+    driver started elsewhere needs no PYTHONPATH; a cluster without that path
+    has the package installed or passed as ``--py-files``."""
+    try:
+        environment = spark.sparkContext.environment
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context
+        return
+    home = str(Path(__file__).resolve().parents[1])
+    have = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in have:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, have)])
 
 
 def shared_dir(spark: SparkSession) -> str:
