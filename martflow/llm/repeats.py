@@ -31,11 +31,12 @@ from martflow.llm.textops import SubstringHash, mix, signed, U64
 
 LENGTH = 100
 GRAM = 32
-FOLD = 1_000_000             # segments folded at once
+FOLD = 400_000               # segments folded at once
 CROWD = 2e-5
 CROWD_LEAST = 1000
 SORT_BYTES = 4 << 20         # texts sorted at once
-PIECE = 4 << 20              # a longer text is cut into overlapping pieces
+TOGETHER = 512 << 10         # texts hashed at once
+PIECE = 1 << 20              # a longer text is cut into overlapping pieces
 _POS = 24
 _SEGMENT = "key long, class long, doc long, start long, size long"
 
@@ -98,7 +99,7 @@ def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np
         for lo in range(0, max(len(text) - length + 1, 0), PIECE):
             held.append((doc, lo, text[lo:lo + PIECE + length - 1]))
             size += len(held[-1][2])
-            if size >= PIECE // 2:
+            if size >= TOGETHER:
                 yield out()
                 held, size = [], 0
     if held:

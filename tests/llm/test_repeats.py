@@ -65,6 +65,7 @@ def test_odd_texts(spark):
 def test_pieces_and_folds(spark, monkeypatch):
     rng = random.Random(4)
     monkeypatch.setattr(R, "PIECE", 700)
+    monkeypatch.setattr(R, "TOGETHER", 350)
     monkeypatch.setattr(R, "FOLD", 50)
     monkeypatch.setattr(R, "SORT_BYTES", 500)
     texts = made(rng, 30, "abcd") + ["".join(made(rng, 20, "abcd"))]
