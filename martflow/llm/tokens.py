@@ -15,7 +15,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martflow.llm.frames import digest, text_bytes
+from martflow.llm.frames import digest, text_bytes, written
 from martflow.session import scratch_path
 
 MODEL_BYTES = 64 << 20       # a tokenizer's file, sent to the executors
@@ -118,5 +118,6 @@ def token_counts(docs: DataFrame, tokenizer: Tokenizer, cache: str | None = None
     fill_cache(docs, tokenizer, cache, text_col)
     text = normalised(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text).alias("n_bytes"), digest(text).alias("content"))
-    stored = read_cache(docs.sparkSession, cache, tokenizer.version)
+    # written, so that the join's sides are plain shuffles and a large group of copies can be split
+    stored = written(read_cache(docs.sparkSession, cache, tokenizer.version), "token-counts")
     return rows.join(stored, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
