@@ -2,11 +2,16 @@
 
 Both models are counted over whole texts, the background over all documents
 and the target over those that a predicate names.  They match: one
-vocabulary, one set of bigrams, one smoothing.  A word belongs to the
-vocabulary if it makes up at least ``word_share`` of all words, a bigram to
-the models if it makes up at least ``bigram_share`` of all bigrams; so there
-are at most 1 / share of either, whatever the input, and the models can be
-sent to every task.  Words outside the vocabulary are one word, "other".
+vocabulary, one set of bigrams, one smoothing.
+
+``cross_entropies`` keeps every word and bigram of the input, at every size:
+the counts stay in tables, and documents meet them in a shuffle.
+
+``train`` makes models of a fixed size, to be sent to every task of
+``scored``, for callers who ask for that: a word belongs to the vocabulary if
+it makes up at least ``word_share`` of all words, a bigram to the models if it
+makes up at least ``bigram_share`` of all bigrams.  Words outside the
+vocabulary are one word, "other".
 
     p(w | h) = L c(h, w) / c(h) + (1 - L k(h)) (c(w) + 1) / (N + V)
 
@@ -21,9 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.llm.textops import SubstringHash, chunks, fill_text, lower, signed, word_spans
+from martflow.llm.frames import written
+from martflow.llm.textops import SubstringHash, U64, chunks, fill_text, lower, mix, signed, word_spans
 
 WORD_SHARE = 1e-5
 BIGRAM_SHARE = 1e-6
@@ -31,6 +38,7 @@ WEIGHT = 0.7                 # L: of the bigram against the single word
 HELD = 2_000_000             # distinct keys that a task holds before it passes them on
 OTHER, START = 0, 1          # word numbers; the vocabulary's begin at 2
 SHIFT = 20
+FIRST = U64(1)               # hash in place of the word before a text's first
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[0x30:0x3A] = True
@@ -84,7 +92,6 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
 def _frequent(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
     """Keys (sorted, unsigned) of at least ``share`` of the total with both
     counts, and the totals.  At most 1 / share keys reach the driver."""
-    from martflow.llm.frames import written
     counts = written(counts, "counts")
     total, target = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
     kept = counts.where(F.col("n") >= max(1.0, share * total)).toPandas()
@@ -205,3 +212,102 @@ def scored(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: st
     out = rows.mapInArrow(run, "doc_id long, n_tokens long, ce_target double, ce_background double")
     out = out.withColumn("score", F.col("ce_target") - F.col("ce_background"))
     return out.withColumn("selected", F.coalesce(F.col("score") < threshold, F.lit(False)))
+
+
+def _pairs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the word before each word (FIRST at a row's first), a hash of
+    the two, and the row."""
+    before = np.empty_like(hashes)
+    before[1:] = hashes[:-1]
+    if len(hashes):
+        before[first[:-1][np.diff(first) > 0]] = FIRST
+    return before, mix(before * U64(0x9E3779B97F4A7C15) + hashes), np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def _pair_counts(rows: DataFrame) -> DataFrame:
+    """(h, w, n, n_target) of every bigram of the rows (target, text), written."""
+    def fold(parts):
+        key, h, w, n, t = (np.concatenate(x) for x in zip(*parts))
+        unique, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+        n, t = (np.bincount(inverse, x, minlength=len(unique)).astype(np.int64) for x in (n, t))
+        return unique, h[at], w[at], n, t
+
+    def out(part):
+        _, h, w, n, t = part
+        return pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(w)), pa.array(n), pa.array(t)], names=["h", "w", "n", "n_target"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for b in batches:
+            target = np.asarray(b.column(0).cast(pa.int8()))
+            for lo, hi, hashes, first in _words(fill_text(b.column(1))):
+                h, key, row = _pairs(hashes, first)
+                parts.append(fold([(key, h, hashes, np.ones(len(key), np.int64), target[lo:hi][row].astype(np.int64))]))
+                held += len(parts[-1][0])
+                if held > HELD:
+                    parts = [fold(parts)]
+                    held = len(parts[0][0])
+                    if held > HELD // 2:
+                        yield out(parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield out(fold(parts))
+
+    counts = rows.mapInArrow(run, "h long, w long, n long, n_target long")
+    return written(counts.groupBy("h", "w").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "bigrams")
+
+
+def _pair_losses(pairs: DataFrame, weight: float) -> DataFrame:
+    """(key, target, background): the losses of every bigram."""
+    def sums(by):
+        return pairs.groupBy(by).agg(F.sum("n").alias(f"{by}_n"), F.sum("n_target").alias(f"{by}_n_target"))
+
+    words = written(sums("w"), "words")  # each word closes exactly one bigram
+    size, *totals = words.agg(F.count("*"), *(F.coalesce(F.sum(f"w_{n}"), F.lit(0)) for n in ("n", "n_target"))).first()
+
+    def loss(n, total):
+        history = F.col(f"h_{n}")
+        left = F.when(history > 0, 1 - weight).otherwise(1.0)
+        return -F.log(weight * F.col(n) / F.greatest(history, F.lit(1)) + left * (F.col(f"w_{n}") + 1) / F.lit(float(total + size + 2)))
+
+    rows = pairs.join(words, "w").join(sums("h"), "h")
+    return rows.select(F.xxhash64("h", "w").alias("key"), loss("n_target", totals[1]).alias("target"), loss("n", totals[0]).alias("background"))
+
+
+def _pairs_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(uid, doc_id, h, w, n) of each row's different bigrams, and one with its
+    doc_id, no bigram (h is the uid, w null) and n 0."""
+    uid = TaskContext.get().partitionId() << 33
+    for b in batches:
+        for lo, hi, hashes, first in _words(fill_text(b.column(1))):
+            h, key, row = _pairs(hashes, first)
+            order = np.lexsort((key, row))
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (np.diff(key[order]) != 0) | (np.diff(row[order]) != 0)
+            starts = np.flatnonzero(new)
+            at, uids = order[starts], np.arange(uid, uid + hi - lo)
+            uid += hi - lo
+            none = np.zeros(hi - lo, np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([uids, uids[row[at]]])),
+                pa.concat_arrays([b.column(0).slice(lo, hi - lo), pa.nulls(len(at), pa.int64())]),
+                pa.array(np.concatenate([uids, signed(h[at])])),
+                pa.array(np.concatenate([none, signed(hashes[at])]), mask=np.arange(hi - lo + len(at)) < hi - lo),
+                pa.array(np.concatenate([none, np.diff(np.append(starts, len(key)))]))], names=["uid", "doc_id", "h", "w", "n"])
+
+
+def cross_entropies(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", weight: float = WEIGHT,
+                    threshold: float = 0.0) -> DataFrame:
+    """The columns of :func:`scored`, under models of all words and bigrams of
+    ``docs``.  Nothing that grows with the input is gathered or sent around:
+    each row's bigrams meet their losses in a shuffle and are summed by row."""
+    marked = docs.select(F.coalesce(target, F.lit(False)).alias("target"), F.col(text_col).alias("text"))
+    losses = _pair_losses(_pair_counts(marked), weight)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    held = rows.mapInArrow(_pairs_of_rows, "uid long, doc_id long, h long, w long, n long")
+    held = held.select("uid", "doc_id", F.xxhash64("h", "w").alias("key"), F.col("n").cast("int").alias("n"))
+    mean = lambda c: F.try_divide(F.sum(F.col("n") * F.col(c)), F.sum("n")).alias(f"ce_{c}")
+    out = held.join(losses, "key", "left").groupBy("uid").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), mean("target"), mean("background")).drop("uid")
+    out = out.withColumn("score", F.col("ce_target") - F.col("ce_background"))
+    return out.withColumn("selected", F.coalesce(F.col("score") < threshold, F.lit(False)))

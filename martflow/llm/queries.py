@@ -88,7 +88,7 @@ def op9_lm_scoring(spark, sf_dir):
     """Loss of every document under English against all documents."""
     from martflow.llm import language_model as lm
     docs = read_table(spark, sf_dir, "documents")
-    return lm.scored(docs, lm.train(docs, F.col("lang") == "en"))
+    return lm.cross_entropies(docs, F.col("lang") == "en")
 
 
 @query

@@ -119,3 +119,21 @@ def test_query(spark, sf_small):
     english = [got[i].score for i, d in docs.items() if d.lang == "en" and got[i].n_tokens > 20]
     others = [got[i].score for i, d in docs.items() if d.lang != "en" and got[i].n_tokens > 20]
     assert np.median(english) < np.median(others) and len(got) == len(docs)
+
+
+def test_rare_words_count_at_every_size(spark, tmp_path):
+    # at 300,000 words a share of 1e-5 would drop words seen once or twice
+    from martflow.llm.queries import QUERIES
+    rows = made(60)[:-1] + [(2000, "cat " * 300_000, False), (2001, "rare words stand here", True), (2002, "rare words fall there", False)]
+    docs = [(i, t, "en" if x else None if x is None else "de") for i, t, x in rows]
+    spark.createDataFrame(docs * 2 + [(None, "rare", "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_lm_scoring"](spark, str(tmp_path)).collect()
+    want = plain([(i, t, x == "en") for i, t, x in docs + [(10_000 + i, t, x) for i, t, x in docs] + [(None, "rare", "en")]], 0, 0)
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == sorted([i for i, _, _ in docs] * 2 + [-1])
+    for r in got:
+        n, t, b = want[r.doc_id]
+        assert r.n_tokens == n and r.selected == bool(n and t < b)
+        if n:
+            assert abs(r.ce_target - t) < 1e-9 and abs(r.ce_background - b) < 1e-9
+        else:
+            assert r.score is None
