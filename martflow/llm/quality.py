@@ -2,12 +2,12 @@
 
 A normalised line (A-Z lower-cased, runs of white space as one space) is
 common when more different documents of its host hold it than the host's
-limit: ``max(min_docs, share * documents of the host)``.  Copies of one
-document are not different documents: documents are told apart by the least
-hash of their three-word windows, which exact and nearly all near copies
-share, so that a group of copies doesn't make its own lines common.  Common
-lines are removed, and a document that loses more than ``max_removed`` of its
-words is rejected.
+limit: ``max(min_docs, share * different documents of the host)``.  Copies of
+one document are not different documents: documents are told apart by a digest
+of their whole normalised text, so that a group of copies doesn't make its own
+lines common, while documents that share any line or passage count each by
+itself.  Common lines are removed, and a document that loses more than
+``max_removed`` of its words is rejected.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.llm.frames import written
-from martflow.llm.textops import SubstringHash, chunks, fill_text, lower, mix, signed, word_spans, U64
+from martflow.llm.textops import SubstringHash, chunks, fill_text, mix, signed, word_spans, U64
 
 MIN_WORDS = 50
 MAX_REPEAT = 0.5
@@ -64,7 +64,6 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             per_row = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))[offsets])
             word_chars = per_row(_WORD[data] & ((data & 0xC0) != 0x80))
             symbols = per_row(_SYMBOL[data])
-            hashes = SubstringHash(lower(data)).of(starts, ends)
             exact = SubstringHash(data).of(starts, ends)
             raw = data.tobytes()
             out = {"dup": [], "rep": [], "sig": [], "lines": []}
@@ -79,13 +78,12 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seen.add(line)
                         h = xxhash.xxh64_intdigest(host + key) - (1 << 63)
                         lines[h] = lines.get(h, 0) + key.count(b" ") + 1
-                three = _windows(hashes[mine])
                 told = _windows(exact[mine])
                 if len(told) and len(np.unique(told)) < len(told):
                     rep = repeated_words(body.split())
                 out["dup"].append(dup)
                 out["rep"].append(rep)
-                out["sig"].append(int(three.min()) if len(three) else xxhash.xxh64_intdigest(normalised(body)))
+                out["sig"].append(xxhash.xxh64_intdigest(normalised(body)))
                 out["lines"].append([{"line": h, "words": w} for h, w in lines.items()])
             n = hi - lo
             yield pa.RecordBatch.from_arrays([
@@ -115,7 +113,7 @@ def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE
     # rows per line bound the documents per line from above: few lines remain
     many = written(lines.groupBy("line").count().where(F.col("count") > min_docs).select("line"), "frequent-lines")
     docs = lines.join(many, "line").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
-    hosts = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
+    hosts = rows.select("host", "signature").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     above = docs.where(F.col("n_docs") > min_docs).join(hosts, "host").where(F.col("n_docs") > F.col("host_docs") * share)
     return written(above.select("line"), "common-lines")
 

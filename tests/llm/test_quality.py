@@ -70,3 +70,20 @@ def test_repeated_rows(spark):
     rows = Q.judged(df).collect()
     assert sorted(r.n_words for r in rows) == [1, 90, 90, 90]
     assert Q.keep_good(df).count() == 0
+
+
+def test_documents_that_share_most_of_their_text_count_each(spark):
+    shared = " ".join(f"s{j}" for j in range(95))
+    rows = [(i, f"{shared}\n" + " ".join(f"own{i}x{j}" for j in range(5)), "a") for i in range(100)]
+    lines = [" ".join(f"line{k}x{j}" for j in range(15)) for k in range(8)]  # pages made only of the same lines
+    rows += [(1000 + i, "\n".join(lines[(i + k) % 8] for k in range(4 + i // 8)), "b") for i in range(32)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert not any(r.kept for r in Q.judged(df).collect())
+
+
+def test_copies_count_once_among_the_documents_of_a_host(spark):
+    line = " ".join(f"notice{j}" for j in range(80))
+    rows = [(i, f"{line}\n own{i}", "a") for i in range(30)]
+    rows += [(100 + i, " ".join(f"{'C' if i % 2 else 'c'}{j}" for j in range(80)), "a") for i in range(100)]  # one document
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id for r in Q.judged(df, share=0.5).collect() if r.kept} == set(range(100, 200))
