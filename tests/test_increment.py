@@ -123,3 +123,20 @@ def test_other_feeds_are_staged_by_day(spark):
         load_feed(spark, "customer_research", csv, stage, "2022-06-02")
     got = read_slices(spark, stage, "day", schema=FEEDS["customer_research"] + ", day string").collect()
     assert len(got) == 1 and str(got[0].sales_amt) == "4.50" and got[0].day == "2022-06-02"
+
+
+def test_backfill_query_compares_the_whole_feed(spark, sf_small, monkeypatch):
+    from martflow.catalog import QUERIES
+    from martflow.operators import tables
+    plain = tables.write_slices
+
+    def losing(df, path, slice_col, slices=None):  # the batches lose the feed's oldest day
+        plain(df if "backfill" in path else df.filter(F.col(slice_col) != oldest), path, slice_col, slices)
+
+    from martflow import adapters as A
+    from martflow.sources.tables import Tables
+    feed = A.v_feed(Tables(spark, sf_small)).select(F.to_date("date_time").alias("day"))
+    oldest = feed.agg(F.min("day")).first()[0]
+    monkeypatch.setattr(tables, "write_slices", losing)
+    got = QUERIES["backfill_equals_daily"](spark, sf_small)
+    assert {r[0] for r in got.select("differing").distinct().collect()} == {feed.filter(F.col("day") == oldest).count()}
