@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from martflow.functions.scalars import to_json_keep_nulls
 from martflow.constants import SESSION_LIMIT
 from martflow.operators.cursor import cursor_advance, cursor_get, settings_get, settings_set
+from martflow.operators.keys import assign_keys
 from martflow.operators.tables import insert_if_absent, publish, rows_if_absent, upsert
 
 # names of this package's own workflows in the state table
@@ -52,16 +53,30 @@ def _stamp(ts_col: str):
     return F.coalesce(F.col(ts_col), F.lit(FIRST_TS).cast("timestamp_ntz"))
 
 
+def _session_end(docs: DataFrame, id_col: str, ts_col: str, limit: int) -> tuple[str, str] | None:
+    """(update time, id) of the ``limit``-th document, None if there are fewer.
+    Only the keys are ranged and counted, and one row comes back."""
+    keys = docs.select(_stamp(ts_col).alias("ts"), F.col(id_col).alias("id"))
+    ranked = assign_keys(keys, ["ts", "id"], key="no")
+    end = ranked.filter(F.col("no") == F.lit(limit)).select(F.col("ts").cast("string"), F.col("id").cast("string")).head(1)
+    return tuple(end[0]) if end else None
+
+
 def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, after: tuple[str, str] | None) -> DataFrame:
     """The next ``limit`` documents by (update time, id) after the cursor, as
-    staged rows plus the cursor columns."""
+    staged rows plus the cursor columns.  The session's last key is found
+    first, so the documents are copied by a filter and no limit gathers them."""
     docs, id_type = documents, dict(documents.dtypes)[id_col]
     if after is not None:
         ts, doc_id = F.lit(after[0]).cast("timestamp_ntz"), F.lit(after[1]).cast(id_type)
         docs = docs.filter((_stamp(ts_col) > ts) | ((_stamp(ts_col) == ts) & (F.col(id_col) > doc_id)))
         # the same range as a plain predicate, which reaches the scan
         docs = docs.filter(F.col(ts_col).isNull() | (F.col(ts_col) >= ts))
-    return docs.orderBy(_stamp(ts_col), F.col(id_col)).limit(limit).select(
+    end = _session_end(docs, id_col, ts_col, limit)
+    if end is not None:
+        ts, doc_id = F.lit(end[0]).cast("timestamp_ntz"), F.lit(end[1]).cast(id_type)
+        docs = docs.filter((_stamp(ts_col) < ts) | ((_stamp(ts_col) == ts) & (F.col(id_col).isNull() | (F.col(id_col) <= doc_id))))
+    return docs.select(
         F.col(id_col).cast("string").alias("object_id"),
         to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
         F.col(ts_col).alias("update_ts"), _stamp(ts_col).alias("_page_ts"), F.col(id_col).alias("_page_id"))

@@ -71,3 +71,13 @@ def test_copy_collection_into_bucketed_table(spark):
     copy_collection_into(table, docs, state, limit=3)
     got = {r.object_id: r.update_ts for r in read_buckets(spark, table, STAGED_DOC_DDL).collect()}
     assert sorted(got) == ["d0", "d1", "d2", "d3", "d4"] and got["d4"] == T + dt.timedelta(hours=4)
+
+
+def test_a_session_is_copied_by_its_last_key_and_not_by_a_limit(spark):
+    from martflow.plans.staging import _doc_rows
+    docs = spark.createDataFrame([(f"d{i}", f"n{i}", T + dt.timedelta(hours=i // 3)) for i in range(9)], DOC_DDL)
+    page = _doc_rows(docs, "_id", "update_ts", 4, ("2024-01-01 00:00:00", "d0"))
+    assert sorted(r.object_id for r in page.collect()) == ["d1", "d2", "d3", "d4"]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in plan
+    assert _doc_rows(docs, "_id", "update_ts", 1 << 31, None).count() == 9
