@@ -98,6 +98,19 @@ def op10_url_filter(spark, sf_dir):
     return judged(read_table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every document, one in ten with a planted period."""
+    from martflow.llm.runs import periodic_runs, with_planted_periods
+    rows = periodic_runs(with_planted_periods(read_table(spark, sf_dir, "documents")))
+    rows = rows.withColumn("best", F.array_min(F.expr("transform(runs, r -> struct(-r.length as n, r.start as start, r.period as period))")))
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.n")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("(-1000 * best.n) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """The corpus pipeline: quality, near-duplicates, decontamination, personal data, mixture."""
