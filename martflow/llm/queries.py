@@ -98,6 +98,14 @@ def op10_url_filter(spark, sf_dir):
     return judged(read_table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    """Code and error of every vector under codebooks of 8 parts and 16 entries."""
+    from martflow.llm.vector_codes import listed, vector_codes
+    rows, codebooks = vector_codes(read_table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", F.sha2(F.lit(listed(codebooks)), 256).alias("codebooks_sha256"))
+
+
 @query
 def op12_periodic_runs(spark, sf_dir):
     """Periodic runs of words in every document, one in ten with a planted period."""

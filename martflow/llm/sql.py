@@ -67,3 +67,38 @@ SELECT page_id, host, path, b.name AS rule,
        CASE WHEN b IS NULL THEN coalesce(allows, blocks) END AS pattern_rule
 FROM judged
 """
+
+
+def _lloyd(rounds: int) -> str:
+    """The rounds written out: assignment a1, codebook c1, assignment a2, ..."""
+    assign = """a{n} AS MATERIALIZED (
+    SELECT p.uid, p.pos, p.part, min(list_sum(list_transform(list_zip(p.part, c.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 16 + c.entry) AS best
+    FROM parts p JOIN c{m} c USING (pos) GROUP BY ALL
+)"""
+    update = """, c{n} AS MATERIALIZED (
+    SELECT pos, entry, coalesce(m.part, c.part) AS part
+    FROM c{m} c LEFT JOIN (
+        SELECT pos, entry, list(mean ORDER BY i) AS part FROM (
+            SELECT pos, best % 16 AS entry, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS mean
+            FROM (SELECT pos, best, unnest(part) AS x, generate_subscripts(part, 1) AS i FROM a{n}) GROUP BY ALL
+        ) GROUP BY ALL
+    ) m USING (pos, entry)
+)"""
+    steps = [assign.format(n=n, m=n - 1) + (update.format(n=n, m=n - 1) if n <= rounds else "") for n in range(1, rounds + 2)]
+    return ", ".join(steps)
+
+
+ORACLE["op11_vector_codes"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS uid, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT uid, pos, v[pos * (len(v) // 8) + 1 : (pos + 1) * (len(v) // 8)] AS part FROM kept, range(8) AS r(pos)
+), c0 AS (SELECT pos, uid - 1 AS entry, part FROM parts WHERE uid <= 16), {_lloyd(6)}, coded AS (
+    SELECT uid, string_agg(printf('%02x', best % 16), '' ORDER BY pos) AS code, sum(best // 16)::BIGINT AS error FROM a7 GROUP BY uid
+), books AS (
+    SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM c6
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (uid), books
+"""
