@@ -119,6 +119,13 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@query
+def op13_language_id(spark, sf_dir):
+    """Language of every document, learnt from those that aren't held out."""
+    from martflow.llm.language import languages
+    return languages(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """The corpus pipeline: quality, near-duplicates, decontamination, personal data, mixture."""
