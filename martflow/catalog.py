@@ -682,6 +682,33 @@ def q_json_fields(spark, sf):
     return C.json_fields(A.v_delivery_docs(Tables(spark, sf), RUN_TS))
 
 
+@query("json_nested_fields")
+def q_json_nested_fields(spark, sf):
+    """Documents in which the wanted keys also stand deeper down, inside
+    strings, under escapes and twice; numbers with zeros at the end and 19 digits."""
+    from martflow.functions.json_raw import checked_members, member_text
+    o = Tables(spark, sf).orders
+    key, total = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("decimal(14,2)").cast("string")
+    docs = o.select("o_orderkey", F.concat(
+        F.lit('{"inner": {"sum": 1.50, "list": [{"sum": '), key, F.lit('}, 2]}, "sum": 7, "note": "say \\"sum\\": '), key, F.lit(', {ok}" ,\n "s\\u0075m" : '),
+        total, F.lit('0, "long": 1234567890'), F.lpad(key, 9, "0"), F.lit('.10, "none": null, "list": [ '), key, F.lit(', "]" ], "sums": "x"}')).alias("doc"))
+    doc = docs.select("o_orderkey", checked_members("doc").alias("d"))
+    return doc.select("o_orderkey", *[member_text(F.col("d"), k).alias(f"v_{k}") for k in ("sum", "inner", "note", "long", "none", "list", "absent")])
+
+
+@query("deliveries_set_aside")
+def q_deliveries_set_aside(spark, sf):
+    """Every seventh document is cut off, every eleventh has no
+    delivery_id; those wait in quarantine and the others load."""
+    from martflow.plans import courier as C
+    number = F.col("object_id").cast("long")
+    docs = A.v_delivery_docs(Tables(spark, sf), RUN_TS).withColumn("object_value", F.when(number % 7 == 0, F.expr("left(object_value, 30)"))
+           .when(number % 11 == 0, F.replace("object_value", F.lit('"delivery_id"'), F.lit('"other_id"'))).otherwise(F.col("object_value")))
+    good, aside = C.split_deliveries(docs)
+    return C.dm_tips(None, good).select("delivery_id", "tip_sum", F.lit(False).alias("set_aside")).unionByName(
+        aside.select(F.concat(F.lit("d"), "object_id").alias("delivery_id"), F.lit(None).cast("decimal(14,2)").alias("tip_sum"), F.lit(True).alias("set_aside")))
+
+
 @query("dm_couriers")
 def q_dm_couriers(spark, sf):
     """Couriers already loaded earlier are kept; the new payload

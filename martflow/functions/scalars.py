@@ -5,8 +5,6 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 from martflow.constants import DESCRIPTOR_SEPARATOR, DOC_TS_FORMAT, VALIDITY_SENTINEL
@@ -67,18 +65,6 @@ def time_text(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "HH:mm:ss")
 
 
-def json_text(doc: str | Column, key: str) -> Column:
-    """Doc ->> 'key' (JSON null and missing key give NULL)."""
-    return number_as_written(doc, key, F.get_json_object(_c(doc), f"$.{key}"))
-
-
-def number_as_written(doc: str | Column, key: str, value: Column) -> Column:
-    """``value`` parsed from the document, a number digit for digit: parsers go
-    through a double, which shortens 8268.70 and rounds long ones."""
-    raw = F.regexp_extract(_c(doc), f'"{re.escape(key)}"\\s*:\\s*(-?[0-9]+(?:\\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)', 1)
-    return F.when((raw != "") & (raw.try_cast("double") == value.try_cast("double")), raw).otherwise(value)
-
-
 def sentinel() -> Column:
     return F.lit(VALIDITY_SENTINEL).cast("timestamp_ntz")
 

@@ -524,6 +524,17 @@ SELECT order_id AS object_id, order_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S')
        CAST(sum AS VARCHAR) AS sum, CAST(rate AS VARCHAR) AS rate, CAST(tip_sum AS VARCHAR) AS tip_sum
 FROM deliv""")
 
+oracle("json_nested_fields", """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) || '0' AS v_sum,
+       '{"sum": 1.50, "list": [{"sum": ' || o_orderkey || '}, 2]}' AS v_inner, 'say "sum": ' || o_orderkey || ', {ok}' AS v_note,
+       '1234567890' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '.10' AS v_long, CAST(NULL AS VARCHAR) AS v_none,
+       '[ ' || o_orderkey || ', "]" ]' AS v_list, CAST(NULL AS VARCHAR) AS v_absent
+FROM orders""")
+
+oracle("deliveries_set_aside", with_(_DELIV) + """
+SELECT delivery_id, if(aside, NULL, tip_sum) AS tip_sum, aside AS set_aside
+FROM (SELECT *, CAST(order_id AS BIGINT) % 7 = 0 OR CAST(order_id AS BIGINT) % 11 = 0 AS aside FROM deliv)""")
+
 oracle("dm_couriers", """
 SELECT CAST(s_suppkey AS VARCHAR) AS courier_id, s_name AS courier_name,
        CASE WHEN s_acctbal >= 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END

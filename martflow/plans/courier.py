@@ -8,28 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martflow.functions.scalars import json_text, number_as_written, parse_doc_ts, sentinel
+from martflow.functions.json_raw import checked_members, is_json, json_members, member_text
+from martflow.functions.scalars import parse_doc_ts, sentinel
 from martflow.operators.tables import close_missing, insert_if_absent
 
-DELIVERY_DOC = ("order_id string, order_ts string, delivery_id string, courier_id string, address string, "
-                "delivery_ts string, sum string, rate string, tip_sum string")
 DELIVERY_FIELDS = ["order_id", "order_ts", "delivery_id", "courier_id", "address", "delivery_ts", "sum", "rate",
                    "tip_sum"]
 
 
 def json_fields(staged: DataFrame, fields=DELIVERY_FIELDS) -> DataFrame:
     """``object_value::JSON ->> key`` for each key, as the document has it
-    (numbers digit for digit), all keys in one parse."""
-    doc = F.from_json("object_value", ", ".join(f"`{k}` string" for k in fields))
-    return staged.select("object_id", "object_value", doc.alias("d")).select(
-        "object_id", *[number_as_written("object_value", k, F.col(f"d.`{k}`")).alias(k) for k in fields])
+    (numbers digit for digit, only the outermost key), all keys in one pass
+    over the text.  A document that is no JSON object stops the load."""
+    doc = staged.select("object_id", checked_members("object_value").alias("d"))
+    return doc.select("object_id", *[member_text(F.col("d"), k).alias(k) for k in fields])
 
 
 def _members(existing: DataFrame | None, staged: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """Insert members not yet in the dim (first staged row per id wins),
     open-ended validity (the missing ``active_to`` of B21 gets the sentinel)."""
-    src = staged.select(
-        F.col("object_id").alias(id_col), json_text("object_value", "name").alias(name_col),
+    src = staged.withColumn("d", checked_members("object_value")).select(
+        F.col("object_id").alias(id_col), member_text(F.col("d"), "name").alias(name_col),
         F.col("update_ts").alias("active_from"), sentinel().alias("active_to"), "update_ts")
     if existing is None:
         existing = src.limit(0).drop("update_ts")
@@ -56,9 +55,22 @@ def close_missing_couriers(dim: DataFrame, staged: DataFrame, as_of: str) -> Dat
     return close_missing(dim, staged, "courier_id", "object_id", as_of)
 
 
-def _deliveries(staged: DataFrame) -> DataFrame:
-    # several keys of one document: one from_json instead of a parse per key
-    return staged.select("object_id", F.from_json("object_value", DELIVERY_DOC).alias("d"))
+def _deliveries(staged: DataFrame, *fields: str) -> DataFrame:
+    """The wanted fields of the delivery documents; one that is no JSON
+    object or has no delivery_id stops the load, as it must not become a
+    delivery full of NULLs (:func:`split_deliveries` sets such rows aside)."""
+    d = json_fields(staged, ["delivery_id", *fields])
+    key = F.when(F.col("delivery_id").isNull(), F.raise_error(F.concat(F.lit("delivery without delivery_id: "), F.col("object_id"))))
+    return d.withColumn("delivery_id", key.otherwise(F.col("delivery_id")))
+
+
+def split_deliveries(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that load, documents that don't): the second for a
+    quarantine table.  A NULL document doesn't load."""
+    members = F.when(is_json("object_value"), json_members("object_value"))
+    j = staged.withColumn("_mf_d", members)
+    loads = member_text(F.col("_mf_d"), "delivery_id").isNotNull()
+    return j.filter(loads).drop("_mf_d"), j.filter(~loads).drop("_mf_d")
 
 
 def dm_deliveries(existing: DataFrame | None, staged: DataFrame, keep_time: bool = True) -> DataFrame:
@@ -67,17 +79,17 @@ def dm_deliveries(existing: DataFrame | None, staged: DataFrame, keep_time: bool
     ``keep_time=False`` reproduces the reference's ``::date`` casts, which
     drop the time of day before storing into TIMESTAMP columns (B22).
     """
-    d = _deliveries(staged)
+    d = _deliveries(staged, "order_ts", "courier_id", "address", "delivery_ts", "sum")
 
     def stamp(c):
         ts = parse_doc_ts(c)
         return ts if keep_time else F.to_date(ts).cast("timestamp_ntz")
 
     src = d.select(
-        F.col("object_id").alias("order_id"), stamp("d.order_ts").alias("order_ts"),
-        F.col("d.delivery_id").alias("delivery_id"), F.col("d.courier_id").alias("courier_id"),
-        F.col("d.address").alias("address"), stamp("d.delivery_ts").alias("delivery_ts"),
-        F.col("d.sum").cast("decimal(14,2)").alias("sum"))
+        F.col("object_id").alias("order_id"), stamp("order_ts").alias("order_ts"),
+        "delivery_id", "courier_id",
+        "address", stamp("delivery_ts").alias("delivery_ts"),
+        F.col("sum").cast("decimal(14,2)").alias("sum"))
     if existing is None:
         existing = src.limit(0)
     return insert_if_absent(existing, src, ["delivery_id"], [F.col("order_id")])
@@ -85,8 +97,7 @@ def dm_deliveries(existing: DataFrame | None, staged: DataFrame, keep_time: bool
 
 def dm_rate(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
     """Rating per delivery (``::smallint``)."""
-    src = _deliveries(staged).select(F.col("d.delivery_id").alias("delivery_id"),
-                                     F.col("d.rate").cast("smallint").alias("rate"), "object_id")
+    src = _deliveries(staged, "rate").select("delivery_id", F.col("rate").cast("smallint").alias("rate"), "object_id")
     if existing is None:
         existing = src.limit(0).drop("object_id")
     return insert_if_absent(existing, src, ["delivery_id"], [F.col("object_id")])
@@ -94,8 +105,7 @@ def dm_rate(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
 
 def dm_tips(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
     """Tip per delivery (``::numeric`` into NUMERIC(14,2))."""
-    src = _deliveries(staged).select(F.col("d.delivery_id").alias("delivery_id"),
-                                     F.col("d.tip_sum").cast("decimal(14,2)").alias("tip_sum"), "object_id")
+    src = _deliveries(staged, "tip_sum").select("delivery_id", F.col("tip_sum").cast("decimal(14,2)").alias("tip_sum"), "object_id")
     if existing is None:
         existing = src.limit(0).drop("object_id")
     return insert_if_absent(existing, src, ["delivery_id"], [F.col("object_id")])

@@ -87,8 +87,30 @@ def test_shared_dir_refuses_a_cluster_without_a_shared_folder():
         shared_dir(Session())
 
 
-def test_json_text_keeps_numbers_as_written(spark):
-    from martflow.functions.scalars import json_text
-    doc = '{"a":8268.70,"b":1234567890.12,"c": 1234567890123456789.10,"d":"8.50","e":null,"f":true,"g":"x \\"a\\": 5"}'
-    df = spark.createDataFrame([(doc,)], "v string").select(*[json_text("v", k).alias(k) for k in "abcdefgh"])
-    assert list(df.first()) == ["8268.70", "1234567890.12", "1234567890123456789.10", "8.50", None, "true", 'x "a": 5', None]
+DOCS = {
+    '{"a":8268.70,"b":1234567890.12,"c": 1234567890123456789.10,"d":"8.50","e":null,"f":true,"g":"x \\"a\\": 5"}':
+        ["8268.70", "1234567890.12", "1234567890123456789.10", "8.50", None, "true", 'x "a": 5', None],
+    # the same key deeper down, twice, and written with an escape
+    '{"z": {"a": 1, "b": [{"a": 2}]}, "a": 3.0, "\\u0061": 4.00, "b" :\t[1, {"b": "}"}] , "c": "", "d":"\\u00e4\\\\", "e": {}, "f": -1.5E+10}':
+        ["4.00", '[1, {"b": "}"}]', "", "\u00e4\\", "{}", "-1.5E+10", None, None],
+    "{}": [None] * 8,
+}
+
+
+def test_json_text_is_the_outermost_value_as_written(spark):
+    from martflow.functions.json_raw import json_text
+    df = spark.createDataFrame([(d,) for d in [*DOCS, None]], "v string").select("v", *[json_text("v", k).alias(k) for k in "abcdefgh"])
+    assert {r[0]: list(r)[1:] for r in df.collect()} == DOCS | {None: [None] * 8}
+
+
+def test_broken_documents_stop_the_load_or_go_aside(spark):
+    import pytest
+    from martflow.plans import courier as C
+    rows = [("o1", '{"delivery_id": "d1", "rate": 5, "x": {"rate": 1}}'), ("o2", "{broken"), ("o3", '{"rate": 4}'), ("o4", None), ("o5", '["delivery_id"]')]
+    staged = spark.createDataFrame(rows, "object_id string, object_value string")
+    good, aside = C.split_deliveries(staged)
+    assert [tuple(r) for r in C.dm_rate(None, good).collect()] == [("d1", 5)]
+    assert sorted(r.object_id for r in aside.collect()) == ["o2", "o3", "o4", "o5"]
+    for bad in ("o2", "o3", "o4", "o5"):
+        with pytest.raises(Exception, match="delivery without delivery_id|not a JSON object"):
+            C.dm_rate(None, staged.filter(f"object_id = '{bad}'")).collect()
