@@ -495,23 +495,40 @@ def q_docs_oldest_k(spark, sf):
 
 @query("copy_collection_sessions")
 def q_copy_collection_sessions(spark, sf):
-    """Stamps tie by the day, a session copies a third of the
-    documents, and sessions go on until the cursor stands still."""
+    """Stamps tie by the day, some stamps and ids are missing, a
+    session copies a third of the documents, and sessions go on until the
+    cursor stands still."""
     from martflow.operators.cursor import empty_state, settings_get
     from martflow.operators.tables import publish
     from martflow.plans import staging as P
     docs = publish(A.v_outbox(Tables(spark, sf)).select(
-        F.col("id").alias("_id"), "event_type", F.when(F.col("id") % 11 != 0, F.date_trunc("day", "event_ts").cast("timestamp_ntz")).alias("update_ts")), "documents")
+        F.when(F.col("id") % 13 != 0, F.col("id")).alias("_id"), "event_type",  # every 13th document has no id
+        F.when(F.col("id") % 11 != 0, F.date_trunc("day", "event_ts").cast("timestamp_ntz")).alias("update_ts")), "documents")
     limit = max(1, docs.count() // 3)
     staged, state, before = spark.createDataFrame([], P.STAGED_DOC_DDL), empty_state(spark), None
     while True:
-        staged, state = P.copy_collection(staged, docs, state, limit=limit)
-        staged, now = publish(staged, "staged_documents"), settings_get(state, P.COPY_WF, "last_ts", "last_id")
+        for end in [*P.session_ends(docs, state, limit=limit), None]:
+            staged, state = P.copy_collection(staged, docs, state, limit=limit, end=end)
+            staged = publish(staged, "staged_documents")
+        now = settings_get(state, P.COPY_WF, "last_ts", "last_id")
         if now == before:
             return staged
         before = now
 
 
+@query("keys_at_ranks")
+def q_keys_at_ranks(spark, sf):
+    """The last line of every tenth of the lines by falling price (a
+    third of the prices are NULL, ties go by order, line and ship date)."""
+    from martflow.operators.selection import Key, keys_at
+    li = Tables(spark, sf).lineitem.select(
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("l_extendedprice").cast("decimal(14,2)")).alias("price"), "l_orderkey", "l_linenumber",
+        F.col("l_shipdate").cast("timestamp_ntz").alias("shipped"))
+    n = li.count()
+    found = keys_at(li, [Key("price", desc=True), Key("l_orderkey"), Key("l_linenumber"), Key("shipped")], [n * i // 10 for i in range(1, 11)], bound=1000)
+    return spark.createDataFrame([(r, *v) for r, v in found.items()], "rank long, price decimal(14,2), l_orderkey long, l_linenumber long, shipped timestamp_ntz")
+
+
 @query("staged_since")
 def q_staged_since(spark, sf):
     from martflow.sources.staged import read_since

@@ -123,7 +123,7 @@ def _one_per_key(source: DataFrame, key: Sequence[str], order: Sequence[Column],
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[Column],
-           update_cols: Sequence[str] | None = None) -> DataFrame:
+           update_cols: Sequence[str] | None = None, null_keys: bool = False) -> DataFrame:
     """U1 (all columns) / U3 (``update_cols`` only): INSERT .. ON CONFLICT DO
     UPDATE with the batch applied row by row in ``order``: the last row per
     key sets the updated columns, a new key keeps its first row's other
@@ -132,9 +132,15 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     Written without a full outer join: the target is only anti- or
     left-joined to the (reduced) batch, so when the batch is small AQE
     broadcasts it and the target is scanned, never shuffled; a large batch
-    falls back to shuffle joins on the key.
+    falls back to shuffle joins on the key.  With ``null_keys`` batch rows
+    that lack part of the key are all inserted, as NULLs never conflict.
     """
     key = list(key)
+    if null_keys:
+        whole = F.lit(True)
+        for k in key:
+            whole = whole & F.col(k).isNotNull()
+        return upsert(target, source.filter(whole), key, order, update_cols).unionByName(source.filter(~whole).select(*target.columns))
     if update_cols is None:
         # every column is overwritten by each later row: the last row wins
         src = _one_per_key(source, key, order, last=True)
@@ -218,7 +224,7 @@ def _write_pointer(spark: SparkSession, table_dir: str, pointer: dict, seq: int)
 
 def upsert_buckets(table_dir: str, batch: DataFrame, key: Sequence[str], order: Sequence[Column],
                    schema, update_cols: Sequence[str] | None = None, buckets: int | None = None,
-                   batch_id: tuple[str, int] | None = None) -> None:
+                   batch_id: tuple[str, int] | None = None, null_keys: bool = False) -> None:
     """U1/U3 applied to a table stored as hash buckets of the key.
 
     Only the buckets that the batch touches are read and upserted; they are
@@ -246,7 +252,7 @@ def upsert_buckets(table_dir: str, batch: DataFrame, key: Sequence[str], order:
     if touched:
         folders = [pointer["folders"][str(t)] for t in touched if str(t) in pointer["folders"]]
         current = spark.read.schema(struct).parquet(*folders) if folders else spark.createDataFrame([], struct)
-        merged = upsert(current, b.drop(BUCKET_COL), key, order, update_cols).select(*cols).withColumn(BUCKET_COL, bucket)
+        merged = upsert(current, b.drop(BUCKET_COL), key, order, update_cols, null_keys).select(*cols).withColumn(BUCKET_COL, bucket)
         version = f"{table_dir}/data/{uuid.uuid4().hex}"
         merged.repartition(BUCKET_COL).write.partitionBy(BUCKET_COL).parquet(version)
         pointer["folders"].update({str(t): f"{version}/{BUCKET_COL}={t}" for t in touched})

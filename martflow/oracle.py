@@ -407,11 +407,22 @@ oracle("docs_oldest_k", with_(V_OUTBOX) + """
 SELECT id, event_ts, event_type, event_value FROM v_outbox ORDER BY event_ts, id LIMIT 500""")
 
 oracle("copy_collection_sessions", """
-WITH d AS (SELECT event_id, event_type, CASE WHEN event_id % 11 <> 0 THEN date_trunc('day', ts) END AS stamp FROM events)
-SELECT CAST(event_id AS VARCHAR) AS object_id,
-       json_object('_id', event_id, 'event_type', event_type, 'update_ts', strftime(stamp, '%Y-%m-%d %H:%M:%S'))::VARCHAR AS object_value,
+WITH d AS (SELECT CASE WHEN event_id % 13 <> 0 THEN event_id END AS id, event_type,
+                  CASE WHEN event_id % 11 <> 0 THEN date_trunc('day', ts) END AS stamp FROM events)
+SELECT CAST(id AS VARCHAR) AS object_id,
+       json_object('_id', id, 'event_type', event_type, 'update_ts', strftime(stamp, '%Y-%m-%d %H:%M:%S'))::VARCHAR AS object_value,
        CAST(stamp AS TIMESTAMP) AS update_ts FROM d""")
 
+oracle("keys_at_ranks", """
+WITH li AS (
+  SELECT CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_extendedprice AS DECIMAL(14,2)) END AS price, l_orderkey,
+         CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_shipdate AS TIMESTAMP) AS shipped FROM lineitem
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY price DESC NULLS LAST, l_orderkey, l_linenumber, shipped) AS rank, count(*) OVER () AS n FROM li
+)
+SELECT rank, price, l_orderkey, l_linenumber, shipped FROM numbered
+WHERE rank IN (SELECT (SELECT count(*) FROM li) * i // 10 FROM range(1, 11) r(i))""")
+
 oracle("staged_since", with_(V_OUTBOX) + f"""
 SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE id > {_PREV_CURSOR}""")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.constants import RFM_BUCKETS as BUCKETS, STATUS_CLOSED as CLOSED
-from martflow.operators.keys import ntile_distributed
+from martflow.operators.selection import Key, ntile
 
 
 def user_stats(orders: DataFrame, since: str | None = None) -> DataFrame:
@@ -28,11 +28,20 @@ def user_stats(orders: DataFrame, since: str | None = None) -> DataFrame:
 
 def rfm_ntile_literal(orders: DataFrame) -> DataFrame:
     """F2 + W1 as written: ``SELECT *, NTILE(5) OVER (ORDER BY x DESC)`` x3."""
-    s = user_stats(orders)
-    s = ntile_distributed(s, BUCKETS, [F.col("most_recent_order").desc_nulls_last(), "user_id"], "recency")
-    s = ntile_distributed(s, BUCKETS, [F.col("total_num_orders").desc_nulls_last(), "user_id"], "frequency")
-    s = ntile_distributed(s, BUCKETS, [F.col("total_revenue").desc_nulls_last(), "user_id"], "monetary_value")
-    return s
+    return _scored(user_stats(orders), {"recency": Key("most_recent_order", desc=True), "frequency": Key("total_num_orders", desc=True),
+                                        "monetary_value": Key("total_revenue", desc=True)})
+
+
+def _scored(stats: DataFrame, scores: dict[str, Key]) -> DataFrame:
+    """A bucket column per score.  The statistics are kept only while the
+    bucket limits are searched; nothing is written."""
+    kept, out = stats.persist(), stats
+    try:
+        for name, key in scores.items():
+            out = ntile(kept, BUCKETS, [key, Key("user_id")], name, onto=out)
+    finally:
+        kept.unpersist()
+    return out
 
 
 def rfm_segments(users: DataFrame, orders: DataFrame, since: str | None = None) -> DataFrame:
@@ -45,9 +54,7 @@ def rfm_segments(users: DataFrame, orders: DataFrame, since: str | None = None)
         F.coalesce("total_revenue", F.lit(0).cast("decimal(29,5)")).alias("m"),
         F.col("total_num_orders").isNull().alias("never"),
     )
-    base = ntile_distributed(base, BUCKETS, [F.col("most_recent_order").asc_nulls_first(), "user_id"], "r")
-    base = ntile_distributed(base, BUCKETS, [F.col("n").asc(), "user_id"], "f")
-    base = ntile_distributed(base, BUCKETS, [F.col("m").asc(), "user_id"], "mv")
+    base = _scored(base, {"r": Key("most_recent_order"), "f": Key("n"), "mv": Key("m")})
 
     def bucket(c: str):
         return F.when(F.col("never"), F.lit(1)).otherwise(F.col(c)).cast("smallint")

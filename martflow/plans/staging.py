@@ -7,18 +7,22 @@ table first and the state after it.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from martflow.functions.scalars import to_json_keep_nulls
 from martflow.constants import SESSION_LIMIT
 from martflow.operators.cursor import cursor_advance, cursor_get, settings_get, settings_set
-from martflow.operators.keys import assign_keys
+from martflow.operators.selection import Key, keys_at
 from martflow.operators.tables import insert_if_absent, publish, rows_if_absent, upsert
 
 # names of this package's own workflows in the state table
 EVENTS_WF = "stage:events"
 COPY_WF = "stage:documents"
 
+Cursor = tuple[str, str | None]  # (update time, id) as text
+
 
 def load_ranks(staged: DataFrame, ranks: DataFrame, order: str = "id") -> DataFrame:
     """Ranks upserted by id, every column refreshed."""
@@ -53,29 +57,57 @@ def _stamp(ts_col: str):
     return F.coalesce(F.col(ts_col), F.lit(FIRST_TS).cast("timestamp_ntz"))
 
 
-def _session_end(docs: DataFrame, id_col: str, ts_col: str, limit: int) -> tuple[str, str] | None:
-    """(update time, id) of the ``limit``-th document, None if there are fewer.
-    Only the keys are ranged and counted, and one row comes back."""
-    keys = docs.select(_stamp(ts_col).alias("ts"), F.col(id_col).alias("id"))
-    ranked = assign_keys(keys, ["ts", "id"], key="no")
-    end = ranked.filter(F.col("no") == F.lit(limit)).select(F.col("ts").cast("string"), F.col("id").cast("string")).head(1)
-    return tuple(end[0]) if end else None
-
-
-def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, after: tuple[str, str] | None) -> DataFrame:
-    """The next ``limit`` documents by (update time, id) after the cursor, as
-    staged rows plus the cursor columns.  The session's last key is found
-    first, so the documents are copied by a filter and no limit gathers them."""
-    docs, id_type = documents, dict(documents.dtypes)[id_col]
-    if after is not None:
-        ts, doc_id = F.lit(after[0]).cast("timestamp_ntz"), F.lit(after[1]).cast(id_type)
-        docs = docs.filter((_stamp(ts_col) > ts) | ((_stamp(ts_col) == ts) & (F.col(id_col) > doc_id)))
-        # the same range as a plain predicate, which reaches the scan
-        docs = docs.filter(F.col(ts_col).isNull() | (F.col(ts_col) >= ts))
-    end = _session_end(docs, id_col, ts_col, limit)
-    if end is not None:
-        ts, doc_id = F.lit(end[0]).cast("timestamp_ntz"), F.lit(end[1]).cast(id_type)
-        docs = docs.filter((_stamp(ts_col) < ts) | ((_stamp(ts_col) == ts) & (F.col(id_col).isNull() | (F.col(id_col) <= doc_id))))
+ORDER = [Key("ts"), Key("id")]  # a document without an id comes first among those of its stamp
+
+
+def _keys(docs: DataFrame, id_col: str, ts_col: str) -> DataFrame:
+    return docs.select(_stamp(ts_col).alias("ts"), F.col(id_col).alias("id"))
+
+
+def _typed(documents: DataFrame, id_col: str, cursor: Cursor) -> tuple[datetime, object]:
+    """The stored cursor's text as values of the documents' types."""
+    spark, (ts, doc_id) = documents.sparkSession, cursor
+    row = spark.range(1).select(F.lit(ts).cast("timestamp_ntz"), F.lit(doc_id).cast(dict(documents.dtypes)[id_col])).first()
+    return row[0], row[1]
+
+
+def _rest(documents: DataFrame, id_col: str, ts_col: str, after_cursor: Cursor | None) -> DataFrame:
+    """The documents after the cursor, by (update time, id) with NULL ids first."""
+    if after_cursor is None:
+        return documents
+    ts, doc_id = _typed(documents, id_col, after_cursor)
+    stamp, ident = _stamp(ts_col), F.col(id_col)
+    later = ident.isNotNull() if doc_id is None else F.coalesce(ident > F.lit(doc_id), F.lit(False))
+    # the range on the bare column reaches the scan
+    return documents.filter((F.col(ts_col).isNull() | (F.col(ts_col) >= F.lit(ts))) & ((stamp > F.lit(ts)) | ((stamp == F.lit(ts)) & later)))
+
+
+def session_ends(documents: DataFrame, state: DataFrame, wf_key: str = COPY_WF, id_col: str = "_id", ts_col: str = "update_ts",
+                 limit: int = SESSION_LIMIT, sessions: int = 100) -> list[Cursor]:
+    """The cursors that the next ``sessions`` sessions end at, found together
+    by counting keys (``operators.selection``): nothing is sorted or written.
+    A last session of fewer documents has no entry."""
+    cursor = _cursor(state, wf_key)
+    keys = _keys(_rest(documents, id_col, ts_col, cursor), id_col, ts_col)
+    found = keys_at(keys, ORDER, [limit * (i + 1) for i in range(sessions)])
+    return [(str(ts), None if i is None else str(i)) for ts, i in (found[r] for r in sorted(found))]
+
+
+def _cursor(state: DataFrame, wf_key: str) -> Cursor | None:
+    ts, doc_id = settings_get(state, wf_key, "last_ts", "last_id")
+    return None if ts is None else (ts, doc_id)
+
+
+def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, after_cursor: Cursor | None, end: Cursor | None = None) -> DataFrame:
+    """The next ``limit`` documents after the cursor, or those up to ``end``,
+    as staged rows plus the cursor columns.  They are copied by a filter, and
+    no limit gathers them."""
+    docs = _rest(documents, id_col, ts_col, after_cursor)
+    if end is None:
+        found = keys_at(_keys(docs, id_col, ts_col), ORDER, [limit])
+        docs = _until(docs, id_col, ts_col, *found[limit]) if found else docs
+    else:
+        docs = _until(docs, id_col, ts_col, *_typed(documents, id_col, end))
     return docs.select(
         F.col(id_col).cast("string").alias("object_id"),
         to_json_keep_nulls(F.struct(*[F.col(c) for c in documents.columns])).alias("object_value"),
@@ -83,39 +115,46 @@ def _doc_rows(documents: DataFrame, id_col: str, ts_col: str, limit: int, after:
 
 
 def _session(documents: DataFrame, state: DataFrame, wf_key: str, id_col: str, ts_col: str,
-             limit: int) -> tuple[DataFrame, DataFrame]:
+             limit: int, end: Cursor | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of one copy session, state after it).  The cursor is (update_ts,
-    id) of the last document copied, kept in the state, so documents that tie
-    on the stamp are neither lost nor read again; an empty session keeps it."""
-    last_ts, last_id = settings_get(state, wf_key, "last_ts", "last_id")
-    rows = publish(_doc_rows(documents, id_col, ts_col, limit, None if last_ts is None else (last_ts, last_id)),
-                   "copy_session")
-    end = rows.agg(F.max(F.struct("_page_ts", "_page_id")).alias("m")).select(
+    id) of the last document copied, a NULL id included, kept in the state, so
+    documents that tie on the stamp are neither lost nor read again; an empty
+    session keeps it.  ``end`` is where the session ends if that is known
+    (:func:`session_ends`)."""
+    rows = publish(_doc_rows(documents, id_col, ts_col, limit, _cursor(state, wf_key), end), "copy_session")
+    last = rows.agg(F.max(F.struct("_page_ts", "_page_id")).alias("m")).select(
         F.col("m._page_ts").cast("string"), F.col("m._page_id").cast("string")).first()
-    if end[0] is not None:
-        state = settings_set(state, wf_key, last_ts=end[0], last_id=end[1])
+    if last[0] is not None:
+        state = settings_set(state, wf_key, last_ts=last[0], last_id=last[1])
     return rows.drop("_page_ts", "_page_id"), state
 
 
+def _until(docs: DataFrame, id_col: str, ts_col: str, ts: datetime, doc_id) -> DataFrame:
+    """The documents up to a cursor, that of the cursor included."""
+    stamp, ident = _stamp(ts_col), F.col(id_col)
+    same = ident.isNull() if doc_id is None else F.coalesce(ident <= F.lit(doc_id), F.lit(True))
+    return docs.filter((stamp < F.lit(ts)) | ((stamp == F.lit(ts)) & same))
+
+
 def copy_collection_into(table_dir: str, documents: DataFrame, state: DataFrame, wf_key: str = COPY_WF, id_col: str = "_id",
-                         ts_col: str = "update_ts", limit: int = SESSION_LIMIT, buckets: int | None = None) -> DataFrame:
+                         ts_col: str = "update_ts", limit: int = SESSION_LIMIT, buckets: int | None = None, end: Cursor | None = None) -> DataFrame:
     """M16 in place: as :func:`copy_collection`, but the staged table is kept
     as hash buckets of ``object_id`` and only the buckets holding copied
     documents are rewritten, so a session costs O(touched buckets).  Returns
     the new state, to be published after the table."""
     from martflow.operators.tables import upsert_buckets
-    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit)
+    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit, end)
     upsert_buckets(table_dir, rows, ["object_id"], [F.col("update_ts")], STAGED_DOC_DDL,
-                   update_cols=["object_value"], buckets=buckets)
+                   update_cols=["object_value"], buckets=buckets, null_keys=True)
     return state
 
 
 def copy_collection(staged: DataFrame, documents: DataFrame, state: DataFrame, wf_key: str = COPY_WF, id_col: str = "_id",
-                    ts_col: str = "update_ts", limit: int = SESSION_LIMIT) -> tuple[DataFrame, DataFrame]:
+                    ts_col: str = "update_ts", limit: int = SESSION_LIMIT, end: Cursor | None = None) -> tuple[DataFrame, DataFrame]:
     """One session copies the next ``limit``
     documents (oldest first by update time, then id) into staging as JSON
     text; a document already staged gets its payload refreshed and keeps its
     stored update_ts (as written, B18).  Returns (staged table, state)."""
-    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit)
+    rows, state = _session(documents, state, wf_key, id_col, ts_col, limit, end)
     return upsert(staged.select("object_id", "object_value", "update_ts"), rows, ["object_id"],
-                  [F.col("update_ts")], update_cols=["object_value"]), state
+                  [F.col("update_ts")], update_cols=["object_value"], null_keys=True), state
