@@ -2,312 +2,335 @@
 
 Both models are counted over whole texts, the background over all documents
 and the target over those that a predicate names.  They match: one
-vocabulary, one set of bigrams, one smoothing.
+vocabulary, one smoothing.  Every word and bigram counts, at every size:
 
-``cross_entropies`` keeps every word and bigram of the input, at every size:
-the counts stay in tables, and documents meet them in a shuffle.
+    p(w | h) = L c(h, w) / c(h) + (1 - L) (c(w) + 1) / (N + V + 2)
 
-``train`` makes models of a fixed size, to be sent to every task of
-``scored``, for callers who ask for that: a word belongs to the vocabulary if
-it makes up at least ``word_share`` of all words, a bigram to the models if it
-makes up at least ``bigram_share`` of all bigrams.  Words outside the
-vocabulary are one word, "other".
+(only the second part, with L = 0, after a history that the model hasn't).
 
-    p(w | h) = L c(h, w) / c(h) + (1 - L k(h)) (c(w) + 1) / (N + V)
+Documents travel in batches of about ``BATCH_BYTES`` of text.  A batch asks
+for the counts of its distinct words, then of its distinct bigrams: it sends
+its own counts to the partitions that own them, packed in one block for each,
+and the owner adds up what all batches sent and answers.  An answer leaves out
+bigrams that no other batch holds.  So a word or bigram that stands in every
+document is one row per batch, and nothing that grows with the input is
+gathered or sent to all tasks.  Owners number their words by falling
+frequency (rank * owners + owner), so bigrams are pairs of exact, small numbers.
 
-with k(h) the share of h's kept bigrams, which makes the probabilities of
-every history sum to one.
+RDDs hold the batches because both answers have to come back to a batch that
+stays where it is: batches and answers share one partitioner, and their union
+moves neither.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.llm.frames import written
-from martflow.llm.textops import SubstringHash, U64, chunks, fill_text, lower, mix, signed, word_spans
+from martflow.llm.textops import SubstringHash, U64, chunks, fill_text, lower, mix, word_spans
 
-WORD_SHARE = 1e-5
-BIGRAM_SHARE = 1e-6
 WEIGHT = 0.7                 # L: of the bigram against the single word
-HELD = 2_000_000             # distinct keys that a task holds before it passes them on
-OTHER, START = 0, 1          # word numbers; the vocabulary's begin at 2
-SHIFT = 20
-FIRST = U64(1)               # hash in place of the word before a text's first
+BATCH_BYTES = 4 << 20        # of text in a batch; a longer text is a batch of its own
+START = U64(1)               # hash in place of the word before a text's first
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[0x30:0x3A] = True
 _WORD[0x61:0x7B] = True
 _WORD[0x80:] = True
 
+_SCHEMA = "doc_id long, n_tokens long, ce_target double, ce_background double"
 
-def _words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, word hashes, index of each row's first word)"""
-    for lo, hi, data, offsets in chunks(texts):
-        data = lower(data)
-        starts, ends, first = word_spans(_WORD[data], offsets)
-        yield lo, hi, SubstringHash(data).of(starts, ends), first
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Unsigned integers, each array in the bytes that its largest one needs, byte plane by byte plane."""
+    out = []
+    for a in arrays:
+        a = np.ascontiguousarray(a, dtype="<u8")
+        width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
+        out += [len(a).to_bytes(5, "little"), bytes([width]), a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return zlib.compress(b"".join(out), 1)
 
-def _folded(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, *(np.bincount(at, np.concatenate([p[i] for p in parts]), minlength=len(keys)).astype(np.int64) for i in (1, 2))
 
-
-def _counted(rows: DataFrame, keys_of) -> DataFrame:
-    """(key, n, n_target) over all rows (target, text); ``keys_of`` gives the
-    keys of a chunk and the row of each.  Tasks fold before they pass on."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(part):
-            keys, n, t = part
-            return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n), pa.array(t)], names=["key", "n", "n_target"])
-
-        parts, held = [], 0
-        for b in batches:
-            target = np.asarray(b.column(0).cast(pa.int8()))
-            for lo, hi, hashes, first in _words(fill_text(b.column(1))):
-                keys, row = keys_of(hashes, first)
-                unique, at = np.unique(keys, return_inverse=True)
-                parts.append((unique, np.bincount(at, minlength=len(unique)).astype(np.int64),
-                              np.bincount(at, target[lo:hi][row], minlength=len(unique)).astype(np.int64)))
-                held += len(unique)
-                if held > HELD:
-                    parts = [_folded(parts)]
-                    held = len(parts[0][0])
-                    if held > HELD // 2:
-                        yield out(parts[0])
-                        parts, held = [], 0
-        if parts:
-            yield out(_folded(parts))
-
-    counts = rows.mapInArrow(run, "key long, n long, n_target long")
-    return counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-def _frequent(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
-    """Keys (sorted, unsigned) of at least ``share`` of the total with both
-    counts, and the totals.  At most 1 / share keys reach the driver."""
-    counts = written(counts, "counts")
-    total, target = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
-    kept = counts.where(F.col("n") >= max(1.0, share * total)).toPandas()
-    keys = kept["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], kept["n"].to_numpy(float)[order], kept["n_target"].to_numpy(float)[order], int(total), int(target)
-
-
-def _numbers(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    if not len(vocabulary):
-        return np.zeros(len(hashes), dtype=np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at + 2, OTHER)
-
-
-def _bigrams(vocabulary: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Key of each word with the one before it (START at a row's first)."""
-    word = _numbers(vocabulary, hashes)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    if len(word):
-        before[first[:-1][np.diff(first) > 0]] = START
-    return (before << SHIFT | word).astype(np.uint64), row
-
-
-@dataclass
-class Models:
-    """Shared vocabulary and bigrams; per model (0 background, 1 target) the
-    log probabilities.  ``pair`` of a kept bigram, ``alone`` of a word,
-    ``rest`` of leaving the history's kept bigrams."""
-    vocabulary: np.ndarray
-    bigrams: np.ndarray
-    pair: np.ndarray
-    alone: np.ndarray
-    rest: np.ndarray
-
-    def losses(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Negative log probability of every word, background and target."""
-        keys, _ = _bigrams(self.vocabulary, hashes, first)
-        word, before = (keys & np.uint64((1 << SHIFT) - 1)).astype(np.int64), (keys >> np.uint64(SHIFT)).astype(np.int64)
-        found = np.zeros(len(keys), dtype=bool)
-        at = np.zeros(len(keys), dtype=np.int64)
-        if len(self.bigrams):
-            at = np.minimum(np.searchsorted(self.bigrams, keys), len(self.bigrams) - 1)
-            found = self.bigrams[at] == keys
-        out = []
-        for m in (0, 1):
-            p = self.rest[m][before] + self.alone[m][word]
-            p[found] = self.pair[m][at[found]]
-            out.append(-p)
-        return out[0], out[1]
-
-
-def train(docs: DataFrame, target: Column, text_col: str = "text", word_share: float = WORD_SHARE,
-          bigram_share: float = BIGRAM_SHARE, weight: float = WEIGHT) -> Models:
-    if word_share < 4 / (1 << SHIFT):
-        raise ValueError("the vocabulary would not fit its numbers")
-    rows = docs.select(F.coalesce(target, F.lit(False)).alias("target"), F.col(text_col).alias("text"))
-    words = _counted(rows, lambda hashes, first: (hashes, np.repeat(np.arange(len(first) - 1), np.diff(first))))
-    vocabulary, *counts, total, of_target = _frequent(words, word_share)
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pairs = _counted(rows, lambda hashes, first: _bigrams(sent.value, hashes, first))
-    bigrams, *pair_counts, _, _ = _frequent(pairs, bigram_share)
-    size = len(vocabulary) + 2
-    histories = _histories(rows, sent, size)
-    before, word = (bigrams >> np.uint64(SHIFT)).astype(np.int64), (bigrams & np.uint64((1 << SHIFT) - 1)).astype(np.int64)
-    pair, alone, rest = [], [], []
-    for m, n in ((0, total), (1, of_target)):
-        single = np.zeros(size)
-        single[2:] = counts[m]
-        single[OTHER] = n - counts[m].sum()
-        single = (single + 1) / (n + size)
-        share = pair_counts[m] / np.maximum(histories[m][before], 1)
-        left = 1 - weight * np.bincount(before, share, minlength=size)
-        alone.append(np.log(single))
-        rest.append(np.log(left))
-        pair.append(np.log(weight * share + left[before] * single[word]))
-    return Models(vocabulary, bigrams, np.array(pair), np.array(alone), np.array(rest))
-
-
-def _histories(rows: DataFrame, sent, size: int) -> list[np.ndarray]:
-    """How often each word number is followed by another, in all rows and in
-    the target's.  One row per task and number is moved."""
-    def histories(hashes, first):
-        keys, row = _bigrams(sent.value, hashes, first)
-        return keys >> np.uint64(SHIFT), row
-
-    counts = _counted(rows, histories).toPandas()
-    out = [np.zeros(size), np.zeros(size)]
-    out[0][counts["key"]] = counts["n"]
-    out[1][counts["key"]] = counts["n_target"]
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    raw, at, out = np.frombuffer(zlib.decompress(blob), dtype=np.uint8), 0, []
+    while at < len(raw):
+        n, width = int.from_bytes(raw[at:at + 5].tobytes(), "little"), int(raw[at + 5])
+        a = np.zeros((n, 8), dtype=np.uint8)
+        a[:, :width] = raw[at + 6:at + 6 + n * width].reshape(width, n).T
+        out.append(a.reshape(-1).view("<u8"))
+        at += 6 + n * width
     return out
 
 
-def scored(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.0) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, ce_target, ce_background (mean
-    loss per word), score (their difference; the lower, the more like the
-    target) and selected (score below ``threshold``).
+def _ints(a: np.ndarray) -> np.ndarray:
+    return a.view(np.int64)
 
-    Null and empty texts have no words: null losses and score, not selected.
-    Repeated rows come back repeated; other columns aren't read.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, hashes, first in _words(fill_text(b.column(1))):
-                n = np.diff(first)
-                row = np.repeat(np.arange(hi - lo), n)
-                means = [np.bincount(row, x, minlength=hi - lo) / np.maximum(n, 1) for x in sent.value.losses(hashes, first)]
-                none = n == 0
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(means[1], mask=none), pa.array(means[0], mask=none)],
-                    names=["doc_id", "n_tokens", "ce_target", "ce_background"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = rows.mapInArrow(run, "doc_id long, n_tokens long, ce_target double, ce_background double")
-    out = out.withColumn("score", F.col("ce_target") - F.col("ce_background"))
-    return out.withColumn("selected", F.coalesce(F.col("score") < threshold, F.lit(False)))
 
+class Batch:
+    """Some documents as numbers of the batch's own sorted vocabulary, of which
+    one entry is ``START``."""
 
-def _pairs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the word before each word (FIRST at a row's first), a hash of
-    the two, and the row."""
-    before = np.empty_like(hashes)
-    before[1:] = hashes[:-1]
-    if len(hashes):
-        before[first[:-1][np.diff(first) > 0]] = FIRST
-    return before, mix(before * U64(0x9E3779B97F4A7C15) + hashes), np.repeat(np.arange(len(first) - 1), np.diff(first))
+    def __init__(self, blob: bytes):
+        ids, self.known_id, self.target, self.length, self.words, vocabulary = _unpacked(blob)
+        self.ids, self.length, self.words = _ints(ids), _ints(self.length), _ints(self.words)
+        self.vocabulary = vocabulary
+        self.row = np.repeat(np.arange(len(self.length)), self.length)
+        self.before = np.empty_like(self.words)
+        self.before[1:] = self.words[:-1]
+        first = (np.cumsum(self.length) - self.length)[self.length > 0]
+        self.before[first] = np.searchsorted(vocabulary, START)
 
+    def counts(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Times that each number of ``at`` (one per word) occurs, in all documents and in the target's."""
+        mine = self.target[self.row] > 0
+        return np.bincount(at, minlength=size), np.bincount(at[mine], minlength=size)
 
-def _pair_counts(rows: DataFrame) -> DataFrame:
-    """(h, w, n, n_target) of every bigram of the rows (target, text), written."""
-    def fold(parts):
-        key, h, w, n, t = (np.concatenate(x) for x in zip(*parts))
-        unique, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        n, t = (np.bincount(inverse, x, minlength=len(unique)).astype(np.int64) for x in (n, t))
-        return unique, h[at], w[at], n, t
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct bigrams as (word before, word) numbers, and the bigram of each word."""
+        keys, at = np.unique(self.before << 32 | self.words, return_inverse=True)
+        return keys >> 32, keys & 0xFFFFFFFF, at
 
-    def out(part):
-        _, h, w, n, t = part
-        return pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(signed(w)), pa.array(n), pa.array(t)], names=["h", "w", "n", "n_target"])
 
+def _batches(batch_bytes: int):
+    """Rows (doc_id, target, text) to packed batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        number = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+        size = 0
+
+        def out():
+            nonlocal number
+            ids, known, target, length, hashes = (np.concatenate(x) for x in zip(*held))
+            vocabulary, at = np.unique(np.append(hashes, START), return_inverse=True)
+            blob = _packed(ids.view(U64), known, target, length, at[:-1], vocabulary)
+            number += 1
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([blob], pa.binary())], names=["batch", "blob"])
+
         for b in batches:
-            target = np.asarray(b.column(0).cast(pa.int8()))
-            for lo, hi, hashes, first in _words(fill_text(b.column(1))):
-                h, key, row = _pairs(hashes, first)
-                parts.append(fold([(key, h, hashes, np.ones(len(key), np.int64), target[lo:hi][row].astype(np.int64))]))
-                held += len(parts[-1][0])
-                if held > HELD:
-                    parts = [fold(parts)]
-                    held = len(parts[0][0])
-                    if held > HELD // 2:
-                        yield out(parts[0])
-                        parts, held = [], 0
-        if parts:
-            yield out(fold(parts))
-
-    counts = rows.mapInArrow(run, "h long, w long, n long, n_target long")
-    return written(counts.groupBy("h", "w").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "bigrams")
-
-
-def _pair_losses(pairs: DataFrame, weight: float) -> DataFrame:
-    """(key, target, background): the losses of every bigram."""
-    def sums(by):
-        return pairs.groupBy(by).agg(F.sum("n").alias(f"{by}_n"), F.sum("n_target").alias(f"{by}_n_target"))
-
-    words = written(sums("w"), "words")  # each word closes exactly one bigram
-    size, *totals = words.agg(F.count("*"), *(F.coalesce(F.sum(f"w_{n}"), F.lit(0)) for n in ("n", "n_target"))).first()
-
-    def loss(n, total):
-        history = F.col(f"h_{n}")
-        left = F.when(history > 0, 1 - weight).otherwise(1.0)
-        return -F.log(weight * F.col(n) / F.greatest(history, F.lit(1)) + left * (F.col(f"w_{n}") + 1) / F.lit(float(total + size + 2)))
-
-    rows = pairs.join(words, "w").join(sums("h"), "h")
-    return rows.select(F.xxhash64("h", "w").alias("key"), loss("n_target", totals[1]).alias("target"), loss("n", totals[0]).alias("background"))
-
-
-def _pairs_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(uid, doc_id, h, w, n) of each row's different bigrams, and one with its
-    doc_id, no bigram (h is the uid, w null) and n 0."""
-    uid = TaskContext.get().partitionId() << 33
+            ids = b.column(0).fill_null(0).to_numpy()
+            known, target = np.asarray(b.column(0).is_valid()), np.asarray(b.column(1))
+            for lo, hi, data, offsets in chunks(fill_text(b.column(2))):
+                if held and size + len(data) > batch_bytes:
+                    yield out()
+                    held, size = [], 0
+                data = lower(data)
+                starts, ends, first = word_spans(_WORD[data], offsets)
+                held.append((ids[lo:hi], known[lo:hi], target[lo:hi], np.diff(first), SubstringHash(data).of(starts, ends)))
+                size += len(data)
+        if held:
+            yield out()
+
+    return run
+
+
+def _sent(keys: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...], to: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(owner, block) of the rows, in each block in the order that ``_blocks`` finds again."""
+    for owner, at in _blocks(to):
+        yield owner, _packed(*(x[at] for x in keys + counts))
+
+
+def _blocks(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(to, kind="stable")
+    cuts = np.flatnonzero(np.diff(to[order])) + 1
+    for at in np.split(order, cuts) if len(order) else []:
+        yield int(to[at[0]]), at
+
+
+def _owner_of_words(vocabulary: np.ndarray, owners: int) -> np.ndarray:
+    return _ints(mix(vocabulary) % U64(owners))
+
+
+def _owner_of_bigrams(a: np.ndarray, b: np.ndarray, owners: int) -> np.ndarray:
+    return _ints(mix(a.astype(U64) * U64(0x9E3779B97F4A7C15) + b.astype(U64)) % U64(owners))
+
+
+def _word_requests(owners: int):
+    def run(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, tuple[int, bytes]]]:
+        for number, (_, _, blob) in rows:
+            batch = Batch(blob)
+            size = len(batch.vocabulary)
+            counts = batch.counts(batch.words, size) + batch.counts(batch.before, size)
+            for owner, block in _sent((batch.vocabulary,), counts, _owner_of_words(batch.vocabulary, owners)):
+                yield owner, (number, block)
+
+    return run
+
+
+class Owned:
+    """What all batches sent to one owner: distinct keys with the sums of their counts."""
+
+    def __init__(self, rows: Iterator[tuple[int, tuple[int, bytes]]], n_keys: int, steps: bool = False):
+        self.batches, blocks, self.owner = [], [], 0
+        for self.owner, (number, block) in rows:
+            self.batches.append(number)
+            first, *rest = _unpacked(block)
+            blocks.append((np.cumsum(first) if steps else first, *rest))
+        self.cuts = np.cumsum([0] + [len(b[0]) for b in blocks])
+        columns = [np.concatenate(x) for x in zip(*blocks)] if blocks else [np.zeros(0, U64)] * (n_keys + 1)
+        self.keys, self.sent = columns[:n_keys], [_ints(x) for x in columns[n_keys:]]
+        order = np.lexsort(self.keys)
+        new = np.zeros(len(order), dtype=bool)
+        new[:1] = True
+        for key in self.keys:
+            new[1:] |= np.diff(key[order]) != 0
+        self.first = order[new]
+        self.at = np.empty(len(order), dtype=np.int64)
+        self.at[order] = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        self.sums = [np.add.reduceat(x[order], starts) if len(starts) else x for x in self.sent]
+
+    def answers(self) -> Iterator[tuple[int, slice]]:
+        for number, a, e in zip(self.batches, self.cuts[:-1], self.cuts[1:]):
+            yield number, slice(a, e)
+
+
+def _word_answers(owners: int):
+    """Number and counts of every word that a batch asked for."""
+    def run(rows: Iterator) -> Iterator[tuple[int, tuple[str, int, bytes]]]:
+        own = Owned(rows, 1)
+        rank = np.empty(len(own.first), dtype=np.int64)
+        rank[np.lexsort((own.keys[0][own.first], -own.sums[0]))] = np.arange(len(rank))
+        number = rank * owners + own.owner
+        for batch, part in own.answers():
+            at = own.at[part]
+            yield batch, ("words", own.owner, _packed(number[at], *(x[at] for x in own.sums)))
+
+    return run
+
+
+def _totals(rows: Iterator) -> Iterator[tuple[int, int, int]]:
+    """Distinct words, words, words of the target."""
+    own = Owned(rows, 1)
+    if own.batches:
+        yield int((own.sums[0] > 0).sum()), int(own.sums[0].sum()), int(own.sums[1].sum())
+
+
+class Numbered:
+    """A batch with the owners' numbers and counts of its words."""
+
+    def __init__(self, blob: bytes, answers: dict[int, bytes], owners: int):
+        self.batch = Batch(blob)
+        self.number, *self.counts = (np.zeros(len(self.batch.vocabulary), dtype=np.int64) for _ in range(5))
+        for owner, at in _blocks(_owner_of_words(self.batch.vocabulary, owners)):
+            for mine, values in zip((self.number, *self.counts), _unpacked(answers[owner])):
+                mine[at] = _ints(values)
+        self.a, self.b, self.at = self.batch.bigrams()
+        self.pair_counts = self.batch.counts(self.at, len(self.a))
+        # by the numbers, so that an owner's block is sorted and packs well
+        order = np.lexsort((self.number[self.b], self.number[self.a]))
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.a, self.b, self.at = self.a[order], self.b[order], place[self.at]
+        self.pair_counts = tuple(x[order] for x in self.pair_counts)
+
+    def owners_of_bigrams(self, owners: int) -> np.ndarray:
+        return _owner_of_bigrams(self.number[self.a], self.number[self.b], owners)
+
+
+def _gathered(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, bytes, dict[str, dict[int, bytes]]]]:
+    """The batches of a partition with their answers."""
+    blobs: dict[int, bytes] = {}
+    answers: dict[int, dict[str, dict[int, bytes]]] = defaultdict(lambda: defaultdict(dict))
+    for number, (kind, owner, blob) in rows:
+        if kind == "batch":
+            blobs[number] = blob
+        else:
+            answers[number][kind][owner] = blob
+    for number, blob in blobs.items():
+        yield number, blob, answers.pop(number, {})
+
+
+def _bigram_requests(owners: int):
+    def run(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, tuple[int, bytes]]]:
+        for number, blob, answers in _gathered(rows):
+            x = Numbered(blob, answers.get("words", {}), owners)
+            a, b = x.number[x.a], x.number[x.b]
+            for owner, at in _blocks(x.owners_of_bigrams(owners)):
+                # the first of each pair as steps from the one before
+                yield owner, (number, _packed(np.diff(a[at], prepend=0), b[at], *(n[at] for n in x.pair_counts)))
+
+    return run
+
+
+def _bigram_answers(rows: Iterator) -> Iterator[tuple[int, tuple[str, int, bytes]]]:
+    """Counts of the bigrams that a batch asked for and doesn't hold alone."""
+    own = Owned(rows, 2, steps=True)
+    for batch, part in own.answers():
+        at = own.at[part]
+        other = np.flatnonzero(own.sums[0][at] != own.sent[0][part])
+        yield batch, ("bigrams", own.owner, _packed(np.diff(other, prepend=0), *(x[at[other]] for x in own.sums)))
+
+
+def _scored(owners: int, weight: float, totals: tuple[int, int, int]):
+    """Per batch one Arrow file of its documents' losses."""
+    size, *words = totals
+
+    def run(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[bytearray]]:
+        for _, blob, answers in _gathered(rows):
+            x = Numbered(blob, answers.get("words", {}), owners)
+            counts = [n.copy() for n in x.pair_counts]
+            found = answers.get("bigrams", {})
+            for owner, at in _blocks(x.owners_of_bigrams(owners)):
+                steps, *sums = _unpacked(found[owner])
+                for mine, n in zip(counts, sums):
+                    mine[at[np.cumsum(_ints(steps))]] = _ints(n)
+            n_words, docs = x.batch.length, len(x.batch.length)
+            means = []
+            for i in (1, 0):  # target, background
+                single, history = x.counts[i][x.b], x.counts[2 + i][x.a]
+                left = np.where(history > 0, 1 - weight, 1.0)
+                p = weight * counts[i] / np.maximum(history, 1) + left * (single + 1) / float(words[i] + size + 2)
+                means.append(np.bincount(x.batch.row, -np.log(p)[x.at], minlength=docs) / np.maximum(n_words, 1))
+            none = n_words == 0
+            table = pa.RecordBatch.from_arrays([pa.array(x.batch.ids, mask=x.batch.known_id == 0), pa.array(n_words), *(pa.array(m, mask=none) for m in means)],
+                                               names=["doc_id", "n_tokens", "ce_target", "ce_background"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_batch(table)
+            yield (bytearray(sink.getvalue().to_pybytes()),)
+
+    return run
+
+
+def _rows_of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for lo, hi, hashes, first in _words(fill_text(b.column(1))):
-            h, key, row = _pairs(hashes, first)
-            order = np.lexsort((key, row))
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (np.diff(key[order]) != 0) | (np.diff(row[order]) != 0)
-            starts = np.flatnonzero(new)
-            at, uids = order[starts], np.arange(uid, uid + hi - lo)
-            uid += hi - lo
-            none = np.zeros(hi - lo, np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([uids, uids[row[at]]])),
-                pa.concat_arrays([b.column(0).slice(lo, hi - lo), pa.nulls(len(at), pa.int64())]),
-                pa.array(np.concatenate([uids, signed(h[at])])),
-                pa.array(np.concatenate([none, signed(hashes[at])]), mask=np.arange(hi - lo + len(at)) < hi - lo),
-                pa.array(np.concatenate([none, np.diff(np.append(starts, len(key)))]))], names=["uid", "doc_id", "h", "w", "n"])
+        for blob in b.column(0):
+            yield from pa.ipc.open_stream(blob.as_buffer())
+
+
+def _by_number(number: int) -> int:
+    return number ^ number >> 32
 
 
 def cross_entropies(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", weight: float = WEIGHT,
-                    threshold: float = 0.0) -> DataFrame:
-    """The columns of :func:`scored`, under models of all words and bigrams of
-    ``docs``.  Nothing that grows with the input is gathered or sent around:
-    each row's bigrams meet their losses in a shuffle and are summed by row."""
-    marked = docs.select(F.coalesce(target, F.lit(False)).alias("target"), F.col(text_col).alias("text"))
-    losses = _pair_losses(_pair_counts(marked), weight)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    held = rows.mapInArrow(_pairs_of_rows, "uid long, doc_id long, h long, w long, n long")
-    held = held.select("uid", "doc_id", F.xxhash64("h", "w").alias("key"), F.col("n").cast("int").alias("n"))
-    mean = lambda c: F.try_divide(F.sum(F.col("n") * F.col(c)), F.sum("n")).alias(f"ce_{c}")
-    out = held.join(losses, "key", "left").groupBy("uid").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), mean("target"), mean("background")).drop("uid")
+                    threshold: float = 0.0, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, ce_target, ce_background (mean
+    loss per word), score (their difference; the lower, the more like the
+    target) and selected (score below ``threshold``).
+
+    A null ``target`` is no target.  Null and empty texts have no words: null
+    losses and score, not selected.  Repeated rows count and come back
+    repeated; a null id changes nothing; other columns aren't read; an empty
+    table gives an empty result.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(target, F.lit(False)).alias("target"), F.col(text_col).alias("text"))
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // batch_bytes))
+    batches: RDD = (rows.mapInArrow(_batches(batch_bytes), "batch long, blob binary").rdd
+                    .map(lambda r: (r.batch, ("batch", 0, bytes(r.blob)))).partitionBy(owners, _by_number))
+    asked = batches.mapPartitions(_word_requests(owners)).partitionBy(owners)
+    totals = asked.mapPartitions(_totals).fold((0, 0, 0), lambda a, b: tuple(x + y for x, y in zip(a, b)))
+    words = asked.mapPartitions(_word_answers(owners)).partitionBy(owners, _by_number)
+    numbered = batches.union(words)
+    bigrams = numbered.mapPartitions(_bigram_requests(owners)).partitionBy(owners).mapPartitions(_bigram_answers).partitionBy(owners, _by_number)
+    files = numbered.union(bigrams).mapPartitions(_scored(owners, weight, totals))
+    out = spark.createDataFrame(files, "file binary").mapInArrow(_rows_of_files, _SCHEMA)
     out = out.withColumn("score", F.col("ce_target") - F.col("ce_background"))
     return out.withColumn("selected", F.coalesce(F.col("score") < threshold, F.lit(False)))

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from martflow.llm import language_model as L
@@ -13,15 +14,11 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def plain(docs, word_share, bigram_share, weight=0.7):
-    """docs: (id, text, target) -> id: (n, ce_target, ce_background)."""
+def plain(docs, weight=0.7):
+    """docs: (id, text, target) -> [(id, n, ce_target, ce_background)]."""
     tokens = [(i, words_of(t), x) for i, t, x in docs]
-    uni, total = {}, sum(len(w) for _, w, _ in tokens)
-    for _, ws, _ in tokens:
-        for w in ws:
-            uni[w] = uni.get(w, 0) + 1
-    vocab = {w for w, n in uni.items() if n >= max(1.0, word_share * total)}
-    pairs_of = lambda ws: list(zip(["<s>"] + [w if w in vocab else None for w in ws], [w if w in vocab else None for w in ws]))
+    pairs_of = lambda ws: list(zip(["<s>"] + ws, ws))
+    size = len({w for _, ws, _ in tokens for w in ws}) + 2
     counts = []
     for only in (False, True):
         c2, c1, h = {}, {}, {}
@@ -32,27 +29,19 @@ def plain(docs, word_share, bigram_share, weight=0.7):
                     c1[b] = c1.get(b, 0) + 1
                     h[a] = h.get(a, 0) + 1
         counts.append((c2, c1, h))
-    kept = {p for p, n in counts[0][0].items() if n >= max(1.0, bigram_share * total)}
 
-    mass = [{}, {}]
-    for m in (0, 1):
-        for q in kept:
-            mass[m][q[0]] = mass[m].get(q[0], 0) + counts[m][0].get(q, 0) / max(counts[m][2].get(q[0], 0), 1)
     sums = [sum(c[1].values()) for c in counts]
+    assert sums[0] == sum(len(ws) for _, ws, _ in tokens)
+    memo = {}
 
-    def p(m, a, b):
-        c2, c1, h = counts[m]
-        n, size = sums[m], len(vocab) + 2
-        single = (c1.get(b, 0) + 1) / (n + size)
-        share = lambda q: c2.get(q, 0) / max(h.get(q[0], 0), 1)
-        left = 1 - weight * mass[m].get(a, 0)
-        return (weight * share((a, b)) if (a, b) in kept else 0) + left * single
+    def loss(m, a, b):
+        if (m, a, b) not in memo:
+            c2, c1, h = counts[m]
+            single = (c1.get(b, 0) + 1) / (sums[m] + size)
+            memo[m, a, b] = -math.log(weight * c2.get((a, b), 0) / h[a] + (1 - weight) * single if a in h else single)
+        return memo[m, a, b]
 
-    out = {}
-    for i, ws, _ in tokens:
-        ps = pairs_of(ws)
-        out[i] = (len(ws), *(-sum(math.log(p(m, a, b)) for a, b in ps) / len(ps) if ps else None for m in (1, 0)))
-    return out
+    return [(i, len(ws), *(sum(loss(m, a, b) for a, b in pairs_of(ws)) / len(ws) if ws else None for m in (1, 0))) for i, ws, _ in tokens]
 
 
 def made(n, seed=1):
@@ -61,79 +50,68 @@ def made(n, seed=1):
     for i in range(n):
         pool = ["the", "cat", "sat", "On", "mat", "ünd"] if i % 2 else ["der", "hund", "lag", "im", "7", "garten"]
         out.append((i, " ".join(rng.choice(pool) + rng.choice(["", ".", ","]) for _ in range(rng.randint(0, 40))), bool(i % 2)))
-    return out + [(1000, None, True), (1001, "", False), (1002, "zyx " + "q w" * 3, None), (1003, "cat " * 30_000, False)]
+    return out + [(1000, None, True), (1001, "", False), (1002, "zyx " + "q w" * 3, None)]
 
 
-def run(spark, rows, **shares):
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, target boolean, score string")
-    return {r.doc_id: r for r in L.scored(df, L.train(df, F.col("target"), **shares)).collect()}
+def scores(spark, rows, **kwargs):
+    # columns that clash with the operator's own
+    df = spark.createDataFrame([(*r, "x", 1, b"y") for r in rows], "doc_id long, text string, target boolean, score string, batch int, blob binary")
+    return L.cross_entropies(df.repartition(3), F.col("target"), **kwargs).collect()
 
 
-def test_against_plain(spark, monkeypatch):
-    rows = made(60)[:-1]
-    for held, shares in ((L.HELD, (1e-5, 1e-6)), (10, (0.01, 0.01))):
-        monkeypatch.setattr(L, "HELD", held)
-        got, want = run(spark, rows, word_share=shares[0], bigram_share=shares[1]), plain(rows, *shares)
-        for i, (n, t, b) in want.items():
-            assert got[i].n_tokens == n
-            if n:
-                assert abs(got[i].ce_target - t) < 1e-9 and abs(got[i].ce_background - b) < 1e-9 and abs(got[i].score - (t - b)) < 1e-9
-            else:
-                assert got[i].score is None and not got[i].selected
+def check(got, want):
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got, want = sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens)), sorted(want, key=key)
+    assert [(r.doc_id, r.n_tokens) for r in got] == [w[:2] for w in want]
+    for r, (_, n, t, b) in zip(got, want):
+        if n:
+            assert (r.ce_target, r.ce_background, r.score) == pytest.approx((t, b, t - b), abs=1e-9)
+            assert r.selected == (r.score < 0)
+        else:
+            assert r.ce_target is None and r.score is None and not r.selected
+
 
+def test_against_plain_in_batches_of_any_size(spark):
+    rows = made(60) + [(1, "the cat", True), (1, "the cat", True), (None, "a cat", False), (None, None, None), (1003, "cat " * 30_000, False)]
+    want = plain(rows)
+    for batch_bytes in (15_000, L.BATCH_BYTES):
+        check(scores(spark, rows, batch_bytes=batch_bytes), want)
 
-def test_probabilities_sum_to_one(spark):
-    rows = made(40)
-    df = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    m = L.train(df, F.col("target"), bigram_share=0.01)
-    size = len(m.vocabulary) + 2
-    for k in (0, 1):
-        p = np.exp(m.rest[k][:, None] + m.alone[k][None, :])
-        at = m.bigrams.astype(np.int64)
-        p[at >> L.SHIFT, at & ((1 << L.SHIFT) - 1)] = np.exp(m.pair[k])
-        assert p.shape == (size, size) and np.allclose(p.sum(axis=1), 1)
+
+def test_blocks_come_back_as_they_were():
+    rng = np.random.default_rng(1)
+    arrays = [np.zeros(0, np.uint64), np.zeros(3, np.uint64), rng.integers(0, 300, 50).astype(np.uint64), rng.integers(0, 2 ** 63, 50).astype(np.uint64)]
+    assert [x.tolist() for x in L._unpacked(L._packed(*arrays))] == [x.tolist() for x in arrays]
 
 
 def test_target_documents_score_lower(spark):
-    got = run(spark, made(100))
-    scores = [(got[i].score, t) for i, x, t in made(100) if t is not None and got[i].n_tokens > 5 and i < 1000]
-    assert max(s for s, t in scores if t) < min(s for s, t in scores if not t)
-    assert got[1003].n_tokens == 30_000
+    got = {r.doc_id: r for r in scores(spark, made(100))}
+    known = [(got[i].score, t) for i, x, t in made(100) if t is not None and got[i].n_tokens > 5 and i < 1000]
+    assert max(s for s, t in known if t) < min(s for s, t in known if not t)
 
 
-def test_empty_and_repeated(spark):
-    df = spark.createDataFrame([(1, "a b", True)] * 3 + [(None, "a", False)], "doc_id long, text string, target boolean")
-    rows = L.scored(df, L.train(df, F.col("target"))).collect()
-    assert len(rows) == 4 and len({r.score for r in rows if r.doc_id}) == 1
-    assert L.scored(df.limit(0), L.train(df.limit(0), F.col("target"))).count() == 0
-    assert L.scored(df, L.train(df, F.lit(False))).count() == 4
+def test_empty_table_and_no_target(spark):
+    df = spark.createDataFrame([(1, "a b")] * 3 + [(None, "a"), (2, "")], "doc_id long, text string")
+    empty = L.cross_entropies(df.limit(0), F.lit(True))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_tokens", "ce_target", "ce_background", "score", "selected"]
+    check(L.cross_entropies(df, F.lit(False)).collect(), plain([(1, "a b", False)] * 3 + [(None, "a", False), (2, "", False)]))
 
 
-def test_query(spark, sf_small):
+def test_query_against_plain(spark, sf_small):
     from martflow.llm.queries import QUERIES
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
-    got = {r.doc_id: r for r in QUERIES["op9_lm_scoring"](spark, sf_small).collect()}
-    want = plain([(i, d.text, d.lang == "en") for i, d in docs.items()], L.WORD_SHARE, L.BIGRAM_SHARE)
-    for i, (n, t, b) in list(want.items())[:60]:
-        assert got[i].n_tokens == n and (not n or abs(got[i].score - (t - b)) < 1e-9)
+    rows = QUERIES["op9_lm_scoring"](spark, sf_small).collect()
+    check(rows, plain([(i, d.text, d.lang == "en") for i, d in docs.items()]))
+    got = {r.doc_id: r for r in rows}
     english = [got[i].score for i, d in docs.items() if d.lang == "en" and got[i].n_tokens > 20]
     others = [got[i].score for i, d in docs.items() if d.lang != "en" and got[i].n_tokens > 20]
-    assert np.median(english) < np.median(others) and len(got) == len(docs)
+    assert np.median(english) < np.median(others)
 
 
 def test_rare_words_count_at_every_size(spark, tmp_path):
     # at 300,000 words a share of 1e-5 would drop words seen once or twice
     from martflow.llm.queries import QUERIES
-    rows = made(60)[:-1] + [(2000, "cat " * 300_000, False), (2001, "rare words stand here", True), (2002, "rare words fall there", False)]
-    docs = [(i, t, "en" if x else None if x is None else "de") for i, t, x in rows]
-    spark.createDataFrame(docs * 2 + [(None, "rare", "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = QUERIES["op9_lm_scoring"](spark, str(tmp_path)).collect()
-    want = plain([(i, t, x == "en") for i, t, x in docs + [(10_000 + i, t, x) for i, t, x in docs] + [(None, "rare", "en")]], 0, 0)
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == sorted([i for i, _, _ in docs] * 2 + [-1])
-    for r in got:
-        n, t, b = want[r.doc_id]
-        assert r.n_tokens == n and r.selected == bool(n and t < b)
-        if n:
-            assert abs(r.ce_target - t) < 1e-9 and abs(r.ce_background - b) < 1e-9
-        else:
-            assert r.score is None
+    rows = made(60) + [(2000, "cat " * 300_000, False), (2001, "rare words stand here", True), (2002, "rare words fall there", False)]
+    docs = [(i, t, "en" if x else None if x is None else "de") for i, t, x in rows] * 2 + [(None, "rare", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    check(QUERIES["op9_lm_scoring"](spark, str(tmp_path)).collect(), plain([(i, t, x == "en") for i, t, x in docs]))
