@@ -13,7 +13,8 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from martflow.functions.scalars import sentinel
@@ -21,6 +22,8 @@ from martflow.session import scratch_path
 
 # ---------------------------------------------------------------- appends / slices
 
+BITS = 32_768  # of one bitmap
+
 
 def append_with_defaults(target: DataFrame, source: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """K2: batch insert by column name; a column absent from the source takes
@@ -47,22 +50,36 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
 
     Only the partitions present in ``df`` are replaced.  A requested slice with
     no incoming rows is removed explicitly, because dynamic overwrite would
-    leave the old day in place.
+    leave the old day in place.  Which slices have rows is noted by the write
+    itself, one bit for each, so no folder is listed.
     """
-    spark = df.sparkSession
-    folders = [f"{path}/{slice_col}={s}" for s in slices or ()]
-    before = {f: _files(spark, f) for f in folders}
+    spark, columns = df.sparkSession, df.columns
+    wanted = [str(s) for s in slices or ()]
+    seen = Observation()
+    if wanted:
+        # as many rows as the caller names slices
+        listed = spark.createDataFrame(list(zip(wanted, range(len(wanted)))), "_mf_slice string, _mf_no int")
+        df = df.join(F.broadcast(listed), F.col(slice_col).cast("string") == F.col("_mf_slice"), "left")
+        df = df.observe(seen, *[F.bitmap_construct_agg(F.when(F.col("_mf_no").between(lo, lo + BITS - 1), F.col("_mf_no") - lo)).alias(f"b{lo}")
+                                for lo in range(0, len(wanted), BITS)]).select(*columns)
     # REBALANCE clusters each slice into few files; AQE still splits a hot slice
     (df.hint("rebalance", slice_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(slice_col).parquet(path))
-    for f in folders:  # a replaced slice has new files only
-        if before[f] and _files(spark, f) == before[f]:
-            _remove_partition(spark, f)
+    if wanted:
+        bits = _noted(seen, df)
+        for i, name in enumerate(wanted):
+            if not bits or not bits[f"b{i // BITS * BITS}"][i % BITS // 8] >> i % 8 & 1:
+                _remove_partition(spark, f"{path}/{slice_col}={name}")
 
 
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    fs, p = _fs(spark, folder)
-    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
+def _noted(seen: Observation, df: DataFrame) -> dict:
+    """The metrics; Spark drops them from a plan that it knows to be empty."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        if not df.isEmpty():
+            raise
+        return {}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -74,9 +91,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def _remove_partition(spark: SparkSession, part_path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(part_path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # false where there is none
 
 
 def read_slices(spark: SparkSession, path: str, slice_col: str, schema=None) -> DataFrame:

@@ -348,8 +348,7 @@ FROM v_feed""")
 
 oracle("replace_slice", with_(V_FEED) + "SELECT * FROM v_feed")
 oracle("backfill_equals_daily", with_(V_FEED) + """
-SELECT *, CAST(0 AS BIGINT) AS differing FROM v_feed
-WHERE CAST(date_time AS DATE) IN (SELECT DISTINCT CAST(date_time AS DATE) AS d FROM v_feed ORDER BY d DESC LIMIT 3)""")
+SELECT *, CAST(0 AS BIGINT) AS differing FROM v_feed""")
 
 oracle("delete_where_in", _FACT + """
 SELECT * FROM fact WHERE date_id NOT IN (
