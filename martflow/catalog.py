@@ -246,6 +246,23 @@ def q_customer_retention_by_year(spark, sf):
     return P.customer_retention(P.retention_base(fact, cal, by_year=True), by_year=True)
 
 
+@query("retention_increments")
+def q_retention_increments(spark, sf):
+    """The mart kept up by runs over parts of the days: all but three
+    of them, those three with wrong amounts and one of them empty, then again
+    as they are."""
+    from martflow.operators.tables import publish
+    from martflow.session import scratch_path
+    P, stage, cal, fact = _fact(spark, sf)
+    fact = publish(fact.join(F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id"), "fact")
+    days = sorted(r[0] for r in fact.select("day").distinct().collect())
+    base, again = scratch_path(spark, "retention"), days[::max(1, len(days) // 3)][:3]
+    some = fact.filter(F.col("day").isin(*again))
+    P.refresh_retention(spark, base, fact.filter(~F.col("day").isin(*again)).drop("day"), [d for d in days if d not in again], cal)
+    P.refresh_retention(spark, base, some.filter(F.col("day") != again[0]).withColumn("payment_amount", F.col("payment_amount") * 2).drop("day"), again, cal)
+    return P.refresh_retention(spark, base, some.drop("day"), again, cal)
+
+
 EARLY_TS = "1995-06-01 00:00:00"  # the first months of the feed, loaded by an earlier run
 
 

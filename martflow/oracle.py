@@ -283,6 +283,8 @@ FROM ({base}) GROUP BY {keys}"""
 
 oracle("customer_retention", _FACT + _RET.format(
     period="week_num", keys="week_num", base=_RET_BASE.format(keys="week_num")))
+ORACLE["retention_increments"] = ORACLE["customer_retention"]
+
 oracle("customer_retention_by_year", _FACT + _RET.format(
     period="CAST(iso_year AS INTEGER) * 100 + week_num", keys="iso_year, week_num",
     base=_RET_BASE.format(keys="iso_year, week_num")))
