@@ -47,22 +47,26 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
     sizes to the power ``alpha``.  ``size`` measures a document (default 1, a
     document).  The mixture's size is ``total``, by default that of ``docs``.
     """
-    size = F.lit(1) if size is None else size
-    per = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum(size).cast("double").alias("size"))
+    spark = docs.sparkSession
+    # sums of integers and decimals: the same in every order of the rows
+    measure = F.lit(1) if size is None else size.cast("decimal(38,6)")
+    per = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum(measure).cast("double").alias("size"))
     if weights is None:
         per = per.withColumn("weight", F.pow("size", F.lit(alpha)))
     else:
-        wanted = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()] or [(None, 0.0)],
-                                                   "name string, weight double")
+        wanted = spark.createDataFrame([(k, float(v)) for k, v in weights.items()] or [(None, 0.0)], "name string, weight double")
         per = per.join(wanted, F.col("source").eqNullSafe(F.col("name")), "left").drop("name").withColumn(
             "weight", F.coalesce("weight", F.lit(0.0)))
-    # sums in sorted order: the same double in every run
-    sums = per.groupBy().agg(F.array_sort(F.collect_list("weight")).alias("w"), F.sum("size").alias("s")) if weights is not None and len(weights) < 10_000 \
-        else per.groupBy().agg(F.array(F.sum("weight")).alias("w"), F.sum("size").alias("s"))
-    sums = sums.select(F.aggregate("w", F.lit(0.0), lambda a, x: a + x).alias("all_weight"), F.col("s").alias("all_size"))
-    whole = F.col("all_size") if total is None else F.lit(float(total))
-    rate = F.when((F.col("size") > 0) & (F.col("all_weight") > 0), F.col("weight") / F.col("all_weight") * whole / F.col("size")).otherwise(0.0)
-    return per.crossJoin(F.broadcast(sums)).select("source", "size", rate.alias("rate"))
+    per = written(per, "sources")
+    top, all_size = per.agg(F.max("weight"), F.sum(F.col("size").cast("decimal(38,6)")).cast("double")).first()
+    if not top or top <= 0:
+        return per.select("source", "size", F.lit(0.0).alias("rate"))
+    # weights as shares of the largest one, so that their scale doesn't matter
+    share = (F.col("weight") / F.lit(top)).cast("decimal(38,20)")
+    all_weight = per.agg(F.sum(share).cast("double")).first()[0]
+    whole = all_size if total is None else float(total)
+    rate = F.when(F.col("size") > 0, share.cast("double") / F.lit(all_weight) * F.lit(whole) / F.col("size")).otherwise(0.0)
+    return per.select("source", "size", rate.alias("rate"))
 
 
 def _tables(batches):

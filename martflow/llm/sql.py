@@ -9,8 +9,10 @@ ORACLE: dict[str, str] = {}
 ORACLE["op6_mixing"] = """
 WITH RECURSIVE per AS (
     SELECT source, count(*)::DOUBLE AS size, power(count(*)::DOUBLE, 0.5) AS weight FROM documents GROUP BY source
+), shares AS (
+    SELECT source, size, (weight / (SELECT max(weight) FROM per))::DECIMAL(38,20) AS share FROM per
 ), rates AS (
-    SELECT source, weight / (SELECT sum(weight) FROM per) * (SELECT sum(size) FROM per) / size AS rate FROM per
+    SELECT source, share::DOUBLE / (SELECT sum(share)::DOUBLE FROM shares) * (SELECT sum(size) FROM per) / size AS rate FROM shares
 ), means AS (
     SELECT source, greatest(1, ceil(rate / 64.0))::INT AS draws, rate / greatest(1, ceil(rate / 64.0)) AS mean FROM rates
 ), steps AS (

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from martflow.llm import mixing as M
 
 
@@ -22,6 +24,16 @@ def test_weights_are_met(spark):
     assert {r.source for r in M.mixture(df, weights={"mid": 1}).select("source").distinct().collect()} == {"mid"}
 
 
+def test_rates_are_the_same_in_every_partitioning(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat('s', id * id % 307) AS source")
+    weights = {f"s{i}": 1e-9 * (1 + i % 17) / 3 for i in range(307)}
+    for how in ({}, {"weights": weights}, {"size": F.col("doc_id") / 7}):
+        first = {r.source: (r.size, r.rate) for r in M.rates(df.repartition(1), **how).collect()}
+        assert sum(x * y for x, y in first.values()) > 0
+        for n in (2, 7, 13):
+            assert {r.source: (r.size, r.rate) for r in M.rates(df.repartition(n), **how).collect()} == first
+
+
 def test_counts_are_poisson(spark):
     df = spark.range(20_000).selectExpr("id AS doc_id", "'s' AS source")
     n = {r.doc_id: r["count"] for r in M.replicated(df, total=30_000.0).groupBy("doc.doc_id").count().collect()}
