@@ -704,6 +704,35 @@ def q_versioned_dim(spark, sf):
     return versioned_upsert(dim, snap, "restaurant_id", ["restaurant_name"], RUN_TS)
 
 
+def _priorities(t):
+    """Order priorities as changes of their customers, in two batches: the odd
+    orders, then the even ones, which are late for most customers."""
+    from martflow.operators.temporal import merge_versions
+    changes = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("priority"),
+                              F.col("o_orderdate").cast("timestamp_ntz").alias("changed"), "o_orderkey")
+    empty = t.spark.createDataFrame([], "customer_id long, priority string, active_from timestamp_ntz, active_to timestamp_ntz")
+    merged = lambda history, some: merge_versions(history, changes.filter(some), "customer_id", ["priority"], "changed", [F.col("o_orderkey")])
+    return merged(merged(empty, F.col("o_orderkey") % 2 == 1), F.col("o_orderkey") % 2 == 0)
+
+
+@query("versions_merged")
+def q_versions_merged(spark, sf):
+    """Histories with several versions a batch and late ones that split
+    intervals; versions that say the same made one."""
+    from martflow.operators.temporal import compacted
+    return compacted(_priorities(Tables(spark, sf)), "customer_id", ["priority"])
+
+
+@query("lines_as_of")
+def q_lines_as_of(spark, sf):
+    """Each line with its customer's priority at its ship date."""
+    from martflow.operators.temporal import as_of_join
+    t = Tables(spark, sf)
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", F.col("o_custkey").alias("customer_id"), F.date_sub("l_shipdate", 60).cast("timestamp_ntz").alias("seen"))
+    return as_of_join(lines, _priorities(t), "customer_id", "seen", ["priority"])
+
+
 # ------------------------------------------------------------------ P4c: couriers and deliveries
 
 EARLIER_RUN_TS = "2024-01-01 00:00:00"  # as-of of the earlier courier load

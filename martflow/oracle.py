@@ -536,6 +536,22 @@ SELECT order_id AS object_id, order_id, strftime(order_ts, '%Y-%m-%d %H:%M:%S')
        CAST(sum AS VARCHAR) AS sum, CAST(rate AS VARCHAR) AS rate, CAST(tip_sum AS VARCHAR) AS tip_sum
 FROM deliv""")
 
+_PRIORITIES = """changes AS (
+  SELECT o_custkey AS customer_id, CAST(o_orderdate AS TIMESTAMP) AS changed,
+         coalesce(max_by(o_orderpriority, o_orderkey) FILTER (o_orderkey % 2 = 0), max_by(o_orderpriority, o_orderkey)) AS priority
+  FROM orders GROUP BY ALL
+)"""
+
+oracle("versions_merged", with_(_PRIORITIES) + """
+SELECT customer_id, priority, changed AS active_from, coalesce(lead(changed) OVER (PARTITION BY customer_id ORDER BY changed), TIMESTAMP '2099-12-31 00:00:00') AS active_to
+FROM (SELECT *, lag(priority) OVER (PARTITION BY customer_id ORDER BY changed) AS before FROM changes) WHERE priority IS DISTINCT FROM before""")
+
+oracle("lines_as_of", with_(_PRIORITIES, """lines AS (
+  SELECT l_orderkey, l_linenumber, o_custkey AS customer_id, CAST(l_shipdate AS DATE) - INTERVAL 60 DAY AS seen
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+)""") + """
+SELECT lines.*, priority FROM lines ASOF LEFT JOIN changes ON lines.customer_id = changes.customer_id AND lines.seen >= changes.changed""")
+
 oracle("json_nested_fields", """
 SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) || '0' AS v_sum,
        '{"sum": 1.50, "list": [{"sum": ' || o_orderkey || '}, 2]}' AS v_inner, 'say "sum": ' || o_orderkey || ', {ok}' AS v_note,
