@@ -7,10 +7,10 @@ where a run of their first characters starts, which finds the same leftmost
 matches in linear time on any text.
 
 Base kinds (email, ip, card by Luhn, phone) always stay.  Added kinds are
-proposed by a looser pattern and scored: a base score for the pattern, more
-where a checksum confirms it (mod 97 for IBAN, Luhn for short card numbers),
-more where a context word stands within ``CONTEXT_CHARS`` before it, and kept
-from ``MIN_SCORE`` on.
+proposed by a pattern (an IBAN in the length that its country has) and
+scored: a base score for the pattern, more where a checksum confirms it (mod
+97 for IBAN), more where a context word stands within ``CONTEXT_CHARS``
+before it, and kept from ``MIN_SCORE`` on.
 """
 
 from __future__ import annotations
@@ -23,13 +23,35 @@ PREFIX_BLOCK = 256
 
 # the order of KINDS is the order of equal starts
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
+# fixed values: characters of an IBAN by country
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27,
+    "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31,
+    "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
+
+
+def _iban_pattern() -> str:
+    """Country, two digits, and as many characters as the country's numbers
+    have, with single blanks between them."""
+    by_length: dict[int, list[str]] = {}
+    for country, n in IBAN_LENGTHS.items():
+        by_length.setdefault(n, []).append(country)
+    kinds = "|".join(rf"(?:{'|'.join(names)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, names in by_length.items())
+    return rf"(?<![A-Za-z0-9])(?:{kinds})(?![A-Za-z0-9])"
+
+
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+().-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9-])",
 }
@@ -113,7 +135,10 @@ def _needed(kind: str, text: Column) -> Column:
 def with_spans(docs: DataFrame, text_col: str, spans: str) -> DataFrame:
     """``docs`` with the column ``spans``: array of (kind, order, start, end,
     score) by start, then kind; code points, end exclusive."""
-    helper = lambda name: f"_{spans}_{name}"
+    prefix = f"_{spans}"
+    while any(c.lower().startswith(f"{prefix}_".lower()) for c in docs.columns):
+        prefix = "_" + prefix
+    helper = lambda name: f"{prefix}_{name}"
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     none = F.array().cast("array<string>")
     # each kind's matches and the texts between them are columns of their own, so each is made once

@@ -95,3 +95,18 @@ def test_running_sums(spark):
         xs = [rng.randint(0, 9) for _ in range(n)]
         got = spark.createDataFrame([(xs,)], "a array<int>").select(P.running_sums(F.col("a"))).first()[0]
         assert got == [sum(xs[:i + 1]) for i in range(n)]
+
+
+def test_ibans_end_where_their_country_says(spark):
+    iban = "DE89370400440532013000"
+    spaced = "DE89 3704 0044 0532 0130 00"
+    texts = [f"{iban} BIC", f"{spaced} EUR 500", f"x {iban}", f"{iban}7", "DE89370400440532013001 BIC", f"NO9386011117947 {spaced}", "ZZ89370400440532013000", "iban: DE89370400440532013001"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "iban"] for r in P.personal_data(df).collect()}
+    assert got == {0: [iban], 1: [spaced], 2: [iban], 3: [], 4: [], 5: ["NO9386011117947", spaced], 6: [], 7: ["DE89370400440532013001"]}
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = spark.createDataFrame([("mail a@b.co", 1, 2, 3)], "text string, _pii_spans_m_email int, pii_spans int, _PII_spans_g_ip int")
+    out = P.redacted(df)
+    assert out.columns == df.columns and tuple(out.first()) == ("mail [EMAIL]", 1, 2, 3)
