@@ -87,3 +87,22 @@ def test_copies_count_once_among_the_documents_of_a_host(spark):
     rows += [(100 + i, " ".join(f"{'C' if i % 2 else 'c'}{j}" for j in range(80)), "a") for i in range(100)]  # one document
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {r.doc_id for r in Q.judged(df, share=0.5).collect() if r.kept} == set(range(100, 200))
+
+
+def test_rows_are_judged_by_themselves_and_lose_common_lines(spark):
+    line = " ".join(f"notice{j}" for j in range(9))
+    good = [(i, f"{b}\n{line}", "hot", i) for i, b in enumerate(_boiler(30))]
+    rows = good + [(0, "too short", "hot", 1), (None, "too short", "hot", 2), (None, good[3][1], "hot", 3), (7, good[7][1], "hot", 4), (8, None, "hot", 5), (9, "", None, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, gone int")
+    kept = Q.keep_good(df)
+    assert kept.columns == df.columns
+    want = [(i, t.split("\n")[0], s, g) for i, t, s, g in good + [rows[32], rows[33]]]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+    assert Q.keep_good(df.limit(0)).count() == 0
+
+
+def test_documents_that_keep_too_few_words_go(spark):
+    line = " ".join(f"notice{j}" for j in range(9))
+    rows = [(i, f"{b}\n{line}", "hot") for i, b in enumerate(_boiler(30))] + [(100, " ".join(f"o{j}" for j in range(45)) + f"\n{line}", "hot")]
+    got = {r.doc_id: r for r in Q.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {i for i, r in got.items() if not r.kept} == {100} and not got[100].base_failed
