@@ -92,11 +92,10 @@ def q_layer_views(spark, sf):
         "orders": _orders_table(t), "users": A.v_users(t), "orderstatuslog": A.v_status_log(t), "orderitems": items,
         "products": items.select("product_id", "name", "price").distinct(), "orderstatuses": statuses})
     views = register_layer(spark, "analysis", {k: spark.table(v) for k, v in names.items()})
-    # every row of every view, as one result
-    rows = [spark.table(v).select(F.lit(k).alias("view"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for k, v in views.items()]
+    # every row of every view, counted through it
     keys = {"orders": "order_id", "users": "id", "orderstatuslog": "order_id", "orderitems": "order_id", "products": "product_id", "orderstatuses": "id"}
-    out = [r.groupBy("view").agg(F.count("*").alias("rows"), F.sum(F.get_json_object("row", f"$.{keys[k]}").cast("long")).alias("key_sum"))
-           for r, k in zip(rows, views)]
+    out = [spark.table(v).agg(F.count("*").alias("rows"), F.sum(F.col(keys[k]).cast("long")).alias("key_sum")).select(F.lit(k).alias("view"), "rows", "key_sum")
+           for k, v in views.items()]
     for o in out[1:]:
         out[0] = out[0].unionByName(o)
     return out[0]
@@ -167,6 +166,17 @@ def q_shipping_info(spark, sf):
     return _ship(spark, sf)[1].info
 
 
+@query("shipping_info_latest_rate")
+def q_shipping_info_latest_rate(spark, sf):
+    """Rates rise over the years, so countries and transfer models have
+    several; shipments are looked up by the latest."""
+    S, m = _ship(spark, sf, materialize=False)
+    risen = (F.year("state_datetime") - 1990).cast("decimal(14,3)") / 1000
+    m = S.Model(m.log.withColumns({c: (F.col(c) + F.coalesce(risen, F.lit(0))).cast("decimal(14,3)") for c in ("shipping_country_base_rate", "shipping_transfer_rate")}),
+                materialize=True)
+    return S.info_by_latest_rate(m.log, m.country, m.agreement, m.transfer)
+
+
 @query("shipping_status")
 def q_shipping_status(spark, sf):
     return _ship(spark, sf, materialize=False)[1].status
@@ -228,6 +238,14 @@ def q_f_daily_sales(spark, sf):
     return _fact(spark, sf)[3]
 
 
+@query("f_daily_sales_slice")
+def q_f_daily_sales_slice(spark, sf):
+    """Named bounds inside the data; only rows from the first to before the second are dated."""
+    from martflow.plans import sales as P
+    P, stage, cal, _ = _fact(spark, sf)
+    return P.f_daily_sales(spark, stage, cal, "1994-03-01", "1995-06-15")
+
+
 @query("retention_base")
 def q_retention_base(spark, sf):
     P, _, cal, fact = _fact(spark, sf)
@@ -966,6 +984,15 @@ def q_dq_accepted(spark, sf):
     return Q.accepted_values(A.v_orders(Tables(spark, sf)), "status", list(FINAL_STATUSES))
 
 
+@query("dq_rank_thresholds")
+def q_dq_rank_thresholds(spark, sf):
+    """The threshold's own CHECK beside that of the percentage; customers as ranks."""
+    from martflow.operators import quality as Q
+    ranks = Tables(spark, sf).customer.select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") - 2).alias("bonus_percent"),
+                                              F.col("c_acctbal").cast("decimal(19,5)").alias("min_payment_threshold"))
+    return Q.row_predicates(ranks, "ranks", Q.rank_rules())
+
+
 @query("dq_reconcile")
 def q_dq_reconcile(spark, sf):
     """Q6: orders whose payment differs from the sum of price * quantity."""

@@ -40,10 +40,11 @@ def age_day_part(a: str | Column, b: str | Column) -> Column:
     """
     a, b = _c(a), _c(b)
     lo, hi = F.least(a, b), F.greatest(a, b)
-    d = F.dayofmonth(hi) - F.dayofmonth(lo) - F.when(time_of_day(hi) < time_of_day(lo), 1).otherwise(0)
-    d = F.when(d < 0, d + F.dayofmonth(F.last_day(lo))).otherwise(d)
-    # least and greatest skip NULL; AGE doesn't
-    return F.when(a < b, -d).when(a >= b, d).cast("int")
+    d = F.dayofmonth(hi) - F.dayofmonth(lo) - (time_of_day(hi) < time_of_day(lo)).cast("int")
+    # d stands outside the conditionals, so that generated code computes it once;
+    # least and greatest skip NULL, AGE doesn't: the sign of such a pair is NULL
+    borrowed = F.when(d < 0, F.dayofmonth(F.last_day(lo))).otherwise(0)
+    return ((d + borrowed) * F.when(a < b, -1).when(a >= b, 1)).cast("int")
 
 
 def month_name_padded(d: str | Column) -> Column:

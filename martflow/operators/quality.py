@@ -56,6 +56,11 @@ def row_predicates(df: DataFrame, table: str, rules: Mapping[str, Column]) -> Da
     return _unpivot(agg, table, [f"check:{n}" for n in rules])
 
 
+def rank_rules() -> dict[str, Column]:
+    """The CHECKs of the bonus ranks, each column under its own rule."""
+    return {"bonus_percent": F.col("bonus_percent") >= 0, "min_payment_threshold": F.col("min_payment_threshold") >= 0}
+
+
 def max_length(col: str, n: int) -> Column:
     """Q8: varchar(n) as a predicate."""
     return F.length(F.col(col)) <= n

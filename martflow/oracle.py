@@ -218,6 +218,21 @@ oracle("shipping_country_rates", _SHIP_DIMS + "SELECT * FROM country")
 oracle("shipping_agreement", _SHIP_DIMS + "SELECT * FROM agreement")
 oracle("shipping_transfer", _SHIP_DIMS + "SELECT * FROM transfer")
 oracle("shipping_info", _SHIP_DIMS + "SELECT * FROM info")
+oracle("shipping_info_latest_rate", with_(V_SHIPPING.replace("v_shipping AS (", "plain_shipping AS (", 1), """v_shipping AS (
+  SELECT * REPLACE (CAST(shipping_country_base_rate + coalesce(year(state_datetime) - 1990, 0) / 1000.0 AS DECIMAL(14,3)) AS shipping_country_base_rate,
+                    CAST(shipping_transfer_rate + coalesce(year(state_datetime) - 1990, 0) / 1000.0 AS DECIMAL(14,3)) AS shipping_transfer_rate)
+  FROM plain_shipping)""") + _SHIP_DIMS[_SHIP_DIMS.index(",\ncountry AS ("):].rstrip() + """, newest_country AS (
+  SELECT shipping_country, max({'dated': state_datetime IS NOT NULL, 'at': state_datetime, 'rate': shipping_country_base_rate})['rate'] AS rate
+  FROM v_shipping GROUP BY ALL), newest_transfer AS (
+  SELECT carried[1] AS transfer_type, carried[2] AS transfer_model,
+         max({'dated': state_datetime IS NOT NULL, 'at': state_datetime, 'rate': shipping_transfer_rate})['rate'] AS rate
+  FROM pieces GROUP BY ALL)
+SELECT DISTINCT shippingid, vendorid, payment_amount, shipping_plan_datetime, transfer_type_id, shipping_country_id, agreementid
+FROM pieces p JOIN newest_country nc USING (shipping_country)
+JOIN country c ON c.shipping_country = p.shipping_country AND c.shipping_country_base_rate = nc.rate
+JOIN newest_transfer nt ON nt.transfer_type = carried[1] AND nt.transfer_model = carried[2]
+JOIN transfer t ON t.transfer_type = nt.transfer_type AND t.transfer_model = nt.transfer_model AND t.shipping_transfer_rate = nt.rate
+JOIN agreement ON CAST(agreed[1] AS BIGINT) = agreementid""")
 oracle("shipping_status", _SHIP_DIMS + "SELECT * FROM status")
 oracle("shipping_datamart", _SHIP_DIMS + "SELECT * FROM dm")
 oracle("shipping_cost_by_country", _SHIP_DIMS + """
@@ -263,6 +278,8 @@ _FACT = with_(V_FEED, *_CAL, """fact AS (
 oracle("calendar_dim", with_(V_FEED, *_CAL) + "SELECT * FROM cal")
 oracle("f_daily_sales", _FACT + "SELECT * FROM fact")
 
+oracle("f_daily_sales_slice", _FACT.replace("year(s.date_time))", "year(s.date_time)\n  WHERE s.date_time >= TIMESTAMP '1994-03-01 00:00:00' AND s.date_time < TIMESTAMP '1995-06-15 00:00:00')", 1) + "SELECT * FROM fact")
+
 _RET_BASE = """SELECT {keys}, customer_id, count(*) AS num_transactions,
     count(*) FILTER (status = 'refunded') AS num_returns,
     CAST(coalesce(sum(payment_amount) FILTER (status <> 'refunded'), 0)
@@ -672,6 +689,10 @@ UNION ALL SELECT 'orders', 'check:ts_month_le_12', count(*) FILTER (WHERE NOT (m
 oracle("dq_accepted", with_(V_ORDERS) + """
 SELECT status, count(*) AS rows, status IN (4, 5) AS accepted FROM v_orders GROUP BY status""")
 
+oracle("dq_rank_thresholds", """
+SELECT 'ranks' AS table_name, 'check:bonus_percent' AS rule, count(*) FILTER (c_nationkey - 2 < 0) AS violations FROM customer
+UNION ALL SELECT 'ranks', 'check:min_payment_threshold', count(*) FILTER (c_acctbal < 0) FROM customer""")
+
 oracle("dq_reconcile", with_(V_ORDERS, V_ORDER_ITEMS) + """
 SELECT o.order_id, o.payment AS header_total, s.lines_total FROM v_orders o
 LEFT JOIN (SELECT order_id, sum(price * quantity) AS lines_total FROM v_order_items GROUP BY 1) s

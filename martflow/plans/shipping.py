@@ -103,6 +103,23 @@ def info(log: DataFrame, country: DataFrame, agreement: DataFrame, transfer: Dat
     ).distinct()
 
 
+def latest_rates(log: DataFrame, dim: DataFrame, keys: list[str], rate: str, key_columns: list | None = None) -> DataFrame:
+    """Of a dimension keyed with its rate, the member with each key's latest
+    rate: that of the log's newest row (the greatest rate where rows tie; rows
+    without a stamp are the oldest).  One row per key, by a partial aggregation."""
+    newest = log.select(*(key_columns or keys), rate, "state_datetime").groupBy(*keys).agg(
+        F.max_by(rate, F.struct(F.col("state_datetime").isNotNull().alias("dated"), "state_datetime", rate)).alias("_mf_rate"))
+    return dim.join(newest, keys).filter(F.col(rate).eqNullSafe(F.col("_mf_rate"))).drop("_mf_rate")
+
+
+def info_by_latest_rate(log: DataFrame, country: DataFrame, agreement: DataFrame, transfer: DataFrame) -> DataFrame:
+    """M6 / J2 with B5 mended: country and transfer are looked up by their
+    latest rate, so a shipment has one row however many rates there were."""
+    return info(log, latest_rates(log, country, ["shipping_country"], "shipping_country_base_rate"), agreement,
+                latest_rates(log, transfer, ["transfer_type", "transfer_model"], "shipping_transfer_rate",
+                             split_transfer("shipping_transfer_description")))
+
+
 def status(log: DataFrame) -> DataFrame:
     """M7: first/last state per shipment in one partial aggregation.
 
