@@ -1060,6 +1060,49 @@ def q_stream_dedupe_late(spark, sf):
     return spark.read.parquet(f"{base}/sink").select("id", "event_ts", "event_type", "event_value")
 
 
+@query("stream_dedupe_state")
+def q_stream_dedupe_state(spark, sf):
+    """T3 on a state store: the later events with copies, then all events, then
+    copies alone, each in a run of its own."""
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    ob = A.v_outbox(Tables(spark, sf)).drop("user_id")
+    base = scratch_path(spark, "outbox_state")
+    src = f"{base}/source"
+    later = ob.filter(F.col("event_ts") >= F.lit(PREV_RUN_TS).cast("timestamp_ntz"))
+    copies = later.withColumns({"event_ts": F.col("event_ts") + F.expr("INTERVAL 3 DAYS"), "event_value": F.lit("copy")})
+    for drop in (later.unionByName(copies), ob.unionByName(copies), copies):
+        _arrive(drop, src)
+        S.dedupe_by_state(spark, src, OUTBOX_DDL, f"{base}/checkpoint", f"{base}/sink", ["id"], [F.col("event_ts")])
+    return spark.read.parquet(f"{base}/sink").select("id", "event_ts", "event_type", "event_value")
+
+
+@query("stream_release")
+def q_stream_release(spark, sf):
+    """T5 as state: half of the orders arrive before any restaurant or user,
+    restaurants in two drops, the other orders in between."""
+    from martflow.plans import dds as D
+    from martflow.session import scratch_path
+    from martflow.streaming import outbox as S
+    t = Tables(spark, sf)
+    base = scratch_path(spark, "release")
+    orders = D.parse_orders(A.v_order_docs(t)).drop("staged_id")
+    users = t.customer.select(F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("user_name"))
+    rests = t.supplier.select(F.col("s_suppkey").cast("string").alias("restaurant_id"), F.col("s_name").alias("restaurant_name"))
+    odd = lambda c: F.col(c).cast("long") % 2 == 1
+    drops = [{"orders": orders.filter(odd("order_key"))}, {"rests": rests.filter(odd("restaurant_id")), "users": users},
+             {"orders": orders.filter(~odd("order_key")), "rests": rests.filter(odd("restaurant_id")).withColumn("restaurant_name", F.lit("a later copy"))},
+             {"rests": rests.filter(~odd("restaurant_id"))}]
+    for name, df in (("orders", orders), ("rests", rests), ("users", users)):
+        _arrive(df.limit(0), f"{base}/{name}")
+    for drop in drops:
+        for name, df in drop.items():
+            _arrive(df, f"{base}/{name}")
+        stream = lambda name, df: spark.readStream.schema(df.schema).parquet(f"{base}/{name}")
+        S.release(stream("orders", orders), {"rest_key": stream("rests", rests), "user_key": stream("users", users)}, f"{base}/checkpoint", f"{base}/sink")
+    return spark.read.parquet(f"{base}/sink").select("order_key", "order_status", "rest_key", "restaurant_name", "user_key", "user_name", "ts")
+
+
 DOC_DDL = "object_id string, object_value string, update_ts timestamp_ntz"
 
 

@@ -708,6 +708,14 @@ SELECT id, event_ts, event_type, event_value FROM v_outbox WHERE event_ts >= TIM
 oracle("stream_dedupe", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
 oracle("stream_dedupe_late", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
 
+oracle("stream_dedupe_state", with_(V_OUTBOX) + "SELECT id, event_ts, event_type, event_value FROM v_outbox")
+
+oracle("stream_release", f"""
+WITH ord_rest AS (SELECT l_orderkey, min(l_suppkey) AS rest_key FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, {_STATUS_TEXT} AS order_status, CAST(s_suppkey AS VARCHAR) AS rest_key, s_name AS restaurant_name,
+       CAST(c_custkey AS VARCHAR) AS user_key, c_name AS user_name, o_orderdate AS ts
+FROM orders JOIN ord_rest ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = rest_key JOIN customer ON c_custkey = o_custkey""")
+
 oracle("stream_upsert", """
 SELECT CAST(o_orderkey AS VARCHAR) AS object_id,
        json_object('_id', CAST(o_orderkey AS VARCHAR), 'v', CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 2 END)::VARCHAR

@@ -5,6 +5,10 @@
   or a lost executor never re-delivers or skips a file.
 - ``dedupe``: the outbox's primary key, held against the stored ids, so an
   event that arrives late is stored like any other.
+- ``dedupe_by_state``: the same from a state store keyed by the event id, so a
+  batch costs what it holds, however many events are stored.
+- ``release``: rows that wait for members of dimensions are state, too, and
+  come out when the last member that they need arrives.
 - ``upsert``: ``foreachBatch`` reduces each micro-batch to the latest row per
   key and rewrites only the hash buckets of the table that the batch
   touches, as new folders that one pointer then names; a batch that the
@@ -15,9 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from contextlib import contextmanager
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 def read_stream(spark: SparkSession, source_dir: str, schema: str, fmt: str = "parquet") -> DataFrame:
     return spark.readStream.schema(schema).format(fmt).load(source_dir)
@@ -57,6 +63,60 @@ def dedupe(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, s
     run_available(read_stream(spark, source_dir, schema), checkpoint, write)
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """State stores of queries started inside are RocksDB: they don't have to fit in memory."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def dedupe_by_state(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, sink_dir: str,
+                    key: Sequence[str], order: Sequence[Column]) -> None:
+    """As :func:`dedupe`, but what has been stored is known from a state
+    store in the checkpoint: per key its first copy and the first and last
+    batch that brought it.  Only the keys of a batch are looked up, no stored
+    event is read; a key whose first batch is this one is new.  A replayed
+    batch has the same batch time and rewrites its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.filter("first = last").select("row.*").write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+
+    events = read_stream(spark, source_dir, schema)
+    rows = events.withColumn("_mf_at", F.current_timestamp())
+    state = rows.groupBy(*key).agg(F.min_by(F.struct(*[F.col(c) for c in events.columns]), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])).alias("row"),
+                                   F.min("_mf_at").alias("first"), F.max("_mf_at").alias("last"))
+    with _state_on_disk(spark):
+        q = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(write).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+
+def release(rows: DataFrame, members: dict[str, DataFrame], checkpoint: str, sink_dir: str) -> None:
+    """T5: streaming ``rows`` joined with streaming members of dimensions (one
+    frame per key column of ``rows``, whose first column is the natural key;
+    the first arrival of a key counts).  A row waits in the state of the join
+    until all its members are there, whichever comes first, and is written
+    once; a run takes what has arrived, and the next goes on from the
+    checkpoint."""
+    spark, out = rows.sparkSession, rows
+    for column, dim in members.items():
+        natural, rest = dim.columns[0], dim.columns[1:]
+        dim = dim.dropDuplicates([natural]).select(F.col(natural).alias(f"_mf_{column}"), *rest)
+        out = out.join(dim, F.col(column) == F.col(f"_mf_{column}")).drop(f"_mf_{column}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}")
+
+    with _state_on_disk(spark):
+        q = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+             .foreachBatch(write).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+
 def upsert_stream(spark: SparkSession, source_dir: str, schema: str, checkpoint: str, table_dir: str,
                   key: Sequence[str], order: Sequence[Column], update_cols: Sequence[str] | None = None,
                   buckets: int | None = None) -> None:

@@ -93,3 +93,33 @@ def test_upsert_is_switched_at_once_and_skips_published_batches(spark, monkeypat
     with pytest.raises(ValueError):
         up([("k1", "d")], buckets=8)
     assert M.retire_buckets(spark, table) > 0 and len(rows()) == 21
+
+
+def test_dedupe_by_state_reads_no_stored_event(spark):
+    base = scratch_path(spark, "t_state")
+    src, ck = f"{base}/src", f"{base}/ck"
+    run = lambda sink: (S.dedupe_by_state(spark, src, DDL, ck, f"{base}/{sink}", ["id"], [F.col("event_ts")]),
+                        sorted((r.id, r.event_type) for r in spark.read.schema(DDL).parquet(f"{base}/{sink}").collect()))[1]
+    _drop(spark, src, [(1, T + dt.timedelta(1), "late copy", "{}"), (1, T, "first", "{}"), (2, T, "a", "{}")])
+    assert run("one") == [(1, "first"), (2, "a")]
+    # another folder for the second run: what is stored is known from the state alone
+    _drop(spark, src, [(1, T - dt.timedelta(9), "copy", "{}"), (3, T - dt.timedelta(30), "new and old", "{}")])
+    assert run("two") == [(3, "new and old")]
+    assert run("two") == [(3, "new and old")]  # nothing new: nothing written
+
+
+def test_release_gives_the_same_in_any_order_of_arrival(spark):
+    rows = {"orders": [("o1", "a", "x"), ("o2", "b", "x"), ("o3", "a", "none")], "rests": [("a", "A"), ("b", "B")], "users": [("x", "X")]}
+    ddl = {"orders": "o string, rest string, user string", "rests": "id string, name string", "users": "uid string, login string"}
+    got = set()
+    for order in [("orders", "rests", "users"), ("users", "rests", "orders")]:
+        base = scratch_path(spark, "t_release")
+        for name in rows:
+            spark.createDataFrame([], ddl[name]).write.parquet(f"{base}/{name}")
+        for name in (*order, "rests"):  # the restaurants come twice
+            spark.createDataFrame(rows[name], ddl[name]).write.mode("append").parquet(f"{base}/{name}")
+            stream = {n: spark.readStream.schema(d).parquet(f"{base}/{n}") for n, d in ddl.items()}
+            S.release(stream["orders"], {"rest": stream["rests"], "user": stream["users"]}, f"{base}/ck", f"{base}/sink")
+        got.add(tuple(sorted(tuple(r) for r in spark.read.schema(f"{ddl['orders']}, name string, login string").parquet(f"{base}/sink")
+                             .select("o", "rest", "user", "name", "login").collect())))
+    assert got == {(("o1", "a", "x", "A", "X"), ("o2", "b", "x", "B", "X"))}
