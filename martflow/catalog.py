@@ -925,6 +925,22 @@ def q_normalise_docs(spark, sf):
     return Fl.normalise_docs(docs, "_id", "update_ts")
 
 
+@query("normalise_nested_docs")
+def q_normalise_nested_docs(spark, sf):
+    """Ids and stamps in lists of documents three levels down, in maps, and
+    as twelve bytes."""
+    from martflow.sources import files as Fl
+    li = Tables(spark, sf).lineitem
+    oid = F.unhex(F.lpad(F.hex("l_partkey"), 24, "0"))
+    seen = F.struct(F.col("l_shipdate").cast("timestamp_ntz").alias("at"), F.struct(F.col("l_suppkey").alias("id"), oid.alias("oid")).alias("supplier"))
+    docs = li.select(
+        F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("_id"), F.col("l_linenumber").cast("int").alias("number"),
+        F.array(F.struct(F.col("l_partkey").alias("id"), F.array(seen, F.when(F.col("l_linenumber") > 1, seen)).alias("seen"))).alias("parts"),
+        F.create_map(F.lit("order"), F.struct(F.col("l_orderkey").alias("_id"), F.lit(None).cast("string").alias("note"))).alias("of"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("update_ts"))
+    return Fl.normalise_docs(docs, "_id", "update_ts")
+
+
 # ------------------------------------------------------------------ data quality
 
 @query("dq_not_null")

@@ -7,8 +7,8 @@ known; ``FAILFAST`` makes a malformed value raise as the database COPY does
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, NumericType, StructType
 
 from martflow.functions.scalars import DOC_TS_FORMAT, to_json_keep_nulls
 
@@ -68,11 +68,46 @@ def land_json(records: DataFrame, id_field: str, update_ts: str) -> DataFrame:
     )
 
 
+ID_FIELDS = frozenset({"_id", "id"})
+
+
+def with_text_ids(value: Column, kind: DataType, id_fields=ID_FIELDS, name: str = "") -> Column:
+    """A value with its ids as text at every depth of structs, arrays and
+    maps: object ids (12 bytes, or a struct of ``$oid`` alone) as their hex
+    digits, and numbers in fields named as in ``id_fields``.  The rewrite
+    follows the schema, so a row costs one projection and parts without ids
+    stay as they are."""
+    if isinstance(kind, StructType):
+        if kind.fieldNames() == ["$oid"]:
+            return value.getField("$oid").cast("string")
+        fields = [with_text_ids(value.getField(f.name), f.dataType, id_fields, f.name).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields)) if _holds_ids(kind, id_fields) else value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: with_text_ids(x, kind.elementType, id_fields)) if _holds_ids(kind, id_fields) else value
+    if isinstance(kind, MapType):
+        return F.transform_values(value, lambda _, x: with_text_ids(x, kind.valueType, id_fields)) if _holds_ids(kind, id_fields) else value
+    if isinstance(kind, BinaryType):
+        return F.lower(F.hex(value))
+    return value.cast("string") if isinstance(kind, NumericType) and name in id_fields else value
+
+
+def _holds_ids(kind: DataType, id_fields, name: str = "") -> bool:
+    if isinstance(kind, StructType):
+        return kind.fieldNames() == ["$oid"] or any(_holds_ids(f.dataType, id_fields, f.name) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _holds_ids(kind.elementType, id_fields)
+    if isinstance(kind, MapType):
+        return _holds_ids(kind.valueType, id_fields)
+    return isinstance(kind, BinaryType) or (isinstance(kind, NumericType) and name in id_fields)
+
+
 def normalise_docs(docs: DataFrame, id_col: str, ts_col: str) -> DataFrame:
-    """Documents -> (object_id, object_value, update_ts) with ids as text,
-    timestamps as 'yyyy-MM-dd HH:mm:ss' and NULL fields kept."""
+    """Documents -> (object_id, object_value, update_ts) with ids as text
+    and timestamps as 'yyyy-MM-dd HH:mm:ss' at every depth, NULL fields kept."""
+    walked = [with_text_ids(F.col(f"`{f.name}`"), f.dataType, name=f.name).alias(f.name) for f in docs.schema.fields]
+    ident = docs.schema[id_col]
     return docs.select(
-        F.col(id_col).cast("string").alias("object_id"),
-        to_json_keep_nulls(F.struct(*[F.col(c) for c in docs.columns])).alias("object_value"),
+        with_text_ids(F.col(id_col), ident.dataType, name=ident.name).cast("string").alias("object_id"),
+        to_json_keep_nulls(F.struct(*walked)).alias("object_value"),
         F.col(ts_col).alias("update_ts"),
     )
