@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martflow import adapters as A
 from martflow.operators.keys import ntile_distributed
+from martflow.sources.calendar import bounded
 from martflow.plans import orders as P_orders, rfm as P_rfm
 from martflow.sources.tables import Tables
 
@@ -272,7 +273,7 @@ def q_retention_increments(spark, sf):
     from martflow.operators.tables import publish
     from martflow.session import scratch_path
     P, stage, cal, fact = _fact(spark, sf)
-    fact = publish(fact.join(F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id"), "fact")
+    fact = publish(fact.join(bounded(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id"), "fact")
     days = sorted(r[0] for r in fact.select("day").distinct().collect())
     base, again = scratch_path(spark, "retention"), days[::max(1, len(days) // 3)][:3]
     some = fact.filter(F.col("day").isin(*again))
@@ -418,7 +419,7 @@ def q_delete_where_in(spark, sf):
     P, stage, cal, fact = _fact(spark, sf)
     last_year = stage.agg(F.max(F.year("date_time"))).first()[0]
     inc = stage.filter(F.year("date_time") == last_year)
-    days = inc.join(F.broadcast(cal), cal.full_date == F.to_date(inc.date_time)).select("date_id")
+    days = inc.join(bounded(cal), cal.full_date == F.to_date(inc.date_time)).select("date_id")
     return delete_where_in(fact, days, "date_id")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martflow.operators.keys import assign_keys
 from martflow.operators.latest import latest_by
 from martflow.operators.tables import not_in
+from martflow.sources.calendar import bounded
 
 from martflow.constants import PERIOD_WEEKLY, STATUS_REFUNDED as REFUNDED, STATUS_SHIPPED
 
@@ -95,13 +96,13 @@ def f_daily_sales(spark: SparkSession, stage: DataFrame, cal: DataFrame, start:
         stage = stage.filter(F.col("date_time") == F.to_date("date_time").cast("timestamp_ntz"))
     return spark.sql(
         """
-        SELECT /*+ BROADCAST(dc) */ DISTINCT dc.date_id, s.item_id, s.customer_id, s.quantity,
+        SELECT DISTINCT dc.date_id, s.item_id, s.customer_id, s.quantity,
                CAST(s.payment_amount AS DECIMAL(10,2)) AS payment_amount, s.status
         FROM {stage} s
         JOIN {cal} dc ON dc.full_date = to_date(s.date_time)
         WHERE s.date_time >= CAST(:start AS TIMESTAMP_NTZ) AND s.date_time < CAST(:end AS TIMESTAMP_NTZ)
         """,
-        args={"start": start, "end": end}, stage=stage, cal=cal,
+        args={"start": start, "end": end}, stage=stage, cal=bounded(cal),
     )
 
 
@@ -109,7 +110,7 @@ def retention_base(fact: DataFrame, cal: DataFrame, by_year: bool = False, also:
     """Fact joined to the calendar by date_id; per (week, customer)
     transactions, refunds and signed revenue (and by further columns)."""
     keys = ["iso_year", "week_num"] if by_year else ["week_num"]
-    j = fact.join(F.broadcast(cal.select("date_id", *keys)), "date_id")
+    j = fact.join(bounded(cal.select("date_id", *keys)), "date_id")
     refunded = F.col("status") == REFUNDED
     return j.groupBy(*also, *keys, "customer_id").agg(
         F.count(F.lit(1)).alias("num_transactions"),
@@ -165,7 +166,7 @@ def refresh_retention(spark: SparkSession, base_dir: str, fact: DataFrame, days,
     from martflow.operators.tables import read_slices, write_slices
     days = [days] if isinstance(days, str) else sorted(days)
     partial_dir, mart_dir = f"{base_dir}/retention_days", f"{base_dir}/customer_retention"
-    dated = F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day")))
+    dated = bounded(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day")))
     partials = retention_base(fact.join(dated, "date_id"), cal, also=["day"])
     write_slices(partials.select(*[c.split()[0] for c in PARTIAL_DDL.split(", ")]), partial_dir, "day", days)
     # as many rows as the calendar has days in the run's weeks
@@ -272,7 +273,7 @@ def run_increment(spark: SparkSession, csv_path: str, base_dir: str, days, cal_s
     inc = read_days(spark, stage_dir, days)
     end = (dt.date.fromisoformat(days[-1]) + dt.timedelta(days=1)).isoformat()
     fact_inc = f_daily_sales(spark, inc, cal, days[0], end).join(
-        F.broadcast(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id")
+        bounded(cal.select("date_id", F.date_format("full_date", "yyyy-MM-dd").alias("day"))), "date_id")
     write_slices(fact_inc, fact_dir, "day", days)
     fact = read_slices(spark, fact_dir, "day", schema=FACT_DDL).drop("day")
 

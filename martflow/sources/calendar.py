@@ -32,6 +32,16 @@ def calendar(spark: SparkSession, start: str, days: int) -> DataFrame:
     )
 
 
+BROADCAST_DAYS = 100_000     # 273 years
+
+
+def bounded(cal: DataFrame) -> DataFrame:
+    """A calendar to join with: sent to every task while it has at most
+    ``BROADCAST_DAYS`` days; a longer one (data with a stray year makes it so)
+    meets the rows in whatever join Spark picks from its size."""
+    return F.broadcast(cal) if cal.count() <= BROADCAST_DAYS else cal
+
+
 def days_between(start: str, end: str) -> int:
     """Inclusive day count from start to end (both 'YYYY-MM-DD')."""
     return (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
