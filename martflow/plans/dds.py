@@ -132,11 +132,21 @@ def dm_orders(order_docs: DataFrame, restaurants: DataFrame, timestamps: DataFra
         "id", "order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
 
 
-def payment_lines(payment_events: DataFrame) -> DataFrame:
-    """One row per product line of the bonus_transaction events."""
+def payment_docs(payment_events: DataFrame) -> DataFrame:
+    """The bonus_transaction events parsed: event_id, order_key, product_payments."""
     ev = payment_events.filter(F.col("event_type") == EVENT_BONUS_TRANSACTION)
     parsed = ev.select(F.col("id").alias("event_id"), F.from_json("event_value", PAYMENT_DOC, {"mode": "FAILFAST"}).alias("d"))
-    return parsed.select("event_id", F.col("d.order_id").alias("order_key"), F.inline("d.product_payments"))
+    return parsed.select("event_id", F.col("d.order_id").alias("order_key"), "d.product_payments")
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """One row per product line of the parsed events."""
+    return docs.select("event_id", "order_key", F.inline("product_payments"))
+
+
+def payment_lines(payment_events: DataFrame) -> DataFrame:
+    """One row per product line of the bonus_transaction events."""
+    return lines_of(payment_docs(payment_events))
 
 
 def unresolved_events(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -154,7 +164,11 @@ def fct_product_sales(payment_events: DataFrame, products: DataFrame, orders: Da
     dictionary is last-wins per natural id; an event whose order is not in
     the DDS yet is skipped.  Events are read with ``id > cursor``.
     """
-    lines = payment_lines(payment_events.filter(F.col("id") > F.lit(cursor)))
+    return facts_of(payment_lines(payment_events.filter(F.col("id") > F.lit(cursor))), products, orders)
+
+
+def facts_of(lines: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
+    """The fact rows of parsed lines (see :func:`fct_product_sales`)."""
     pdict = products.groupBy("product_id").agg(F.max("id").alias("product_sk"))
     o = one_per_key(orders, "order_key", "order_key", "order_sk")
     whole = lines.join(unresolved_events(lines, products), "event_id", "left_anti")
@@ -259,15 +273,16 @@ class DdsRun:
         # facts: new events plus the ones still waiting from earlier runs
         ev_new = since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION))
         ev_todo = publish(ev_new.unionByName(spark.read.parquet(f"{before}/pending_events")) if last else ev_new, "events_todo")
-        facts = fct_product_sales(ev_todo, t["dm_products"], t["dm_orders"])
+        # parsed once for the facts, for the known orders and for the unknown products
+        docs = publish(payment_docs(ev_todo), "events_parsed")
+        facts = facts_of(lines_of(docs), t["dm_products"], t["dm_orders"])
         old = stored("fct_product_sales")
         first = ev_todo.agg(F.min("id")).first()[0]
         if old is not None and first is not None:  # a replayed run does not store an event twice
             facts = facts.join(old.filter(F.col("event_id") >= first).select("event_id").distinct(), "event_id", "left_anti").select(*facts.columns)
         t["fct_product_sales"] = append("fct_product_sales", publish(facts, "fct_product_sales_batch"))
-        parsed = ev_todo.select("id", F.from_json("event_value", PAYMENT_DOC, {"mode": "FAILFAST"})["order_id"].alias("order_key"))
-        known = parsed.join(t["dm_orders"].select("order_key"), "order_key", "left_semi").select("id")
-        bad = unresolved_events(payment_lines(ev_todo), t["dm_products"]).withColumnRenamed("event_id", "id")
+        known = docs.join(t["dm_orders"].select("order_key"), "order_key", "left_semi").select(F.col("event_id").alias("id"))
+        bad = unresolved_events(lines_of(docs), t["dm_products"]).withColumnRenamed("event_id", "id")
         waiting_events = ev_todo.join(known.join(bad, "id", "left_anti"), "id", "left_anti")
 
         st = state
