@@ -11,6 +11,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -97,10 +100,29 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_RUN: ContextVar[str] = ContextVar("martflow_run", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder (never reused, never cleared)."""
+    """A new, unique path under the shared folder, in the folder of the
+    :func:`scratch_run` that it is asked for in, if any."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/martflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/martflow/{_RUN.get()}{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """A run whose written intermediates go when it ends: numbered rows,
+    published snapshots, stages and links rounds.  Results must have been
+    written elsewhere or read by then; frames made inside can't be read after."""
+    name = f"run-{uuid.uuid4().hex[:12]}/"
+    token = _RUN.set(name)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/martflow/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:

@@ -126,3 +126,14 @@ def test_backfill_equals_daily(spark):
     a = rows(read_slices(spark, daily, "day").select(F.col("day").cast("string"), "v"))
     b = rows(read_slices(spark, back, "day").select(F.col("day").cast("string"), "v"))
     assert a == b == sorted(days)
+
+
+def test_a_run_takes_its_intermediates_with_it(spark):
+    from martflow.operators.tables import path_exists, publish
+    from martflow.session import scratch_path, scratch_run
+    with scratch_run(spark):
+        inside = scratch_path(spark, "x")
+        spark.range(3).write.parquet(inside)
+        assert publish(spark.range(5), "y").count() == 5 and path_exists(spark, inside)
+    assert not path_exists(spark, inside) and not path_exists(spark, inside.rsplit("/", 1)[0])
+    assert "/run-" not in scratch_path(spark, "z")
