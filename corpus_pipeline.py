@@ -18,9 +18,14 @@ from martflow.llm.simhash import keep_one
 from martflow.sources.tables import read_table
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; texts stay as they are."""
-    return keep_good(docs)
+    """Documents that the quality rules reject go, and so do common lines of the
+    others; n_chars follows the new text."""
+    return _measured(keep_good(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; n_chars follows the new text."""
-    return redacted(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
+    return _measured(redacted(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
