@@ -78,19 +78,30 @@ def oracle(name: str, sql: str) -> None:
 
 # ------------------------------------------------------------------ P1: RFM and orders
 
-_USER_STATS = """user_stats AS (
-  SELECT user_id, max(order_ts) AS most_recent_order, count(order_id) AS total_num_orders,
+_USER_STATS = """closed AS (FROM v_orders WHERE status = 4), user_stats AS (
+  SELECT user_id, arg_max(order_ts, order_ts) AS most_recent_order, count(order_id) AS total_num_orders,
          CAST(sum(payment) AS DECIMAL(29,5)) AS total_revenue
-  FROM v_orders WHERE status = 4 GROUP BY user_id)"""
+  FROM closed GROUP BY ALL)"""
 
-oracle("rfm_user_stats", with_(V_ORDERS, _USER_STATS) + "SELECT * FROM user_stats")
+oracle("rfm_user_stats", with_(V_ORDERS, _USER_STATS) + "FROM user_stats")
 
-oracle("rfm_ntile_literal", with_(V_ORDERS, _USER_STATS) + """
-SELECT *,
-  CAST(NTILE(5) OVER (ORDER BY most_recent_order DESC NULLS LAST, user_id) AS INTEGER) AS recency,
-  CAST(NTILE(5) OVER (ORDER BY total_num_orders DESC NULLS LAST, user_id) AS INTEGER) AS frequency,
-  CAST(NTILE(5) OVER (ORDER BY total_revenue DESC NULLS LAST, user_id) AS INTEGER) AS monetary_value
-FROM user_stats""")
+
+def _fifths(place: str) -> str:
+    """Which of five buckets a place among n users falls into: the first n % 5
+    buckets have one user more than the others."""
+    larger = "((n % 5) * (n // 5 + 1))"
+    return (f"CAST(1 + CASE WHEN {place} <= {larger} THEN ({place} - 1) // (n // 5 + 1) "
+            f"ELSE n % 5 + ({place} - 1 - {larger}) // greatest(n // 5, 1) END AS INTEGER)")
+
+
+oracle("rfm_ntile_literal", with_(V_ORDERS, _USER_STATS, """placed AS (
+  SELECT user_stats.*, count(*) OVER () AS n, row_number() OVER newest AS by_date, row_number() OVER most AS by_count, row_number() OVER richest AS by_sum
+  FROM user_stats
+  WINDOW newest AS (ORDER BY most_recent_order DESC NULLS LAST, user_id), most AS (ORDER BY total_num_orders DESC NULLS LAST, user_id),
+         richest AS (ORDER BY total_revenue DESC NULLS LAST, user_id))""") + f"""
+SELECT user_id, most_recent_order, total_num_orders, total_revenue, {_fifths('by_date')} AS recency, {_fifths('by_count')} AS frequency,
+       {_fifths('by_sum')} AS monetary_value
+FROM placed""")
 
 _RFM_SEGMENTS = with_(V_ORDERS, V_USERS, _USER_STATS, """base AS (
   SELECT u.id AS user_id, s.most_recent_order AS mr, coalesce(s.total_num_orders, 0) AS n,

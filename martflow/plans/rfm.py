@@ -27,7 +27,7 @@ def user_stats(orders: DataFrame, since: str | None = None) -> DataFrame:
 
 
 def rfm_ntile_literal(orders: DataFrame) -> DataFrame:
-    """F2 + W1 as written: ``SELECT *, NTILE(5) OVER (ORDER BY x DESC)`` x3."""
+    """F2 + W1 as written: every statistic in five buckets, the best first."""
     return _scored(user_stats(orders), {"recency": Key("most_recent_order", desc=True), "frequency": Key("total_num_orders", desc=True),
                                         "monetary_value": Key("total_revenue", desc=True)})
 

@@ -73,10 +73,10 @@ def d_item_increment(existing: DataFrame, increment: DataFrame) -> DataFrame:
 
 
 def last_value_default_frame(stage: DataFrame) -> DataFrame:
-    """W4 as written: ``DISTINCT item_id, LAST_VALUE(item_name) OVER (PARTITION
-    BY item_id ORDER BY date_time DESC)`` with the default frame.
+    """W4 as written: the distinct items with the last name of a window over the
+    item, newest stamp first, whose frame is left at its default.
 
-    The default frame ends at the current row's last peer, so each row sees a
+    That frame ends at the current row's last peer, so each row sees a
     name of its own stamp, not of the latest one: the duplicate-name defect
     B7.  Which of several names on one stamp is not defined; here it is the
     greatest.  Two aggregations instead of a per-item sort, so a hot item is
