@@ -2,11 +2,13 @@
 
 Both sides keep the least k-gram hash of every window of w k-grams (the
 rightmost of equal ones), so any span of t = w + k - 1 shared words has a
-fingerprint that both sides keep.  Fingerprints join on their hash, and each
-hit is extended word by word to both sides; since a span of t words around a
-fingerprint reaches at most t - k words beyond it, those words travel with
-the fingerprint.  Items shorter than t words are one window of their own
-length, looked up at every position of the documents.
+fingerprint that both sides keep.  A span of t words around a fingerprint
+reaches at most t - k words beyond it; those words travel with the
+fingerprint, which is extended in each way in which a span can lie around it.
+Fingerprints join on their hash together with the extended text, so a phrase
+that many items share makes no candidates: what joins is a shared span.
+Items shorter than t words are one window of their own length, looked up at
+every position of the documents.
 
 Before the join, documents' fingerprints pass a bitmap of the benchmark's
 hash prefixes.  The bitmap has a fixed size and only spares rows: nothing it
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.llm.frames import written
+from martflow.llm.frames import digest, written
 from martflow.llm.textops import SubstringHash, chunks, fill_text, lower, mix, signed, sliding_min_positions, word_spans, U64
 
 SPAN = 10                    # words of a window: the guaranteed span
@@ -114,27 +116,32 @@ def scanned(df: DataFrame, id_col: str, text_col: str, short: list[int] | None =
     return written(rows.mapInArrow(run, _ROWS), "winnowed")
 
 
-def _agreeing(mine: str, theirs: str) -> Column:
-    """How many leading words two lists share."""
-    same = F.zip_with(mine, theirs, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first_off = F.array_position(same, False)
-    return F.when(first_off == 0, F.size(same)).otherwise(first_off.cast("int") - 1)
+def _extended(marks: DataFrame, span: int, *keep: str) -> DataFrame:
+    """Rows (h, size, before, gram, after) to one row per span of ``span`` words
+    around them: ``keep``, h, lead (words before the gram) and the span's text.
+    A gram without words beside it is a short item's."""
+    around = """
+        if(size(before) + size(after) = 0, array(named_struct('lead', 0, 'text', gram)),
+           transform(filter(sequence(0, {span} - size), l -> l <= size(before) and {span} - size - l <= size(after)),
+                     l -> named_struct('lead', l, 'text', concat_ws(' ', reverse(slice(before, 1, l)), gram, slice(after, 1, {span} - size - l)))))
+    """.format(span=span)
+    return marks.select(*keep, "h", F.explode(F.expr(around)).alias("w")).select(*keep, "h", "w.lead", "w.text")
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
+            item_text_col: str = "text", span: int = SPAN, gram: int = GRAM, key: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, spans, members): ``rows`` (uid, id, n_words) has each row of
     ``docs``; ``spans`` (uid, start, stop, cls) the shared word spans found,
-    stop exclusive; ``members`` (cls, item_id) the items with that passage."""
+    stop exclusive; ``members`` (cls, item_id) the items with that passage.
+    ``key`` takes the place of the id."""
     spark = docs.sparkSession
     test = scanned(items, item_col, item_text_col, span=span, gram=gram)
     marks = test.select(F.col("id").alias("item_id"), F.explode("hits").alias("x")).select("item_id", "x.*")
-    text = F.concat_ws("\n", F.concat_ws(" ", "before"), "gram", F.concat_ws(" ", "after"), F.col("size").cast("string"))
-    marks = marks.withColumn("cls", F.sha2(text, 256))
-    members = marks.select("cls", "item_id").distinct()
-    classes = written(marks.dropDuplicates(["cls"]).select("cls", "h", *[F.col(c).alias(f"i_{c}") for c in ("size", "before", "gram", "after")]), "passages")
+    windows = _extended(marks, span, "item_id").withColumn("cls", F.sha2("text", 256))
+    members = windows.select("cls", "item_id").distinct()
+    classes = written(windows.select("cls", "h", "lead", "text").distinct(), "passages")
     # a gram of an item of a whole span has words beside it; one without is a short item
-    short = [r[0] for r in classes.where("size(i_before) + size(i_after) = 0").select("i_size").distinct().collect()]
+    short = [r[0] for r in marks.where("size(before) + size(after) = 0").select("size").distinct().collect()]
     # at most 2**PREFIX_BITS values, whatever the benchmark's size
     prefixes = classes.select(F.shiftrightunsigned("h", 64 - PREFIX_BITS).cast("int").alias("p")).distinct().toPandas()["p"]
     passes = np.zeros(1 << PREFIX_BITS, dtype=bool)
@@ -144,15 +151,16 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         return _scan(span, gram, short, False, np.unpackbits(sent.value).astype(bool))(batches)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = written(rows.mapInArrow(run, _ROWS), "winnowed")
+    rows = docs.select((F.col(id_col).cast("long") if key is None else key).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    rows = written(rows.mapInArrow(run, _ROWS.replace("id long, n_words", f"id {kind}, n_words")), "winnowed")
     hits = rows.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("x")).select("uid", "x.*")
     side = F.broadcast(classes) if classes.count() <= BROADCAST_ROWS else classes
-    found = hits.join(side, "h").where("size = i_size and gram = i_gram")
-    found = found.withColumn("l", _agreeing("before", "i_before")).withColumn("r", _agreeing("after", "i_after"))
-    whole = F.col("l") + F.col("size") + F.col("r") >= span
-    spans = found.where(whole | (F.size("i_before") + F.size("i_after") == 0)).select(
-        "uid", (F.col("at") - F.col("l")).alias("start"), (F.col("at") + F.col("size") + F.col("r")).alias("stop"), "cls")
+    # the same span lies around the gram of both sides in the same way
+    found = _extended(hits, span, "uid", "at").join(side, ["h", "lead", "text"])
+    words = F.size(F.split("text", " "))
+    start = F.col("at") - F.col("lead")
+    spans = found.select("uid", start.alias("start"), (start + words).alias("stop"), "cls").distinct()
     return rows.drop("hits"), written(spans, "shared-spans"), members
 
 
@@ -174,8 +182,17 @@ def contamination(docs: DataFrame, items: DataFrame, **columns) -> DataFrame:
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
 
-def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents (rows that share a doc_id go
-    together)."""
-    bad = written(contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
+    """``docs`` without the contaminated documents.
+
+    Rows are judged by id and text, so a clean text stays whatever other rows
+    share its id or have none.  Null and empty texts have no words and stay;
+    an empty table or benchmark changes nothing; repeated rows stay or go
+    together; other columns stay as they are.
+    """
+    key = F.struct(F.col(id_col).cast("long").alias("id"), digest(F.col(text_col)).alias("text"))
+    rows, spans, _ = matches(docs, items, id_col, text_col, key=key, **columns)
+    bad = rows.join(spans.select("uid").distinct(), "uid", "left_semi").select(F.col("id.id").alias("bad_id"), F.col("id.text").alias("bad_text")).distinct()
+    bad = written(bad, "contaminated")
+    same = docs[id_col].cast("long").eqNullSafe(bad["bad_id"]) & (digest(docs[text_col]) == bad["bad_text"])
+    return docs.join(bad, same, "left_anti")

@@ -72,3 +72,27 @@ def test_odd_rows(spark):
     clean = D.keep_clean(spark.createDataFrame([(i or 0, t, "k") for i, t in docs], "doc_id long, text string, cls string"),
                          spark.createDataFrame(items, "item_id long, text string"))
     assert sorted({r.doc_id for r in clean.collect()}) == [1, 2, 5, 7, 8] and clean.columns == ["doc_id", "text", "cls"]
+
+
+def test_clean_rows_stay_whatever_shares_their_id(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    items = spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string")
+    rows = [(1, f"x {passage} y", 1), (1, "clean", 2), (None, passage, 3), (None, "clean", 4), (None, None, 5), (2, "", 6), (1, f"x {passage} y", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bad_id int")
+    kept = D.keep_clean(docs, items)
+    assert kept.columns == docs.columns and sorted(r.bad_id for r in kept.collect()) == [2, 4, 5, 6]
+    assert D.keep_clean(docs.limit(0), items).count() == 0 and D.keep_clean(docs, items.limit(0)).count() == 7
+
+
+def test_a_phrase_of_many_items_joins_only_within_a_shared_span(spark):
+    phrase = "five words that all share"
+    around = lambda tag, n=8: " ".join(f"{tag}{i}" for i in range(n))
+    items = [(k, f"{around(f'a{k}x')} {phrase} {around(f'b{k}x')}") for k in range(40)]
+    docs = [(i, f"{around(f'c{i}x')} {phrase} {around(f'd{i}x')}") for i in range(60)]
+    docs += [(100, f"a7x5 a7x6 a7x7 {phrase} b7x0 b7x1 end"), (101, f"a7x7 {phrase} b7x0 b7x1 b7x2"), (102, f"z {phrase} b9x0 b9x1 b9x2 b9x3 b9x4")]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in D.contamination(df, it).collect() if r.contaminated}
+    assert got == {r[0]: (r[2], r[3]) for r in plain(docs, items) if r[-1]}
+    assert set(got) == {100, 102}
+    rows, spans, _ = D.matches(df, it)
+    assert spans.count() == sum(1 for i in (100, 102) for _ in range(got[i][0] - 9))
