@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.llm.components import components
-from martflow.llm.frames import written
+from martflow.llm.frames import digest, written
 
 SEED = 42
 GROUP_ROWS = 4096            # largest group compared in one task
@@ -188,13 +188,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with
-    the smallest doc_id.  Rows sharing a doc_id count as one document, the
-    smallest row standing for it; rows without a doc_id are kept as they are."""
-    groups = near_duplicates(docs, shingle, distance)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    named = docs.where("doc_id is not null")
-    one = named.groupBy(F.col("doc_id").alias("keep_id")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
-    kept = one.join(keep, "keep_id", "left_semi").select("row.*")
-    return kept.unionByName(docs.where("doc_id is null"))
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the
+    smallest doc_id (of rows that share it, the smallest text digest, then the
+    smallest row).
+
+    Rows are told apart by id and text, so different texts under one id stay
+    unless they are duplicates themselves; rows without a doc_id are kept as
+    they are, null and blank texts are one group; an empty table stays empty;
+    other columns stay as they are.
+    """
+    named = docs.where(F.col(id_col).isNotNull())
+    key = [F.col(id_col).cast("long").alias("keep_id"), digest(F.col(text_col)).alias("keep_text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["keep_id", "keep_text", "fp"])
+
+    rows = written(named.select(*key, F.col(text_col).alias("text")).mapInArrow(run, "keep_id long, keep_text binary, fp long"), "fingerprints")
+    distinct = written(rows.select("fp").distinct(), "distinct-fingerprints")
+    comps = components(links(distinct, distance)).withColumnRenamed("node", "fp")
+    rooted = rows.join(comps, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    one = F.min(F.struct("keep_id", "keep_text"))
+    keep = written(rooted.groupBy("root").agg(one.alias("k")).select("k.*"), "kept-rows")
+    kept = named.select(*key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(keep, ["keep_id", "keep_text"], "left_semi")
+    # rows that agree in id and text count as one
+    repeated = written(rows.join(keep, ["keep_id", "keep_text"], "left_semi").groupBy("keep_id", "keep_text").count().where("count > 1"), "repeated-rows")
+    if repeated.take(1):
+        once = kept.join(repeated, ["keep_id", "keep_text"], "left_anti")
+        again = kept.join(repeated, ["keep_id", "keep_text"], "left_semi").groupBy("keep_id", "keep_text").agg(F.min("row").alias("row"))
+        kept = once.unionByName(again)
+    return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))

@@ -119,3 +119,14 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in S.components(df).collect()}
     assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(300)}
     assert S.components(df.where("a = -1")).agg(F.count("*")).first()[0] == 0
+
+
+def test_different_texts_under_one_id_stay(spark):
+    long = " ".join(f"a{i}" for i in range(40))
+    other = " ".join(f"b{i}" for i in range(40))
+    rows = [(1, long, 1), (1, other, 2), (2, long, 3), (3, other, 4), (3, other, 4), (4, None, 5), (5, "", 6), (None, long, 7), (None, None, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.row for r in kept.collect()) == [1, 2, 5, 7, 8]
+    assert S.keep_one(df.where("doc_id > 2")).count() == 2  # the repeated row once, one of the blank texts
+    assert S.keep_one(df.limit(0)).count() == 0
