@@ -993,6 +993,19 @@ def q_dq_row_predicates(spark, sf):
     ])
 
 
+@query("dq_one_scan")
+def q_dq_one_scan(spark, sf):
+    """Q1 / Q2 / Q4 / Q8: all rules of lines, and of orders, from one scan each;
+    every fifth line lacks its ship date, and lines are also keyed by part."""
+    from martflow.operators import quality as Q
+    t = Tables(spark, sf)
+    li = t.lineitem.withColumn("l_shipdate", F.when(F.col("l_orderkey") % 5 != 0, F.col("l_shipdate")))
+    return Q.union_all([
+        Q.in_one_scan(li, "lineitem", ["l_orderkey", "l_shipdate"], [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"], ["l_shipdate"]],
+                      {"quantity_below_40": F.col("l_quantity") < 40, "discount_rate_0_1": F.col("l_discount").between(0, 1)}),
+        Q.in_one_scan(t.orders, "orders", ["o_custkey"], [["o_orderkey"], ["o_custkey"]], {"status_varchar_1": Q.max_length("o_orderstatus", 1)})])
+
+
 @query("dq_accepted")
 def q_dq_accepted(spark, sf):
     """Q5: order status domain; only Closed (4) and Cancelled (5) are accepted."""

@@ -42,6 +42,26 @@ def unique(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     return _unpivot(agg, table, [name])
 
 
+def in_one_scan(df: DataFrame, table: str, required: Sequence[str] = (), keys: Sequence[Sequence[str]] = (),
+                checks: Mapping[str, Column] | None = None) -> DataFrame:
+    """Q1, Q2, Q4 and Q8 of one table from a single scan and a single shuffle:
+    every row gives one entry per key (its values) and one per rule that it
+    breaks, entries are counted map-side first, and the counts make the
+    violations of all rules.  Results as from the separate rules."""
+    rules: list[tuple[str, Column, Column | None]] = [(f"not_null:{c}", F.col(c).isNull(), None) for c in required]
+    rules += [(f"check:{name}", ~pred, None) for name, pred in (checks or {}).items()]
+    for key in keys:
+        complete = F.lit(True)
+        for k in key:
+            complete = complete & F.col(k).isNotNull()
+        rules.append(("unique:" + ",".join(key), complete, F.to_json(F.struct(*[F.col(k) for k in key]))))
+    none = F.lit(None).cast("string")
+    entries = F.array(*[F.when(when, F.struct(F.lit(i).alias("rule"), (none if value is None else value).alias("key"))) for i, (_, when, value) in enumerate(rules)])
+    per = df.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).groupBy("e.rule", "e.key").agg(F.count(F.lit(1)).alias("n"))
+    agg = per.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("n") - (0 if value is None else 1))), F.lit(0)).alias(name) for i, (name, _, value) in enumerate(rules)])
+    return _unpivot(agg, table, [name for name, _, _ in rules])
+
+
 def orphans(child: DataFrame, table: str, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
     name = f"fk:{child_col}"

@@ -712,6 +712,20 @@ UNION ALL SELECT 'orders', 'check:ts_year_2020_2499',
        count(*) FILTER (WHERE NOT (year(o_orderdate) >= 2020 AND year(o_orderdate) < 2500)) FROM orders
 UNION ALL SELECT 'orders', 'check:ts_month_le_12', count(*) FILTER (WHERE NOT (month(o_orderdate) <= 12)) FROM orders""")
 
+oracle("dq_one_scan", """
+WITH li AS (SELECT * REPLACE (CASE WHEN l_orderkey % 5 <> 0 THEN l_shipdate END AS l_shipdate) FROM lineitem)
+SELECT 'lineitem' AS table_name, 'not_null:l_orderkey' AS rule, count(*) - count(l_orderkey) AS violations FROM li
+UNION ALL SELECT 'lineitem', 'not_null:l_shipdate', count(*) - count(l_shipdate) FROM li
+UNION ALL SELECT 'lineitem', 'check:quantity_below_40', count(*) FILTER (l_quantity >= 40) FROM li
+UNION ALL SELECT 'lineitem', 'check:discount_rate_0_1', count(*) FILTER (l_discount NOT BETWEEN 0 AND 1) FROM li
+UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_linenumber', count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM li
+UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_partkey', count(*) - count(DISTINCT (l_orderkey, l_partkey)) FROM li
+UNION ALL SELECT 'lineitem', 'unique:l_shipdate', count(l_shipdate) - count(DISTINCT l_shipdate) FROM li
+UNION ALL SELECT 'orders', 'not_null:o_custkey', count(*) - count(o_custkey) FROM orders
+UNION ALL SELECT 'orders', 'check:status_varchar_1', count(*) FILTER (length(o_orderstatus) > 1) FROM orders
+UNION ALL SELECT 'orders', 'unique:o_orderkey', count(o_orderkey) - count(DISTINCT o_orderkey) FROM orders
+UNION ALL SELECT 'orders', 'unique:o_custkey', count(o_custkey) - count(DISTINCT o_custkey) FROM orders""")
+
 oracle("dq_accepted", with_(V_ORDERS) + """
 SELECT status, count(*) AS rows, status IN (4, 5) AS accepted FROM v_orders GROUP BY status""")
 

@@ -72,3 +72,17 @@ def test_mart_rules_use_natural_and_foreign_keys(spark):
     got = {(r.table_name, r.rule): r.violations for r in check_marts({"d_customer": dim, "f_daily_sales": fact}).collect()}
     assert got[("d_customer", "unique:customer_id")] == 1 and got[("d_customer", "unique:id")] == 0
     assert got[("f_daily_sales", "fk:customer_id")] == 1
+
+
+def test_all_rules_of_a_table_in_one_scan(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from martflow.operators import quality as Q
+    rows = [(1, "a", 5), (1, "a", None), (None, "b", -1), (2, None, -2), (2, "c", 7), (3, "c", None), (1, "a", 5)]
+    spark.createDataFrame(rows, "k int, s string, v int").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    checks = {"positive": F.col("v") > 0, "short": Q.max_length("s", 3)}
+    apart = Q.union_all([Q.not_null(df, "t", ["k", "v"]), Q.unique(df, "t", ["k"]), Q.unique(df, "t", ["k", "s"]), Q.row_predicates(df, "t", checks)])
+    once = Q.in_one_scan(df, "t", ["k", "v"], [["k"], ["k", "s"]], checks)
+    assert once._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1  # the plan before it is run
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, apart.collect()))
+    assert {r.violations for r in Q.in_one_scan(df.limit(0), "t", ["k"], [["k"]]).collect()} == {0}
