@@ -13,7 +13,10 @@ equal windows side by side, where all but the first are repeats.
 
 Copies fold in the task that finds them before anything is shuffled.  An
 anchor in more than ``CROWD`` of all segments is no key to deal by: windows
-around it are dealt one by one under the hash of the whole window.
+around it are dealt one by one under the hash of the whole window.  Where
+more than ``GROUP`` different first segments still share an anchor, whatever
+share of the input that is, their windows are compared by grouping equal ones
+instead of in one task.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ GRAM = 32
 FOLD = 400_000               # segments folded at once
 CROWD = 2e-5
 CROWD_LEAST = 1000
+GROUP = 50_000               # first segments around one anchor that a task sorts
 SORT_BYTES = 4 << 20         # texts sorted at once
 TOGETHER = 512 << 10         # texts hashed at once
 PIECE = 1 << 20              # a longer text is cut into overlapping pieces
@@ -121,7 +125,8 @@ def _folded(batches: Iterator[pa.RecordBatch], length: int, gram: int, crowded:
         code = mix(key + cls * U64(0x9E3779B97F4A7C15))
         order = np.lexsort((start, doc, code))
         same = np.zeros(len(order), dtype=bool)
-        same[1:] = code[order[1:]] == code[order[:-1]]
+        k, c = key[order], cls[order]  # both words: two segments with one code by chance stay apart
+        same[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
         rows = lambda some: tuple(x[some] for x in (key, cls, doc, start, count, after))
         return rows(order[~same]), rows(order[same])
 
@@ -281,14 +286,39 @@ def _sorted_repeats(length: int):
     return run
 
 
-def _repeats(texts: DataFrame, length: int, gram: int, crowd: float, least: int) -> DataFrame:
+def _windows(length: int):
+    """(key, doc, start, size, piece) to every window (window, doc, start) of the pieces."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, start, piece in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(4).to_pylist()):
+                n = len(piece) - length + 1
+                yield pa.RecordBatch.from_arrays([pa.array([piece[i:i + length] for i in range(n)], pa.binary()), pa.array(np.full(n, doc)),
+                                                  pa.array(np.arange(start, start + n))], names=["window", "doc", "start"])
+
+    return run
+
+
+def _equal_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """(doc, start, stop): windows of the pieces that an earlier one equals."""
+    windows = written(pieces.mapInArrow(_windows(length), "window binary, doc long, start long"), "crowded-windows")
+    first = windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    again = windows.join(first.select("window", "first"), "window").where(F.struct("doc", "start") != F.col("first"))
+    return again.select("doc", "start", (F.col("start") + length).alias("stop"))
+
+
+def _repeats(texts: DataFrame, length: int, gram: int, crowd: float, least: int, group: int) -> DataFrame:
     """(doc, start, stop): spans that cover exactly the bytes to remove."""
     found = _resolved(_dealt(texts, length, gram, _crowded(texts, length, gram, crowd, least)), length)
+    large = written(found.where("key is not null").groupBy("key").count().where(F.col("count") > group).select("key"), "crowded-anchors")
     asked = found.where("key is not null").withColumnRenamed("doc", "asked")
     piece = texts.join(asked, F.col("doc") == F.col("asked")).select(
         "key", "doc", "start", "size", F.substr("body", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int")).alias("piece"))
-    compared = piece.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(
+    crowded = bool(large.take(1))
+    few = piece.join(large, "key", "left_anti") if crowded else piece
+    compared = few.repartition("key").sortWithinPartitions("key", "doc", "start").mapInArrow(
         _sorted_repeats(length), "doc long, start long, stop long")
+    if crowded:
+        compared = compared.unionByName(_equal_windows(piece.join(large, "key", "left_semi"), length))
     return found.where("key is null").select("doc", "start", "stop").unionByName(compared)
 
 
@@ -311,12 +341,13 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_bytes(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: float = CROWD, least: int = CROWD_LEAST) -> DataFrame:
+def repeated_bytes(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: float = CROWD, least: int = CROWD_LEAST,
+                   group: int = GROUP) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256) of ``texts`` (doc long,
     body binary), whose ``doc`` is unique and gives the order."""
     # an inner join would add this to its own side only, and the two shuffles of the texts couldn't be one
     texts = texts.where("doc is not null")
-    spans = _repeats(texts, length, gram, crowd, least).groupBy("doc").agg(
+    spans = _repeats(texts, length, gram, crowd, least, group).groupBy("doc").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")).withColumnRenamed("doc", "of")
     joined = texts.join(spans, F.col("doc") == F.col("of"), "left").select("doc", "body", "spans")
     return joined.mapInArrow(_removed, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -54,6 +54,13 @@ def test_every_anchor_crowded(spark):
     check(spark, [f"{''.join(rng.choice('abc') for _ in range(80))}{line}{''.join(rng.choice('abc') for _ in range(80))}" for _ in range(60)], least=5)
 
 
+def test_large_groups_around_one_anchor(spark):
+    rng = random.Random(6)
+    assert any(w[1] for w in check(spark, made(rng, 50, "abcdef"), group=1))
+    line = "one line of more than thirty-two bytes, the same in all"
+    check(spark, [f"{rng.choice(['q' * 90, ''.join(rng.choice('abc') for _ in range(90))])}{line}{''.join(rng.choice('abc') for _ in range(90))}" for _ in range(60)], group=20)
+
+
 def test_odd_texts(spark):
     rng = random.Random(3)
     long = "".join(rng.choice("abcdefghij klmnop") for _ in range(60_000))
