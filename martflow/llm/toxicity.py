@@ -8,11 +8,10 @@ documents that have it.  Buckets whose
 ratio could be chance (likelihood ratio against the number of buckets seen)
 are left out.  Logistic regression with an L2 penalty weights the rest.
 
-The classifier is fitted on at most ``sample`` labelled documents of each
-class, of which copies and most near copies count once (they share the least
-hash of their n-grams), so a group of copies doesn't pass for a rule.  It
-weights at most ``FEATURES`` buckets.  Scoring reads whole texts of all
-documents and moves none of them.
+The classifier is fitted on at most ``sample`` labelled texts of each class.
+Copies (A-Z lower-cased) count once, and are folded before that bound is
+applied, so a group of copies takes one place in it and doesn't pass for a
+rule.  Scoring reads whole texts of all documents and moves none of them.
 """
 
 from __future__ import annotations
@@ -25,16 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martflow.llm.frames import written
-from martflow.llm.textops import SubstringHash, chunks, fill_text, lower, signed
+from martflow.llm.frames import digest, written
+from martflow.llm.textops import SubstringHash, chunks, fill_text, lower
 
 SIZES = (4, 6, 8)
 BITS = 20
 LEVELS = (1, 2, 4)           # a bucket is one feature for each number of occurrences it reaches
 WIDTH = 1 << (BITS + 2)
-SAMPLE = 10_000              # training documents of each class at most
-FEATURES = 5_000             # buckets that the classifier weights at most
+SAMPLE = 10_000              # training texts of each class at most
 THRESHOLD = 0.7
+CHUNK = 1 << 20              # entries of the training matrix worked on at once
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,9 +113,8 @@ def bucket_counts(sample: DataFrame) -> DataFrame:
     return counts.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def log_ratios(counts: DataFrame, n_toxic: int, n_other: int, features: int = FEATURES) -> DataFrame:
-    """(bucket, ratio): log-count ratios of the buckets that are hardly chance,
-    the ``features`` clearest at most."""
+def log_ratios(counts: DataFrame, n_toxic: int, n_other: int) -> DataFrame:
+    """(bucket, ratio): log-count ratios of the buckets that are hardly chance."""
     seen = counts.count()
     if not seen or not n_toxic or not n_other:
         return counts.limit(0).select("bucket", F.lit(0.0).alias("ratio"))
@@ -128,29 +126,55 @@ def log_ratios(counts: DataFrame, n_toxic: int, n_other: int, features: int = FE
         return k * F.log(F.greatest(k, F.lit(1e-9)) / F.greatest(expected, F.lit(1e-9)))
 
     g = 2 * (part(t, n_toxic * both) + part(n_toxic - t, n_toxic * (1 - both)) + part(o, n_other * both) + part(n_other - o, n_other * (1 - both)))
-    clear = counts.select("bucket", ratio.alias("ratio"), g.alias("g")).where(F.col("g") >= 2 * math.log(seen) + 4)
-    return clear.orderBy(F.desc("g"), "bucket").limit(features).select("bucket", "ratio")
+    return counts.where(g >= 2 * math.log(seen) + 4).select("bucket", ratio.alias("ratio"))
+
+
+class _Sums:
+    """Sums over the entries of a sparse matrix by row or by column: entries
+    sorted by ``by`` once, then added up a piece at a time."""
+
+    def __init__(self, by: np.ndarray, other: np.ndarray, value: np.ndarray, size: int):
+        order = np.argsort(by, kind="stable") if (np.diff(by) < 0).any() else slice(None)
+        by, self.other, self.value, self.size = by[order], other[order], value[order], size
+        self.starts = np.flatnonzero(np.diff(by, prepend=-1))
+        self.of = by[self.starts]
+        # pieces of whole groups of about CHUNK entries
+        self.cuts = np.unique(np.append(np.searchsorted(self.starts, np.arange(0, len(by), CHUNK)), len(self.starts)))
+
+    def __call__(self, factors: np.ndarray | None) -> np.ndarray:
+        """Per group, the sum of value * factors[other] (None: of value squared)."""
+        out = np.zeros(self.size)
+        ends = np.append(self.starts, len(self.value))
+        for a, e in zip(self.cuts[:-1], self.cuts[1:]):
+            part = slice(ends[a], ends[e])
+            value = self.value[part].astype(float)
+            out[self.of[a:e]] = np.add.reduceat(value * (value if factors is None else factors[self.other[part]]), self.starts[a:e] - ends[a])
+        return out
 
 
 def regress(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, n_features: int,
-            penalty: float = 1.0, rounds: int = 500) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient steps."""
+            penalty: float = 1.0, rounds: int = 500, tolerance: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression by accelerated gradient steps, until no weight
+    changes by more than ``tolerance`` of the largest one."""
     n = max(len(label), 1)
     # both classes weigh the same
     toxic = label.mean() if len(label) else 0.0
     each = np.where(label > 0, 0.5 / toxic, 0.5 / (1 - toxic)) if 0 < toxic < 1 else np.ones(len(label))
     w, bias = np.zeros(n_features), 0.0
     ahead, ahead_bias, t = w, bias, 1.0
+    by_row, by_feature = _Sums(row, feature, value, n), _Sums(feature, row, value, n_features)
     # the curvature is at most a quarter of the mean squared length of a row
-    step = 4 / (np.average(1 + np.bincount(row, value ** 2, minlength=n), weights=each) + penalty / n)
+    step = 4 / (np.average(1 + by_row(None), weights=each if len(label) else None) + penalty / n)
     for _ in range(rounds):
-        z = ahead_bias + np.bincount(row, ahead[feature] * value, minlength=n)
-        off = each * (1 / (1 + np.exp(-np.clip(z, -700, 700))) - label)
-        new = ahead - step * (np.bincount(feature, value * off[row], minlength=n_features) + penalty * ahead) / n
+        off = each * (1 / (1 + np.exp(-np.clip(ahead_bias + by_row(ahead), -700, 700))) - label)
+        new = ahead - step * (by_feature(off) + penalty * ahead) / n
         new_bias = ahead_bias - step * off.sum() / n
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, ahead_bias = new + (t - 1) / after * (new - w), new_bias + (t - 1) / after * (new_bias - bias)
+        still = len(new) == 0 or np.abs(new - w).max() <= tolerance * np.abs(new).max()
         w, bias, t = new, new_bias, after
+        if still:
+            break
     return w, float(bias)
 
 
@@ -165,27 +189,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id
     are toxic if one is."""
     ids = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("sample_id")).agg(
         (F.max(label_col) > 0).alias("toxic")).where(~held_out(F.col("sample_id")))
+    rows = docs.select(F.col(id_col).cast("long").alias("sample_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # one id per class and text, from narrow rows; the same text in both classes stands in both
+    named = rows.select("sample_id", digest(low).alias("copy")).join(ids, "sample_id")
+    texts = written(named.groupBy("toxic", "copy").agg(F.min("sample_id").alias("sample_id")), "labelled-texts")
     order = F.xxhash64("sample_id")
-    some = ids.where("toxic").orderBy(order, "sample_id").limit(sample).unionByName(
-        ids.where("not toxic").orderBy(order, "sample_id").limit(sample))
-    rows = docs.select(F.col(id_col).cast("long").alias("sample_id"), F.col(text_col).alias("text"))
-    # at most 2 * sample ids
-    found = rows.join(F.broadcast(some), "sample_id").select("text", "toxic")
-    return written(found.mapInArrow(_signed, "text string, toxic boolean, signature long").groupBy("toxic", "signature").agg(
-        F.min("text").alias("text")).select("text", "toxic"), "labelled")
-
-
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n = max(SIZES) + 6
-    for b in batches:
-        texts = fill_text(b.column(0))
-        for lo, hi, data, offsets in chunks(texts):
-            hashes = SubstringHash(lower(data))
-            # the least n-gram of a text, or a shorter text itself
-            least = [hashes.of(np.array([a]), np.array([e])).min() if e - a < n else hashes.of(np.arange(a, e - n + 1), np.arange(a + n, e + 1)).min()
-                     for a, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([texts.slice(lo, hi - lo).cast(pa.string()), b.column(1).slice(lo, hi - lo),
-                                              pa.array(signed(np.array(least, dtype=np.uint64)))], names=["text", "toxic", "signature"])
+    some = texts.where("toxic").orderBy(order, "sample_id").limit(sample).unionByName(
+        texts.where("not toxic").orderBy(order, "sample_id").limit(sample))
+    # at most 2 * sample ids; a repeated id may have other texts
+    found = rows.join(F.broadcast(some), "sample_id").where(digest(low) == F.col("copy"))
+    return written(found.groupBy("toxic", "copy").agg(F.min("text").alias("text")).select("text", "toxic"), "labelled")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns) -> Model:
@@ -194,8 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns) ->
     rows = training_sample(docs, labels, sample, **columns)
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     counts = written(bucket_counts(rows), "buckets")
-    clear = log_ratios(counts, sizes.get(True, 0), sizes.get(False, 0)).orderBy("bucket").collect()  # at most FEATURES rows
-    features, ratios = np.array([r.bucket for r in clear], dtype=np.int64), np.array([r.ratio for r in clear], dtype=np.float32)
+    clear = log_ratios(counts, sizes.get(True, 0), sizes.get(False, 0)).orderBy("bucket").toPandas()  # at most WIDTH rows
+    features, ratios = clear["bucket"].to_numpy(np.int64), clear["ratio"].to_numpy(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _by_feature(*sent.value) != 0
@@ -205,18 +219,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns) ->
                 row, bucket = _present(data, offsets, wanted)
                 row, bucket = row[known[bucket]], bucket[known[bucket]]
                 cuts = np.searchsorted(row, np.arange(hi - lo + 1))
-                held = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), held], names=["toxic", "held"])
+                held = [bucket[a:e].astype("<i4").tobytes() for a, e in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), pa.array(held, pa.binary())], names=["toxic", "held"])
 
     sent = docs.sparkSession.sparkContext.broadcast((features, ratios))
-    found = rows.mapInArrow(run, "toxic boolean, held array<int>").collect()  # at most 2 * sample rows
+    # at most 2 * sample rows of packed buckets, in a defined order, so that
+    # sums of doubles are the same in every run
+    found = rows.mapInArrow(run, "toxic boolean, held binary").collect()
     if not found:
         return Model(features[:0], ratios[:0], 0.0)
-    # in a defined order, so that sums of doubles are the same in every run
     found.sort(key=lambda x: (x.toxic, x.held))
-    at = np.searchsorted(features, np.array([b for x in found for b in x.held], dtype=np.int64))
-    row = np.repeat(np.arange(len(found)), [len(x.held) for x in found])
-    w, bias = regress(row, at, ratios[at].astype(float), np.array([x.toxic for x in found], dtype=float), len(features))
+    at = np.concatenate([np.searchsorted(features, np.frombuffer(x.held, dtype="<i4")).astype(np.int32) for x in found])
+    row = np.repeat(np.arange(len(found), dtype=np.int32), [len(x.held) // 4 for x in found])
+    label = np.array([x.toxic for x in found], dtype=float)
+    del found
+    w, bias = regress(row, at, ratios[at], label, len(features))
     return Model(features, (w * ratios).astype(np.float32), bias)
 
 

@@ -75,11 +75,77 @@ def test_ratios_and_regression(spark):
     counts = spark.createDataFrame([(3, 40, 0), (5, 10, 10), (9, 1, 30)], "bucket long, toxic long, other long")
     r = {x.bucket: x.ratio for x in X.log_ratios(counts, 50, 50).collect()}
     assert set(r) == {3, 9} and r[3] > 2 and r[9] < -2
-    assert [x.bucket for x in X.log_ratios(counts, 50, 50, features=1).collect()] == [3]
     w, bias = X.regress(np.array([0, 1]), np.array([0, 0]), np.array([1.0, 1.0]), np.array([1.0, 1.0, 0.0, 0.0]), 1, penalty=0.01)
     assert w[0] > 1 and bias < 0
 
 
+def _mixed(h, m):
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 & m
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB & m
+    return h ^ h >> 31
+
+
+def plain_features(text, memo):
+    """Level and bucket of every n-gram of a text, reached by its count there."""
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    times = {}
+    for n in X.SIZES:
+        for i in range(len(raw) - n + 1):
+            g = raw[i:i + n]
+            if g not in memo:
+                m = (1 << 64) - 1
+                memo[g] = _mixed((sum(int(X.SubstringHash.VALUES[b]) * pow(X.SubstringHash.BASE, k, 1 << 64) for k, b in enumerate(g)) + n) & m, m) >> 64 - X.BITS
+            times[memo[g]] = times.get(memo[g], 0) + 1
+    return {level << X.BITS | b for b, n in times.items() for level, least in enumerate(X.LEVELS) if n >= least}
+
+
+def plain_scores(docs, labels):
+    """docs: id -> text; labels: id -> toxic -> id -> score."""
+    memo, seen = {}, {}
+    for i in sorted(labels):
+        if i in docs and zlib.crc32(str(i).encode()) % 3 != 1:
+            seen.setdefault((bool(labels[i]), bytes(b + 32 if 65 <= b <= 90 else b for b in (docs[i] or "").encode())), i)
+    train = [(toxic, plain_features(docs[i], memo)) for (toxic, _), i in seen.items()]
+    sizes = [sum(1 for t, _ in train if t == side) for side in (False, True)]
+    counts = {}
+    for toxic, held in train:
+        for f in held:
+            counts.setdefault(f, [0, 0])[toxic] += 1
+
+    def part(k, expected):
+        return k * np.log(max(k, 1e-9) / max(expected, 1e-9))
+
+    ratio = {}
+    for f, (o, t) in counts.items():
+        both = (t + o) / sum(sizes)
+        g = 2 * (part(t, sizes[1] * both) + part(sizes[1] - t, sizes[1] * (1 - both)) + part(o, sizes[0] * both) + part(sizes[0] - o, sizes[0] * (1 - both)))
+        if g >= 2 * np.log(len(counts)) + 4:
+            ratio[f] = np.float32(np.log((t + 1) / (sizes[1] + 2)) - np.log((o + 1) / (sizes[0] + 2)))
+    features = sorted(ratio)
+    place = {f: j for j, f in enumerate(features)}
+    value = np.array([ratio[f] for f in features], dtype=float)
+    held = [sorted(place[f] for f in fs if f in place) for _, fs in train]
+    row, at = np.repeat(np.arange(len(train)), [len(h) for h in held]), np.array([j for h in held for j in h], dtype=int)
+    w, bias = X.regress(row, at, value[at], np.array([t for t, _ in train], dtype=float), len(features))
+    return {i: 1 / (1 + np.exp(-(bias + sum(w[place[f]] * ratio[f] for f in plain_features(t, memo) if f in place)))) for i, t in docs.items()}
+
+
+def test_query_against_plain_counts_and_scores(spark, tmp_path):
+    # a part of sf0.01 with labels of both classes
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    some = {i: t for i, t in docs.items() if i in labels and len(t or "") < 3000}
+    spark.createDataFrame(list(some.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, labels[i]) for i in some], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = plain_scores(some, {i: labels[i] for i in some})
+    got = {r.doc_id: r for r in QUERIES["op7_toxicity"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(want) and len({round(x, 3) for x in want.values()}) > 10
+    for i, x in want.items():
+        assert abs(got[i].score - x) < 1e-4 and got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+
+
 def test_query(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     rows = QUERIES["op7_toxicity"](spark, sf_small).collect()
