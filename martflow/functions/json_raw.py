@@ -2,8 +2,9 @@
 
 Spark's own readers go through numbers (``8268.70`` becomes ``8268.7``, long
 ones are rounded), and a pattern over the whole text can't tell a key from
-the same key deeper down or inside a string.  Here the document is cut into
-tokens and folded once, keeping track of depth and strings; the fold is made
+the same key deeper down or inside a string.  Here a document without
+nested values is cut into its members by one pattern; any other is cut into
+tokens and folded once, keeping track of depth and strings.  Both are made
 of built-in expressions.
 """
 
@@ -14,6 +15,16 @@ from pyspark.sql import Column, functions as F
 # an escape, a quote, a bracket or separator, or a stretch of anything else
 _TOKENS = r'\\.|"|[{}\[\],:]|[^\\"{}\[\],:]++'
 
+# a member whose value is a string, a number or a word, and a document of such
+# members only.  Every loop is possessive: a long text is matched without going
+# back and without recursion.
+_WS = r"[ \t\r\n]*+"
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_PLAIN = rf"""(?:{_STRING}|[^ \t\r\n"'\\{{}}\[\],:]++)"""
+_MEMBER = f"({_STRING}){_WS}:{_WS}({_PLAIN})"
+_PAIR = f"{_STRING}{_WS}:{_WS}{_PLAIN}{_WS}"
+_FLAT = rf"\A{_WS}\{{{_WS}(?:{_PAIR}(?:,{_WS}{_PAIR})*+)?+\}}{_WS}\z"
+
 _MEMBERS = r"""
 transform(aggregate(
   regexp_extract_all(cast({doc} as string), '{tokens}', 0),
@@ -27,8 +38,9 @@ transform(aggregate(
     'members', if({ends}, concat(s.members, array(named_struct('key', s.key, 'raw', trim(BOTH ' \t\r\n' FROM s.raw)))), s.members)
   ),
   s -> s.members
-), m -> named_struct('key', {key}, 'text', case when m.raw = 'null' then null when left(m.raw, 1) = '"' then {raw} else m.raw end))
+), m -> {member})
 """
+_TEXTS = r"""named_struct('key', {key}, 'text', case when {r} = 'null' then null when left({r}, 1) = '"' then {raw} else {r} end)"""
 _ENDS = "(s.depth = 1 and s.value and not s.quoted and t in (',', '}'))"
 # the text of a JSON string; only one with escapes goes through the parser
 _UNQUOTED = r"if(contains({0}, '\\'), from_json(concat('[', {0}, ']'), 'array<string>')[0], substring({0}, 2, length({0}) - 2))"
@@ -39,8 +51,14 @@ def json_members(doc: str) -> Column:
     (key, text): strings without quotes and escapes, other values as written,
     JSON null as NULL.  A text that holds no object has no members; NULL stays
     NULL."""
-    return F.expr(_MEMBERS.format(doc=f"`{doc}`", tokens=_TOKENS.replace("\\", "\\\\"), ends=_ENDS, key=_UNQUOTED.format("m.key"),
-                                  raw=_UNQUOTED.format("m.raw")))
+    def texts(k: str, r: str) -> str:
+        return _TEXTS.format(r=r, key=_UNQUOTED.format(k), raw=_UNQUOTED.format(r))
+
+    text = F.col(f"`{doc}`").cast("string")
+    keys, raws = (F.regexp_extract_all(text, F.lit(_MEMBER), F.lit(i)) for i in (1, 2))
+    flat = F.call_function("zip_with", keys, raws, F.expr(f"(k, r) -> {texts('k', 'r')}"))
+    nested = F.expr(_MEMBERS.format(doc=f"`{doc}`", tokens=_TOKENS.replace("\\", "\\\\"), ends=_ENDS, member=texts("m.key", "m.raw")))
+    return F.when(text.rlike(_FLAT), flat).otherwise(nested)
 
 
 def member_text(members: Column, key: str) -> Column:
@@ -52,7 +70,8 @@ def member_text(members: Column, key: str) -> Column:
 def is_json(doc: str) -> Column:
     """Whether the text in column ``doc`` is one JSON object; NULL isn't."""
     parsed = F.from_json(F.col(f"`{doc}`"), "_mf_broken string", {"columnNameOfCorruptRecord": "_mf_broken"})
-    return parsed.isNotNull() & parsed["_mf_broken"].isNull()
+    # one comparison, so that the text is parsed once
+    return parsed.eqNullSafe(F.struct(F.lit(None).cast("string").alias("_mf_broken")))
 
 
 def checked_members(doc: str) -> Column:

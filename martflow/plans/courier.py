@@ -60,8 +60,8 @@ def _deliveries(staged: DataFrame, *fields: str) -> DataFrame:
     object or has no delivery_id stops the load, as it must not become a
     delivery full of NULLs (:func:`split_deliveries` sets such rows aside)."""
     d = json_fields(staged, ["delivery_id", *fields])
-    key = F.when(F.col("delivery_id").isNull(), F.raise_error(F.concat(F.lit("delivery without delivery_id: "), F.col("object_id"))))
-    return d.withColumn("delivery_id", key.otherwise(F.col("delivery_id")))
+    missing = F.raise_error(F.concat(F.lit("delivery without delivery_id: "), F.col("object_id"))).cast("string")
+    return d.withColumn("delivery_id", F.coalesce("delivery_id", missing))
 
 
 def split_deliveries(staged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -103,6 +103,25 @@ def test_json_text_is_the_outermost_value_as_written(spark):
     assert {r[0]: list(r)[1:] for r in df.collect()} == DOCS | {None: [None] * 8}
 
 
+FLAT_DOCS = {
+    '{"a" : 8268.70 ,\n "b":"x, }{\\"b\\": 1"}': ["8268.70", 'x, }{"b": 1'],
+    ' { } ': [None, None],
+    '{"a":1,"a":null,"b":0012e5}': None,  # no JSON
+    '{"\\u0061":"it\'s","b":true}': ["it's", "true"],
+    '{"a":"' + 'x\\"' * 20_000 + '","b":-0.10}': ['x"' * 20_000, "-0.10"],
+    '{"a":1,"a":2}': ["2", None],
+    '{"a":[1, {"a": 5}],"b":"["}': ['[1, {"a": 5}]', "["],
+}
+
+
+def test_documents_without_nested_values_are_cut_by_one_pattern(spark):
+    from martflow.functions.json_raw import is_json, json_members, json_text
+    assert "rlike" in str(json_members("v")).lower()
+    df = spark.createDataFrame([(d,) for d in FLAT_DOCS], "v string")
+    good = df.filter(is_json("v")).select("v", json_text("v", "a"), json_text("v", "b"))
+    assert {r[0]: list(r)[1:] for r in good.collect()} == {k: v for k, v in FLAT_DOCS.items() if v}
+
+
 def test_broken_documents_stop_the_load_or_go_aside(spark):
     import pytest
     from martflow.plans import courier as C
