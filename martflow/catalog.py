@@ -375,10 +375,10 @@ def q_append_with_defaults(spark, sf):
 def q_replace_slice(spark, sf):
     """K4: stage written per day with a stale copy of the latest day, then
     that day's slice is replaced by the fresh increment."""
-    from martflow.operators.tables import read_slices, write_slices
+    from martflow.operators.tables import publish, read_slices, write_slices
     from martflow.plans.sales import day_of
     from martflow.session import scratch_path
-    stage = _feed(spark, sf).withColumn("day", day_of())
+    stage = publish(_feed(spark, sf).withColumn("day", day_of()), "feed")
     last_day = stage.agg(F.max("day")).first()[0]
     stale = stage.withColumn("quantity", F.when(F.col("day") == last_day, F.col("quantity") * 2)
                              .otherwise(F.col("quantity")))
