@@ -121,10 +121,12 @@ def v_shipping(t: Tables) -> DataFrame:
 def v_feed(t: Tables) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ part -> stage.user_orders_log."""
     li, o, c, p = t.lineitem, t.orders, t.customer, t.part
+    # the customers join the orders, which are fewer than the lines: lines are
+    # shuffled by part and by order only, and without the customers' columns
+    ordered = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "o_custkey", "c_mktsegment", "c_name")
     return (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, o.o_custkey == c.c_custkey)
-        .join(p, li.l_partkey == p.p_partkey)
+        li.join(p, li.l_partkey == p.p_partkey)
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("o_orderdate").alias("date_time"),
             F.col("l_suppkey").cast("int").alias("city_id"),

@@ -52,24 +52,33 @@ def latest_item_names(stage: DataFrame) -> DataFrame:
 
 def d_item(stage: DataFrame, start_id: int = 1) -> DataFrame:
     """M11 intended: one row per item with its latest name; ids follow item_id (O1)."""
-    return assign_keys(latest_item_names(stage), ["item_id"], start=start_id, key="id").select(
-        "id", "item_id", "item_name")
+    return _numbered(latest_item_names(stage), start_id)
+
+
+def _numbered(names: DataFrame, start_id: int) -> DataFrame:
+    return assign_keys(names, ["item_id"], start=start_id, key="id").select("id", "item_id", "item_name")
 
 
 def new_items(existing: DataFrame, increment: DataFrame) -> DataFrame:
     """M11 on increments: items NOT IN the dim, with their latest name and ids
     after the largest one, so stored ids never change."""
-    fresh = not_in(increment, "item_id", existing, "item_id")
+    return _new_names(existing, latest_item_names(increment))
+
+
+def _new_names(existing: DataFrame, names: DataFrame) -> DataFrame:
+    """The items among ``names`` (one row per item) that the dim lacks, numbered."""
+    fresh = not_in(names, "item_id", existing, "item_id")
     top = existing.agg(F.max("id")).first()[0] or 0
-    return d_item(fresh, start_id=top + 1)
+    return _numbered(fresh, top + 1)
 
 
 def d_item_increment(existing: DataFrame, increment: DataFrame) -> DataFrame:
     """The dim after an increment: new items appended, names of the
     stored ones renewed where the increment has the item."""
-    from martflow.operators.tables import update_from_lookup
-    renamed = update_from_lookup(existing, latest_item_names(increment), "item_id", "item_name")
-    return renamed.unionByName(new_items(existing, increment))
+    from martflow.operators.tables import publish, update_from_lookup
+    names = publish(latest_item_names(increment), "item_names")  # the increment is read once
+    renamed = update_from_lookup(existing, names, "item_id", "item_name")
+    return renamed.unionByName(_new_names(existing, names))
 
 
 def last_value_default_frame(stage: DataFrame) -> DataFrame:
