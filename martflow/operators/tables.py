@@ -45,13 +45,16 @@ def replace_slice(target: DataFrame, increment: DataFrame, slice_col: Column, sl
     return keep.unionByName(increment.filter(slice_col.isin(*wanted)))
 
 
-def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str] | None = None) -> None:
+def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str] | None = None,
+                 clustered: bool = False) -> None:
     """K4 physical writer: dynamic partition overwrite of ``slice_col`` values.
 
     Only the partitions present in ``df`` are replaced.  A requested slice with
     no incoming rows is removed explicitly, because dynamic overwrite would
     leave the old day in place.  Which slices have rows is noted by the write
-    itself, one bit for each, so no folder is listed.
+    itself, one bit for each, so no folder is listed.  ``clustered`` says that
+    each slice of ``df`` lies in few partitions (:func:`by_slice`): its rows
+    are not shuffled again.
     """
     spark, columns = df.sparkSession, df.columns
     wanted = [str(s) for s in slices or ()]
@@ -62,9 +65,7 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
         df = df.join(F.broadcast(listed), F.col(slice_col).cast("string") == F.col("_mf_slice"), "left")
         df = df.observe(seen, *[F.bitmap_construct_agg(F.when(F.col("_mf_no").between(lo, lo + BITS - 1), F.col("_mf_no") - lo)).alias(f"b{lo}")
                                 for lo in range(0, len(wanted), BITS)]).select(*columns)
-    # REBALANCE clusters each slice into few files; AQE still splits a hot slice
-    (df.hint("rebalance", slice_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(slice_col).parquet(path))
+    (df if clustered else by_slice(df, slice_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_col).parquet(path)
     if wanted:
         bits = _noted(seen, df)
         for i, name in enumerate(wanted):
@@ -72,6 +73,24 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
                 _remove_partition(spark, f"{path}/{slice_col}={name}")
 
 
+def by_slice(df: DataFrame, slice_col: str) -> DataFrame:
+    """REBALANCE clusters each slice into few partitions; AQE still splits a hot slice."""
+    return df.hint("rebalance", slice_col)
+
+
+def differing(a: DataFrame, b: DataFrame) -> int:
+    """Rows of one frame that the other lacks, copies counted (both EXCEPT ALL
+    added up), from one grouping of the rows of both.  Rows are told apart by
+    the SHA-256 of all their values, each with its length, so that wide rows
+    aren't shuffled; no two texts with the same one are known."""
+    values = [F.col(c).cast("string") for c in a.columns]
+    text = F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("null,")) for v in values])
+    row = F.unhex(F.sha2(text, 256)).alias("_mf_row")
+    both = a.select(row, F.lit(1).alias("_mf_n")).unionByName(b.select(row, F.lit(-1).alias("_mf_n")))
+    per_row = both.groupBy("_mf_row").agg(F.sum("_mf_n").alias("_mf_n"))
+    return per_row.agg(F.sum(F.abs("_mf_n"))).first()[0] or 0
+
+
 def _noted(seen: Observation, df: DataFrame) -> dict:
     """The metrics; Spark drops them from a plan that it knows to be empty."""
     try:

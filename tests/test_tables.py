@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+from decimal import Decimal as D
+
 from pyspark.sql import functions as F
 
-from martflow.operators.tables import (close_missing, delete_where_in, insert_if_absent, not_in, open_validity,
+from martflow.operators.tables import (by_slice, close_missing, delete_where_in, differing, insert_if_absent, not_in, open_validity,
                                        read_slices, replace_slice, update_from_lookup, upsert, versioned_upsert,
                                        write_slices)
 from martflow.session import scratch_path
@@ -104,6 +106,24 @@ def test_replace_slice_idempotent_and_empty_increment(spark):
     assert rows(replace_slice(target, empty, F.col("day"), ["d2"])) == [("d1", 1)]
 
 
+def test_differing_counts_rows_and_copies_as_except_all(spark):
+    ddl = "a string, b string, t timestamp_ntz, n decimal(9,2), day string"
+    t = dt.datetime(2024, 1, 1, 5, 6, 7, 8)
+    a = [("x", None, T0, 1, "d"), ("x", None, T0, 1, "d"), (None, "x", T0, 1, "d"), ("1:a", "", t, None, "d"), ("n", "null,", None, 2, "e")]
+    b = [("x", None, T0, 1, "d"), (None, "x", T0, 1, "d"), ("1:a", "", t.replace(microsecond=9), None, "d"), ("nnull,", None, None, 2, "e")]
+    a, b = (spark.createDataFrame([(*r[:3], None if r[3] is None else D(r[3]), r[4]) for r in x], ddl) for x in (a, b))
+    assert differing(a, b) == a.exceptAll(b).unionByName(b.exceptAll(a)).count() == 5
+    assert differing(a, a) == differing(a.limit(0), b.limit(0)) == 0
+
+
+def test_clustered_slices_are_written_without_another_shuffle(spark):
+    df = by_slice(spark.createDataFrame([(f"d{i % 3}", i) for i in range(30)], "day string, v int"), "day")
+    path, again = scratch_path(spark, "t_cluster"), scratch_path(spark, "t_cluster")
+    write_slices(df, path, "day", ["d0", "d1", "d2", "d3"], clustered=True)
+    write_slices(df, again, "day")
+    assert rows(read_slices(spark, path, "day"), "day", "v") == rows(read_slices(spark, again, "day"), "day", "v") == rows(df)
+
+
 def test_write_slices_dynamic_overwrite_and_empty_day(spark):
     path = scratch_path(spark, "test_slices")
     base = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)], "day string, v int")
