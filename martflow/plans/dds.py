@@ -139,6 +139,13 @@ def payment_docs(payment_events: DataFrame) -> DataFrame:
     return parsed.select("event_id", F.col("d.order_id").alias("order_key"), "d.product_payments")
 
 
+def parsed_once(docs: DataFrame, name: str) -> DataFrame:
+    """Parsed events written for their several readers, without the product
+    names, which no fact has."""
+    from martflow.operators.tables import publish
+    return publish(docs.withColumn("product_payments", F.transform("product_payments", lambda p: p.dropFields("product_name"))), name)
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """One row per product line of the parsed events."""
     return docs.select("event_id", "order_key", F.inline("product_payments"))
@@ -260,7 +267,8 @@ class DdsRun:
         prod_b = since("products", staged["restaurants"])
         t["dm_products"] = add_members("dm_products", menu_items(prod_b, t["dm_restaurants"]), ["product_id", "restaurant_id"])
 
-        ord_b = since("orders", staged["orders"])
+        # new orders and events are written once: each has several readers
+        ord_b = publish(since("orders", staged["orders"]), "orders_new")
         t["dm_timestamps"] = add_members("dm_timestamps", order_times(ord_b), ["ts"])
 
         todo = parse_orders(ord_b)
@@ -271,10 +279,10 @@ class DdsRun:
         t["dm_orders"] = add_members("dm_orders", o, ["order_key"])
 
         # facts: new events plus the ones still waiting from earlier runs
-        ev_new = since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION))
-        ev_todo = publish(ev_new.unionByName(spark.read.parquet(f"{before}/pending_events")) if last else ev_new, "events_todo")
+        ev_new = publish(since("facts", staged["events"].filter(F.col("event_type") == EVENT_BONUS_TRANSACTION)), "events_new")
+        ev_todo = ev_new.unionByName(spark.read.parquet(f"{before}/pending_events")) if last else ev_new
         # parsed once for the facts, for the known orders and for the unknown products
-        docs = publish(payment_docs(ev_todo), "events_parsed")
+        docs = parsed_once(payment_docs(ev_todo), "events_parsed")
         facts = facts_of(lines_of(docs), t["dm_products"], t["dm_orders"])
         old = stored("fct_product_sales")
         first = ev_todo.agg(F.min("id")).first()[0]
