@@ -81,8 +81,9 @@ def by_slice(df: DataFrame, slice_col: str) -> DataFrame:
 def differing(a: DataFrame, b: DataFrame) -> int:
     """Rows of one frame that the other lacks, copies counted (both EXCEPT ALL
     added up), from one grouping of the rows of both.  Rows are told apart by
-    the SHA-256 of all their values, each with its length, so that wide rows
-    aren't shuffled; no two texts with the same one are known."""
+    the SHA-256 of all their values as text, each with its length, so that wide
+    rows aren't shuffled; no two texts with the same one are known.  For columns
+    of plain types; floats are told apart by how they are written."""
     values = [F.col(c).cast("string") for c in a.columns]
     text = F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("null,")) for v in values])
     row = F.unhex(F.sha2(text, 256)).alias("_mf_row")
