@@ -262,28 +262,23 @@ def v_payment_events(t: Tables) -> DataFrame:
     lines-per-order limit), sorted by line number.
     """
     li, o, p = t.lineitem, t.orders, t.part
+    # lines travel to their parts and orders with the columns read; what is derived is made there
     line = li.join(p, li.l_partkey == p.p_partkey).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "p_name",
-        _money("p_retailprice").alias("price"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
-    )
-    cost = F.col("price") * F.col("quantity")
-    bonus = cost * F.col("disc")
-    line = line.select(
-        "l_orderkey", "l_linenumber", "l_partkey",
-        F.struct(
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("price"),
-            F.col("quantity"),
-            cost.cast(MONEY).alias("product_cost"),
-            bonus.cast(MONEY).alias("bonus_payment"),
-            ((cost - bonus) * F.lit(BONUS_GRANT_RATE).cast("decimal(3,2)")).cast(MONEY).alias("bonus_grant"),
-        ).alias("pp"),
-    )
+        "l_orderkey", "l_linenumber", "l_partkey", "p_name", "p_retailprice", "l_quantity", "l_discount").repartition("l_orderkey")
+    price, quantity, disc = _money("p_retailprice"), F.col("l_quantity").cast("int"), F.col("l_discount").cast("decimal(4,2)")
+    cost = price * quantity
+    bonus = cost * disc
+    payment = F.struct(
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        price.alias("price"),
+        quantity.alias("quantity"),
+        cost.cast(MONEY).alias("product_cost"),
+        bonus.cast(MONEY).alias("bonus_payment"),
+        ((cost - bonus) * F.lit(BONUS_GRANT_RATE).cast("decimal(3,2)")).cast(MONEY).alias("bonus_grant"),
+    ).alias("pp")
     per_order = line.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "pp"))).alias("pps"))
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", payment))).alias("pps"))
     return per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").alias("event_ts"),

@@ -668,20 +668,18 @@ def q_dm_orders_versions(spark, sf):
 def q_dds_two_runs(spark, sf):
     """The earlier and the later half of the orders and events in two
     runs that share only a folder; the fact by natural keys."""
-    from martflow.plans.dds import DdsRun
+    from martflow.plans.dds import DdsRun, by_natural_keys
     from martflow.session import scratch_path
     t = Tables(spark, sf)
     orders, events = A.v_order_docs(t), A.v_payment_events(t)
     cut = t.orders.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
     fixed = {"users": A.v_user_docs(t).withColumn("id", F.col("object_id").cast("long")), "restaurants": A.v_rest_docs(t, min_acctbal=None)}
     base = scratch_path(spark, "dds")
-    DdsRun(spark, fixed | {"orders": orders.filter(F.col("id") > cut), "events": events.filter(F.col("id") <= cut)}, base)
+    DdsRun(spark, fixed | {"orders": orders.filter(F.col("id") > cut), "events": events.filter(F.col("id") <= cut)}, base, clustered=True)
     late = orders.filter(F.col("id") <= cut).withColumn("id", F.col("id") + 1_000_000_000)
-    run = DdsRun(spark, fixed | {"orders": orders.unionByName(late), "events": events}, base)
+    run = DdsRun(spark, fixed | {"orders": orders.unionByName(late), "events": events}, base, clustered=True)
     x = run.tables
-    return (x["fct_product_sales"].join(x["dm_products"].select(F.col("id").alias("product_id"), F.col("product_id").alias("product_key")), "product_id")
-            .join(x["dm_orders"].select(F.col("id").alias("order_id"), "order_key"), "order_id")
-            .select("event_id", "order_key", "product_key", "count", "price", "total_sum", "bonus_payment", "bonus_grant"))
+    return by_natural_keys(x["fct_product_sales"], x["dm_products"], x["dm_orders"], run.buckets)
 
 
 @query("fct_product_sales")

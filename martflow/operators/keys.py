@@ -42,7 +42,7 @@ def assign_keys(df: DataFrame, order: OrderSpec, start: int = 1, key: str = "id"
     # column) and the numbering pass read the same rows, and a lost executor
     # re-reads files instead of re-sampling the ranges.
     path = scratch_path(df.sparkSession, "keys")
-    ranged.write.parquet(path)
+    ranged.write.option("compression", "zstd").parquet(path)
     ranged = df.sparkSession.read.parquet(path)
     # one row per partition (a bounded set): turn counts into start offsets
     counts = dict((r[0], r[1]) for r in ranged.groupBy("_mf_pid").agg(F.count(F.lit(1))).collect())

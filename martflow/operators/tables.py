@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -376,16 +377,60 @@ def versioned_upsert(dim: DataFrame, source: DataFrame, key: str, attrs: Sequenc
 # ---------------------------------------------------------------- publish
 
 
-def publish(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+def publish(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+            buckets: tuple[str, int | None] | None = None, compression: str | None = None) -> DataFrame:
     """Write a new snapshot under the shared folder and return it re-read.
 
     Writing to a fresh path avoids overwriting a table that the plan still
     reads; the re-read frame has a short lineage (a task retry re-reads files).
+    ``buckets`` (column, number) stores it as :func:`append_hashed` does; without a
+    number it isn't applied.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if buckets and buckets[1]:
+        return append_hashed(df, path, *buckets)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- hashed tables
+
+
+DENSE = "compression 'zstd', `parquet.compression.codec.zstd.level` '9'"
+
+
+@contextmanager
+def _in_catalog(spark: SparkSession, path: str, schema: StructType, key: str, n: int) -> Iterator[str]:
+    """The folder under a name, as Spark takes buckets from its catalog only;
+    the name goes afterwards, the files and the frames read by it stay."""
+    name = f"spark_catalog.default.martflow_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS ({DENSE}) CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{path}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def append_hashed(df: DataFrame, path: str, key: str, n: int, overwrite: bool = False) -> DataFrame:
+    """Append to (or replace) a folder whose rows are dealt to ``n`` files by
+    the hash of ``key``, and read it: joins and groupings by ``key`` shuffle no
+    row of it.  Rows of ``df`` that come dealt by ``key`` aren't shuffled for
+    it; others should be, or every task writes up to ``n`` files."""
+    spark = df.sparkSession
+    with _in_catalog(spark, path, df.schema, key, n) as name:
+        df.write.insertInto(name, overwrite=overwrite)
+    return read_hashed(spark, path, df.schema, key, n)
+
+
+def read_hashed(spark: SparkSession, path: str, schema: StructType, key: str, n: int) -> DataFrame:
+    """A folder written by :func:`append_hashed` with the same key and number;
+    the schema is given, as there is no file where there was no row."""
+    with _in_catalog(spark, path, schema, key, n) as name:
+        return spark.table(name)
