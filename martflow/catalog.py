@@ -393,7 +393,7 @@ def q_backfill_equals_daily(spark, sf):
     """T4: the whole feed loaded in batches (the last three days one by one,
     the days before by year; the oldest batch and one day twice) and all at
     once; all rows with the number of rows in which the two loads differ."""
-    from martflow.operators.tables import by_slice, differing, publish, read_slices, write_slices
+    from martflow.operators.tables import by_slice, clustered_slices, differing, publish, read_slices, write_slices
     from martflow.plans.sales import day_of
     from martflow.session import scratch_path
     stage = _feed(spark, sf).withColumn("day", day_of())
@@ -404,9 +404,10 @@ def q_backfill_equals_daily(spark, sf):
         years.setdefault(str(d)[:4], []).append(d)
     batches = [*years.values(), *([d] for d in last)]
     daily, backfill = scratch_path(spark, "stage_daily"), scratch_path(spark, "stage_backfill")
-    for batch in [*batches, batches[0], last[:1]]:
-        write_slices(inc.filter(F.col("day").between(batch[0], batch[-1])), daily, "day", batch, clustered=True)
-    write_slices(inc, backfill, "day", days, clustered=True)
+    with clustered_slices():
+        for batch in [*batches, batches[0], last[:1]]:
+            write_slices(inc.filter(F.col("day").between(batch[0], batch[-1])), daily, "day", batch)
+        write_slices(inc, backfill, "day", days)
     a, b = (read_slices(spark, p, "day", schema=stage.schema) for p in (daily, backfill))
     return a.drop("day").withColumn("differing", F.lit(differing(a, b)).cast("long"))
 
