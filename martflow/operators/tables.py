@@ -50,8 +50,7 @@ def replace_slice(target: DataFrame, increment: DataFrame, slice_col: Column, sl
 
 @contextmanager
 def clustered_slices() -> Iterator[None]:
-    """Inside, :func:`write_slices` gets frames of which each slice lies in few
-    partitions (:func:`by_slice`): their rows are not shuffled again."""
+    """Inside, :func:`write_slices` takes every frame as ``clustered``."""
     token = _CLUSTERED.set(True)
     try:
         yield
@@ -59,13 +58,16 @@ def clustered_slices() -> Iterator[None]:
         _CLUSTERED.reset(token)
 
 
-def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str] | None = None) -> None:
+def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str] | None = None,
+                 clustered: bool = False) -> None:
     """K4 physical writer: dynamic partition overwrite of ``slice_col`` values.
 
     Only the partitions present in ``df`` are replaced.  A requested slice with
     no incoming rows is removed explicitly, because dynamic overwrite would
     leave the old day in place.  Which slices have rows is noted by the write
-    itself, one bit for each, so no folder is listed.
+    itself, one bit for each, so no folder is listed.  ``clustered`` says that
+    each slice of ``df`` lies in few partitions (:func:`by_slice`): its rows
+    are not shuffled again.
     """
     spark, columns = df.sparkSession, df.columns
     wanted = [str(s) for s in slices or ()]
@@ -76,7 +78,7 @@ def write_slices(df: DataFrame, path: str, slice_col: str, slices: Sequence[str]
         df = df.join(F.broadcast(listed), F.col(slice_col).cast("string") == F.col("_mf_slice"), "left")
         df = df.observe(seen, *[F.bitmap_construct_agg(F.when(F.col("_mf_no").between(lo, lo + BITS - 1), F.col("_mf_no") - lo)).alias(f"b{lo}")
                                 for lo in range(0, len(wanted), BITS)]).select(*columns)
-    (df if _CLUSTERED.get() else by_slice(df, slice_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_col).parquet(path)
+    (df if clustered or _CLUSTERED.get() else by_slice(df, slice_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_col).parquet(path)
     if wanted:
         bits = _noted(seen, df)
         for i, name in enumerate(wanted):
